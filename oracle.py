@@ -132,7 +132,7 @@ _PURCHASE = """
 tb_purchase AS (
   SELECT CAST(l_shipdate AS DATE) AS date_iso, nullif(p_type, 'PROMO') AS type,
     CASE WHEN l_linenumber <> 7 THEN p_brand END AS model,
-    o_custkey AS nk_staff, s.nk_staff IS NOT NULL AS staff_known,
+    concat(l_orderkey, '-', l_linenumber) AS nk_equipment, o_custkey AS nk_staff, s.nk_staff IS NOT NULL AS staff_known,
     s.job_title, s.activity_sector, s.sk_site
   FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
     LEFT JOIN orders ON l_orderkey = o_orderkey
@@ -275,4 +275,245 @@ SELECT month, coalesce(tm, 0.0) AS tco2e_missions, coalesce(tp, 0.0) AS tco2e_eq
 FROM m FULL JOIN p USING (month)""",
 }
 
-ORACLE: dict[str, str] = {**_QUESTIONS}
+_CLOCK = """CASE WHEN round(lon / 15) > 0 THEN 'Etc/GMT-' || CAST(round(lon / 15) AS INTEGER)
+    WHEN round(lon / 15) < 0 THEN 'Etc/GMT+' || CAST(-round(lon / 15) AS INTEGER)
+    WHEN lon IS NOT NULL THEN 'Etc/GMT' END"""
+
+_AUGMENTED = f"""{_MISSIONS}
+, sites AS (
+  SELECT row_number() OVER (ORDER BY city_name) AS sk_city, city_name, country_iso2,
+    TRUE AS is_org_site, {_CLOCK} AS timezone_iana, lat, lon
+  FROM tb_city WHERE sk_city IN (SELECT sk_site FROM tb_staff)
+),
+visited AS (
+  SELECT DISTINCT city_name, country_iso2, lat, lon FROM tb_city
+  WHERE sk_city IN (SELECT sk_origin FROM tb_mission UNION SELECT sk_destination FROM tb_mission)
+),
+augmented AS (
+  SELECT * FROM sites
+  UNION ALL
+  SELECT (SELECT max(sk_city) FROM sites) + row_number() OVER (ORDER BY city_name),
+    city_name, country_iso2, FALSE, {_CLOCK}, lat, lon
+  FROM visited WHERE city_name NOT IN (SELECT city_name FROM sites)
+)"""
+
+_PAIRS = f"""{_MISSIONS}
+, dim_trip AS (
+  SELECT sk_origin * 4294967296 + sk_destination AS sk_trip, sk_origin AS sk_city_origin,
+    sk_destination AS sk_city_destination, distance_km
+  FROM (SELECT DISTINCT sk_origin, sk_destination FROM tb_mission)
+    LEFT JOIN trip USING (sk_origin, sk_destination)
+)"""
+
+_DAY_NUMBER = "CAST(date_diff('day', DATE '1995-01-01', date_iso) + 1 AS BIGINT)"
+
+
+def _profile(relation: str, key: str, name: str) -> str:
+    return f"SELECT {key}, count(*) AS {name} FROM {relation} GROUP BY ALL"
+
+
+def _described(table: str, relation: str, columns: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, (SELECT count(*) FROM {relation}) AS row_count, "
+        f"'{columns}' AS column_list"
+    )
+
+
+def _repeated(table: str, relation: str, key: str, condition: str = "TRUE") -> str:
+    return f"""
+SELECT '{table}' AS table_name, count(*) AS keys,
+  count(*) FILTER (n > 1) AS repeated
+FROM (SELECT {key}, count(*) AS n FROM {relation} WHERE {condition} GROUP BY ALL)"""
+
+
+_OPERATORS = {
+    "scan_date_window": f"{_MISSIONS} SELECT date_iso, sk_site, count(*) AS missions "
+    f"FROM tb_mission WHERE {_PERIOD} GROUP BY ALL",
+    "table_counts": f"{_PURCHASES}, {_TRIP.strip()}, {_MISSION.strip()} "
+    + " UNION ALL ".join(
+        [
+            _described(
+                "dim_date",
+                """(SELECT unnest(generate_series(date_trunc('year', least(
+                  (SELECT min(o_orderdate) FROM orders), (SELECT min(l_shipdate) FROM lineitem))),
+                  date_trunc('year', greatest((SELECT max(o_orderdate) FROM orders),
+                  (SELECT max(l_shipdate) FROM lineitem))) + INTERVAL 1 YEAR - INTERVAL 1 DAY,
+                  INTERVAL 1 DAY)))""",
+                "sk_date, date_iso",
+            ),
+            _described(
+                "dim_staff",
+                "tb_staff",
+                "sk_staff, nk_staff, last_name, first_name, job_title, activity_sector, "
+                "birth_date, sk_site",
+            ),
+            _described("dim_equipment", "tb_equipment_ref", "type, model, co2_impact_kg_ref"),
+            _described(
+                "dim_transport_type",
+                "factor",
+                "sk_transport_type, transport_name, co2_factor_kg_per_km",
+            ),
+            _described(
+                "dim_city",
+                "(SELECT sk_origin FROM tb_mission UNION SELECT sk_destination FROM tb_mission)",
+                "city_name, country",
+            ),
+            _described(
+                "dim_trip",
+                "(SELECT DISTINCT sk_origin, sk_destination FROM tb_mission)",
+                "sk_origin, sk_destination",
+            ),
+            _described("fact_mission", "tb_mission", "nk_mission"),
+            _described("fact_equipment", "tb_purchase", "nk_equipment"),
+        ]
+    ),
+    "incremental_missing_dates": """
+SELECT CAST(o_orderdate AS DATE) AS date_iso, count(*) AS missions FROM orders
+GROUP BY ALL HAVING count(*) FILTER (o_orderstatus = 'F') = 0""",
+    "dim_date": """
+SELECT row_number() OVER (ORDER BY d) AS sk_date, CAST(d AS DATE) AS date_iso
+FROM (SELECT unnest(generate_series(
+    date_trunc('year', min(first)), date_trunc('year', max(last)) + INTERVAL 1 YEAR
+    - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d
+  FROM (SELECT min(o_orderdate) AS first, max(o_orderdate) AS last FROM orders
+    UNION ALL SELECT min(l_shipdate), max(l_shipdate) FROM lineitem))""",
+    "dim_transport_type": f"""{_MISSIONS}
+SELECT CAST(f.sk_transport_type AS BIGINT) AS sk_transport_type, f.transport_name,
+  CAST(kg_per_km AS DOUBLE) AS co2_factor_kg_per_km, count(*) AS missions
+FROM factor f JOIN mission m ON f.transport_name = m.transport_name GROUP BY ALL""",
+    "dim_equipment": f"WITH {_CATALOGUE.strip()} SELECT sk_equipment, type, model, "
+    "impact AS co2_impact_kg_ref FROM numbered_ref",
+    "dim_city_sites": f"{_AUGMENTED} SELECT sk_city, city_name, country_iso2, is_org_site, "
+    "timezone_iana FROM sites",
+    "dim_city_augmented": f"{_AUGMENTED} SELECT * FROM augmented",
+    "dim_staff": f"""{_AUGMENTED}
+SELECT CAST(nk_staff AS VARCHAR) AS nk_staff, job_title, activity_sector, birth_date,
+  s.sk_city AS sk_site
+FROM tb_staff JOIN tb_city c ON sk_site = c.sk_city JOIN sites s ON c.city_name = s.city_name""",
+    "dim_trip": f"{_PAIRS} SELECT * REPLACE ({_round('distance_km', 3)} AS distance_km) "
+    "FROM dim_trip",
+    "fact_mission": f"""{_MISSIONS}
+SELECT CAST(nk_mission AS VARCHAR) AS nk_mission, {_DAY_NUMBER} AS sk_date_mission,
+  sk_origin * 4294967296 + sk_destination AS sk_trip, sk_transport_type, mission_type,
+  coalesce(round_trip, FALSE) AS round_trip_flg, {_round('co2_kg', 3)} AS co2_impact_kg
+FROM mission""",
+    "transport_haul_split": f"""{_MISSIONS}
+SELECT transport_name, count(*) AS missions, {_round('min(distance_km)', 3)} AS shortest_km,
+  {_round('max(distance_km)', 3)} AS longest_km
+FROM mission GROUP BY ALL""",
+    "mission_co2": f"""{_MISSIONS}
+SELECT nk_mission, {_round('distance_km', 3)} AS distance_km,
+  CAST(kg_per_km AS DOUBLE) AS co2_factor, {_round('co2_kg', 3)} AS co2_kg
+FROM mission LEFT JOIN factor USING (transport_name)""",
+    "fact_equipment": f"""{_PURCHASES}
+SELECT nk_equipment, {_DAY_NUMBER} AS sk_date_purchase, sk_equipment,
+  CAST(co2_kg AS DOUBLE) AS co2_impact_kg FROM purchase""",
+    "equipment_co2_lookup": f"""{_PURCHASES}
+SELECT type, found, count(*) AS purchases, CAST(sum(co2_kg) AS DOUBLE) AS co2_kg
+FROM purchase GROUP BY ALL""",
+    "mission_mart": f"""{_MISSIONS}
+SELECT nk_mission, nk_staff, date_iso, year(date_iso) AS year, month(date_iso) AS month,
+  day(date_iso) AS day, mission_type, coalesce(round_trip, FALSE) AS round_trip, job_title,
+  activity_sector, birth_date, site_name, transport_name, sk_origin, sk_destination,
+  d.city_name AS destination_city_name, {_round('distance_km', 3)} AS distance_km,
+  {_round('co2_kg', 3)} AS co2_kg
+FROM mission JOIN tb_city d ON sk_destination = d.sk_city
+WHERE sk_transport_type IS NOT NULL AND site_name IS NOT NULL""",
+    "equipment_mart": f"""{_PURCHASES}
+SELECT nk_equipment, nk_staff, date_iso, year(date_iso) AS year, month(date_iso) AS month,
+  day(date_iso) AS day, job_title, activity_sector, site_name, type,
+  CAST(co2_kg AS DOUBLE) AS co2_kg
+FROM purchase WHERE found <> 'none' AND site_name IS NOT NULL""",
+    "join_semi_staff": f"""{_MISSIONS}
+SELECT month(date_iso) AS month, count(*) AS missions FROM tb_mission
+WHERE nk_staff IN (SELECT nk_staff FROM tb_staff WHERE job_title = 'Cadre') GROUP BY ALL""",
+    "join_inner_site": f"""{_MISSIONS}
+SELECT site_name, activity_sector, count(*) AS missions FROM mission
+WHERE site_name IS NOT NULL GROUP BY ALL""",
+    "join_left_dims": f"""{_MISSIONS}
+SELECT transport_raw, count(*) AS missions,
+  count(*) FILTER (date_iso BETWEEN DATE '1995-01-01' AND DATE '2001-12-31') AS with_date,
+  count(*) FILTER (staff_known) AS with_staff, count(sk_origin) AS with_origin,
+  count(sk_transport_type) AS with_mode
+FROM mission GROUP BY ALL""",
+    "join_left_trip": f"""{_PAIRS}
+SELECT sk_city_origin, sk_city_destination, missions, sk_trip,
+  {_round('distance_km', 3)} AS distance_km
+FROM (SELECT sk_origin AS sk_city_origin, sk_destination AS sk_city_destination,
+    count(*) AS missions FROM tb_mission GROUP BY ALL)
+  LEFT JOIN dim_trip USING (sk_city_origin, sk_city_destination)""",
+    "distinct_trips": f"""{_MISSIONS}
+SELECT DISTINCT o.city_name AS origin_city, d.city_name AS destination_city
+FROM tb_mission LEFT JOIN tb_city o ON sk_origin = o.sk_city
+  LEFT JOIN tb_city d ON sk_destination = d.sk_city""",
+    "union_distinct_cities": f"""{_MISSIONS}
+SELECT city_name, country_raw AS country FROM tb_mission JOIN tb_city ON sk_origin = sk_city
+UNION
+SELECT city_name, country_raw FROM tb_mission JOIN tb_city ON sk_destination = sk_city""",
+    "map_lookup_titles": f"{_STAFFED} "
+    + _profile("tb_staff", "title_raw, job_title, activity_sector", "employees"),
+    "round_trip_flag": f"{_MISSIONS} "
+    + _profile(
+        "tb_mission",
+        "round_trip_raw, coalesce(round_trip_raw = 'oui', FALSE) AS round_trip",
+        "missions",
+    ),
+    "surrogate_trip_key": f"{_MISSIONS} "
+    + _profile("tb_mission", "sk_origin * 4294967296 + sk_destination AS sk_trip", "missions"),
+    "country_iso2_lookup": f"{_MISSIONS} "
+    + _profile(
+        "tb_mission JOIN tb_city ON sk_destination = sk_city",
+        "country_raw, country_iso2",
+        "missions",
+    ),
+    "city_reference_lookup": f"{_MISSIONS} "
+    + _profile(
+        "tb_mission JOIN tb_city ON sk_destination = sk_city",
+        f"city_name, lat, lon, {_CLOCK} AS timezone_iana",
+        "missions",
+    ),
+    "trip_distance": f"""{_MISSIONS}
+SELECT sk_origin, sk_destination, {_round('max(distance_km)', 3)} AS distance_km,
+  {_round('count(*) * max(distance_km)', 2)} AS total_km
+FROM mission GROUP BY ALL""",
+    "staff_by_title": f"{_STAFFED} {_profile('tb_staff', 'job_title', 'employees')}",
+    "staff_by_sector": f"{_STAFFED} {_profile('tb_staff', 'activity_sector', 'employees')}",
+    "staff_by_site": f"{_STAFFED} {_profile('tb_staff', 'sk_site', 'employees')}",
+    "missions_by_type": f"{_MISSIONS} {_profile('tb_mission', 'mission_type', 'missions')}",
+    "city_counts": f"{_AUGMENTED} SELECT count(*) AS cities, "
+    "count(*) FILTER (is_org_site) AS org_sites FROM augmented",
+    "dq_city_no_country": f"{_AUGMENTED} SELECT city_name FROM augmented "
+    "WHERE country_iso2 IS NULL",
+    "longest_trips": f"""{_PAIRS}
+SELECT * REPLACE ({_round('distance_km', 3)} AS distance_km) FROM (
+  SELECT * FROM dim_trip ORDER BY distance_km DESC NULLS LAST, sk_trip LIMIT 10)""",
+    "dq_trip_no_distance": f"{_PAIRS} SELECT count(*) AS trips, "
+    "count(*) - count(distance_km) AS without_distance FROM dim_trip",
+    "total_mission_co2": f"{_MISSIONS} SELECT count(*) AS missions, "
+    f"coalesce({_tonnes('sum(co2_kg)', 2)}, 0.0) AS tco2e FROM mission",
+    "dq_mission_no_co2": f"{_MISSIONS} SELECT mission_type, count(*) AS missions "
+    "FROM mission WHERE co2_kg IS NULL GROUP BY ALL",
+    "total_equipment_co2": f"{_PURCHASES} SELECT count(*) AS purchases, "
+    f"coalesce({_tonnes('sum(co2_kg)', 2)}, 0.0) AS tco2e FROM purchase",
+    "dq_equipment_no_co2": f"{_PURCHASES} SELECT type, count(*) AS purchases "
+    "FROM purchase WHERE co2_kg IS NULL GROUP BY ALL",
+    "dq_key_uniqueness": _PURCHASES
+    + " UNION ALL ".join(
+        [
+            _repeated("dim_staff", "tb_staff", "nk_staff"),
+            _repeated("dim_city", "tb_city", "city_name"),
+            _repeated("dim_equipment", "tb_equipment_ref", "type, model"),
+            _repeated(
+                "dim_equipment default", "tb_equipment_ref", "type", "model = 'default'"
+            ),
+            _repeated("fact_mission", "orders", "o_orderkey"),
+            _repeated("fact_equipment", "lineitem", "l_orderkey, l_linenumber"),
+        ]
+    ),
+    "stream_daily_totals": f"""{_STAFFED}
+SELECT CAST(ts AS DATE) AS day, activity_sector, count(*) AS purchases,
+  {_round('sum(value)', 2)} AS value
+FROM events JOIN tb_staff ON user_id = nk_staff WHERE event_type = 'purchase' GROUP BY ALL""",
+}
+
+ORACLE: dict[str, str] = {**_QUESTIONS, **_OPERATORS}

@@ -80,6 +80,16 @@ def mission_ledger(
     )
 
 
+def named_mission_ledger(missions: DataFrame, cities: DataFrame) -> DataFrame:
+    """The ledger of missions whose ends are city names; adds the city keys."""
+    ended = with_ends(
+        missions, cities, "origin_city", "destination_city", "city_name", ("sk_city",)
+    ).withColumnsRenamed(
+        {"origin_sk_city": "sk_origin", "destination_sk_city": "sk_destination"}
+    )
+    return with_mission_emission(ended)
+
+
 def mission_totals(
     missions: DataFrame, cities: DataFrame, *by: str, carry: tuple[str, ...] = ()
 ) -> DataFrame:

@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terratally.functions import vocabulary
+from terratally.functions.keys import hashed_key
 from terratally.operators.facts import with_site, with_staff
 from terratally.plans.labels import Labels
+from terratally.sources.places import nautical_zone
 
 CALENDAR_FIRST = date(1995, 1, 1)
 CALENDAR_LAST = date(2001, 12, 31)
@@ -115,6 +117,7 @@ class Testbed:
             self.table("customer")
             .select(
                 F.col("c_custkey").alias("nk_staff"),
+                hashed_key(F.col("c_custkey").cast("string")).alias("sk_staff"),
                 raw_title.alias("title_raw"),
                 (F.col("c_nationkey") % _SITE_COUNT).cast("long").alias("sk_site"),
                 F.date_add(
@@ -127,6 +130,24 @@ class Testbed:
         )
         return with_site(employees, self.cities()) if sited else employees
 
+    def personnel(self) -> DataFrame:
+        """Employees as the staff files list them, with the name of their city."""
+        offices = self.cities().select(
+            F.col("sk_city").alias("sk_site"), "city_name", F.col("country_raw").alias("country")
+        )
+        return (
+            self.staff()
+            .join(offices, "sk_site", "left")
+            .drop("sk_site")
+            .withColumns({c: F.lit(None).cast("string") for c in ("last_name", "first_name")})
+        )
+
+    def places(self) -> DataFrame:
+        """City reference: coordinates and clock by city name."""
+        return self.cities().where(F.col("lat").isNotNull()).select(
+            "city_name", "lat", "lon", nautical_zone(F.col("lon")).alias("timezone_iana")
+        )
+
     # --- missions -----------------------------------------------------------------
 
     def raw_missions(
@@ -161,6 +182,20 @@ class Testbed:
             "sk_origin", F.col("sk_site")
         )
 
+    def named_missions(
+        self, first: date | None = None, last: date | None = None
+    ) -> DataFrame:
+        """Missions with name and country of both ends, as the daily files give them."""
+        rows = self.missions(first, last)
+        for end in ("origin", "destination"):
+            side = self.cities(regions=True).select(
+                F.col("sk_city").alias(f"sk_{end}"),
+                F.col("city_name").alias(f"{end}_city"),
+                F.col("country_raw").alias(f"{end}_country"),
+            )
+            rows = rows.join(side, f"sk_{end}", "left")
+        return rows
+
     # --- purchases ----------------------------------------------------------------
 
     def purchases(
@@ -172,6 +207,7 @@ class Testbed:
     ) -> DataFrame:
         """Purchases; ``staffed`` adds the employee, ``sited`` the office as well."""
         items = _between(self.table("lineitem"), "l_shipdate", first, last).select(
+            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("nk_equipment"),
             "l_orderkey",
             "l_partkey",
             (F.col("l_linenumber") == 7).alias("model_left_out"),
@@ -179,6 +215,7 @@ class Testbed:
         )
         parts = self.table("part").select("p_partkey", "p_type", "p_brand")
         typed = items.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").select(
+            "nk_equipment",
             "l_orderkey",
             "date_iso",
             F.nullif("p_type", F.lit("PROMO")).alias("type"),

@@ -91,14 +91,26 @@ def missing_days(incoming: DataFrame, loaded: DataFrame, day: str) -> DataFrame:
 
 def only_new_days(incoming: DataFrame, path: str, day: str) -> DataFrame:
     """Rows of ``incoming`` whose day has no partition under ``path`` yet."""
-    spark = incoming.sparkSession
+    table = _table_if_any(incoming.sparkSession, path)
+    if table is None:
+        return incoming
+    loaded = table.select(F.make_date(*_DAY_PARTITIONS).alias(day)).distinct()
+    return incoming.join(loaded, day, "left_anti")
+
+
+def append_new(frame: DataFrame, path: str, key: str) -> None:
+    """Append the rows whose ``key`` the table under ``path`` does not have yet."""
+    rows = frame.where(F.col(key).isNotNull())
+    table = _table_if_any(frame.sparkSession, path)
+    if table is not None:
+        rows = rows.join(table.select(key), key, "left_anti")
+    rows.select(*frame.columns).write.mode("append").parquet(path)
+
+
+def _table_if_any(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        table = spark.read.parquet(path)
+        return spark.read.parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
-            return incoming
+            return None
         raise
-    loaded = table.select(
-        F.make_date(*_DAY_PARTITIONS).alias(day)
-    ).distinct()
-    return incoming.join(loaded, day, "left_anti")
