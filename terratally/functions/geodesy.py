@@ -32,7 +32,9 @@ def with_distance(
 
     Longitudes are radians. Intermediate terms are bound one projection at a time: each
     is used several times further on, so the optimizer keeps the projections apart and
-    every term is computed once per row.
+    every term is computed once per row. The result leaves through a one-element
+    ``inline``, which a filter on the distance cannot be pushed through; pushed, it would
+    repeat the whole formula for every mention of the distance.
     """
     lat1, lon1 = (F.col(c) for c in origin)
     lat2, lon2 = (F.col(c) for c in destination)
@@ -80,10 +82,9 @@ def with_distance(
     km = EQUATOR_KM * F.col("_sin") * (
         t - FLATTENING / 4 * first + FLATTENING * FLATTENING / 64 * second
     )
-    return bound.select(
-        *kept,
+    distance = (
         F.when(chord <= _TOUCHING, 0.0)
         .when(chord >= 1 - _TOUCHING, HALF_MERIDIAN_KM)
         .when(chord.isNotNull(), F.round(F.least(km, F.lit(HALF_MERIDIAN_KM)), _DECIMALS))
-        .alias(name),
     )
+    return bound.select(*kept, F.inline(F.array(F.struct(distance.alias(name)))))

@@ -44,14 +44,13 @@ def _by_mode(values: list, mode: Column) -> Column:
     return F.create_map(*pairs)[mode]
 
 
-def with_mission_emission(rows: DataFrame) -> DataFrame:
-    """Price rows that come from ``with_ends``.
+def with_mission_emission(measured: DataFrame) -> DataFrame:
+    """Price rows that have ``distance_km`` and ``located``.
 
-    Adds distance_km, located, transport_name, sk_transport_type, co2_factor, has_factor
-    and co2_kg (of one mission). To select missions by whether they could be priced,
-    filter on ``located`` and ``has_factor``: unlike co2_kg they cost nothing to push down.
+    Adds transport_name, sk_transport_type, co2_factor, has_factor and co2_kg (of one
+    mission). To select missions by whether they could be priced, filter on ``located``
+    and ``has_factor``: unlike co2_kg they cost nothing to push down.
     """
-    measured = with_trip_distance(rows)
     modes = measured.select(
         "*",
         transport_mode(F.col("transport_raw"), F.col("distance_km")).alias("transport_name"),
@@ -75,19 +74,28 @@ def mission_ledger(
     missions: DataFrame, cities: DataFrame, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """Every mission with its distance, mode and CO2; ends are city keys."""
-    return with_mission_emission(
-        with_ends(missions, cities, "sk_origin", "sk_destination", "sk_city", carry)
-    )
+    ended = with_ends(missions, cities, "sk_origin", "sk_destination", "sk_city", carry)
+    return with_mission_emission(with_trip_distance(ended))
 
 
-def named_mission_ledger(missions: DataFrame, cities: DataFrame) -> DataFrame:
-    """The ledger of missions whose ends are city names; adds the city keys."""
-    ended = with_ends(
-        missions, cities, "origin_city", "destination_city", "city_name", ("sk_city",)
-    ).withColumnsRenamed(
-        {"origin_sk_city": "sk_origin", "destination_sk_city": "sk_destination"}
+def mission_ledger_by_trip(
+    missions: DataFrame, cities: DataFrame, trips: DataFrame
+) -> DataFrame:
+    """The same from city names and a DIM_TRIP table, where distances are ready."""
+    for end in ("origin", "destination"):
+        side = cities.select(
+            F.col("city_name").alias(f"{end}_city"), F.col("sk_city").alias(f"sk_{end}")
+        )
+        missions = missions.join(side, f"{end}_city", "left")
+    pairs = trips.select(
+        F.col("sk_city_origin").alias("sk_origin"),
+        F.col("sk_city_destination").alias("sk_destination"),
+        "distance_km",
+    )
+    measured = missions.join(pairs, ["sk_origin", "sk_destination"], "left")
+    return with_mission_emission(
+        measured.withColumn("located", F.col("distance_km").isNotNull())
     )
-    return with_mission_emission(ended)
 
 
 def mission_totals(

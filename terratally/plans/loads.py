@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from terratally.operators import dimensions, facts
 from terratally.operators.emissions import (
-    named_mission_ledger,
+    mission_ledger_by_trip,
     with_purchase_emission,
 )
 from terratally.schemas import PERSONNEL_FILE
@@ -108,8 +108,11 @@ def load_period(
     cities = stored(
         dimensions.augmented_cities(known, missions, reference.places), "cities"
     )
+    trips = stored(dimensions.trips(missions, cities), "trips")
     staff = reference.dim_staff
-    mission_ledger = named_mission_ledger(facts.with_staff(missions, staff), cities)
+    mission_ledger = mission_ledger_by_trip(
+        facts.with_staff(missions, staff), cities, trips
+    )
     purchase_ledger = with_purchase_emission(
         facts.with_staff(purchases, staff), reference.dim_equipment
     )
@@ -122,7 +125,7 @@ def load_period(
         dim_equipment=reference.dim_equipment,
         dim_city=dimensions.published_cities(cities),
         dim_staff=staff,
-        dim_trip=dimensions.trips(missions, cities),
+        dim_trip=trips,
         fact_mission=facts.fact_mission(mission_ledger, *calendar),
         fact_equipment=facts.fact_equipment(purchase_ledger, *calendar),
     )

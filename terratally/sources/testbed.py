@@ -71,6 +71,8 @@ def _whole_cents(total: Column, count: Column, share: int) -> Column:
 class Testbed:
     """Views over one folder of test tables; nothing is read before it is asked for."""
 
+    __test__ = False
+
     labels = LABELS
     default_model = DEFAULT_MODEL
     calendar_first = CALENDAR_FIRST

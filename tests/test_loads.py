@@ -1,0 +1,215 @@
+"""Files to star to answers, against a plain-Python reckoning of the same drop."""
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from terratally import schemas
+from terratally.functions import vocabulary
+from terratally.operators.dimensions import CALENDAR_FIRST, CALENDAR_LAST
+from terratally.plans.loads import load_period, load_reference
+from terratally.plans.questions import QUESTIONS
+from terratally.plans.warehouse import StarSource, open_star, save_star
+from terratally.sources.places import CITIES
+from tests.drop import MISSIONS, PURCHASES, STAFF, write_missions
+from tests.test_geodesy import vincenty
+
+FIRST, LAST = date(2026, 5, 1), date(2026, 10, 31)
+SPOTS = {name: (lat, lon) for name, lat, lon, _ in CITIES}
+IN_PERIOD = [m for m in MISSIONS if "20260501" <= m[1] <= "20261031"]
+KNOWN_STAFF = {s[1]: s for s in STAFF if s[3]}
+
+
+@pytest.fixture(scope="module")
+def reference(spark, drop):
+    return load_reference(spark, drop)
+
+
+@pytest.fixture(scope="module")
+def star(spark, drop, reference):
+    return load_period(spark, drop, FIRST, LAST, reference)
+
+
+@pytest.fixture(scope="module")
+def source(star):
+    return StarSource(star)
+
+
+def expected_co2(mission):
+    _, _, _, _, _, origin, _, destination, _, mode, flag = mission
+    if origin not in SPOTS or destination not in SPOTS:
+        return None
+    km = vincenty(SPOTS[origin], SPOTS[destination])
+    if mode == "Avion":
+        mode = "Avion long-courrier" if km >= 1000 else "Avion court-courrier"
+    factor = vocabulary.EMISSION_FACTORS.get(mode)
+    if factor is None:
+        return None
+    return km * factor * (2 if flag in ("oui", "yes", "ja", "1") else 1)
+
+
+def answer(source, name):
+    return [tuple(r) for r in QUESTIONS[name](source).collect()]
+
+
+def test_tables_have_the_published_columns(star):
+    for name, table in star.tables().items():
+        layout = getattr(schemas, name.upper())
+        assert table.columns == layout.names, name
+        assert [f.dataType for f in table.schema] == [f.dataType for f in layout], name
+
+
+def test_staff(star):
+    rows = {r.nk_staff: r for r in star.dim_staff.collect()}
+    assert set(rows) == {"P1", "P2", "P3", "B1", "L1", "N1", "A1", "S1"}
+    assert (rows["B1"].job_title, rows["B1"].activity_sector) == ("Cadre", "Management")
+    assert (rows["P3"].job_title, rows["P3"].activity_sector) == (None, None)
+    assert rows["P3"].birth_date is None
+    assert rows["P1"].birth_date == date(1980, 2, 29)
+    assert len({r.sk_staff for r in rows.values()}) == len(rows)
+
+
+def test_cities(star):
+    rows = star.dim_city.orderBy("sk_city").collect()
+    assert [r.city_name for r in rows] == [
+        "Berlin", "London", "Los Angeles", "New-York", "Paris", "Shanghai",
+        "Atlantis", "Lille", "Tokyo",
+    ]
+    assert [r.sk_city for r in rows] == list(range(1, 10))
+    assert [r.is_org_site for r in rows] == [True] * 6 + [False] * 3
+    assert {r.city_name for r in rows if r.country_iso2 is None} == {"Atlantis"}
+    assert {r.city_name: r.timezone_iana for r in rows}["Tokyo"] == "Asia/Tokyo"
+
+
+def test_one_fact_row_per_source_row(star):
+    assert star.fact_mission.count() == len(IN_PERIOD)
+    assert star.fact_equipment.count() == len(PURCHASES)
+    assert star.dim_trip.count() == len({(m[5], m[7]) for m in IN_PERIOD})
+
+
+def test_mission_emissions(star):
+    found = {r.nk_mission: r for r in star.fact_mission.collect()}
+    for mission in IN_PERIOD:
+        co2 = expected_co2(mission)
+        row = found[mission[2]]
+        assert row.co2_impact_kg == (None if co2 is None else pytest.approx(co2, abs=0.001))
+        assert row.mission_type == vocabulary.MISSION_TYPES.get(mission[4])
+        assert (row.sk_staff is None) == (mission[3] not in KNOWN_STAFF)
+    assert found["M01"].sk_date_mission == (date(2026, 5, 1) - CALENDAR_FIRST).days + 1
+    assert found["M04"].sk_transport_type is None
+    assert found["M08"].co2_impact_kg == 0.0
+
+
+def test_facts_join_their_dimensions(star):
+    trips = star.fact_mission.join(star.dim_trip, "sk_trip")
+    assert trips.count() == len(IN_PERIOD)
+    dated = star.fact_mission.join(
+        star.dim_date, F.col("sk_date_mission") == F.col("sk_date")
+    )
+    assert dated.where("nk_mission = 'M01'").first().date_iso == date(2026, 5, 1)
+
+
+def test_purchase_emissions(star):
+    found = {r.nk_equipment: r.co2_impact_kg for r in star.fact_equipment.collect()}
+    assert found == {
+        "E01": 300.5, "E02": 250.0, "E03": 120.0, "E04": 900.0, "E05": None,
+        "E06": 250.0, "E07": 180.25, "E08": None, "E09": None,
+    }
+
+
+def test_views(spark, star):
+    star.register()
+    counted = spark.sql("SELECT count(*) AS n FROM FACT_MISSION WHERE CO2_IMPACT_KG IS NULL")
+    assert counted.first().n == sum(expected_co2(m) is None for m in IN_PERIOD)
+
+
+def test_answers(source):
+    co2 = {m[2]: expected_co2(m) for m in MISSIONS}
+
+    def tonnes(*ids):
+        return pytest.approx(sum(co2[i] or 0 for i in ids) / 1000, abs=0.0006)
+
+    assert answer(source, "q01_managers_on_site") == [(1,)]
+    assert answer(source, "q02_data_engineers_country") == [(0,)]
+    assert answer(source, "q03_it_engineers") == [(1,)]
+    assert answer(source, "q04_desktop_count") == [(2,)]
+    assert answer(source, "q05_desktop_co2") == [(0.18,)]
+    assert answer(source, "q06_laptops_role_sites") == [(0.25,)]
+    assert answer(source, "q07_screens_managers") == [(0.12,)]
+    eu = [m[2] for m in IN_PERIOD if m[3] in ("P1", "P2", "P3", "B1", "L1")]
+    assert answer(source, "q08_eu_missions")[0][0] == tonnes(*eu)
+    assert [d for d, _ in answer(source, "q09_top_days")] == [
+        date(2026, 5, 15), date(2026, 5, 1), date(2026, 9, 2),
+    ]
+    assert answer(source, "q12_intersite")[0][0] == tonnes("M07", "M08", "M09")
+    assert answer(source, "q13_seminars_site")[0][0] == tonnes("M10")
+    assert [s for s, _ in answer(source, "q14_conference_sector")] == ["Management"]
+    # P2 is 36 on both trainings, L1 is 40.
+    assert answer(source, "q15_avg_age") == [(37.3,)]
+    by_destination = {}
+    for mission in IN_PERIOD:
+        by_destination.setdefault(mission[7], []).append(co2[mission[2]] or 0)
+    ranked = sorted(by_destination, key=lambda c: -sum(by_destination[c]))
+    assert [d for d, _ in answer(source, "q16_top_destinations")] == ranked[:5]
+    assert [t for t, _ in answer(source, "q17_top_mission_types")] == [
+        "Formation", "Réunion", "Conférence",
+    ]
+    assert [r[0] for r in answer(source, "q18_top_missions")] == ["M02", "M01", "M03"]
+
+
+def test_sector_and_site_totals_agree(source):
+    by_sector, by_site = answer(source, "q10_sector_total"), answer(source, "q11_site_total")
+    for column in (1, 2, 3):
+        totals = [sum(r[column] or 0 for r in rows) for rows in (by_sector, by_site)]
+        assert totals[0] == pytest.approx(totals[1], abs=0.5)
+    known = [m for m in IN_PERIOD if m[3] in KNOWN_STAFF]
+    assert sum(r[1] or 0 for r in by_site) == pytest.approx(
+        sum(expected_co2(m) or 0 for m in known), abs=0.5
+    )
+
+
+def test_monthly_answers(source):
+    monthly = {r[0]: r for r in answer(source, "q20_monthly_total")}
+    assert sorted(monthly) == [5, 6, 7, 8, 9, 10]
+    may = sum(expected_co2(m) or 0 for m in IN_PERIOD if m[1][4:6] == "05") / 1000
+    assert monthly[5][1] == pytest.approx(may, abs=0.006)
+    assert monthly[6] == (6, 0.0, 0.55, 0.55)
+    pivot = QUESTIONS["q19_pivot"](source).collect()
+    modes = {(r.site_name, r.month) for r in pivot}
+    assert ("Paris", 9) in modes and ("Berlin", 5) in modes
+
+
+def test_saved_star_gives_the_same_answers(spark, drop, star, reference, source, tmp_path):
+    root = str(tmp_path / "star")
+    save_star(star, root)
+    save_star(star, root)
+    again = open_star(spark, root, CALENDAR_FIRST, CALENDAR_LAST)
+    assert again.fact_mission.count() == len(IN_PERIOD)
+    assert again.dim_trip.count() == star.dim_trip.count()
+    reopened = StarSource(again)
+    for name in ("q09_top_days", "q10_sector_total", "q16_top_destinations", "q18_top_missions",
+                 "q19_monthly_transport_site", "q20_monthly_total"):
+        assert answer(reopened, name) == answer(source, name), name
+    pruned = open_star(spark, root, CALENDAR_FIRST, CALENDAR_LAST, date(2026, 9, 1), LAST)
+    assert sorted(r.nk_mission for r in pruned.fact_mission.collect()) == [
+        "M07", "M08", "M09", "M12",
+    ]
+    # A later period keeps the city keys, and only its new days are added.
+    later = load_period(
+        spark, drop, date(2026, 10, 1), date(2026, 11, 30), reference, again.dim_city
+    )
+    save_star(later, root, only_new=True)
+    grown = open_star(spark, root, CALENDAR_FIRST, CALENDAR_LAST)
+    assert grown.fact_mission.count() == len(MISSIONS)
+    assert grown.dim_city.count() == star.dim_city.count()
+
+
+def test_other_year_stays_out(spark, tmp_path, drop, reference):
+    from terratally.sources.delimited import Drop
+
+    write_missions(tmp_path, [(*MISSIONS[0][:1], "20270501", *MISSIONS[0][2:])])
+    elsewhere = Drop(str(tmp_path))
+    star = load_period(spark, elsewhere, date(2027, 1, 1), date(2027, 12, 31), reference)
+    assert star.fact_mission.count() == 1
+    assert answer(StarSource(star), "q08_eu_missions") == [(0.0,)]
