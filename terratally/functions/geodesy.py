@@ -13,13 +13,55 @@ from pyspark.sql import functions as F
 EQUATOR_KM = 6378.137
 FLATTENING = 1 / 298.257223563
 HALF_MERIDIAN_KM = 20003.931459
+
+# Squared half chord on the unit sphere at which two points touch or face each other.
 _TOUCHING = 1e-15
-_DECIMALS = 6
+_FACING = 1 - 1e-15
+
+# The formula in steps; each step only uses the columns of the steps before it.
+_STEPS = (
+    {
+        "_sin_half": "sin(({lat2} - {lat1}) / 2)",
+        "_sin_mean": "sin(({lat2} + {lat1}) / 2)",
+        "_sin_turn": "sin(({lon2} - {lon1}) / 2)",
+    },
+    {
+        "_half": "_sin_half * _sin_half",
+        "_mean": "_sin_mean * _sin_mean",
+        "_turn": "_sin_turn * _sin_turn",
+    },
+    {"_chord": "_half + (1 - _half - _mean) * _turn"},
+    {"_safe": f"if(_chord > {_TOUCHING}D and _chord < {_FACING}D, _chord, 0.5D)"},
+    {
+        "_u": "2 * _mean * (1 - _half) / (1 - _safe)",
+        "_v": "2 * _half * (1 - _mean) / _safe",
+        "_sin": "2 * sqrt(_safe * (1 - _safe))",
+        "_e": "2 * (1 - 2 * _safe)",
+        "_t": "asin(sqrt(_safe)) / sqrt(_safe * (1 - _safe))",
+    },
+    {"_x": "_u + _v", "_y": "_u - _v", "_d": "4 * _t * _t"},
+    {
+        "_first": "_t * _x - _y",
+        "_second": (
+            "_x * (_d * _e + (_t - (_d * _e - _e) / 2) * _x)"
+            " - _y * (2 * _d + _e * _y) + _d * _x * _y"
+        ),
+    },
+    {
+        "_km": (
+            f"{EQUATOR_KM}D * _sin * (_t - {FLATTENING / 4!r}D * _first"
+            f" + {FLATTENING**2 / 64!r}D * _second)"
+        )
+    },
+)
+_RESULT = f"""CASE WHEN _chord <= {_TOUCHING}D THEN 0D
+    WHEN _chord >= {_FACING}D THEN {HALF_MERIDIAN_KM}D
+    WHEN _chord IS NOT NULL THEN round(least(_km, {HALF_MERIDIAN_KM}D), 6) END"""
 
 
-def reduced_latitude(latitude: Column) -> Column:
+def reduced_latitude(latitude: str) -> Column:
     """Latitude on the auxiliary sphere, in radians."""
-    return F.atan((1 - FLATTENING) * F.tan(F.radians(latitude)))
+    return F.expr(f"atan({1 - FLATTENING!r}D * tan(radians({latitude})))")
 
 
 def with_distance(
@@ -30,61 +72,17 @@ def with_distance(
 ) -> DataFrame:
     """Add ``name`` (km, NULL when a coordinate is) from (reduced latitude, longitude) pairs.
 
-    Longitudes are radians. Intermediate terms are bound one projection at a time: each
-    is used several times further on, so the optimizer keeps the projections apart and
-    every term is computed once per row. The result leaves through a one-element
-    ``inline``, which a filter on the distance cannot be pushed through; pushed, it would
-    repeat the whole formula for every mention of the distance.
+    Longitudes are radians. Each step is a projection of its own: its columns are used
+    several times further on, so the optimizer keeps the projections apart and computes
+    every term once per row. The result leaves through a one-element ``inline``, which a
+    filter on the distance cannot be pushed through; pushed, it would repeat the whole
+    formula for every mention of the distance.
     """
-    lat1, lon1 = (F.col(c) for c in origin)
-    lat2, lon2 = (F.col(c) for c in destination)
-    kept = [F.col(c) for c in frame.columns]
-
-    def square(x: Column) -> Column:
-        return x * x
-
-    bound = frame.select(
-        *kept,
-        square(F.sin((lat2 - lat1) / 2)).alias("_half"),
-        square(F.sin((lat2 + lat1) / 2)).alias("_mean"),
-        square(F.sin((lon2 - lon1) / 2)).alias("_turn"),
-    )
-    half, mean, turn = F.col("_half"), F.col("_mean"), F.col("_turn")
-    bound = bound.select(
-        *kept, "_half", "_mean", (half + (1 - half - mean) * turn).alias("_chord")
-    )
-    chord = F.col("_chord")
-    apart = (chord > _TOUCHING) & (chord < 1 - _TOUCHING)
-    safe = F.when(apart, chord).otherwise(0.5)
-    bound = bound.select(
-        *kept,
-        "_chord",
-        (2 * mean * (1 - half) / (1 - safe)).alias("_u"),
-        (2 * half * (1 - mean) / safe).alias("_v"),
-        (2 * F.sqrt(safe * (1 - safe))).alias("_sin"),
-        (1 - 2 * safe).alias("_cos"),
-        (2 * F.asin(F.sqrt(safe))).alias("_arc"),
-    )
-    bound = bound.select(
-        *kept,
-        "_chord",
-        "_sin",
-        "_cos",
-        (F.col("_arc") / F.col("_sin")).alias("_t"),
-        (F.col("_u") + F.col("_v")).alias("_x"),
-        (F.col("_u") - F.col("_v")).alias("_y"),
-    )
-    t, x, y, cos = F.col("_t"), F.col("_x"), F.col("_y"), F.col("_cos")
-    d = 4 * t * t
-    e = 2 * cos
-    first = t * x - y
-    second = x * (d * e + (t - (d * e - e) / 2) * x) - y * (2 * d + e * y) + d * x * y
-    km = EQUATOR_KM * F.col("_sin") * (
-        t - FLATTENING / 4 * first + FLATTENING * FLATTENING / 64 * second
-    )
-    distance = (
-        F.when(chord <= _TOUCHING, 0.0)
-        .when(chord >= 1 - _TOUCHING, HALF_MERIDIAN_KM)
-        .when(chord.isNotNull(), F.round(F.least(km, F.lit(HALF_MERIDIAN_KM)), _DECIMALS))
+    columns = dict(zip(("lat1", "lon1", "lat2", "lon2"), (*origin, *destination), strict=True))
+    bound = frame
+    for step in _STEPS:
+        terms = [f"{text.format(**columns)} AS {term}" for term, text in step.items()]
+        bound = bound.selectExpr("*", *terms)
+    return bound.selectExpr(
+        *frame.columns, f"inline(array(named_struct('{name}', {_RESULT})))"
     )
-    return bound.select(*kept, F.inline(F.array(F.struct(distance.alias(name)))))

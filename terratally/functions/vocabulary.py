@@ -127,12 +127,17 @@ COUNTRIES = {
 }
 
 
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def translate(value: Column, mapping: Mapping[str, str]) -> Column:
     """Literal map lookup; unknown and NULL values give NULL, an empty map too."""
     if not mapping:
         return F.lit(None).cast("string")
-    pairs = [F.lit(part) for entry in mapping.items() for part in entry]
-    return F.create_map(*pairs)[value]
+    entries = ", ".join(sql_text(part) for entry in mapping.items() for part in entry)
+    return F.expr(f"map({entries})")[value]
 
 
 def job_title(spelling: Column) -> Column:

@@ -78,43 +78,44 @@ def one_row_per_city(named: DataFrame) -> DataFrame:
     )
 
 
-def _with_place(cities: DataFrame, places: DataFrame) -> DataFrame:
-    return cities.join(places, "city_name", "left")
-
-
-def site_cities(personnel: DataFrame, places: DataFrame) -> DataFrame:
-    """DIM_CITY of the office sites, numbered by name, with coordinates."""
-    found = one_row_per_city(personnel.select("city_name", "country"))
-    numbered = keys.with_dense_key(found, "sk_city", [F.col("city_name")])
-    return _with_place(
-        numbered.select(
-            "sk_city",
-            "city_name",
-            vocabulary.country_iso2(F.col("country")).alias("country_iso2"),
-            F.lit(True).alias("is_org_site"),
-        ),
-        places,
+def new_cities(known: DataFrame, missions: DataFrame) -> DataFrame:
+    """Mission cities that ``known`` does not list."""
+    return one_row_per_city(mission_ends(missions)).join(
+        known.select("city_name"), "city_name", "left_anti"
     )
 
 
-def augmented_cities(
-    known: DataFrame, missions: DataFrame, places: DataFrame
-) -> DataFrame:
-    """DIM_CITY plus the mission cities not in ``known``, whose keys stay as they are."""
-    new = one_row_per_city(mission_ends(missions)).join(
-        known.select("city_name"), "city_name", "left_anti"
+def labelled_cities(named: DataFrame, is_org_site: bool) -> DataFrame:
+    """Cities with their ISO country code and whether they are offices."""
+    return named.select(
+        "city_name",
+        vocabulary.country_iso2(F.col("country")).alias("country_iso2"),
+        F.lit(is_org_site).alias("is_org_site"),
     )
+
+
+def site_cities(named: DataFrame, places: DataFrame) -> DataFrame:
+    """DIM_CITY of the office sites, numbered by name, with coordinates.
+
+    Numbering reads ``named`` several times; hand in a stored table.
+    """
+    labelled = labelled_cities(named, is_org_site=True)
+    numbered = keys.with_dense_key(labelled, "sk_city", [F.col("city_name")])
+    return numbered.join(places, "city_name", "left")
+
+
+def augmented_cities(known: DataFrame, new: DataFrame, places: DataFrame) -> DataFrame:
+    """DIM_CITY plus ``new``, numbered by name after the highest key of ``known``.
+
+    The keys of ``known`` stay as they are. Numbering reads both frames several times;
+    hand in stored tables.
+    """
     highest = known.agg(F.coalesce(F.max("sk_city"), F.lit(0))).scalar()
     numbered = keys.with_dense_key(
-        new, "sk_city", [F.col("city_name")], after=highest
-    ).select(
-        "sk_city",
-        "city_name",
-        vocabulary.country_iso2(F.col("country")).alias("country_iso2"),
-        F.lit(False).alias("is_org_site"),
+        labelled_cities(new, is_org_site=False), "sk_city", [F.col("city_name")], highest
     )
-    kept = known.select("sk_city", "city_name", "country_iso2", "is_org_site")
-    return _with_place(kept.unionByName(numbered), places)
+    kept = known.select(*numbered.columns)
+    return kept.unionByName(numbered).join(places, "city_name", "left")
 
 
 def published_cities(cities: DataFrame) -> DataFrame:
@@ -169,7 +170,7 @@ def with_ends(
         side = cities.select(
             F.col(on).alias(f"_{end}"),
             *[F.col(c).alias(f"{end}_{c}") for c in carry],
-            geodesy.reduced_latitude(F.col("lat")).alias(f"{end}_phi"),
+            geodesy.reduced_latitude("lat").alias(f"{end}_phi"),
             F.radians("lon").alias(f"{end}_lam"),
         )
         rows = rows.join(side, F.col(key) == F.col(f"_{end}"), "left").drop(f"_{end}")
@@ -179,10 +180,7 @@ def with_ends(
 def is_located() -> Column:
     """Both ends have coordinates, so the trip has a distance."""
     columns = ("origin_phi", "origin_lam", "destination_phi", "destination_lam")
-    located = F.lit(True)
-    for name in columns:
-        located = located & F.col(name).isNotNull()
-    return located
+    return F.expr(" AND ".join(f"{name} IS NOT NULL" for name in columns))
 
 
 def with_trip_distance(rows: DataFrame) -> DataFrame:
@@ -224,7 +222,10 @@ def cleaned_impacts(raw: DataFrame) -> DataFrame:
 
 
 def equipment(impacts: DataFrame) -> DataFrame:
-    """DIM_EQUIPMENT: the catalogue numbered by (type, model)."""
+    """DIM_EQUIPMENT: the catalogue numbered by (type, model).
+
+    Numbering reads ``impacts`` several times; hand in a stored table if it is costly.
+    """
     order = [
         F.coalesce("type", F.lit("")).alias("type"),
         F.coalesce("model", F.lit("")).alias("model"),

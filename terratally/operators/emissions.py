@@ -38,10 +38,9 @@ def _has_factor(raw: Column, located: Column) -> Column:
 
 
 def _by_mode(values: list, mode: Column) -> Column:
-    pairs = []
-    for name, value in zip(vocabulary.EMISSION_FACTORS, values, strict=True):
-        pairs += [F.lit(name), F.lit(value)]
-    return F.create_map(*pairs)[mode]
+    entries = zip(vocabulary.EMISSION_FACTORS, values, strict=True)
+    literal = ", ".join(f"{vocabulary.sql_text(name)}, {value}" for name, value in entries)
+    return F.expr(f"map({literal})")[mode]
 
 
 def with_mission_emission(measured: DataFrame) -> DataFrame:
@@ -57,12 +56,13 @@ def with_mission_emission(measured: DataFrame) -> DataFrame:
         _has_factor(F.col("transport_raw"), F.col("located")).alias("has_factor"),
     )
     factors = list(vocabulary.EMISSION_FACTORS.values())
+    mode = F.col("transport_name")
     numbered = modes.select(
         "*",
-        _by_mode([*range(1, len(factors) + 1)], F.col("transport_name"))
-        .cast("long")
-        .alias("sk_transport_type"),
-        _by_mode(factors, F.col("transport_name")).alias("co2_factor"),
+        _by_mode([f"{key}L" for key in range(1, len(factors) + 1)], mode).alias(
+            "sk_transport_type"
+        ),
+        _by_mode([f"{factor}D" for factor in factors], mode).alias("co2_factor"),
     )
     ways = F.when(F.col("round_trip"), 2).otherwise(1)
     return numbered.withColumn(

@@ -76,7 +76,8 @@ def load_reference(
     personnel = dimensions.cleaned_personnel(raw_staff)
     impacts = dimensions.cleaned_impacts(read_delimited(spark, drop.impacts(), ","))
     known_places = places(spark, city_cache)
-    cities = stored(dimensions.site_cities(personnel, known_places), "site-cities")
+    site_names = stored(dimensions.one_row_per_city(personnel), "site-names")
+    cities = stored(dimensions.site_cities(site_names, known_places), "site-cities")
     return ReferenceTables(
         first=first,
         last=last,
@@ -105,8 +106,9 @@ def load_period(
     missions = facts.cleaned_missions(read_mission_days(spark, drop, first, last))
     purchases = facts.cleaned_purchases(read_purchase_days(spark, drop, first, last))
     known = reference.cities if known_cities is None else known_cities
+    new_names = stored(dimensions.new_cities(known, missions), "new-cities")
     cities = stored(
-        dimensions.augmented_cities(known, missions, reference.places), "cities"
+        dimensions.augmented_cities(known, new_names, reference.places), "cities"
     )
     trips = stored(dimensions.trips(missions, cities), "trips")
     staff = reference.dim_staff

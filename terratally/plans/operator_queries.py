@@ -43,9 +43,14 @@ def _purchase_totals(t: Testbed, *by: str) -> DataFrame:
     )
 
 
+def _equipment(t: Testbed) -> DataFrame:
+    """The numbered catalogue; numbering reads it several times, so it is stored first."""
+    return dimensions.equipment(stored(t.catalogue(), "catalogue"))
+
+
 def _stored_equipment(t: Testbed) -> DataFrame:
     """The numbered catalogue as a table, so that row-level joins know its size."""
-    return stored(dimensions.equipment(t.catalogue()), "equipment")
+    return stored(_equipment(t), "equipment")
 
 
 def _purchase_ledger(t: Testbed, catalogue: DataFrame, sited: bool = False) -> DataFrame:
@@ -60,9 +65,24 @@ def _trips(t: Testbed) -> DataFrame:
     )
 
 
+def _site_cities(t: Testbed) -> DataFrame:
+    names = stored(dimensions.one_row_per_city(t.personnel()), "site-names")
+    return dimensions.site_cities(names, t.places())
+
+
 def _augmented(t: Testbed) -> DataFrame:
-    initial = dimensions.site_cities(t.personnel(), t.places())
-    return dimensions.augmented_cities(initial, t.named_missions(), t.places())
+    known = stored(_site_cities(t), "site-cities")
+    new = stored(dimensions.new_cities(known, t.named_missions()), "new-cities")
+    return dimensions.augmented_cities(known, new, t.places())
+
+
+def _all_cities(t: Testbed) -> DataFrame:
+    """The cities of the augmented table, for checks that need no keys."""
+    sites = dimensions.one_row_per_city(t.personnel())
+    new = dimensions.new_cities(sites, t.named_missions())
+    return dimensions.labelled_cities(sites, True).unionByName(
+        dimensions.labelled_cities(new, False)
+    )
 
 
 def _calendar(t: Testbed) -> DataFrame:
@@ -123,11 +143,11 @@ def dim_transport_type(t: Testbed) -> DataFrame:
 
 
 def dim_equipment(t: Testbed) -> DataFrame:
-    return dimensions.equipment(t.catalogue())
+    return _equipment(t)
 
 
 def dim_city_sites(t: Testbed) -> DataFrame:
-    return dimensions.published_cities(dimensions.site_cities(t.personnel(), t.places()))
+    return dimensions.published_cities(_site_cities(t))
 
 
 def dim_city_augmented(t: Testbed) -> DataFrame:
@@ -135,7 +155,7 @@ def dim_city_augmented(t: Testbed) -> DataFrame:
 
 
 def dim_staff(t: Testbed) -> DataFrame:
-    cities = dimensions.site_cities(t.personnel(), t.places())
+    cities = stored(_site_cities(t), "site-cities")
     table = dimensions.staff(t.personnel(), cities).select(*DIM_STAFF.names)
     return _without(table, "sk_staff", "last_name", "first_name")
 
@@ -320,11 +340,11 @@ def missions_by_type(t: Testbed) -> DataFrame:
 
 
 def city_counts(t: Testbed) -> DataFrame:
-    return quality.city_counts(_augmented(t))
+    return quality.city_counts(_all_cities(t))
 
 
 def dq_city_no_country(t: Testbed) -> DataFrame:
-    return quality.cities_without_country(_augmented(t))
+    return quality.cities_without_country(_all_cities(t))
 
 
 def longest_trips(t: Testbed) -> DataFrame:
@@ -378,7 +398,7 @@ def dq_key_uniqueness(t: Testbed) -> DataFrame:
 
 
 def stream_daily_totals(t: Testbed) -> DataFrame:
-    return run_stream(t.spark, t.folder, "events.parquet", t.staff())
+    return run_stream(t.spark, t.folder, "events.parquet", t.layout("events"), t.staff())
 
 
 OPERATORS: dict[str, Callable[[Testbed], DataFrame]] = {

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terratally.functions import vocabulary
-from terratally.functions.keys import hashed_key
 from terratally.operators.facts import with_site, with_staff
 from terratally.plans.labels import Labels
 from terratally.sources.places import nautical_zone
@@ -33,9 +32,25 @@ LABELS = Labels(
     year=1996,
 )
 
+# Columns the views use; declared, so that opening a table reads no file footer.
+_LAYOUTS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "part": "p_partkey bigint, p_brand string, p_type string, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+    ),
+}
+
 # Fixed values of the views.
-_SITE_COUNT = 6
-_CITY_COUNT = 25
 _TITLE_OF_SEGMENT = {
     "AUTOMOBILE": "Cadre",
     "BUILDING": "HRD",
@@ -49,23 +64,8 @@ _TYPE_OF_PRIORITY = {
     "3-MEDIUM": "Team Meeting",
     "5-LOW": "Seminar",
 }
-_SITE_COUNTRIES = ("Allemagne", "England", "France", "USA", "USA", "China")
-_RARE_TRANSPORTS = ("Train", "Taxi", "Transports en commun", "Bateau")
-
-
-def _by_position(position: Column, values: tuple[str, ...]) -> Column:
-    """``values[position]``, NULL beyond the end."""
-    return F.get(F.array(*[F.lit(v) for v in values]), position.cast("int"))
-
-
-def _whole_cents(total: Column, count: Column, share: int) -> Column:
-    """total / (share * count) rounded to cents; ``total`` is in cents.
-
-    In whole numbers, so neither the order of summation nor the engine matters.
-    """
-    divisor = count * (2 * share)
-    cents = (total * 2 + count * share - F.pmod(total * 2 + count * share, divisor)) / divisor
-    return F.round(cents) / 100
+_SITE_COUNTRIES = "array('Allemagne', 'England', 'France', 'USA', 'USA', 'China')"
+_RARE_TRANSPORTS = "array('Train', 'Taxi', 'Transports en commun', 'Bateau')"
 
 
 class Testbed:
@@ -83,52 +83,49 @@ class Testbed:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        reader = self.spark.read.schema(_LAYOUTS[name])
+        return reader.parquet(f"{self.folder}/{name}.parquet")
+
+    def layout(self, name: str) -> str:
+        return _LAYOUTS[name]
 
     # --- cities -------------------------------------------------------------------
 
     def cities(self, regions: bool = False) -> DataFrame:
         """Cities with coordinates; ``regions`` adds the raw country of non-sites."""
         nation = self.table("nation")
-        key = F.col("n_nationkey").cast("long")
-        located = key < _CITY_COUNT - 1
-        lat = F.when(located, (35 + 4 * (key % 5)).cast("double"))
-        lon = F.when(located, (-10 + 8 * F.floor(key / 5)).cast("double"))
-        country = _by_position(key, _SITE_COUNTRIES)
+        country = f"get({_SITE_COUNTRIES}, n_nationkey)"
         if regions:
             nation = nation.join(
-                self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
+                self.table("region"), F.expr("n_regionkey = r_regionkey"), "left"
             )
-            country = F.coalesce(country, "r_name")
-        return nation.select(
-            key.alias("sk_city"),
-            F.col("n_name").alias("city_name"),
-            country.alias("country_raw"),
-            vocabulary.country_iso2(country).alias("country_iso2"),
-            (key < _SITE_COUNT).alias("is_org_site"),
-            lat.alias("lat"),
-            lon.alias("lon"),
-        )
+            country = f"coalesce({country}, r_name)"
+        return nation.selectExpr(
+            "cast(n_nationkey AS bigint) AS sk_city",
+            "n_name AS city_name",
+            f"{country} AS country_raw",
+            "n_nationkey < 6 AS is_org_site",
+            "if(n_nationkey < 24, cast(35 + 4 * (n_nationkey % 5) AS double), NULL) AS lat",
+            "if(n_nationkey < 24, cast(-10 + 8 * (n_nationkey DIV 5) AS double), NULL) AS lon",
+        ).withColumn("country_iso2", vocabulary.country_iso2(F.col("country_raw")))
 
     # --- staff --------------------------------------------------------------------
 
     def staff(self, sited: bool = False) -> DataFrame:
         """Employees; ``sited`` adds the name and country of their office."""
-        raw_title = vocabulary.translate(F.col("c_mktsegment"), _TITLE_OF_SEGMENT)
         employees = (
             self.table("customer")
-            .select(
-                F.col("c_custkey").alias("nk_staff"),
-                hashed_key(F.col("c_custkey").cast("string")).alias("sk_staff"),
-                raw_title.alias("title_raw"),
-                (F.col("c_nationkey") % _SITE_COUNT).cast("long").alias("sk_site"),
-                F.date_add(
-                    F.lit(date(1960, 1, 1)),
-                    (F.col("c_custkey") * 37 % 14600).cast("int"),
-                ).alias("birth_date"),
+            .selectExpr(
+                "c_custkey AS nk_staff",
+                "xxhash64(cast(c_custkey AS string)) AS sk_staff",
+                "c_mktsegment",
+                "cast(c_nationkey % 6 AS bigint) AS sk_site",
+                "date_add(DATE'1960-01-01', cast(c_custkey * 37 % 14600 AS int)) AS birth_date",
             )
+            .withColumn("title_raw", vocabulary.translate(F.col("c_mktsegment"), _TITLE_OF_SEGMENT))
             .withColumn("job_title", vocabulary.job_title(F.col("title_raw")))
             .withColumn("activity_sector", vocabulary.activity_sector(F.col("job_title")))
+            .drop("c_mktsegment")
         )
         return with_site(employees, self.cities()) if sited else employees
 
@@ -156,24 +153,27 @@ class Testbed:
         self, first: date | None = None, last: date | None = None
     ) -> DataFrame:
         """Missions as recorded, without the employee and hence without the origin."""
-        key = F.col("o_orderkey")
         return (
             _between(self.table("orders"), "o_orderdate", first, last)
-            .select(
-                key.alias("nk_mission"),
-                F.col("o_custkey").alias("nk_staff"),
-                F.to_date("o_orderdate").alias("date_iso"),
-                vocabulary.translate(F.col("o_orderpriority"), _TYPE_OF_PRIORITY).alias(
-                    "type_raw"
-                ),
-                ((key * 7 + F.col("o_custkey")) % _CITY_COUNT).alias("sk_destination"),
-                F.coalesce(
-                    _by_position(key % 20, _RARE_TRANSPORTS), F.lit(vocabulary.FLIGHT)
-                ).alias("transport_raw"),
-                F.when(key % 10 == 8, "non").when(key % 10 < 8, "oui").alias("round_trip_raw"),
+            .selectExpr(
+                "o_orderkey AS nk_mission",
+                "o_custkey AS nk_staff",
+                "cast(o_orderdate AS date) AS date_iso",
+                "o_orderpriority",
+                "(o_orderkey * 7 + o_custkey) % 25 AS sk_destination",
+                f"coalesce(get({_RARE_TRANSPORTS}, cast(o_orderkey % 20 AS int)), "
+                f"'{vocabulary.FLIGHT}') AS transport_raw",
+                "CASE o_orderkey % 10 WHEN 9 THEN NULL WHEN 8 THEN 'non' ELSE 'oui' END "
+                "AS round_trip_raw",
+            )
+            .withColumns(
+                {
+                    "type_raw": vocabulary.translate(F.col("o_orderpriority"), _TYPE_OF_PRIORITY),
+                    "round_trip": vocabulary.is_round_trip(F.col("round_trip_raw")),
+                }
             )
             .withColumn("mission_type", vocabulary.mission_type(F.col("type_raw")))
-            .withColumn("round_trip", vocabulary.is_round_trip(F.col("round_trip_raw")))
+            .drop("o_orderpriority")
         )
 
     def missions(
@@ -208,53 +208,47 @@ class Testbed:
         sited: bool = False,
     ) -> DataFrame:
         """Purchases; ``staffed`` adds the employee, ``sited`` the office as well."""
-        items = _between(self.table("lineitem"), "l_shipdate", first, last).select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("nk_equipment"),
+        items = _between(self.table("lineitem"), "l_shipdate", first, last)
+        typed = items.join(
+            self.table("part"), F.expr("l_partkey = p_partkey"), "left"
+        ).selectExpr(
+            "concat_ws('-', l_orderkey, l_linenumber) AS nk_equipment",
             "l_orderkey",
-            "l_partkey",
-            (F.col("l_linenumber") == 7).alias("model_left_out"),
-            F.to_date("l_shipdate").alias("date_iso"),
-        )
-        parts = self.table("part").select("p_partkey", "p_type", "p_brand")
-        typed = items.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").select(
-            "nk_equipment",
-            "l_orderkey",
-            "date_iso",
-            F.nullif("p_type", F.lit("PROMO")).alias("type"),
-            F.when(~F.col("model_left_out"), F.col("p_brand")).alias("model"),
+            "cast(l_shipdate AS date) AS date_iso",
+            "nullif(p_type, 'PROMO') AS type",
+            "if(l_linenumber = 7, NULL, p_brand) AS model",
         )
         if not (staffed or sited):
             return typed.drop("l_orderkey")
-        buyers = self.table("orders").select(
-            F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("nk_staff")
+        buyers = self.table("orders").selectExpr(
+            "o_orderkey AS l_orderkey", "o_custkey AS nk_staff"
         )
         bought = typed.join(buyers, "l_orderkey", "left").drop("l_orderkey")
         return with_staff(bought, self.staff(sited))
 
     def catalogue(self) -> DataFrame:
         """Impact per (type, model), plus a default model per type."""
-        cents = F.round(F.col("p_retailprice") * 100).cast("long")
-        parts = self.table("part").where(F.col("p_type") != "PROMO")
-
-        def mean_share(frame: DataFrame, share: int) -> DataFrame:
-            summed = frame.groupBy("type", "model").agg(
-                F.sum(cents).alias("total"), F.count("*").alias("parts")
-            )
-            impact = _whole_cents(F.col("total"), F.col("parts"), share)
-            return summed.select("type", "model", impact.alias("co2_impact_kg_ref"))
-
-        named = parts.where(~F.col("p_brand").isin("Brand#3", "Brand#7"))
-        general = parts.where(F.col("p_type") != "SMALL")
-        return mean_share(
-            named.withColumnsRenamed({"p_type": "type", "p_brand": "model"}), 4
-        ).unionByName(
-            mean_share(
-                general.withColumnRenamed("p_type", "type").withColumn(
-                    "model", F.lit(DEFAULT_MODEL)
-                ),
-                5,
-            )
+        parts = self.table("part").where("p_type <> 'PROMO'")
+        named = parts.where("p_brand NOT IN ('Brand#3', 'Brand#7')").selectExpr(
+            "p_type AS type", "p_brand AS model", "p_retailprice"
+        )
+        general = parts.where("p_type <> 'SMALL'").selectExpr(
+            "p_type AS type", f"'{DEFAULT_MODEL}' AS model", "p_retailprice"
         )
+        return _mean_share(named, 4).unionByName(_mean_share(general, 5))
+
+
+def _mean_share(parts: DataFrame, share: int) -> DataFrame:
+    """Mean price / ``share`` per (type, model), rounded to cents.
+
+    In whole numbers, so neither the order of summation nor the engine matters.
+    """
+    summed = parts.groupBy("type", "model").agg(
+        F.expr("sum(cast(round(p_retailprice * 100) AS bigint)) AS cents"),
+        F.count("*").alias("parts"),
+    )
+    half_up = f"(2 * cents + {share} * parts) DIV ({2 * share} * parts)"
+    return summed.selectExpr("type", "model", f"{half_up} / 100D AS co2_impact_kg_ref")
 
 
 def _between(

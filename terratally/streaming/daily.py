@@ -39,14 +39,13 @@ def daily_totals(events: DataFrame, staff: DataFrame) -> DataFrame:
 
 
 def stream_daily_totals(
-    spark: SparkSession, folder: str, file_pattern: str, staff: DataFrame
+    spark: SparkSession, folder: str, file_pattern: str, layout: str, staff: DataFrame
 ) -> DataFrame:
     """Run the events now available through ``daily_totals`` and return the table.
 
     The state holds one row per day and sector. Every batch replaces the table with the
     complete result, so a repeated batch does no harm.
     """
-    layout = spark.read.option("pathGlobFilter", file_pattern).parquet(folder).schema
     events = (
         spark.readStream.schema(layout)
         .option("pathGlobFilter", file_pattern)

@@ -19,9 +19,9 @@ def distances(spark, pairs):
     )
     prepared = frame.select(
         "i",
-        geodesy.reduced_latitude(F.col("lat1")).alias("p1"),
+        geodesy.reduced_latitude("lat1").alias("p1"),
         F.radians("lon1").alias("l1"),
-        geodesy.reduced_latitude(F.col("lat2")).alias("p2"),
+        geodesy.reduced_latitude("lat2").alias("p2"),
         F.radians("lon2").alias("l2"),
     )
     measured = geodesy.with_distance(prepared, ("p1", "l1"), ("p2", "l2"))

@@ -120,7 +120,7 @@ def test_cities_keep_known_keys_and_number_new_ones(spark):
         [("Paris", "France"), ("Berlin", "Allemagne"), ("Paris", "France"), (None, None)],
         "city_name string, country string",
     )
-    initial = dimensions.site_cities(personnel, places)
+    initial = dimensions.site_cities(dimensions.one_row_per_city(personnel), places)
     missions = spark.createDataFrame(
         [
             ("Paris", "Frankreich", "Lima", "Peru"),
@@ -130,7 +130,8 @@ def test_cities_keep_known_keys_and_number_new_ones(spark):
         "origin_city string, origin_country string, "
         "destination_city string, destination_country string",
     )
-    found = dimensions.augmented_cities(initial, missions, places).orderBy("sk_city").collect()
+    new = dimensions.new_cities(initial, missions)
+    found = dimensions.augmented_cities(initial, new, places).orderBy("sk_city").collect()
     assert [(r.sk_city, r.city_name, r.country_iso2, r.is_org_site) for r in found] == [
         (1, "Berlin", "DE", True),
         (2, "Paris", "FR", True),

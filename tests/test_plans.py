@@ -54,15 +54,16 @@ def test_hot_employee_is_split(spark):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        rows = spark.range(0, 60000, 1, 8).select(
-            F.col("id").alias("nk_mission"),
+        rows = spark.range(0, 240000, 1, 8).select(
+            F.xxhash64("id").alias("nk_mission"),
             F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 4000).alias("nk_staff"),
         )
         staff = spark.range(4000).select(
             F.col("id").alias("nk_staff"), (F.col("id") % 6).alias("sk_site")
         )
-        totals = with_staff(rows, staff).groupBy("sk_site").agg(F.count("*").alias("n"))
-        assert sum(r.n for r in totals.collect()) == 60000
+        per_site = with_staff(rows, staff).groupBy("sk_site")
+        totals = per_site.agg(F.count("nk_mission").alias("n"), F.max("nk_mission"))
+        assert sum(r.n for r in totals.collect()) == 240000
         assert "skew=true" in plan(totals)
     finally:
         for key in settings:

@@ -38,7 +38,8 @@ def test_purchases_are_ingested(spark, tmp_path):
 
 def test_stream_equals_batch(spark):
     testbed = Testbed(spark, TESTDATA)
-    streamed = stream_daily_totals(spark, TESTDATA, "events.parquet", testbed.staff())
+    layout = testbed.layout("events")
+    streamed = stream_daily_totals(spark, TESTDATA, "events.parquet", layout, testbed.staff())
     batch = daily_totals(testbed.table("events"), testbed.staff())
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
 
@@ -53,5 +54,7 @@ def test_hot_user_in_the_stream(spark, tmp_path):
     )
     events.write.parquet(str(tmp_path / "events"))
     staff = spark.range(50).select(F.col("id").alias("nk_staff"), F.lit("s").alias("activity_sector"))
-    found = stream_daily_totals(spark, str(tmp_path / "events"), "*.parquet", staff).collect()
+    layout = Testbed(spark, TESTDATA).layout("events")
+    folder = str(tmp_path / "events")
+    found = stream_daily_totals(spark, folder, "*.parquet", layout, staff).collect()
     assert [tuple(r) for r in found] == [(date(2026, 5, 1), "s", 2000, 2000.0)]
