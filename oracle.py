@@ -79,7 +79,6 @@ trip AS (
 _MISSION = """
 tb_mission AS (
   SELECT o_orderkey AS nk_mission, o_custkey AS nk_staff, CAST(o_orderdate AS DATE) AS date_iso,
-    o_orderstatus AS status,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'Conférence' WHEN '2-HIGH' THEN 'Formation'
       WHEN '3-MEDIUM' THEN 'Réunion' WHEN '5-LOW' THEN 'Séminaire' END AS mission_type,
     s.sk_site AS sk_origin, (o_orderkey * 7 + o_custkey) % 25 AS sk_destination,
@@ -367,9 +366,15 @@ _OPERATORS = {
             _described("fact_equipment", "tb_purchase", "nk_equipment"),
         ]
     ),
-    "incremental_missing_dates": """
-SELECT CAST(o_orderdate AS DATE) AS date_iso, count(*) AS missions FROM orders
-GROUP BY ALL HAVING count(*) FILTER (o_orderstatus = 'F') = 0""",
+    "incremental_missing_dates": f"""
+SELECT date_iso, count(*) AS missions
+FROM (SELECT CAST(o_orderdate AS DATE) AS date_iso FROM orders)
+WHERE date_iso NOT IN (
+  SELECT CAST(o_orderdate AS DATE) AS date_iso FROM orders WHERE {_PERIOD})
+GROUP BY ALL""",
+    "warehouse_month": f"""{_MISSIONS}
+SELECT date_iso, count(*) AS missions, {_round('sum(co2_kg)', 3)} AS co2_kg
+FROM mission WHERE {_months(9, 9)} GROUP BY ALL""",
     "dim_date": """
 SELECT row_number() OVER (ORDER BY d) AS sk_date, CAST(d AS DATE) AS date_iso
 FROM (SELECT unnest(generate_series(

@@ -2,6 +2,7 @@
 
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from terratally.operators.emissions import (
     mission_ledger_by_trip,
     with_purchase_emission,
 )
+from terratally.operators.quality import described
 from terratally.schemas import PERSONNEL_FILE
 from terratally.sources.delimited import (
     Drop,
@@ -55,6 +57,12 @@ class Star:
         names = [n for n in self.__dataclass_fields__ if n.startswith(("dim_", "fact_"))]
         return {name: getattr(self, name) for name in names}
 
+    def counts(self) -> DataFrame:
+        """Name, row count and columns of every table."""
+        return reduce(
+            DataFrame.unionByName, [described(n, t) for n, t in self.tables().items()]
+        )
+
     def register(self) -> None:
         """Make every table a temporary view of its name."""
         for name, table in self.tables().items():

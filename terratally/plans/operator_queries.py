@@ -1,5 +1,6 @@
 """One query per operator over the test tables, beside the business questions."""
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -7,11 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terratally.functions import keys, vocabulary
-from terratally.functions.measures import calendar_key, rounded
+from terratally.functions.measures import rounded
 from terratally.operators import dimensions, emissions, facts, quality
 from terratally.schemas import DIM_STAFF, DIM_TRANSPORT_TYPE, FACT_EQUIPMENT, FACT_MISSION
 from terratally.sources.testbed import CALENDAR_FIRST, CALENDAR_LAST, Testbed
-from terratally.sources.warehouse import missing_days, stored
+from terratally.sources.warehouse import (
+    missing_days,
+    read_days,
+    shared_folder,
+    stored,
+    write_days,
+)
 from terratally.streaming.daily import stream_daily_totals as run_stream
 
 _CALENDAR = (CALENDAR_FIRST, CALENDAR_LAST)
@@ -118,13 +125,20 @@ def table_counts(t: Testbed) -> DataFrame:
 
 
 def incremental_missing_dates(t: Testbed) -> DataFrame:
-    """Days with missions of which none has been closed yet, and how many wait."""
-    status = t.table("orders").select(
-        F.to_date("o_orderdate").alias("date_iso"), "o_orderstatus"
-    )
-    missing = missing_days(status, status.where(F.col("o_orderstatus") == "F"), "date_iso")
-    return status.groupBy("date_iso").agg(F.count("*").alias("missions")).join(
-        missing, "date_iso", "left_semi"
+    """Days still to be loaded, and their missions, once the period has been."""
+    missing = missing_days(t.raw_missions(), t.raw_missions(*t.labels.period), "date_iso")
+    per_day = t.raw_missions().groupBy("date_iso").agg(F.count("*").alias("missions"))
+    return per_day.join(missing, "date_iso", "left_semi")
+
+
+def warehouse_month(t: Testbed) -> DataFrame:
+    """The period's missions saved by day; September read back and added up per day."""
+    path = f"{shared_folder(t.spark)}/fact-mission-{uuid.uuid4().hex}"
+    ledger = emissions.mission_ledger(t.missions(*t.labels.period), t.cities())
+    write_days(ledger.select("nk_mission", "date_iso", "co2_kg"), path, "date_iso")
+    september = read_days(t.spark, path, *t.labels.months(9, 9))
+    return september.groupBy("date_iso").agg(
+        F.count("*").alias("missions"), rounded(F.sum("co2_kg"), 3).alias("co2_kg")
     )
 
 
@@ -236,13 +250,20 @@ def join_inner_site(t: Testbed) -> DataFrame:
 
 def join_left_dims(t: Testbed) -> DataFrame:
     """How many missions per raw transport find their day, employee, ends and mode."""
-    ledger = _ledger(t).withColumn("sk_date", calendar_key(F.col("date_iso"), *_CALENDAR))
-    return ledger.groupBy("transport_raw").agg(
+    days = dimensions.calendar(t.spark, *_CALENDAR)
+    modes = F.broadcast(dimensions.transport_types(t.spark))
+    joined = (
+        _ledger(t)
+        .drop("sk_transport_type")
+        .join(days, "date_iso", "left")
+        .join(modes, "transport_name", "left")
+    )
+    return joined.groupBy("transport_raw").agg(
         F.count("*").alias("missions"),
         F.count("sk_date").alias("with_date"),
         F.count("staff_known").alias("with_staff"),
         F.count("sk_origin").alias("with_origin"),
-        F.count_if("has_factor").alias("with_mode"),
+        F.count("sk_transport_type").alias("with_mode"),
     )
 
 
@@ -407,6 +428,7 @@ OPERATORS: dict[str, Callable[[Testbed], DataFrame]] = {
         scan_date_window,
         table_counts,
         incremental_missing_dates,
+        warehouse_month,
         dim_date,
         dim_transport_type,
         dim_equipment,

@@ -1,6 +1,5 @@
 """Delimited source files: where they lie and how they are read."""
 
-from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -14,17 +13,18 @@ from terratally.schemas import MISSION_FILE, PURCHASE_FILE
 
 @dataclass(frozen=True)
 class Drop:
-    """Root folder of the source files; every method returns a path or a glob.
+    """Root folder of the source files.
 
-    A glob spans all sites and days at once, so Spark lists the files itself and
-    a day or site without a file is skipped.
+    Daily files are named by a glob that spans all sites and days at once, so Spark lists
+    the files itself and a day or site without one is skipped. Staff files and the impact
+    catalogue must all be there.
     """
 
     root: str
     sites: tuple[str, ...] = SITES
 
-    def personnel(self) -> str:
-        return f"{self._site_folder()}/PERSONNEL_{self._any(self.sites)}.txt"
+    def personnel(self) -> list[str]:
+        return [f"{self.root}/BDD_BGES_{site}/PERSONNEL_{site}.txt" for site in self.sites]
 
     def missions(self, days: str) -> str:
         return f"{self._kind_folder('MISSION')}/MISSION_{days}.txt"
@@ -38,15 +38,9 @@ class Drop:
     def city_cache(self) -> str:
         return f"{self.root}/city_coordinates.json"
 
-    def _site_folder(self) -> str:
-        return f"{self.root}/BDD_BGES_{self._any(self.sites)}"
-
     def _kind_folder(self, kind: str) -> str:
-        return f"{self._site_folder()}/BDD_BGES_{self._any(self.sites)}_{kind}"
-
-    @staticmethod
-    def _any(choices: Iterable[str]) -> str:
-        return "{" + ",".join(choices) + "}"
+        any_site = "{" + ",".join(self.sites) + "}"
+        return f"{self.root}/BDD_BGES_{any_site}/BDD_BGES_{any_site}_{kind}"
 
 
 def days_glob(first: date, last: date) -> str:

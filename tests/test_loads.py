@@ -88,6 +88,14 @@ def test_one_fact_row_per_source_row(star):
     assert star.dim_trip.count() == len({(m[5], m[7]) for m in IN_PERIOD})
 
 
+def test_counts(star):
+    counted = {r.table_name: r for r in star.counts().collect()}
+    assert set(counted) == set(star.tables())
+    assert counted["fact_mission"].row_count == len(IN_PERIOD)
+    assert counted["dim_date"].row_count == 730
+    assert counted["dim_date"].column_list == "sk_date, date_iso"
+
+
 def test_mission_emissions(star):
     found = {r.nk_mission: r for r in star.fact_mission.collect()}
     for mission in IN_PERIOD:

@@ -2,9 +2,10 @@ from datetime import date, timedelta
 from fnmatch import fnmatchcase
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from terratally.schemas import MISSION_FILE
+from terratally.schemas import MISSION_FILE, PERSONNEL_FILE
 from terratally.sources.delimited import (
     Drop,
     days_glob,
@@ -32,6 +33,12 @@ def test_period_without_files(spark, drop):
     assert nothing.count() == 0
 
 
+def test_missing_staff_file_is_an_error(spark, drop):
+    elsewhere = Drop(drop.root, ("PARIS", "ROME"))
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_delimited(spark, elsewhere.personnel(), schema=PERSONNEL_FILE)
+
+
 def test_all_purchases_are_read(spark, drop):
     found = read_purchase_days(spark, drop, date(2026, 1, 1), date(2026, 12, 31))
     assert found.count() == len(PURCHASES)
