@@ -372,9 +372,9 @@ FROM (SELECT CAST(o_orderdate AS DATE) AS date_iso FROM orders)
 WHERE date_iso NOT IN (
   SELECT CAST(o_orderdate AS DATE) AS date_iso FROM orders WHERE {_PERIOD})
 GROUP BY ALL""",
-    "warehouse_month": f"""{_MISSIONS}
+    "warehouse_days": f"""{_MISSIONS}
 SELECT date_iso, count(*) AS missions, {_round('sum(co2_kg)', 3)} AS co2_kg
-FROM mission WHERE {_months(9, 9)} GROUP BY ALL""",
+FROM mission WHERE {_months(9, 9)} AND day(date_iso) >= 16 GROUP BY ALL""",
     "dim_date": """
 SELECT row_number() OVER (ORDER BY d) AS sk_date, CAST(d AS DATE) AS date_iso
 FROM (SELECT unnest(generate_series(

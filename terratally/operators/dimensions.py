@@ -168,29 +168,28 @@ def with_ends(
     """
     for end, key in (("origin", origin), ("destination", destination)):
         side = cities.select(
-            F.col(on).alias(f"_{end}"),
+            F.col(on).alias(key),
             *[F.col(c).alias(f"{end}_{c}") for c in carry],
             geodesy.reduced_latitude("lat").alias(f"{end}_phi"),
             F.radians("lon").alias(f"{end}_lam"),
         )
-        rows = rows.join(side, F.col(key) == F.col(f"_{end}"), "left").drop(f"_{end}")
+        rows = rows.join(side, key, "left")
     return rows
 
 
-def is_located() -> Column:
-    """Both ends have coordinates, so the trip has a distance."""
-    columns = ("origin_phi", "origin_lam", "destination_phi", "destination_lam")
-    return F.expr(" AND ".join(f"{name} IS NOT NULL" for name in columns))
+_COORDINATES = ("origin_phi", "origin_lam", "destination_phi", "destination_lam")
 
 
 def with_trip_distance(rows: DataFrame) -> DataFrame:
-    """Add ``located`` and ``distance_km`` and drop the coordinates of ``with_ends``."""
-    measured = geodesy.with_distance(
-        rows.withColumn("located", is_located()),
-        ("origin_phi", "origin_lam"),
-        ("destination_phi", "destination_lam"),
+    """Replace the coordinates of ``with_ends`` by ``located`` and ``distance_km``.
+
+    ``located`` says that both ends have coordinates, so the trip has a distance.
+    """
+    located = " AND ".join(f"{c} IS NOT NULL" for c in _COORDINATES)
+    keep = [c for c in rows.columns if c not in _COORDINATES]
+    return geodesy.with_distance(
+        rows, _COORDINATES[:2], _COORDINATES[2:], [*keep, f"{located} AS located"]
     )
-    return measured.drop("origin_phi", "origin_lam", "destination_phi", "destination_lam")
 
 
 def trips(

@@ -50,23 +50,18 @@ def with_mission_emission(measured: DataFrame) -> DataFrame:
     mission). To select missions by whether they could be priced, filter on ``located``
     and ``has_factor``: unlike co2_kg they cost nothing to push down.
     """
-    modes = measured.select(
+    factors = vocabulary.EMISSION_FACTORS.values()
+    mode = F.col("transport_name")
+    ways = F.when(F.col("round_trip"), 2).otherwise(1)
+    return measured.select(
         "*",
         transport_mode(F.col("transport_raw"), F.col("distance_km")).alias("transport_name"),
         _has_factor(F.col("transport_raw"), F.col("located")).alias("has_factor"),
-    )
-    factors = list(vocabulary.EMISSION_FACTORS.values())
-    mode = F.col("transport_name")
-    numbered = modes.select(
-        "*",
-        _by_mode([f"{key}L" for key in range(1, len(factors) + 1)], mode).alias(
+        _by_mode([f"{key}L" for key, _ in enumerate(factors, 1)], mode).alias(
             "sk_transport_type"
         ),
         _by_mode([f"{factor}D" for factor in factors], mode).alias("co2_factor"),
-    )
-    ways = F.when(F.col("round_trip"), 2).otherwise(1)
-    return numbered.withColumn(
-        "co2_kg", F.col("distance_km") * F.col("co2_factor") * ways
+        (F.col("distance_km") * F.col("co2_factor") * ways).alias("co2_kg"),
     )
 
 

@@ -5,9 +5,9 @@ for cities and parts for equipment. Joins to a parent table are left joins on it
 key, so a view leaves out the parents a caller does not ask for.
 """
 
-from datetime import date, datetime, time, timedelta
+from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terratally.functions import vocabulary
@@ -100,32 +100,28 @@ class Testbed:
                 self.table("region"), F.expr("n_regionkey = r_regionkey"), "left"
             )
             country = f"coalesce({country}, r_name)"
-        return nation.selectExpr(
-            "cast(n_nationkey AS bigint) AS sk_city",
-            "n_name AS city_name",
-            f"{country} AS country_raw",
-            "n_nationkey < 6 AS is_org_site",
-            "if(n_nationkey < 24, cast(35 + 4 * (n_nationkey % 5) AS double), NULL) AS lat",
-            "if(n_nationkey < 24, cast(-10 + 8 * (n_nationkey DIV 5) AS double), NULL) AS lon",
-        ).withColumn("country_iso2", vocabulary.country_iso2(F.col("country_raw")))
+        return nation.select(
+            F.expr("cast(n_nationkey AS bigint) AS sk_city"),
+            F.expr("n_name AS city_name"),
+            F.expr(f"{country} AS country_raw"),
+            vocabulary.country_iso2(F.col("country_raw")).alias("country_iso2"),
+            F.expr("n_nationkey < 6 AS is_org_site"),
+            F.expr("if(n_nationkey < 24, 35D + 4 * (n_nationkey % 5), NULL) AS lat"),
+            F.expr("if(n_nationkey < 24, -10D + 8 * (n_nationkey DIV 5), NULL) AS lon"),
+        )
 
     # --- staff --------------------------------------------------------------------
 
     def staff(self, sited: bool = False) -> DataFrame:
         """Employees; ``sited`` adds the name and country of their office."""
-        employees = (
-            self.table("customer")
-            .selectExpr(
-                "c_custkey AS nk_staff",
-                "xxhash64(cast(c_custkey AS string)) AS sk_staff",
-                "c_mktsegment",
-                "cast(c_nationkey % 6 AS bigint) AS sk_site",
-                "date_add(DATE'1960-01-01', cast(c_custkey * 37 % 14600 AS int)) AS birth_date",
-            )
-            .withColumn("title_raw", vocabulary.translate(F.col("c_mktsegment"), _TITLE_OF_SEGMENT))
-            .withColumn("job_title", vocabulary.job_title(F.col("title_raw")))
-            .withColumn("activity_sector", vocabulary.activity_sector(F.col("job_title")))
-            .drop("c_mktsegment")
+        employees = self.table("customer").select(
+            F.expr("c_custkey AS nk_staff"),
+            F.expr("xxhash64(cast(c_custkey AS string)) AS sk_staff"),
+            F.expr("cast(c_nationkey % 6 AS bigint) AS sk_site"),
+            F.expr("date_add(DATE'1960-01-01', cast(c_custkey * 37 % 14600 AS int)) AS birth_date"),
+            vocabulary.translate(F.col("c_mktsegment"), _TITLE_OF_SEGMENT).alias("title_raw"),
+            vocabulary.job_title(F.col("title_raw")).alias("job_title"),
+            vocabulary.activity_sector(F.col("job_title")).alias("activity_sector"),
         )
         return with_site(employees, self.cities()) if sited else employees
 
@@ -153,27 +149,22 @@ class Testbed:
         self, first: date | None = None, last: date | None = None
     ) -> DataFrame:
         """Missions as recorded, without the employee and hence without the origin."""
-        return (
-            _between(self.table("orders"), "o_orderdate", first, last)
-            .selectExpr(
-                "o_orderkey AS nk_mission",
-                "o_custkey AS nk_staff",
-                "cast(o_orderdate AS date) AS date_iso",
-                "o_orderpriority",
-                "(o_orderkey * 7 + o_custkey) % 25 AS sk_destination",
+        return _between(self.table("orders"), "o_orderdate", first, last).select(
+            F.expr("o_orderkey AS nk_mission"),
+            F.expr("o_custkey AS nk_staff"),
+            F.expr("cast(o_orderdate AS date) AS date_iso"),
+            F.expr("(o_orderkey * 7 + o_custkey) % 25 AS sk_destination"),
+            F.expr(
                 f"coalesce(get({_RARE_TRANSPORTS}, cast(o_orderkey % 20 AS int)), "
-                f"'{vocabulary.FLIGHT}') AS transport_raw",
+                f"'{vocabulary.FLIGHT}') AS transport_raw"
+            ),
+            F.expr(
                 "CASE o_orderkey % 10 WHEN 9 THEN NULL WHEN 8 THEN 'non' ELSE 'oui' END "
-                "AS round_trip_raw",
-            )
-            .withColumns(
-                {
-                    "type_raw": vocabulary.translate(F.col("o_orderpriority"), _TYPE_OF_PRIORITY),
-                    "round_trip": vocabulary.is_round_trip(F.col("round_trip_raw")),
-                }
-            )
-            .withColumn("mission_type", vocabulary.mission_type(F.col("type_raw")))
-            .drop("o_orderpriority")
+                "AS round_trip_raw"
+            ),
+            vocabulary.translate(F.col("o_orderpriority"), _TYPE_OF_PRIORITY).alias("type_raw"),
+            vocabulary.mission_type(F.col("type_raw")).alias("mission_type"),
+            vocabulary.is_round_trip(F.col("round_trip_raw")).alias("round_trip"),
         )
 
     def missions(
@@ -255,12 +246,9 @@ def _between(
     table: DataFrame, column: str, first: date | None, last: date | None
 ) -> DataFrame:
     """Restrict a timestamp column to whole days in a form the Parquet scan understands."""
+    bounds = []
     if first is not None:
-        table = table.where(F.col(column) >= _midnight(first))
+        bounds.append(f"{column} >= TIMESTAMP_NTZ'{first}'")
     if last is not None:
-        table = table.where(F.col(column) < _midnight(last + timedelta(days=1)))
-    return table
-
-
-def _midnight(day: date) -> Column:
-    return F.lit(datetime.combine(day, time())).cast("timestamp_ntz")
+        bounds.append(f"{column} < TIMESTAMP_NTZ'{last + timedelta(days=1)}'")
+    return table.where(" AND ".join(bounds)) if bounds else table

@@ -24,7 +24,7 @@ def distances(spark, pairs):
         geodesy.reduced_latitude("lat2").alias("p2"),
         F.radians("lon2").alias("l2"),
     )
-    measured = geodesy.with_distance(prepared, ("p1", "l1"), ("p2", "l2"))
+    measured = geodesy.with_distance(prepared, ("p1", "l1"), ("p2", "l2"), ["i"])
     return [r.distance_km for r in measured.orderBy("i").collect()]
 
 
