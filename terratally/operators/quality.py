@@ -50,6 +50,19 @@ def without_co2(totals: DataFrame, rows: str, key: str, known: Column) -> DataFr
     )
 
 
+def fact_total(fact: DataFrame, rows: str) -> DataFrame:
+    """Row count and CO2 in tonnes of a published fact."""
+    return total_tonnes(
+        fact.select(F.lit(1).alias(rows), F.col("co2_impact_kg").alias("co2_kg")), rows
+    )
+
+
+def fact_without_co2(fact: DataFrame, rows: str, key: str) -> DataFrame:
+    """Rows of a published fact per ``key`` whose CO2 is not known."""
+    counted = fact.select(key, "co2_impact_kg", F.lit(1).alias(rows))
+    return without_co2(counted, rows, key, F.col("co2_impact_kg").isNotNull())
+
+
 def repeated_keys(table: str, frame: DataFrame, *key: str) -> DataFrame:
     """One row: how many keys there are and how many of them occur more than once."""
     per_key = frame.groupBy(*key).agg(F.count("*").alias("n"))

@@ -106,13 +106,26 @@ def load_period(
     reference: ReferenceTables,
     known_cities: DataFrame | None = None,
 ) -> Star:
-    """Build cities, trips and both facts from the daily files of [first, last].
+    """Build the star from the daily files of [first, last]; see ``star_of``."""
+    return star_of(
+        facts.cleaned_missions(read_mission_days(spark, drop, first, last)),
+        facts.cleaned_purchases(read_purchase_days(spark, drop, first, last)),
+        reference,
+        known_cities,
+    )
+
+
+def star_of(
+    missions: DataFrame,
+    purchases: DataFrame,
+    reference: ReferenceTables,
+    known_cities: DataFrame | None = None,
+) -> Star:
+    """Build cities, trips and both facts from cleaned rows, read or ingested.
 
     ``known_cities`` is the city table of earlier loads, whose keys are kept; without it
     only the office cities are known beforehand.
     """
-    missions = facts.cleaned_missions(read_mission_days(spark, drop, first, last))
-    purchases = facts.cleaned_purchases(read_purchase_days(spark, drop, first, last))
     known = reference.cities if known_cities is None else known_cities
     new_names = stored(dimensions.new_cities(known, missions), "new-cities")
     cities = stored(

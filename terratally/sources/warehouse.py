@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 from datetime import date
+from functools import cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,11 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return _own_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _own_folder(_application: str) -> str:
     return tempfile.mkdtemp(prefix="terratally-")
 
 

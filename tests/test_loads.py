@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from terratally import schemas
 from terratally.functions import vocabulary
+from terratally.operators import quality
 from terratally.operators.dimensions import CALENDAR_FIRST, CALENDAR_LAST
-from terratally.plans.loads import load_period, load_reference
+from terratally.plans.loads import load_period, load_reference, star_of
 from terratally.plans.questions import QUESTIONS
 from terratally.plans.warehouse import StarSource, open_star, save_star
 from terratally.sources.places import CITIES
+from terratally.streaming.ingest import ingest_missions, ingest_purchases
 from tests.drop import MISSIONS, PURCHASES, STAFF, write_missions
 from tests.test_geodesy import vincenty
 
@@ -126,6 +128,24 @@ def test_purchase_emissions(star):
     }
 
 
+def test_checks(star):
+    missing = [m for m in IN_PERIOD if expected_co2(m) is None]
+    total = quality.fact_total(star.fact_mission, "missions").first()
+    assert total.missions == len(IN_PERIOD)
+    assert total.tco2e == pytest.approx(
+        sum(expected_co2(m) or 0 for m in IN_PERIOD) / 1000, abs=0.006
+    )
+    by_type = quality.fact_without_co2(star.fact_mission, "missions", "mission_type")
+    assert sum(r.missions for r in by_type.collect()) == len(missing)
+    assert tuple(quality.city_counts(star.dim_city).first()) == (9, 6)
+    assert quality.cities_without_country(star.dim_city).first().city_name == "Atlantis"
+    assert tuple(quality.trips_without_distance(star.dim_trip).first()) == (11, 1)
+    longest = quality.longest_trips(star.dim_trip, 1).first()
+    assert longest.distance_km == pytest.approx(8416.064, abs=0.01)
+    repeated = quality.repeated_keys("dim_staff", star.dim_staff, "nk_staff").first()
+    assert (repeated["keys"], repeated.repeated) == (8, 0)
+
+
 def test_views(spark, star):
     star.register()
     counted = spark.sql("SELECT count(*) AS n FROM FACT_MISSION WHERE CO2_IMPACT_KG IS NULL")
@@ -213,6 +233,16 @@ def test_saved_star_gives_the_same_answers(spark, drop, star, reference, source,
     assert grown.dim_city.count() == star.dim_city.count()
 
 
+def test_ingested_files_give_the_same_star(spark, drop, reference, source, tmp_path):
+    tables = {kind: str(tmp_path / kind) for kind in ("missions", "purchases")}
+    ingest_missions(spark, drop, tables["missions"], str(tmp_path / "c1"))
+    ingest_purchases(spark, drop, tables["purchases"], str(tmp_path / "c2"))
+    missions, purchases = (spark.read.parquet(t).drop("year", "month") for t in tables.values())
+    ingested = StarSource(star_of(missions, purchases, reference))
+    for name in ("q10_sector_total", "q12_intersite", "q20_monthly_total"):
+        assert answer(ingested, name) == answer(source, name), name
+
+
 def test_other_year_stays_out(spark, tmp_path, drop, reference):
     from terratally.sources.delimited import Drop
 
