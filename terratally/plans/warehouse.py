@@ -13,6 +13,7 @@ from terratally.sources.warehouse import (
     append_new,
     only_new_days,
     read_days,
+    within_days,
     write_days,
     write_table,
 )
@@ -35,7 +36,7 @@ def save_star(star: Star, root: str, only_new: bool = False) -> None:
         if name not in _DAY_KEYS:
             write_table(table, path)
             continue
-        dated = with_day(table, _DAY_KEYS[name], star.first)
+        dated = with_day(table.drop("year", "month", "day"), _DAY_KEYS[name], star.first)
         if only_new:
             dated = only_new_days(dated, path, "date_iso")
         write_days(dated, path, "date_iso")
@@ -49,12 +50,16 @@ def open_star(
     since: date | None = None,
     until: date | None = None,
 ) -> Star:
-    """Read a saved star; ``since`` and ``until`` prune the facts' partitions."""
+    """Read a saved star; ``since`` and ``until`` prune the facts' partitions.
+
+    The facts keep the partition columns year, month and day, by which the questions
+    prune further.
+    """
     tables = {}
     for name in Star.__dataclass_fields__:
         if name in _DAY_KEYS:
             fact = read_days(spark, f"{root}/{name}", since, until)
-            tables[name] = fact.drop("year", "month", "day", "date_iso")
+            tables[name] = fact.drop("date_iso")
         elif name not in ("first", "last"):
             tables[name] = spark.read.parquet(f"{root}/{name}")
     return Star(first=first, last=last, **tables)
@@ -127,6 +132,8 @@ class StarSource:
         self, fact: DataFrame, key: str, first: date | None, last: date | None
     ) -> DataFrame:
         rows = fact.where(F.col(key).isNotNull())
+        if "year" in fact.columns:
+            rows = within_days(rows, first, last)
         if first is not None:
             rows = rows.where(F.col(key) >= self._day_number(first))
         if last is not None:

@@ -72,7 +72,11 @@ def read_days(
     spark: SparkSession, path: str, first: date | None = None, last: date | None = None
 ) -> DataFrame:
     """Read a fact back; the bounds prune whole partitions."""
-    table = spark.read.parquet(path)
+    return within_days(spark.read.parquet(path), first, last)
+
+
+def within_days(table: DataFrame, first: date | None, last: date | None) -> DataFrame:
+    """Keep the day partitions of [first, last]."""
     ordinal = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
     if first is not None:
         table = table.where((F.col("year") >= first.year) & (ordinal >= _ordinal(first)))

@@ -219,6 +219,9 @@ def test_saved_star_gives_the_same_answers(spark, drop, star, reference, source,
     for name in ("q09_top_days", "q10_sector_total", "q16_top_destinations", "q18_top_missions",
                  "q19_monthly_transport_site", "q20_monthly_total"):
         assert answer(reopened, name) == answer(source, name), name
+    july = QUESTIONS["q13_seminars_site"](reopened)._jdf.queryExecution().toString()
+    scans = [line for line in july.splitlines() if "FileScan" in line and "fact_mission" in line]
+    assert scans and all("20260701" in line for line in scans)
     pruned = open_star(spark, root, CALENDAR_FIRST, CALENDAR_LAST, date(2026, 9, 1), LAST)
     assert sorted(r.nk_mission for r in pruned.fact_mission.collect()) == [
         "M07", "M08", "M09", "M12",

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from terratally.operators.emissions import mission_ledger
 from terratally.operators.facts import with_staff
 from terratally.plans.questions import QUESTIONS
 from terratally.sources.testbed import Testbed
@@ -37,6 +38,13 @@ def test_rows_are_counted_before_they_are_priced(spark):
     assert text.index("SIN(") < text.index("partial_count")
 
 
+def test_filter_on_co2_does_not_repeat_the_formula(spark):
+    testbed = Testbed(spark, TESTDATA)
+    ledger = mission_ledger(testbed.missions(), testbed.cities())
+    text = plan(ledger.where("co2_kg > 100 AND transport_name LIKE 'Avion%'"))
+    assert text.count("ASIN(") == 1
+
+
 def test_top_k_is_not_a_full_sort(spark):
     for name in ("q09_top_days", "q16_top_destinations", "q18_top_missions"):
         assert "TakeOrderedAndProject" in plan(QUESTIONS[name](Testbed(spark, TESTDATA)))
