@@ -16,21 +16,22 @@ def daily_totals(events: DataFrame, staff: DataFrame) -> DataFrame:
     bought = events.where(F.col("event_type") == "purchase").select(
         "event_id",
         F.col("user_id").alias("nk_staff"),
-        # Watermarks need a timestamp with a zone; the session zone is used.
-        F.col("ts").cast("timestamp").alias("ts"),
+        # The day as recorded, in whatever zone the session keeps; fixed 24-hour windows
+        # would cut days in UTC. It is the event time, so old days can leave the state.
+        F.date_trunc("day", F.col("ts").cast("timestamp")).alias("day"),
         "value",
     )
     known = salted_lookup(
-        bought.withWatermark("ts", _LATENESS),
+        bought.withWatermark("day", _LATENESS),
         staff.select("nk_staff", "activity_sector"),
         "nk_staff",
         "event_id",
     )
     return (
-        known.groupBy(F.window("ts", "1 day"), "activity_sector")
+        known.groupBy("day", "activity_sector")
         .agg(F.count("*").alias("purchases"), F.sum("value").alias("value"))
         .select(
-            F.to_date("window.start").alias("day"),
+            F.to_date("day").alias("day"),
             "activity_sector",
             "purchases",
             F.round(F.round("value", 6), 2).alias("value"),
