@@ -131,7 +131,8 @@ _PURCHASE = """
 tb_purchase AS (
   SELECT CAST(l_shipdate AS DATE) AS date_iso, nullif(p_type, 'PROMO') AS type,
     CASE WHEN l_linenumber <> 7 THEN p_brand END AS model,
-    concat(l_orderkey, '-', l_linenumber) AS nk_equipment, o_custkey AS nk_staff, s.nk_staff IS NOT NULL AS staff_known,
+    concat(l_orderkey, '-', l_linenumber) AS nk_equipment, o_custkey AS nk_staff,
+    s.nk_staff IS NOT NULL AS staff_known,
     s.job_title, s.activity_sector, s.sk_site
   FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
     LEFT JOIN orders ON l_orderkey = o_orderkey

@@ -10,6 +10,7 @@ from terratally.operators.facts import with_site, with_staff
 from terratally.plans.labels import Labels
 from terratally.plans.loads import Star, with_day
 from terratally.sources.warehouse import (
+    add_undated,
     append_new,
     only_new_days,
     read_days,
@@ -19,6 +20,7 @@ from terratally.sources.warehouse import (
 )
 
 _GROWING = {"dim_city": "sk_city", "dim_trip": "sk_trip"}
+_NATURAL_KEYS = {"fact_mission": "nk_mission", "fact_equipment": "nk_equipment"}
 _DAY_KEYS = {"fact_mission": "sk_date_mission", "fact_equipment": "sk_date_purchase"}
 
 
@@ -26,7 +28,7 @@ def save_star(star: Star, root: str, only_new: bool = False) -> None:
     """Write the star under ``root``: facts by day, dimensions as a whole.
 
     Days already there are replaced, or left alone with ``only_new``; other days stay.
-    Cities and trips only ever gain rows.
+    Cities, trips and rows without a day only ever gain rows.
     """
     for name, table in star.tables().items():
         path = f"{root}/{name}"
@@ -36,10 +38,13 @@ def save_star(star: Star, root: str, only_new: bool = False) -> None:
         if name not in _DAY_KEYS:
             write_table(table, path)
             continue
-        dated = with_day(table.drop("year", "month", "day"), _DAY_KEYS[name], star.first)
+        rows = with_day(table.drop("year", "month", "day"), _DAY_KEYS[name], star.first)
+        dated = rows.where(F.col("date_iso").isNotNull())
         if only_new:
             dated = only_new_days(dated, path, "date_iso")
         write_days(dated, path, "date_iso")
+        undated = rows.where(F.col("date_iso").isNull())
+        add_undated(undated, path, "date_iso", _NATURAL_KEYS[name])
 
 
 def open_star(

@@ -75,8 +75,6 @@ class Testbed:
 
     labels = LABELS
     default_model = DEFAULT_MODEL
-    calendar_first = CALENDAR_FIRST
-    calendar_last = CALENDAR_LAST
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark

@@ -48,19 +48,14 @@ def write_table(frame: DataFrame, path: str) -> None:
 
 
 def write_days(frame: DataFrame, path: str, day: str) -> None:
-    """Write a fact split by year, month and day of column ``day``.
+    """Write a fact split by year, month and day of column ``day``, which must be known.
 
     Only the days present in ``frame`` are replaced, so a load can be repeated.
     The rebalance hint lets AQE merge small days into one file and split big ones.
     """
-    split = frame.select(
-        "*",
-        F.year(day).alias("year"),
-        F.month(day).alias("month"),
-        F.dayofmonth(day).alias("day"),
-    )
     (
-        split.hint("rebalance", *_DAY_PARTITIONS)
+        _split_by_day(frame, day)
+        .hint("rebalance", *_DAY_PARTITIONS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*_DAY_PARTITIONS)
@@ -68,6 +63,28 @@ def write_days(frame: DataFrame, path: str, day: str) -> None:
     )
 
 
+def add_undated(frame: DataFrame, path: str, day: str, key: str) -> None:
+    """Add rows without a day to the partition of such rows, unless ``key`` is there.
+
+    Replacing that partition would lose the undated rows of other loads.
+    """
+    table = _table_if_any(frame.sparkSession, path)
+    if table is not None:
+        undated = table.where(F.col("year").isNull()).select(key)
+        frame = frame.join(undated, key, "left_anti").select(*frame.columns)
+    split = _split_by_day(frame, day)
+    split.write.mode("append").partitionBy(*_DAY_PARTITIONS).parquet(path)
+
+
+def _split_by_day(frame: DataFrame, day: str) -> DataFrame:
+    return frame.select(
+        "*",
+        F.year(day).alias("year"),
+        F.month(day).alias("month"),
+        F.dayofmonth(day).alias("day"),
+    )
+
+
 def read_days(
     spark: SparkSession, path: str, first: date | None = None, last: date | None = None
 ) -> DataFrame:
@@ -105,7 +122,8 @@ def only_new_days(incoming: DataFrame, path: str, day: str) -> DataFrame:
     if table is None:
         return incoming
     loaded = table.select(F.make_date(*_DAY_PARTITIONS).alias(day)).distinct()
-    return incoming.join(loaded, day, "left_anti")
+    # One row per day of the calendar, however large the fact.
+    return incoming.join(F.broadcast(loaded), day, "left_anti")
 
 
 def append_new(frame: DataFrame, path: str, key: str) -> None:

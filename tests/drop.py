@@ -15,6 +15,9 @@ PURCHASE_HEADER = (
     "ID_MATERIELINFO;ID_PERSONNEL;NOM_PERSONNEL;PRENOM_PERSONNEL;DATE_ACHAT;TYPE;MODELE"
 )
 
+# The mission of this id carries a date nobody can read.
+UNDATED = "M14"
+
 # site, id, birth, city, country, title
 STAFF = [
     ("PARIS", "P1", "1980-02-29", "Paris", "France", "Cadre"),
@@ -42,6 +45,7 @@ MISSIONS = [
     ("LOSANGELES", "20260710", "M10", "A1", "Seminar", "Los Angeles", "USA", "New-York", "USA", "Avion", "oui"),
     ("NEWYORK", "20260710", "M11", "??", "Team Meeting", "New-York", "USA", "London", "England", "Avion", "oui"),
     ("SHANGHAI", "20261031", "M12", "S1", "Development", "Shanghai", "China", "Tokyo", "Japan", "Transports en commun", "oui"),
+    ("SHANGHAI", "20261031", "M14", "S1", "Meeting", "Shanghai", "China", "Tokyo", "Japan", "Train", "non"),
     # Outside the period of the questions.
     ("PARIS", "20261105", "M13", "P1", "Conférence", "Paris", "France", "Berlin", "Allemagne", "Avion", "oui"),
 ]
@@ -90,7 +94,7 @@ def write_missions(root: Path, missions) -> None:
     files: dict[Path, list[str]] = {}
     for site, day, key, staff, kind, *rest in missions:
         path = root / f"BDD_BGES_{site}" / f"BDD_BGES_{site}_MISSION" / f"MISSION_{day}.txt"
-        stamp = f"{day[:4]}-{day[4:6]}-{day[6:]} 08:30:00"
+        stamp = f"{day[:4]}-{day[4:6]}-{day[6:]} 08:30:00" if key != UNDATED else "gestern"
         files.setdefault(path, []).append(
             ";".join([key, staff, "Last", "First", stamp, kind, *rest])
         )

@@ -14,12 +14,13 @@ from terratally.plans.questions import QUESTIONS
 from terratally.plans.warehouse import StarSource, open_star, save_star
 from terratally.sources.places import CITIES
 from terratally.streaming.ingest import ingest_missions, ingest_purchases
-from tests.drop import MISSIONS, PURCHASES, STAFF, write_missions
+from tests.drop import MISSIONS, PURCHASES, STAFF, UNDATED, write_missions
 from tests.test_geodesy import vincenty
 
 FIRST, LAST = date(2026, 5, 1), date(2026, 10, 31)
 SPOTS = {name: (lat, lon) for name, lat, lon, _ in CITIES}
 IN_PERIOD = [m for m in MISSIONS if "20260501" <= m[1] <= "20261031"]
+DATED = [m for m in IN_PERIOD if m[2] != UNDATED]
 KNOWN_STAFF = {s[1]: s for s in STAFF if s[3]}
 
 
@@ -108,6 +109,7 @@ def test_mission_emissions(star):
         assert (row.sk_staff is None) == (mission[3] not in KNOWN_STAFF)
     assert found["M01"].sk_date_mission == (date(2026, 5, 1) - CALENDAR_FIRST).days + 1
     assert found["M04"].sk_transport_type is None
+    assert found[UNDATED].sk_date_mission is None
     assert found["M08"].co2_impact_kg == 0.0
 
 
@@ -176,7 +178,7 @@ def test_answers(source):
     # P2 is 36 on both trainings, L1 is 40.
     assert answer(source, "q15_avg_age") == [(37.3,)]
     by_destination = {}
-    for mission in IN_PERIOD:
+    for mission in DATED:
         by_destination.setdefault(mission[7], []).append(co2[mission[2]] or 0)
     ranked = sorted(by_destination, key=lambda c: -sum(by_destination[c]))
     assert [d for d, _ in answer(source, "q16_top_destinations")] == ranked[:5]
@@ -191,7 +193,7 @@ def test_sector_and_site_totals_agree(source):
     for column in (1, 2, 3):
         totals = [sum(r[column] or 0 for r in rows) for rows in (by_sector, by_site)]
         assert totals[0] == pytest.approx(totals[1], abs=0.5)
-    known = [m for m in IN_PERIOD if m[3] in KNOWN_STAFF]
+    known = [m for m in DATED if m[3] in KNOWN_STAFF]
     assert sum(r[1] or 0 for r in by_site) == pytest.approx(
         sum(expected_co2(m) or 0 for m in known), abs=0.5
     )
@@ -200,7 +202,7 @@ def test_sector_and_site_totals_agree(source):
 def test_monthly_answers(source):
     monthly = {r[0]: r for r in answer(source, "q20_monthly_total")}
     assert sorted(monthly) == [5, 6, 7, 8, 9, 10]
-    may = sum(expected_co2(m) or 0 for m in IN_PERIOD if m[1][4:6] == "05") / 1000
+    may = sum(expected_co2(m) or 0 for m in DATED if m[1][4:6] == "05") / 1000
     assert monthly[5][1] == pytest.approx(may, abs=0.006)
     assert monthly[6] == (6, 0.0, 0.55, 0.55)
     pivot = QUESTIONS["q19_pivot"](source).collect()
@@ -233,6 +235,7 @@ def test_saved_star_gives_the_same_answers(spark, drop, star, reference, source,
     save_star(later, root, only_new=True)
     grown = open_star(spark, root, CALENDAR_FIRST, CALENDAR_LAST)
     assert grown.fact_mission.count() == len(MISSIONS)
+    assert grown.fact_mission.where("sk_date_mission IS NULL").count() == 1
     assert grown.dim_city.count() == star.dim_city.count()
 
 
