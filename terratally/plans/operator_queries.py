@@ -23,13 +23,12 @@ from terratally.streaming.daily import stream_daily_totals as run_stream
 
 _CALENDAR = (CALENDAR_FIRST, CALENDAR_LAST)
 
+# Hash keys have no counterpart outside Spark, so a comparison leaves them out.
+_HASHED = ("sk_staff", "sk_fact_mission", "sk_fact_equipment")
 
-def _without(frame: DataFrame, *names: str) -> DataFrame:
-    """Hash keys have no counterpart outside Spark, so a comparison leaves them out."""
-    return frame.drop(*names)
 
-
-def _in_kg(frame: DataFrame, *names: str) -> DataFrame:
+def _to_grams(frame: DataFrame, *names: str) -> DataFrame:
+    """Kilograms to the gram, kilometres to the metre."""
     return frame.withColumns({n: rounded(F.col(n), 3) for n in names})
 
 
@@ -172,11 +171,11 @@ def dim_city_augmented(t: Testbed) -> DataFrame:
 def dim_staff(t: Testbed) -> DataFrame:
     cities = stored(_site_cities(t), "site-cities")
     table = dimensions.staff(t.personnel(), cities).select(*DIM_STAFF.names)
-    return _without(table, "sk_staff", "last_name", "first_name")
+    return table.drop(*_HASHED, "last_name", "first_name")
 
 
 def dim_trip(t: Testbed) -> DataFrame:
-    return _in_kg(_trips(t), "distance_km")
+    return _to_grams(_trips(t), "distance_km")
 
 
 # --- facts and emission rules -----------------------------------------------------
@@ -184,7 +183,7 @@ def dim_trip(t: Testbed) -> DataFrame:
 
 def fact_mission(t: Testbed) -> DataFrame:
     table = facts.fact_mission(_ledger(t), *_CALENDAR).select(*FACT_MISSION.names)
-    return _in_kg(_without(table, "sk_fact_mission", "sk_staff"), "co2_impact_kg")
+    return _to_grams(table.drop(*_HASHED), "co2_impact_kg")
 
 
 def transport_haul_split(t: Testbed) -> DataFrame:
@@ -198,13 +197,13 @@ def transport_haul_split(t: Testbed) -> DataFrame:
 
 def mission_co2(t: Testbed) -> DataFrame:
     priced = _ledger(t).select("nk_mission", "distance_km", "co2_factor", "co2_kg")
-    return _in_kg(priced, "distance_km", "co2_kg")
+    return _to_grams(priced, "distance_km", "co2_kg")
 
 
 def fact_equipment(t: Testbed) -> DataFrame:
     ledger = _purchase_ledger(t, _stored_equipment(t))
     table = facts.fact_equipment(ledger, *_CALENDAR).select(*FACT_EQUIPMENT.names)
-    return _without(table, "sk_fact_equipment", "sk_staff")
+    return table.drop(*_HASHED)
 
 
 def equipment_co2_lookup(t: Testbed) -> DataFrame:
@@ -224,11 +223,12 @@ def equipment_co2_lookup(t: Testbed) -> DataFrame:
 
 def mission_mart(t: Testbed) -> DataFrame:
     ledger = _ledger(t, sited=True, carry=("city_name",))
-    return _in_kg(facts.mission_mart(ledger), "distance_km", "co2_kg")
+    return _to_grams(facts.mission_mart(ledger), "distance_km", "co2_kg")
 
 
 def equipment_mart(t: Testbed) -> DataFrame:
-    return facts.equipment_mart(_purchase_ledger(t, _stored_equipment(t), sited=True))
+    catalogue = stored(t.catalogue(), "catalogue")
+    return facts.equipment_mart(_purchase_ledger(t, catalogue, sited=True))
 
 
 # --- joins ------------------------------------------------------------------------
@@ -275,7 +275,7 @@ def join_left_trip(t: Testbed) -> DataFrame:
         F.col("sk_destination").alias("sk_city_destination"),
     ).agg(F.count("*").alias("missions"))
     joined = pairs.join(_trips(t), ["sk_city_origin", "sk_city_destination"], "left")
-    return _in_kg(joined, "distance_km")
+    return _to_grams(joined, "distance_km")
 
 
 # --- sets and scalars -------------------------------------------------------------
@@ -370,7 +370,7 @@ def dq_city_no_country(t: Testbed) -> DataFrame:
 
 
 def longest_trips(t: Testbed) -> DataFrame:
-    return _in_kg(quality.longest_trips(_trips(t)), "distance_km")
+    return _to_grams(quality.longest_trips(_trips(t)), "distance_km")
 
 
 def dq_trip_no_distance(t: Testbed) -> DataFrame:
