@@ -1,9 +1,10 @@
 """Surrogate keys that do not depend on partitioning."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 _TRIP_SHIFT = 32
+_BLOCK = 10_000
 
 
 def hashed_key(*natural: Column) -> Column:
@@ -24,39 +25,51 @@ def with_dense_key(
 ) -> DataFrame:
     """Number the rows after+1, after+2, ... in ``order`` without a one-task sort.
 
-    A few hash-picked rows serve as cut points; each stretch between two of them is
-    numbered on its own and shifted by the number of rows in the stretches before it.
-    Only the cut points (``pieces``) and the counts (``pieces`` + 1) are ever
-    brought together. ``order`` must tell the rows apart, or be followed by
-    columns that do, for the numbering to be reproducible.
+    Exact copies are counted first and numbered as one block. A few hash-picked rows
+    serve as cut points; each stretch between two of them is numbered on its own and
+    shifted by the number of rows in the stretches before it. Only the cut points
+    (``pieces``) and the counts (``pieces`` + 1) are ever brought together. ``order``
+    must tell rows that differ apart for the numbering to be reproducible.
     """
-    ordered = frame.withColumn("_rank", F.struct(*order))
+    counted = (
+        frame.groupBy(*frame.columns)
+        .agg(F.count("*").alias("_copies"))
+        .withColumn("_rank", F.struct(*order))
+    )
     draw = F.xxhash64("_rank")
     cuts = (
-        ordered.groupBy(F.pmod(draw, F.lit(pieces)).alias("_draw"))
+        counted.groupBy(F.pmod(draw, F.lit(pieces)).alias("_draw"))
         .agg(F.min_by("_rank", draw).alias("_cut"))
         .agg(F.collect_list("_cut"))
         .scalar()
     )
-    placed = ordered.withColumn("_cuts", cuts).withColumn(
+    placed = counted.withColumn("_cuts", cuts).withColumn(
         "_piece", F.size(F.filter("_cuts", lambda cut: cut <= F.col("_rank")))
     )
-    counted = placed.groupBy("_piece").agg(F.count("*").alias("_n"))
+    sizes = placed.groupBy("_piece").agg(F.sum("_copies").alias("_copies"))
     # At most pieces + 1 rows, so one task is enough to add them up.
-    shifts = counted.select(
-        "_piece",
-        F.coalesce(
-            F.sum("_n").over(
-                Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_shift"),
-    )
-    within = F.row_number().over(Window.partitionBy("_piece").orderBy("_rank"))
+    shifts = sizes.select("_piece", _sum_before(Window.orderBy("_piece")).alias("_shift"))
+    within = _sum_before(Window.partitionBy("_piece").orderBy("_rank"))
     start = F.lit(after) if isinstance(after, int) else after
-    return (
+    numbered = (
         placed.withColumn("_within", within)
         .join(F.broadcast(shifts), "_piece")
-        .withColumn(name, (start + F.col("_shift") + F.col("_within")).cast("long"))
-        .select(name, *frame.columns)
+        .withColumn("_before", start + F.col("_shift") + F.col("_within"))
+    )
+    return _unfolded(numbered, name).select(name, *frame.columns)
+
+
+def _sum_before(window: WindowSpec) -> Column:
+    preceding = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("_copies").over(preceding), F.lit(0))
+
+
+def _unfolded(numbered: DataFrame, name: str) -> DataFrame:
+    """One row per copy, a large number of copies spread over many tasks."""
+    last_block = F.expr(f"(_copies - 1) DIV {_BLOCK}")
+    blocks = numbered.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
+    from_key = F.col("_before") + F.col("_block") * _BLOCK + 1
+    to_key = F.col("_before") + F.least(F.col("_copies"), (F.col("_block") + 1) * _BLOCK)
+    return blocks.repartition(F.xxhash64("_rank"), "_block").withColumn(
+        name, F.explode(F.sequence(from_key, to_key))
     )

@@ -101,6 +101,18 @@ def test_dense_key_numbers_in_order(spark, names, after):
     assert {r.name: r.k for r in found.collect()} == expected
 
 
+def test_dense_key_numbers_many_copies(spark):
+    rows = spark.range(60000).select(
+        F.when(F.col("id") % 3 == 0, "m").otherwise(F.col("id").cast("string")).alias("name")
+    )
+    found = keys.with_dense_key(rows, "k", [F.col("name")])
+    span = found.agg(F.count("*"), F.countDistinct("k"), F.min("k"), F.max("k")).first()
+    assert tuple(span) == (60000, 60000, 1, 60000)
+    # "m" sorts after all digits.
+    hot = found.where("name = 'm'").agg(F.count("*"), F.min("k")).first()
+    assert tuple(hot) == (20000, 40001)
+
+
 def test_trip_keys_are_unique(spark):
     ends = spark.range(40).withColumnRenamed("id", "o")
     pairs = ends.select("o", F.explode(F.sequence(F.lit(0), F.lit(39))).alias("d"))
