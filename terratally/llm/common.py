@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terratally.sources.warehouse import shared_folder
@@ -19,10 +19,15 @@ _SEED = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A name below the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def staged(frame: DataFrame, label: str) -> DataFrame:
     """Write ``frame`` once into the shared folder and go on from the files."""
     spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_folder(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

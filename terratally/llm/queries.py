@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terratally.llm import packing, quality
+from terratally.llm import decontamination, licenses, packing, quality, warc
+from terratally.llm.common import new_folder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontamination.decontaminate(documents, benchmark)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(_table(spark, sf_dir, "documents"))
     return judged.select(
@@ -26,9 +32,21 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = warc.round_trip(_table(spark, sf_dir, "pages"), new_folder(spark, "warc"))
+    return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_rules": op3_quality_rules,
+    "op4_license_scan": op4_license_scan,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_warc": op9_warc,
 }
 
 SQL: dict[str, str] = {
