@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terratally.llm import decontamination, licenses, packing, quality, warc
+from terratally.llm import decontamination, extraction, licenses, packing, quality, warc
 from terratally.llm.common import new_folder
 
 
@@ -41,12 +41,17 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_warc": op9_warc,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 SQL: dict[str, str] = {
