@@ -67,6 +67,7 @@ _GOOD_NAME = re.compile(
 )
 #: Names of a wrapper that tell what stands beside its content.
 _BESIDE = re.compile(r"(?:^|[-_])(?:with|has|no|without|is)[-_].*")
+_LEGAL = re.compile(r"©|\(c\) |copyright\b|all rights reserved", re.I)
 _BAD_ROLE = frozenset(
     "navigation banner contentinfo complementary search form menu menubar alert dialog".split()
 )
@@ -98,6 +99,10 @@ class Page:
         self.names.append((name, cue))
         return len(self.parents) - 1
 
+    def closed(self) -> list[bool]:
+        """Elements marked as boilerplate: their label is observed, with potentials of its own."""
+        return [name in BOILERPLATE or cue == "bad" for name, cue in self.names]
+
 
 def _cue(name: str, rest: str) -> str:
     """What the names an author gave say: ``bad`` for boilerplate, ``good`` for the main part."""
@@ -143,6 +148,7 @@ def parse(source: str) -> Page:
                     f"words={_bucket(text.count(' ') + 1, 4, 10, 25)}",
                     f"links={_bucket(int(share * 10), 1, 4, 8)}",
                     f"stop={text[-1] in '.!?:;”»…'}",
+                    f"legal={bool(_LEGAL.match(text))}",
                 )
                 page.add(stack[-1][1], "#text", "", features, text)
             pieces.clear()
@@ -263,8 +269,10 @@ def _prior() -> Counter:
         say(f"links={bucket}", content, other)
     say("stop=True", 8, 3)
     say("stop=False", 4, 7)
-    say("tag=root", 0.1, 20)
-    say("tag=html", 0.1, 20)
+    say("legal=True", 0.1, 20)
+    say("legal=False", 20, 20)
+    say("tag=root", 2, 3)
+    say("tag=html", 2, 3)
     say("tag=p", 4, 1)
     for name in ("h1", "h2", "h3", "h4", "blockquote", "pre", "figure", "table"):
         say(f"tag={name}", 3, 1)
@@ -280,7 +288,11 @@ def count(page: Page) -> Counter:
     counts: Counter = Counter()
     label = labels(page)
     if label is not None:
+        closed = page.closed()
         for i in range(1, len(label)):
+            if closed[page.parents[i]]:  # settled by its parent, so it teaches nothing
+                closed[i] = True
+                continue
             for feature in page.features[i]:
                 counts[feature, label[i]] += 1
             counts[f"from={label[page.parents[i]]}", label[i]] += 1
@@ -297,7 +309,7 @@ class Model:
         scale = min(1.0, edges(total) / max(1.0, edges(counts)))
         for key, n in counts.items():
             total[key] += n * scale
-        kinds = {"tag": [0.0, 0.0], "cue": [0.0, 0.0], "words": [0.0, 0.0], "links": [0.0, 0.0], "stop": [0.0, 0.0]}
+        kinds = {"tag": [0.0, 0.0], "cue": [0.0, 0.0], "words": [0.0, 0.0], "links": [0.0, 0.0], "stop": [0.0, 0.0], "legal": [0.0, 0.0]}
         for (feature, label), n in total.items():
             kind = feature.partition("=")[0]
             if kind in kinds:
@@ -321,8 +333,7 @@ class Model:
         parents = page.parents
         n = len(parents)
         p00, p01, p10, p11 = (self.potential[a, b] for a in (0, 1) for b in (0, 1))
-        # Elements marked as boilerplate have an observed label, and potentials of their own.
-        closed = [name in BOILERPLATE or cue == "bad" for name, cue in page.names]
+        closed = page.closed()
         c00, c01 = log1p(-CLOSED), log(CLOSED)
         sent = [0.0] * n
         for i in range(n - 1, 0, -1):  # a parent stands before its children
