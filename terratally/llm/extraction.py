@@ -23,8 +23,8 @@ TRAINING_PAGES = 4_000
 #: Weight of the labelled counts against the prior ones, and the bound of one feature's evidence.
 PRIOR_WEIGHT = 20.0
 CLIP = 3.0
-#: Chance of content below an element that its author marked as boilerplate.
-CLOSED = 1e-9
+#: A copyright line has fewer words.
+LEGAL_WORDS = 25
 
 # Elements by their part in a page.
 INLINE = frozenset(
@@ -100,8 +100,16 @@ class Page:
         return len(self.parents) - 1
 
     def closed(self) -> list[bool]:
-        """Elements marked as boilerplate: their label is observed, with potentials of its own."""
-        return [name in BOILERPLATE or cue == "bad" for name, cue in self.names]
+        """Boilerplate that its author marked, with all that is in it, and short legal lines.
+
+        Their label is observed, and as what stands in a page's main part may well hold such
+        blocks, they say nothing about their parents.
+        """
+        closed = [False] * len(self.parents)
+        for i in range(1, len(closed)):
+            name, cue = self.names[i]
+            closed[i] = closed[self.parents[i]] or name in BOILERPLATE or cue in ("bad", "legal")
+        return closed
 
 
 def _cue(name: str, rest: str) -> str:
@@ -148,9 +156,9 @@ def parse(source: str) -> Page:
                     f"words={_bucket(text.count(' ') + 1, 4, 10, 25)}",
                     f"links={_bucket(int(share * 10), 1, 4, 8)}",
                     f"stop={text[-1] in '.!?:;”»…'}",
-                    f"legal={bool(_LEGAL.match(text))}",
                 )
-                page.add(stack[-1][1], "#text", "", features, text)
+                legal = "legal" if _LEGAL.match(text) and text.count(" ") < LEGAL_WORDS else ""
+                page.add(stack[-1][1], "#text", legal, features, text)
             pieces.clear()
         linked = 0
 
@@ -269,8 +277,6 @@ def _prior() -> Counter:
         say(f"links={bucket}", content, other)
     say("stop=True", 8, 3)
     say("stop=False", 4, 7)
-    say("legal=True", 0.1, 20)
-    say("legal=False", 20, 20)
     say("tag=root", 2, 3)
     say("tag=html", 2, 3)
     say("tag=p", 4, 1)
@@ -290,8 +296,7 @@ def count(page: Page) -> Counter:
     if label is not None:
         closed = page.closed()
         for i in range(1, len(label)):
-            if closed[page.parents[i]]:  # settled by its parent, so it teaches nothing
-                closed[i] = True
+            if closed[i]:  # settled already, so it teaches nothing
                 continue
             for feature in page.features[i]:
                 counts[feature, label[i]] += 1
@@ -309,7 +314,7 @@ class Model:
         scale = min(1.0, edges(total) / max(1.0, edges(counts)))
         for key, n in counts.items():
             total[key] += n * scale
-        kinds = {"tag": [0.0, 0.0], "cue": [0.0, 0.0], "words": [0.0, 0.0], "links": [0.0, 0.0], "stop": [0.0, 0.0], "legal": [0.0, 0.0]}
+        kinds = {"tag": [0.0, 0.0], "cue": [0.0, 0.0], "words": [0.0, 0.0], "links": [0.0, 0.0], "stop": [0.0, 0.0]}
         for (feature, label), n in total.items():
             kind = feature.partition("=")[0]
             if kind in kinds:
@@ -334,10 +339,9 @@ class Model:
         n = len(parents)
         p00, p01, p10, p11 = (self.potential[a, b] for a in (0, 1) for b in (0, 1))
         closed = page.closed()
-        c00, c01 = log1p(-CLOSED), log(CLOSED)
         sent = [0.0] * n
         for i in range(n - 1, 0, -1):  # a parent stands before its children
-            if closed[i] or closed[parents[i]]:  # says nothing about what it stands in
+            if closed[i]:
                 continue
             x = belief[i]
             sent[i] = _sum(p10, p11 + x) - _sum(p00, p01 + x)
@@ -345,8 +349,6 @@ class Model:
         for i in range(1, n):
             if closed[i]:
                 belief[i] = -_SURE
-            elif closed[parents[i]]:
-                belief[i] += c01 - c00
             else:
                 x = belief[parents[i]] - sent[i]
                 belief[i] += _sum(p01, p11 + x) - _sum(p00, p10 + x)
