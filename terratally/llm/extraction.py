@@ -100,15 +100,18 @@ class Page:
         return len(self.parents) - 1
 
     def closed(self) -> list[bool]:
-        """Boilerplate that its author marked, with all that is in it, and short legal lines.
+        """Boilerplate that its author marked, with all in it, and legal lines outside an article.
 
         Their label is observed, and as what stands in a page's main part may well hold such
         blocks, they say nothing about their parents.
         """
         closed = [False] * len(self.parents)
+        article = [False] * len(self.parents)
         for i in range(1, len(closed)):
-            name, cue = self.names[i]
-            closed[i] = closed[self.parents[i]] or name in BOILERPLATE or cue in ("bad", "legal")
+            (name, cue), parent = self.names[i], self.parents[i]
+            article[i] = article[parent] or name in MAIN
+            legal = cue == "legal" and not article[i]
+            closed[i] = closed[parent] or name in BOILERPLATE or cue == "bad" or legal
         return closed
 
 
@@ -277,8 +280,8 @@ def _prior() -> Counter:
         say(f"links={bucket}", content, other)
     say("stop=True", 8, 3)
     say("stop=False", 4, 7)
-    say("tag=root", 2, 3)
-    say("tag=html", 2, 3)
+    say("tag=root", 1, 1)
+    say("tag=html", 1, 1)
     say("tag=p", 4, 1)
     for name in ("h1", "h2", "h3", "h4", "blockquote", "pre", "figure", "table"):
         say(f"tag={name}", 3, 1)
