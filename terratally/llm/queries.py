@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terratally.llm import decontamination, extraction, licenses, packing, quality, warc
+from terratally.llm import decontamination, extraction, licenses, packing, pii, quality, warc
 from terratally.llm.common import new_folder
 
 
@@ -28,6 +28,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.detect(_table(spark, sf_dir, "documents")))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
+    "op5_pii": op5_pii,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_warc": op9_warc,
     "op10_html_extraction": op10_html_extraction,
