@@ -188,9 +188,13 @@ def _rows_chain(rows: np.ndarray) -> np.ndarray:
 
 
 def distinct_pairs(values: np.ndarray, owner: np.ndarray):
-    """Distinct (owner, value) in that order, and how often each occurs."""
-    order = np.lexsort((values, owner))
-    values, owner = values[order], owner[order]
+    """Distinct (owner, value) in that order, and how often each occurs; changes ``values``."""
+    if len(owner) and np.any(owner[1:] < owner[:-1]):
+        order = np.argsort(owner, kind="stable")
+        values, owner = values[order], owner[order]
+    bounds = np.flatnonzero(np.diff(owner, prepend=-1, append=-1))
+    for first, last in zip(bounds[:-1], bounds[1:], strict=True):
+        values[first:last].sort()
     new = np.ones(len(values), dtype=bool)
     new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
     at = np.flatnonzero(new)

@@ -43,7 +43,7 @@ _GAZETTEER = (
 )
 _COMMON = r"^((19|20)[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}|[0-9]{1,3}(st|nd|rd|th)|[0-9]{1,3}%?)$"
 _SHAPE = r"^([0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}|AKIA[0-9A-Z]{16})$"
-_SECRET = r"((?=[A-Za-z_]*[0-9])[A-Za-z0-9_]{16,}|[0-9a-f]{16,})"
+_SECRET = r"(?=[A-Za-z0-9_]*[A-Za-z])(?=[A-Za-z_]*[0-9])[A-Za-z0-9_]{16,}"
 LABELERS = 6
 SHAPES = CONTEXTS = 4096
 LENGTHS = 64

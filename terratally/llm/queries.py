@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terratally.llm import decontamination, extraction, licenses, packing, pii, quality, warc
+from terratally.llm import decontamination, extraction, jaccard, licenses, packing, pii, quality, warc
 from terratally.llm.common import new_folder
 
 
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_components(_table(spark, sf_dir, "documents"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontamination.decontaminate(documents, benchmark)
@@ -50,6 +54,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
