@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terratally.llm import packing, quality
+from terratally.llm import decontamination, jaccard, packing, pii, quality
 from terratally.llm.common import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -17,6 +17,24 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.kept(docs).select(*COLUMNS)
 
 
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that with the smallest id."""
+    return jaccard.one_of_each(docs).select(*COLUMNS)
+
+
+def keep_unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without questions of the benchmark, in its own or other words for the values."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.clean(docs, benchmark).select(*COLUMNS)
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind and ``n_chars`` brought up to date."""
+    return pii.redact(docs).selectExpr(
+        "doc_id", "text", "lang", "source", "cast(length(text) as bigint) AS n_chars"
+    )
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their place in the training sequences."""
     return packing.pack(docs)
@@ -24,14 +42,18 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", keep_good),
+    ("ngram_jaccard_join", keep_one_of_each),
+    ("benchmark_decontamination", keep_unleaked),
+    ("pii", hide_personal_data),
     ("best_fit_packing", pack),
 ]
 
-#: Packing has no SQL.
+#: Neither near-duplicate components nor packing can be expressed in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
