@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terratally.llm import decontamination, extraction, jaccard, licenses, packing, pii, quality, warc
+from terratally.llm import decontamination, extraction, jaccard, katz, licenses, packing, pii, quality, warc
 from terratally.llm.common import new_folder
 
 
@@ -44,6 +44,10 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op8_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(_table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = warc.round_trip(_table(spark, sf_dir, "pages"), new_folder(spark, "warc"))
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_license_scan": op4_license_scan,
     "op5_pii": op5_pii,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_katz_backoff": op8_katz_backoff,
     "op9_warc": op9_warc,
     "op10_html_extraction": op10_html_extraction,
 }
