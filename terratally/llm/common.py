@@ -72,7 +72,7 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-_BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * _SEED)
+BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * _SEED)
 _powers = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64)}
 
 
@@ -123,7 +123,7 @@ class Texts:
         up, _ = powers(len(self.data) + 1)
         sums = np.empty(len(self.data) + 1, dtype=np.uint64)
         sums[0] = 0
-        np.cumsum(_BYTE_VALUE[self.data] * up[:-1], out=sums[1:])
+        np.cumsum(BYTE_VALUE[self.data] * up[:-1], out=sums[1:])
         return sums
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray, sums=None) -> np.ndarray:

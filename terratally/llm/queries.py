@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terratally.llm import decontamination, extraction, jaccard, katz, licenses, packing, pii, quality, warc
+from terratally.llm import decontamination, extraction, jaccard, katz, licenses, packing, pii, quality, substrings, warc
 from terratally.llm.common import new_folder
 
 
@@ -36,6 +36,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(_table(spark, sf_dir, "documents")))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
     "op5_pii": op5_pii,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_katz_backoff": op8_katz_backoff,
     "op9_warc": op9_warc,
