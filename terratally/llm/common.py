@@ -32,6 +32,17 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def fresh(frame: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``frame`` has."""
+    taken = {column.lower() for column in frame.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def id_and_text(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The two columns the operators read, as ``(key long, text string)``, null text as empty."""
     return rows.select(

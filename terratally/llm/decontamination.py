@@ -21,6 +21,7 @@ from terratally.llm.common import (
     Texts,
     byte_table,
     chain,
+    fresh,
     id_and_text,
     mix,
     signed,
@@ -246,7 +247,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` without a leak, with all their columns."""
-    found = leaks(docs, benchmark, text=text).select("doc_id", "row_hash").distinct().toDF("_k", "_h")
+    key, row = fresh(docs, "key", "row")
+    found = leaks(docs, benchmark, text=text).select("doc_id", "row_hash").distinct().toDF(key, row)
     hashed = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_k")) & (hashed == F.col("_h"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(key)) & (hashed == F.col(row))
     return docs.join(found, same, "left_anti")

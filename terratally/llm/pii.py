@@ -14,7 +14,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terratally.llm.common import let, staged
+from terratally.llm.common import fresh, let, staged
 
 # The kinds in their order and their patterns. Possessive repeats and the look at
 # where the last match ended change no match; they keep long texts linear.
@@ -351,32 +351,29 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Where spans overlap, the first one's kind stands for all of them.
     """
+    row, key, found = fresh(docs, "row", "key", "found")
     hashed = F.xxhash64("doc_id", text)
-    named = docs.withColumn("_row", F.struct(F.col("doc_id").alias("key"), hashed.alias("hash")))
+    named = docs.withColumn(row, F.struct(F.col("doc_id").alias("key"), hashed.alias("hash")))
     # Equal rows have equal spans, so one of them is enough.
-    some = detect(named.where(F.col(text).rlike("[0-9@]")), "_row", text).where(F.size("spans") > 0)
-    spans = some.select(F.col("doc_id").alias("_key"), "spans").dropDuplicates(["_key"])
-    joined = named.join(spans, F.col("_row") == F.col("_key"), "left")
+    some = detect(named.where(F.col(text).rlike("[0-9@]")), row, text).where(F.size("spans") > 0)
+    spans = some.select(F.col("doc_id").alias(key), F.col("spans").alias(found)).dropDuplicates([key])
+    joined = named.join(spans, F.col(row) == F.col(key), "left")
+    whole = F.col(text)
 
     def step(so_far: Column, span: Column) -> Column:
-        piece = F.substring(F.col(text), so_far["at"] + 1, span["start"] - so_far["at"])
-        begun = span["start"] >= so_far["at"]
+        piece = F.substring(whole, so_far["at"] + 1, span["start"] - so_far["at"])
+        shown = F.concat(so_far["out"], piece, F.lit("<"), F.upper(span["kind"]), F.lit(">"))
         return F.struct(
             F.greatest(so_far["at"], span["end"]).alias("at"),
-            F.when(begun, F.concat(so_far["out"], piece, F.lit("<"), F.upper(span["kind"]), F.lit(">")))
-            .otherwise(so_far["out"])
-            .alias("out"),
+            F.when(span["start"] >= so_far["at"], shown).otherwise(so_far["out"]).alias("out"),
         )
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     cleaned = F.aggregate(
-        "spans",
+        found,
         start,
         step,
-        lambda done: F.concat(
-            done["out"], F.substring(F.col(text), done["at"] + 1, F.length(F.col(text)))
-        ),
-    )
-    return joined.withColumn(text, F.when(F.col("spans").isNull(), F.col(text)).otherwise(cleaned)).drop(
-        "_row", "_key", "spans"
+        lambda done: F.concat(done["out"], F.substring(whole, done["at"] + 1, F.length(whole))),
     )
+    shown = F.when(F.col(found).isNull(), whole).otherwise(cleaned)
+    return joined.withColumn(text, shown).drop(row, key, found)

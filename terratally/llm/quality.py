@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terratally.llm.common import let, staged
+from terratally.llm.common import fresh, let, staged
 
 SPACE = r"[\x20\x09-\x0D]+"
 MIN_WORDS = 50
@@ -216,11 +216,11 @@ def kept(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str =
     Rows are judged one by one even where keys repeat: a row is known by its key, host and the
     hash of its text, and rows equal in these get the same verdict.
     """
-    row = F.xxhash64(F.col(key), F.col(host), F.col(text))
-    named = docs.withColumn("_row", F.struct(F.col(key).alias("key"), row.alias("hash")))
-    good = judge(named, "_row", host, text).where("kept")
-    keys = good.select(F.col("doc_id").alias("_good")).distinct()
-    return named.join(keys, F.col("_row").eqNullSafe(F.col("_good")), "left_semi").drop("_row")
+    row, good = fresh(docs, "row", "good")
+    hashed = F.xxhash64(F.col(key), F.col(host), F.col(text))
+    named = docs.withColumn(row, F.struct(F.col(key).alias("key"), hashed.alias("hash")))
+    keys = judge(named, row, host, text).where("kept").select(F.col("doc_id").alias(good)).distinct()
+    return named.join(keys, F.col(row) == F.col(good), "left_semi").drop(row)
 
 
 #: DuckDB SQL for the digest of ``judge`` over documents.
