@@ -29,6 +29,8 @@ END_OF_DOCUMENT = 2
 _GROUP_ROWS = 20_000
 #: Nodes that one search for a filling may visit before the best one so far is taken.
 _NODES = 4_000
+#: Wasted tokens per bin that end its search, one round each.
+WASTE_BOUNDS = (0, 1, 2, 3, 4, 6, 8, 10, 12, 14, 16, 20, 24, 32, 48, 64)
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -106,20 +108,32 @@ class Filling:
 
 
 def complete_bins(counts: dict[int, int], capacity: int = CAPACITY) -> list[Filling]:
-    """Fill bins around the largest piece left; keeps best-fit decreasing if that needs fewer."""
-    searched = _fill(counts, capacity, _search)
-    fitted = _fill(counts, capacity, _best_fit)
-    return min(searched, fitted, key=lambda fillings: sum(f.times for f in fillings))
+    """Fillings for all pieces, in as few bins as the search finds.
+
+    Every round completes bins with another bound on the waste that ends a bin's search: fillings
+    without any waste use up small pieces that a later bin may need more. The best round is the
+    incumbent, best-fit decreasing the first one, and no round follows when no bin can be saved.
+    """
+    least = -(-sum(length * n for length, n in counts.items()) // capacity)
+    best, bins = [], float("inf")
+    for bound in (capacity, *WASTE_BOUNDS):
+        fillings = _fill(counts, capacity, bound)
+        used = sum(filling.times for filling in fillings)
+        if used < bins:
+            best, bins = fillings, used
+        if bins <= least:
+            break
+    return best
 
 
-def _fill(counts: dict[int, int], capacity: int, choose) -> list[Filling]:
+def _fill(counts: dict[int, int], capacity: int, bound: int) -> list[Filling]:
     left = {length: n for length, n in counts.items() if n > 0}
     out = []
     while left:
         largest = max(left)
         rest = dict(left)
         rest[largest] -= 1
-        beside = choose(rest, capacity - largest)
+        beside = _search(rest, capacity - largest, bound)
         lengths = (largest, *beside)
         times = min(left[x] // lengths.count(x) for x in set(lengths))
         for x in lengths:
@@ -141,25 +155,25 @@ def _best_fit(left: dict[int, int], room: int) -> tuple[int, ...]:
     return tuple(out)
 
 
-def _search(left: dict[int, int], room: int) -> tuple[int, ...]:
-    """The filling of ``room`` with the least waste, by branch and bound.
+def _search(left: dict[int, int], room: int, bound: int) -> tuple[int, ...]:
+    """A filling of ``room`` that wastes at most ``bound``, or else the least, by branch and bound.
 
-    Best fit is the first incumbent. Lengths are tried from large to small, so the first of
-    several equally full fillings has the largest pieces: it dominates those that put several
-    smaller ones in their place, as small pieces are easier to place later. A branch ends where
-    even all pieces left cannot beat the waste of the incumbent, and the search at waste 0.
+    Best fit is the first incumbent. Lengths are tried from large to small, so of equally full
+    fillings the first has the largest pieces: it dominates those with several smaller ones in
+    their place, as small pieces are easier to place later. A branch ends where even all pieces
+    left cannot beat the incumbent.
     """
-    sizes = sorted((x for x, n in left.items() if n > 0 and x <= room), reverse=True)
     best = _best_fit(left, room)
     waste = room - sum(best)
-    if not waste or not sizes:
+    if waste <= bound:
         return best
+    sizes = sorted((x for x, n in left.items() if n > 0 and x <= room), reverse=True)
     beyond = [0] * (len(sizes) + 1)
     for i in range(len(sizes) - 1, -1, -1):
         beyond[i] = beyond[i + 1] + sizes[i] * min(left[sizes[i]], room // sizes[i])
     visited = 0
     stack: list[tuple[int, int, tuple[int, ...]]] = [(0, room, ())]
-    while stack and waste and visited < _NODES:
+    while stack and waste > bound and visited < _NODES:
         at, free, taken = stack.pop()
         visited += 1
         if free < waste:
