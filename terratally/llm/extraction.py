@@ -201,7 +201,7 @@ def parse(source: str) -> Page:
         if name in SKIPPED:
             if ends or rest.endswith("/") and name in ("svg", "math"):
                 continue
-            if name not in INLINE and name != "button":
+            if name in ("head", "title"):  # the others stand within a line
                 flush()
             if name in _RAW:
                 end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(source, at)
