@@ -35,6 +35,8 @@ GROUP_ROWS = 5_000
 _ROW = "doc_id long, row_hash long"
 _SUFFIX = f"bucket int, seed long, side int, {_ROW}, at int, left_bytes int, context binary, to int"
 
+_NAMES = [column.split()[0] for column in _SUFFIX.split(", ")]
+
 
 def _rows(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(
@@ -89,13 +91,14 @@ def _repeated(rows: DataFrame, length: int) -> DataFrame:
 
 
 def _filter(repeated: DataFrame) -> bytes:
-    """Bit per repeated seed; at most eight partial filters of fixed size reach the driver."""
+    """Two bits per repeated seed; at most eight partial filters of fixed size reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
         for batch in batches:
-            at = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64(FILTER_BITS - 1)
-            np.bitwise_or.at(bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+            hashes = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            for at in _bits_of(hashes):
+                np.bitwise_or.at(bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
         yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()], pa.binary())], ["bits"])
 
     total = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
@@ -104,9 +107,16 @@ def _filter(repeated: DataFrame) -> bytes:
     return total.tobytes()
 
 
+def _bits_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    mask = np.uint64(FILTER_BITS - 1)
+    return hashes & mask, (hashes >> np.uint64(36)) & mask
+
+
 def _known(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes & np.uint64(FILTER_BITS - 1)
-    return ((bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+    known = np.ones(len(hashes), dtype=bool)
+    for at in _bits_of(hashes):
+        known &= ((bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+    return known
 
 
 def _places(rows: DataFrame, repeated: DataFrame, length: int) -> DataFrame:
@@ -158,75 +168,125 @@ def _suffixes(rows: DataFrame, repeated: DataFrame, length: int) -> DataFrame:
     buckets = int(max(1, occurrences // GROUP_ROWS))
     packed = _filter(repeated) if repeats <= FILTER_SEEDS else None
 
+    def found(batch: pa.RecordBatch, bits: np.ndarray | None) -> dict[str, np.ndarray]:
+        """Known seeds of a batch: row, place, bounds of what is around, and hashes of these."""
+        parts = []
+        for texts in slices(batch.column(2)):
+            sums = texts.prefix_hashes()
+            if bits is not None:
+                at, hashes, owner = seeds(texts, length)
+                kept = np.flatnonzero(_known(bits, hashes))
+                at, hashes, owner = at[kept], hashes[kept], owner[kept]
+            else:
+                lists = batch.column(3).slice(texts.first, len(texts))
+                n = lists.value_lengths().to_numpy(zero_copy_only=False)
+                owner = np.repeat(np.arange(len(texts)), n)
+                at = lists.flatten().to_numpy(zero_copy_only=False) + texts.offsets[owner]
+                hashes = stretch_hashes(sums, at, at + size)
+            origin = texts.offsets[owner]
+            first = np.maximum(origin, at - (length - size))
+            last = np.minimum(texts.offsets[owner + 1], at + length)
+            parts.append(
+                {
+                    "row": owner + texts.first,
+                    "seed": hashes,
+                    "around": stretch_hashes(sums, first, last) ^ mix(hashes),
+                    "at": at - origin,
+                    "first": first - origin,
+                    "last": last - origin,
+                    "left": stretch_hashes(sums, np.maximum(first, at - beside), at + size),
+                    "right": stretch_hashes(sums, at, np.minimum(last, at + size + beside)),
+                }
+            )
+        return {name: np.concatenate([part[name] for part in parts]) for name in parts[0]}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if packed is None else np.frombuffer(packed, dtype=np.uint8)
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            here = found(batch, bits)
+            row = here["row"]
             ids, row_hashes = _order(batch.column(0), batch.column(1))
-            for texts in slices(batch.column(2)):
-                if bits is not None:
-                    at, hashes, owner = seeds(texts, length)
-                    kept = np.flatnonzero(_known(bits, hashes))
-                    at, hashes, owner = at[kept], hashes[kept], owner[kept]
-                    sums = texts.prefix_hashes()
-                else:
-                    lists = batch.column(3).slice(texts.first, len(texts))
-                    n = lists.value_lengths().to_numpy(zero_copy_only=False)
-                    owner = np.repeat(np.arange(len(texts)), n)
-                    at = lists.flatten().to_numpy(zero_copy_only=False) + texts.offsets[owner]
-                    sums = texts.prefix_hashes()
-                    hashes = texts_hash(sums, at, at + size)
-                first = np.maximum(texts.offsets[owner], at - (length - size))
-                last = np.minimum(texts.offsets[owner + 1], at + length)
-                around = texts_hash(sums, first, last) ^ mix(hashes)
-                row = owner + texts.first
-                order = np.lexsort((at, row_hashes[row], ids[row], around))
-                new = np.ones(len(order), dtype=bool)
-                new[1:] = around[order][1:] != around[order][:-1]
-                earlier = np.ones(len(order), dtype=bool)
-                # A repeated row is the same document, so its suffixes are no repeats of the other's.
-                group = np.flatnonzero(new)[np.cumsum(new) - 1] if len(order) else order
-                lead = order[group]
-                local = at - texts.offsets[owner]
-                same = (ids[row[order]] == ids[row[lead]]) & (row_hashes[row[order]] == row_hashes[row[lead]])
-                earlier[:] = ~(same & (local[order] == local[lead]))
-                later = order[earlier]
-                alone = order[new]
-                is_frequent = np.isin(signed(hashes[alone]), frequent)
-                left = texts_hash(sums, np.maximum(first[alone], at[alone] - beside), at[alone] + size)
-                right = texts_hash(sums, at[alone], np.minimum(last[alone], at[alone] + size + beside))
-                side = np.where(is_frequent, 1, 0)
-                seed = np.where(is_frequent, mix(left + np.uint64(1)), hashes[alone])
-                again = alone[is_frequent]
-                alone = np.concatenate([alone, again])
-                seed = np.concatenate([seed, mix(right[is_frequent] + np.uint64(2))])
-                side = np.concatenate([side, np.full(len(again), 2)])
-                raw = texts.data.tobytes()
-                contexts = [raw[a:b] for a, b in zip(first[alone], last[alone], strict=True)]
-                all_rows = np.concatenate([alone, later])
-                nothing = [None] * len(later)
-                seed = np.concatenate([seed, mix(around[later] + local[later].astype(np.uint64))])
-                start = np.concatenate([local[alone], first[later] - texts.offsets[owner[later]]])
-                taken = pa.array(row[all_rows])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array((mix(seed) % np.uint64(buckets)).astype(np.int32)),
-                        pa.array(signed(seed)),
-                        pa.array(np.concatenate([side, np.zeros(len(later), int)]).astype(np.int32)),
-                        batch.column(0).take(taken),
-                        batch.column(1).take(taken),
-                        pa.array(start.astype(np.int32)),
-                        pa.array((at - first)[all_rows].astype(np.int32)),
-                        pa.array([*contexts, *nothing], pa.binary()),
-                        pa.array([None] * len(alone) + (last - texts.offsets[owner])[later].tolist(), pa.int32()),
-                    ],
-                    [column.split()[0] for column in _SUFFIX.split(", ")],
-                )
+            order = np.lexsort((here["at"], row_hashes[row], ids[row], here["around"]))
+            around = here["around"][order]
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = around[1:] != around[:-1]
+            lead = order[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(order) else order
+            # A repeated row is the same document, so its suffixes are no repeats of the other's.
+            same = (
+                (ids[row[order]] == ids[row[lead]])
+                & (row_hashes[row[order]] == row_hashes[row[lead]])
+                & (here["at"][order] == here["at"][lead])
+            )
+            yield _repeated_rows(batch, here, order[~same], buckets)
+            alone = order[new]
+            split = np.isin(signed(here["seed"][alone]), frequent)
+            both = np.concatenate([alone, alone[split]])
+            side = np.concatenate([split.astype(int), np.full(int(split.sum()), 2)])
+            seed = np.select(
+                [side == 1, side == 2],
+                [mix(here["left"][both] + np.uint64(1)), mix(here["right"][both] + np.uint64(2))],
+                here["seed"][both],
+            )
+            texts = batch.column(2)
+            contexts, held, raw = [], -1, b""
+            by_row = np.argsort(row[both], kind="stable")
+            for i in by_row.tolist():
+                if row[both[i]] != held:
+                    held = row[both[i]]
+                    raw = texts[int(held)].as_py().encode()
+                contexts.append(raw[here["first"][both[i]] : here["last"][both[i]]])
+            both, side, seed = both[by_row], side[by_row], seed[by_row]
+            taken = pa.array(row[both])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array((mix(seed) % np.uint64(buckets)).astype(np.int32)),
+                    pa.array(signed(seed)),
+                    pa.array(side.astype(np.int32)),
+                    batch.column(0).take(taken),
+                    batch.column(1).take(taken),
+                    pa.array(here["at"][both].astype(np.int32)),
+                    pa.array((here["at"] - here["first"])[both].astype(np.int32)),
+                    pa.array(contexts, pa.binary()),
+                    pa.nulls(len(both), pa.int32()),
+                ],
+                _NAMES,
+            )
 
     source = rows if packed is not None else _places(rows, repeated, length)
     return source.mapInArrow(run, _SUFFIX)
 
 
-def texts_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _repeated_rows(batch: pa.RecordBatch, here: dict[str, np.ndarray], later: np.ndarray, buckets: int):
+    """Surroundings that an earlier text of the batch has as well, merged where they overlap."""
+    later = later[np.lexsort((here["first"][later], here["row"][later]))]
+    row, first, last = (here[name][later].astype(np.int64) for name in ("row", "first", "last"))
+    reach = np.maximum.accumulate(last + row * (1 << 40)) - row * (1 << 40) if len(later) else last
+    new = np.ones(len(later), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (first[1:] > reach[:-1])
+    at = np.flatnonzero(new)
+    ends = np.append(at[1:], len(later)) - 1 if len(at) else at
+    taken = pa.array(row[at])
+    spread = mix((first[at] + row[at] * 1_000_003).astype(np.uint64)) % np.uint64(buckets)
+    nothing = pa.array(np.zeros(len(at), dtype=np.int32))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(spread.astype(np.int32)),
+            pa.array(np.zeros(len(at), dtype=np.int64)),
+            nothing,
+            batch.column(0).take(taken),
+            batch.column(1).take(taken),
+            pa.array(first[at].astype(np.int32)),
+            nothing,
+            pa.nulls(len(at), pa.binary()),
+            pa.array(reach[ends].astype(np.int32)),
+        ],
+        _NAMES,
+    )
+
+
+def stretch_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     _, down = powers(len(sums))
     return mix((sums[ends] - sums[starts]) * down[starts])
 
