@@ -305,7 +305,9 @@ _PAIRS = f"""{_MISSIONS}
     LEFT JOIN trip USING (sk_origin, sk_destination)
 )"""
 
-_DAY_NUMBER = "CAST(date_diff('day', DATE '1995-01-01', date_iso) + 1 AS BIGINT)"
+_FIRST_DAY = """(SELECT CAST(date_trunc('year', least(
+  (SELECT min(o_orderdate) FROM orders), (SELECT min(l_shipdate) FROM lineitem))) AS DATE))"""
+_DAY_NUMBER = f"CAST(date_diff('day', {_FIRST_DAY}, date_iso) + 1 AS BIGINT)"
 
 
 def _profile(relation: str, key: str, name: str) -> str:
@@ -347,7 +349,9 @@ _OPERATORS = {
                 "sk_staff, nk_staff, last_name, first_name, job_title, activity_sector, "
                 "birth_date, sk_site",
             ),
-            _described("dim_equipment", "tb_equipment_ref", "type, model, co2_impact_kg_ref"),
+            _described(
+                "dim_equipment", "tb_equipment_ref", "sk_equipment, type, model, co2_impact_kg_ref"
+            ),
             _described(
                 "dim_transport_type",
                 "factor",
@@ -356,15 +360,25 @@ _OPERATORS = {
             _described(
                 "dim_city",
                 "(SELECT sk_origin FROM tb_mission UNION SELECT sk_destination FROM tb_mission)",
-                "city_name, country",
+                "sk_city, city_name, country_iso2, is_org_site, timezone_iana",
             ),
             _described(
                 "dim_trip",
                 "(SELECT DISTINCT sk_origin, sk_destination FROM tb_mission)",
-                "sk_origin, sk_destination",
+                "sk_trip, sk_city_origin, sk_city_destination, distance_km",
+            ),
+            _described(
+                "fact_mission",
+                "tb_mission",
+                "sk_fact_mission, nk_mission, sk_date_mission, sk_staff, sk_trip, "
+                "sk_transport_type, mission_type, round_trip_flg, co2_impact_kg",
+            ),
+            _described(
+                "fact_equipment",
+                "tb_purchase",
+                "sk_fact_equipment, nk_equipment, sk_date_purchase, sk_staff, sk_equipment, "
+                "co2_impact_kg",
             ),
-            _described("fact_mission", "tb_mission", "nk_mission"),
-            _described("fact_equipment", "tb_purchase", "nk_equipment"),
         ]
     ),
     "incremental_missing_dates": f"""
@@ -385,8 +399,8 @@ FROM (SELECT unnest(generate_series(
     UNION ALL SELECT min(l_shipdate), max(l_shipdate) FROM lineitem))""",
     "dim_transport_type": f"""{_MISSIONS}
 SELECT CAST(f.sk_transport_type AS BIGINT) AS sk_transport_type, f.transport_name,
-  CAST(kg_per_km AS DOUBLE) AS co2_factor_kg_per_km, count(*) AS missions
-FROM factor f JOIN mission m ON f.transport_name = m.transport_name GROUP BY ALL""",
+  CAST(kg_per_km AS DOUBLE) AS co2_factor_kg_per_km, count(m.nk_mission) AS missions
+FROM factor f LEFT JOIN mission m ON f.transport_name = m.transport_name GROUP BY ALL""",
     "dim_equipment": f"WITH {_CATALOGUE.strip()} SELECT sk_equipment, type, model, "
     "impact AS co2_impact_kg_ref FROM numbered_ref",
     "dim_city_sites": f"{_AUGMENTED} SELECT sk_city, city_name, country_iso2, is_org_site, "
@@ -438,16 +452,30 @@ SELECT site_name, activity_sector, count(*) AS missions FROM mission
 WHERE site_name IS NOT NULL GROUP BY ALL""",
     "join_left_dims": f"""{_MISSIONS}
 SELECT transport_raw, count(*) AS missions,
-  count(*) FILTER (date_iso BETWEEN DATE '1995-01-01' AND DATE '2001-12-31') AS with_date,
+  count(date_iso) AS with_date,
   count(*) FILTER (staff_known) AS with_staff, count(sk_origin) AS with_origin,
   count(sk_transport_type) AS with_mode
 FROM mission GROUP BY ALL""",
     "join_left_trip": f"""{_PAIRS}
-SELECT sk_city_origin, sk_city_destination, missions, sk_trip,
+SELECT nk_mission, sk_city_origin, sk_city_destination, sk_trip,
   {_round('distance_km', 3)} AS distance_km
-FROM (SELECT sk_origin AS sk_city_origin, sk_destination AS sk_city_destination,
-    count(*) AS missions FROM tb_mission GROUP BY ALL)
-  LEFT JOIN dim_trip USING (sk_city_origin, sk_city_destination)""",
+FROM (SELECT nk_mission, sk_origin AS sk_city_origin, sk_destination AS sk_city_destination
+    FROM tb_mission) LEFT JOIN dim_trip USING (sk_city_origin, sk_city_destination)""",
+    "star_fact_mission": f"""{_MISSIONS}
+SELECT CAST(nk_mission AS VARCHAR) AS nk_mission, {_DAY_NUMBER} AS sk_date_mission,
+  o.city_name AS origin_city, d.city_name AS destination_city, sk_transport_type, mission_type,
+  coalesce(round_trip, FALSE) AS round_trip_flg, {_round('co2_kg', 3)} AS co2_impact_kg
+FROM mission LEFT JOIN tb_city o ON sk_origin = o.sk_city
+  LEFT JOIN tb_city d ON sk_destination = d.sk_city""",
+    "star_keys": f"""{_PURCHASES}
+SELECT 'dim_staff' AS table_name, count(DISTINCT c_custkey) AS natural_keys,
+  count(DISTINCT c_custkey) AS surrogate_keys, CAST(1 AS BIGINT) AS most_per_natural_key
+FROM customer
+UNION ALL
+SELECT 'fact_mission', count(DISTINCT o_orderkey), count(DISTINCT o_orderkey), 1 FROM orders
+UNION ALL
+SELECT 'fact_equipment', count(DISTINCT nk_equipment), count(DISTINCT nk_equipment), 1
+FROM tb_purchase""",
     "distinct_trips": f"""{_MISSIONS}
 SELECT DISTINCT o.city_name AS origin_city, d.city_name AS destination_city
 FROM tb_mission LEFT JOIN tb_city o ON sk_origin = o.sk_city
@@ -522,4 +550,13 @@ SELECT CAST(ts AS DATE) AS day, activity_sector, count(*) AS purchases,
 FROM events JOIN tb_staff ON user_id = nk_staff WHERE event_type = 'purchase' GROUP BY ALL""",
 }
 
-ORACLE: dict[str, str] = {**_QUESTIONS, **_OPERATORS}
+# The same tables and answers by the loads' own code, and over a star saved in two halves.
+_LOADED = {
+    "star_fact_equipment": _OPERATORS["fact_equipment"],
+    "warehouse_two_loads": f"""
+SELECT 'screens' AS label, tco2e AS amount FROM ({_QUESTIONS["q07_screens_managers"]})
+UNION ALL
+SELECT destination, co2_kg FROM ({_QUESTIONS["q16_top_destinations"]})""",
+}
+
+ORACLE: dict[str, str] = {**_QUESTIONS, **_OPERATORS, **_LOADED}

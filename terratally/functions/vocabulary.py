@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # Office sites and their groups.
 SITES = ("PARIS", "BERLIN", "LONDON", "NEWYORK", "LOSANGELES", "SHANGHAI")
 EU_CITIES = ("Paris", "Berlin", "London")
-US_CITIES = ("New-York", "Los Angeles")
 
 # Job titles as spelled in the staff files -> label.
 JOB_TITLES = {
@@ -27,6 +26,9 @@ JOB_TITLES = {
     "Economist": "Economiste",
     "Data Engineer": "Ingénieur Data",
     "Computer Engineer": "Ingénieur Informaticien",
+    "Manager": "Cadre",
+    "HR Director": "DRH",
+    "IT Engineer": "Ingénieur Informaticien",
 }
 
 # Label of a job title -> sector of activity.
@@ -57,6 +59,8 @@ MISSION_TYPES = {
     "Team Meeting": "Réunion",
     "Vocational Training": "Formation",
     "Seminar": "Séminaire",
+    "Business meeting": "Rencontre entreprises",
+    "Training": "Formation",
 }
 
 # Transport modes in key order -> kg CO2e per km.

@@ -5,14 +5,16 @@ from pyspark.sql import functions as F
 
 
 def salted_lookup(
-    rows: DataFrame, dimension: DataFrame, key: str, row_id: str, salts: int = 8
+    rows: DataFrame, dimension: DataFrame, key: str, row_id: str, salts: int | None = None
 ) -> DataFrame:
-    """Inner join whose hot keys are spread over ``salts`` tasks.
+    """Inner join whose hot keys are spread over ``salts`` tasks, by default all that shuffle.
 
     Batch queries leave this to AQE, which splits a hot partition when it sees one; a
     stateful stream runs without AQE. The salt is a hash of the row's own id, so a
     repeated task sends every row to the same place again.
     """
+    if salts is None:
+        salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = rows.withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int"))
     copies = dimension.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))

@@ -7,13 +7,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terratally.functions import vocabulary
 from terratally.operators import dimensions, facts
 from terratally.operators.emissions import (
     mission_ledger_by_trip,
     with_purchase_emission,
 )
 from terratally.operators.quality import described
-from terratally.schemas import PERSONNEL_FILE
+from terratally.schemas import IMPACT_FILE, PERSONNEL_FILE
 from terratally.sources.delimited import (
     Drop,
     read_delimited,
@@ -76,28 +77,61 @@ def load_reference(
     last: date = dimensions.CALENDAR_LAST,
     city_cache: str | None = None,
 ) -> ReferenceTables:
-    """Build the reference tables from the staff files and the impact catalogue.
+    """Build the reference tables from the staff files and the impact catalogue."""
+    raw_staff = read_delimited(spark, drop.personnel(), schema=PERSONNEL_FILE)
+    impacts = read_delimited(spark, drop.impacts(), ",", schema=IMPACT_FILE)
+    return reference_of(
+        dimensions.cleaned_personnel(raw_staff),
+        dimensions.cleaned_impacts(impacts),
+        places(spark, city_cache),
+        first,
+        last,
+    )
+
 
-    The tables that later joins share are written once and read back.
+def reference_of(
+    personnel: DataFrame, impacts: DataFrame, known_places: DataFrame, first: date, last: date
+) -> ReferenceTables:
+    """The reference tables from cleaned rows; those that later joins share are written once.
+
+    An employee or a (type, model) listed twice is an error: facts are joined to both, so each of
+    their rows would come out as often.
     """
-    raw_staff = read_delimited(spark, drop.personnel(), schema=PERSONNEL_FILE)
-    personnel = dimensions.cleaned_personnel(raw_staff)
-    impacts = dimensions.cleaned_impacts(read_delimited(spark, drop.impacts(), ","))
-    known_places = places(spark, city_cache)
+    spark = personnel.sparkSession
     site_names = stored(dimensions.one_row_per_city(personnel), "site-names")
     cities = stored(dimensions.site_cities(site_names, known_places), "site-cities")
+    staff = stored(dimensions.staff(personnel, cities), "staff")
+    _one_row_per(staff, "nk_staff")
+    catalogue = stored(impacts, "catalogue")
+    _one_row_per(catalogue.select("type", F.trim("model").alias("model")), "type", "model")
     return ReferenceTables(
         first=first,
         last=last,
         dim_date=dimensions.calendar(spark, first, last),
         dim_transport_type=dimensions.transport_types(spark),
-        dim_equipment=stored(dimensions.equipment(impacts), "equipment"),
+        dim_equipment=stored(dimensions.equipment(catalogue), "equipment"),
         cities=cities,
-        dim_staff=stored(dimensions.staff(personnel, cities), "staff"),
+        dim_staff=staff,
         places=known_places,
     )
 
 
+def _one_row_per(table: DataFrame, *key: str) -> None:
+    repeated = table.groupBy(*key).count().where("count > 1").first()
+    if repeated is not None:
+        named = ", ".join(f"{name} {repeated[name]!r}" for name in key)
+        raise ValueError(f"listed {repeated['count']} times, which would multiply facts: {named}")
+
+
+def _within_calendar(rows: DataFrame, first: date, last: date) -> None:
+    """Facts keep a day by its number in the calendar, so a day beyond it would be lost."""
+    seen = rows.agg(F.min("date_iso").alias("first"), F.max("date_iso").alias("last")).first()
+    if seen["first"] is not None and (seen["first"] < first or seen["last"] > last):
+        raise ValueError(
+            f"rows of {seen['first']} to {seen['last']} leave the calendar {first} to {last}"
+        )
+
+
 def load_period(
     spark: SparkSession,
     drop: Drop,
@@ -120,12 +154,15 @@ def star_of(
     purchases: DataFrame,
     reference: ReferenceTables,
     known_cities: DataFrame | None = None,
+    default_model: str = vocabulary.DEFAULT_MODEL,
 ) -> Star:
     """Build cities, trips and both facts from cleaned rows, read or ingested.
 
-    ``known_cities`` is the city table of earlier loads, whose keys are kept; without it
-    only the office cities are known beforehand.
+    Keys hold within this star; ``save_star`` replaces them by those of a stored one.
+    ``known_cities`` may be the city table of an earlier load, whose keys are kept.
     """
+    for rows in (missions, purchases):
+        _within_calendar(rows, reference.first, reference.last)
     known = reference.cities if known_cities is None else known_cities
     new_names = stored(dimensions.new_cities(known, missions), "new-cities")
     cities = stored(
@@ -137,7 +174,7 @@ def star_of(
         facts.with_staff(missions, staff), cities, trips
     )
     purchase_ledger = with_purchase_emission(
-        facts.with_staff(purchases, staff), reference.dim_equipment
+        facts.with_staff(purchases, staff), reference.dim_equipment, default_model
     )
     calendar = (reference.first, reference.last)
     return Star(

@@ -2,6 +2,7 @@
 
 import uuid
 from collections.abc import Callable
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,9 +12,11 @@ from terratally.functions import keys, vocabulary
 from terratally.functions.measures import rounded
 from terratally.operators import dimensions, emissions, facts, quality
 from terratally.schemas import DIM_STAFF, DIM_TRANSPORT_TYPE, FACT_EQUIPMENT, FACT_MISSION
-from terratally.sources.testbed import CALENDAR_FIRST, CALENDAR_LAST, Testbed
+from terratally.plans.loads import Star, reference_of, star_of
+from terratally.plans.questions import QUESTIONS
+from terratally.plans.warehouse import StarSource, open_star, save_star
+from terratally.sources.testbed import Testbed
 from terratally.sources.warehouse import (
-    missing_days,
     read_days,
     shared_folder,
     stored,
@@ -21,8 +24,6 @@ from terratally.sources.warehouse import (
 )
 from terratally.streaming.daily import stream_daily_totals as run_stream
 
-_CALENDAR = (CALENDAR_FIRST, CALENDAR_LAST)
-
 # Hash keys have no counterpart outside Spark, so a comparison leaves them out.
 _HASHED = ("sk_staff", "sk_fact_mission", "sk_fact_equipment")
 
@@ -91,11 +92,44 @@ def _all_cities(t: Testbed) -> DataFrame:
     )
 
 
-def _calendar(t: Testbed) -> DataFrame:
+def _years(t: Testbed) -> DataFrame:
+    """First and last day of the years that missions and purchases touch."""
     days = t.table("orders").select(F.to_date("o_orderdate").alias("day")).unionByName(
         t.table("lineitem").select(F.to_date("l_shipdate").alias("day"))
     )
-    return dimensions.calendar_between(dimensions.whole_years(days, "day"))
+    return dimensions.whole_years(days, "day")
+
+
+def _calendar(t: Testbed) -> DataFrame:
+    return dimensions.calendar_between(_years(t))
+
+
+def _bounds(t: Testbed) -> tuple[date, date]:
+    """The calendar of DIM_DATE, by which the facts count their days."""
+    return tuple(_years(t).first())
+
+
+def _star(
+    t: Testbed,
+    first: date | None = None,
+    last: date | None = None,
+    catalogue: DataFrame | None = None,
+) -> Star:
+    """The star by the loads' own code, from rows as the files give them."""
+    personnel = t.personnel().withColumn("nk_staff", F.col("nk_staff").cast("string"))
+    reference = reference_of(
+        personnel, t.catalogue() if catalogue is None else catalogue, t.places(), *_bounds(t)
+    )
+    staffed = {"nk_staff": F.col("nk_staff").cast("string")}
+    missions = t.named_missions(first, last).withColumns(staffed).select(
+        F.col("nk_mission").cast("string").alias("nk_mission"),
+        *("nk_staff", "date_iso", "mission_type", "origin_city", "origin_country"),
+        *("destination_city", "destination_country", "transport_raw", "round_trip"),
+    )
+    purchases = t.purchases(first, last, staffed=True).withColumns(staffed).select(
+        "nk_equipment", "nk_staff", "date_iso", "type", "model"
+    )
+    return star_of(missions, purchases, reference, default_model=t.default_model)
 
 
 # --- scans and sources ------------------------------------------------------------
@@ -108,40 +142,49 @@ def scan_date_window(t: Testbed) -> DataFrame:
 
 
 def table_counts(t: Testbed) -> DataFrame:
-    purchases, missions = t.purchases(), t.missions()
-    tables = [
-        ("dim_date", _calendar(t)),
-        ("dim_staff", dimensions.staff(t.personnel(), t.cities())),
-        ("dim_equipment", t.catalogue().select("type", "model", "co2_impact_kg_ref")),
-        ("dim_transport_type", dimensions.transport_types(t.spark)),
-        ("dim_city", t.named_missions().transform(dimensions.mission_ends).transform(
-            dimensions.one_row_per_city)),
-        ("dim_trip", missions.select("sk_origin", "sk_destination").distinct()),
-        ("fact_mission", missions.select("nk_mission")),
-        ("fact_equipment", purchases.select("nk_equipment")),
-    ]
-    return reduce(DataFrame.unionByName, [quality.described(n, f) for n, f in tables])
+    """Rows and columns of the eight tables of the loaded star."""
+    return _star(t).counts()
 
 
 def incremental_missing_dates(t: Testbed) -> DataFrame:
     """Days still to be loaded, and their missions, once the period has been."""
-    missing = missing_days(t.raw_missions(), t.raw_missions(*t.labels.period), "date_iso")
+    loaded = t.raw_missions(*t.labels.period).select("date_iso")
     per_day = t.raw_missions().groupBy("date_iso").agg(F.count("*").alias("missions"))
-    return per_day.join(missing, "date_iso", "left_semi")
+    return per_day.join(loaded.distinct(), "date_iso", "left_anti").where(F.col("date_iso").isNotNull())
 
 
 def warehouse_days(t: Testbed) -> DataFrame:
-    """September's missions saved by day; its second half read back, summed per day."""
+    """All missions saved by day; the second half of September read back, summed per day."""
     first, last = t.labels.months(9, 9)
     path = f"{shared_folder(t.spark)}/fact-mission-{uuid.uuid4().hex}"
-    ledger = emissions.mission_ledger(t.missions(first, last), t.cities())
-    write_days(ledger.select("nk_mission", "date_iso", "co2_kg"), path, "date_iso")
+    write_days(_ledger(t).select("nk_mission", "date_iso", "co2_kg"), path, "date_iso")
     later = read_days(t.spark, path, first.replace(day=16), last)
     return later.groupBy("date_iso").agg(
         F.count("*").alias("missions"), rounded(F.sum("co2_kg"), 3).alias("co2_kg")
     )
 
 
+def warehouse_two_loads(t: Testbed) -> DataFrame:
+    """Questions over a star saved in two halves, the catalogue having grown in between.
+
+    The added equipment sorts before all other, so keys by rank alone would move.
+    """
+    root = f"{shared_folder(t.spark)}/star-{uuid.uuid4().hex}"
+    first, last = t.labels.period
+    middle = t.labels.months(8, 8)[0]
+    save_star(_star(t, first, middle - timedelta(days=1)), root)
+    added = t.catalogue().agg(
+        F.lit("A").alias("type"), F.lit("A").alias("model"), F.lit(1.0).alias("co2_impact_kg_ref")
+    )
+    save_star(_star(t, middle, last, t.catalogue().unionByName(added)), root)
+    source = StarSource(open_star(t.spark, root), t.labels)
+    screens = QUESTIONS["q07_screens_managers"](source)
+    cities = QUESTIONS["q16_top_destinations"](source)
+    return screens.select(F.lit("screens").alias("label"), F.col("tco2e").alias("amount")).unionByName(
+        cities.select(F.col("destination").alias("label"), F.col("co2_kg").alias("amount"))
+    )
+
+
 # --- dimensions -------------------------------------------------------------------
 
 
@@ -150,10 +193,12 @@ def dim_date(t: Testbed) -> DataFrame:
 
 
 def dim_transport_type(t: Testbed) -> DataFrame:
-    """The modes with the number of missions that used them."""
+    """All modes with the number of missions that used them."""
     used = _mission_totals(t).groupBy("transport_name").agg(F.sum("missions").alias("missions"))
-    modes = F.broadcast(dimensions.transport_types(t.spark))
-    return used.join(modes, "transport_name").select(*DIM_TRANSPORT_TYPE.names, "missions")
+    modes = dimensions.transport_types(t.spark)
+    return modes.join(used, "transport_name", "left").select(
+        *DIM_TRANSPORT_TYPE.names, F.coalesce("missions", F.lit(0)).alias("missions")
+    )
 
 
 def dim_equipment(t: Testbed) -> DataFrame:
@@ -182,10 +227,54 @@ def dim_trip(t: Testbed) -> DataFrame:
 
 
 def fact_mission(t: Testbed) -> DataFrame:
-    table = facts.fact_mission(_ledger(t), *_CALENDAR).select(*FACT_MISSION.names)
+    table = facts.fact_mission(_ledger(t), *_bounds(t)).select(*FACT_MISSION.names)
     return _to_grams(table.drop(*_HASHED), "co2_impact_kg")
 
 
+def star_fact_mission(t: Testbed) -> DataFrame:
+    """FACT_MISSION by the loads' own code, its trip read through DIM_TRIP and DIM_CITY."""
+    star = _star(t)
+    ends = star.dim_trip.select("sk_trip", "sk_city_origin", "sk_city_destination")
+    rows = star.fact_mission.join(ends, "sk_trip", "left")
+    for end in ("origin", "destination"):
+        city = star.dim_city.select(
+            F.col("sk_city").alias(f"sk_city_{end}"), F.col("city_name").alias(f"{end}_city")
+        )
+        rows = rows.join(city, f"sk_city_{end}", "left")
+    named = rows.select(
+        *("nk_mission", "sk_date_mission", "origin_city", "destination_city"),
+        *("sk_transport_type", "mission_type", "round_trip_flg", "co2_impact_kg"),
+    )
+    return _to_grams(named, "co2_impact_kg")
+
+
+def star_fact_equipment(t: Testbed) -> DataFrame:
+    """FACT_EQUIPMENT by the loads' own code."""
+    return _star(t).fact_equipment.drop(*_HASHED)
+
+
+def star_keys(t: Testbed) -> DataFrame:
+    """Distinct hashed keys of the star against distinct natural keys."""
+    star = _star(t)
+    tables = {
+        "dim_staff": (star.dim_staff, "sk_staff", "nk_staff"),
+        "fact_mission": (star.fact_mission, "sk_fact_mission", "nk_mission"),
+        "fact_equipment": (star.fact_equipment, "sk_fact_equipment", "nk_equipment"),
+    }
+    counts = [
+        table.groupBy(natural)
+        .agg(F.min(key).alias("key"), F.countDistinct(key).alias("keys"))
+        .agg(
+            F.lit(name).alias("table_name"),
+            F.count("*").alias("natural_keys"),
+            F.countDistinct("key").alias("surrogate_keys"),
+            F.max("keys").alias("most_per_natural_key"),
+        )
+        for name, (table, key, natural) in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def transport_haul_split(t: Testbed) -> DataFrame:
     split = _mission_totals(t)
     return split.groupBy("transport_name").agg(
@@ -202,7 +291,7 @@ def mission_co2(t: Testbed) -> DataFrame:
 
 def fact_equipment(t: Testbed) -> DataFrame:
     ledger = _purchase_ledger(t, _stored_equipment(t))
-    table = facts.fact_equipment(ledger, *_CALENDAR).select(*FACT_EQUIPMENT.names)
+    table = facts.fact_equipment(ledger, *_bounds(t)).select(*FACT_EQUIPMENT.names)
     return table.drop(*_HASHED)
 
 
@@ -251,7 +340,7 @@ def join_inner_site(t: Testbed) -> DataFrame:
 
 def join_left_dims(t: Testbed) -> DataFrame:
     """How many missions per raw transport find their day, employee, ends and mode."""
-    days = dimensions.calendar(t.spark, *_CALENDAR)
+    days = _calendar(t)
     modes = F.broadcast(dimensions.transport_types(t.spark))
     joined = (
         _ledger(t)
@@ -269,12 +358,11 @@ def join_left_dims(t: Testbed) -> DataFrame:
 
 
 def join_left_trip(t: Testbed) -> DataFrame:
-    """Missions per pair of cities, left-joined to DIM_TRIP on both keys."""
-    pairs = t.missions().groupBy(
-        F.col("sk_origin").alias("sk_city_origin"),
-        F.col("sk_destination").alias("sk_city_destination"),
-    ).agg(F.count("*").alias("missions"))
-    joined = pairs.join(_trips(t), ["sk_city_origin", "sk_city_destination"], "left")
+    """Every mission left-joined to DIM_TRIP on both ends."""
+    trips = stored(_trips(t), "trips")
+    ends = {"sk_city_origin": F.col("sk_origin"), "sk_city_destination": F.col("sk_destination")}
+    rows = t.missions().withColumns(ends).select("nk_mission", *ends)
+    joined = rows.join(trips, list(ends), "left")
     return _to_grams(joined, "distance_km")
 
 
@@ -430,6 +518,7 @@ OPERATORS: dict[str, Callable[[Testbed], DataFrame]] = {
         table_counts,
         incremental_missing_dates,
         warehouse_days,
+        warehouse_two_loads,
         dim_date,
         dim_transport_type,
         dim_equipment,
@@ -438,6 +527,9 @@ OPERATORS: dict[str, Callable[[Testbed], DataFrame]] = {
         dim_staff,
         dim_trip,
         fact_mission,
+        star_fact_mission,
+        star_fact_equipment,
+        star_keys,
         transport_haul_split,
         mission_co2,
         fact_equipment,

@@ -5,68 +5,172 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terratally.functions import vocabulary
+from terratally import schemas
+from terratally.functions import keys, vocabulary
+from terratally.operators import dimensions
 from terratally.operators.facts import with_site, with_staff
 from terratally.plans.labels import Labels
 from terratally.plans.loads import Star, with_day
 from terratally.sources.warehouse import (
-    add_undated,
-    append_new,
-    only_new_days,
+    day_layout,
+    merge_days,
+    only_new_rows,
     read_days,
+    stored,
+    table_if_any,
     within_days,
-    write_days,
     write_table,
 )
 
-_GROWING = {"dim_city": "sk_city", "dim_trip": "sk_trip"}
 _NATURAL_KEYS = {"fact_mission": "nk_mission", "fact_equipment": "nk_equipment"}
 _DAY_KEYS = {"fact_mission": "sk_date_mission", "fact_equipment": "sk_date_purchase"}
+_TRIP_MASK = 2**32 - 1
 
 
 def save_star(star: Star, root: str, only_new: bool = False) -> None:
-    """Write the star under ``root``: facts by day, dimensions as a whole.
+    """Add a star to the one under ``root``, which may not exist yet.
 
-    Days already there are replaced, or left alone with ``only_new``; other days stay.
-    Cities, trips and rows without a day only ever gain rows.
+    Members of a dimension are matched by their natural keys and keep the surrogate keys they
+    have there; new ones are numbered after the highest, and the facts get those keys. Fact rows
+    replace stored ones of the same natural key, or give way to them with ``only_new``; no other
+    stored row is touched, whichever site or day it is of.
     """
-    for name, table in star.tables().items():
-        path = f"{root}/{name}"
-        if name in _GROWING:
-            append_new(table, path, _GROWING[name])
-            continue
-        if name not in _DAY_KEYS:
-            write_table(table, path)
-            continue
-        rows = with_day(table.drop("year", "month", "day"), _DAY_KEYS[name], star.first)
-        dated = rows.where(F.col("date_iso").isNotNull())
+    spark = star.dim_city.sparkSession
+    cities, city_keys = _matched(
+        star.dim_city, _table(spark, root, "dim_city"), "sk_city", ["city_name"]
+    )
+    equipment, equipment_keys = _matched(
+        star.dim_equipment, _table(spark, root, "dim_equipment"), "sk_equipment", ["type", "model"]
+    )
+    first, last = _calendar(spark, root, star)
+    tables = {
+        "dim_date": dimensions.calendar(spark, first, last),
+        "dim_transport_type": star.dim_transport_type,
+        "dim_equipment": equipment,
+        "dim_city": cities,
+        "dim_staff": _staff(star, _table(spark, root, "dim_staff"), city_keys),
+        "dim_trip": _trips(star, _table(spark, root, "dim_trip"), city_keys),
+    }
+    facts = {
+        "fact_mission": _with_trip_key(star.fact_mission, city_keys),
+        "fact_equipment": _renamed_key(star.fact_equipment, "sk_equipment", equipment_keys),
+    }
+    for name, fact in facts.items():
+        path, layout = f"{root}/{name}", getattr(schemas, name.upper())
+        rows = _numbered_from(fact.select(*layout.names), _DAY_KEYS[name], star.first, first)
         if only_new:
-            dated = only_new_days(dated, path, "date_iso")
-        write_days(dated, path, "date_iso")
-        undated = rows.where(F.col("date_iso").isNull())
-        add_undated(undated, path, "date_iso", _NATURAL_KEYS[name])
+            rows = only_new_rows(rows, path, day_layout(layout, "date_iso"), _NATURAL_KEYS[name])
+        merge_days(rows, path, layout, "date_iso", _NATURAL_KEYS[name])
+    # Dimensions come last and are staged, as they are made from what they replace.
+    for name, table in {n: stored(t, n) for n, t in tables.items()}.items():
+        write_table(table, f"{root}/{name}")
+
+
+def _table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    return table_if_any(spark, f"{root}/{name}", getattr(schemas, name.upper()))
+
+
+def _matched(
+    incoming: DataFrame, kept: DataFrame | None, key: str, natural: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """The dimension of both loads, and ``old``, ``new``: the incoming keys and what they become.
+
+    A stored member takes the other attributes of the incoming one. NULL matches NULL.
+    """
+    incoming = stored(incoming, f"incoming-{key}")
+    if kept is None:
+        return incoming, incoming.select(F.col(key).alias("old"), F.col(key).alias("new"))
+    names = [F.coalesce(c, F.lit("")).alias(c) for c in natural]
+    known = stored(kept.select(F.struct(*names).alias("member"), F.col(key).alias("new")), f"known-{key}")
+    named = incoming.withColumn("member", F.struct(*names))
+    fresh = stored(named.join(known, "member", "left_anti").drop(key, "member"), f"fresh-{key}")
+    highest = known.agg(F.coalesce(F.max("new"), F.lit(0))).scalar()
+    order = [F.coalesce(c, F.lit("")).alias(c) for c in natural]
+    numbered = stored(keys.with_dense_key(fresh, key, order, highest), f"numbered-{key}")
+    everyone = known.unionByName(
+        numbered.select(F.struct(*names).alias("member"), F.col(key).alias("new"))
+    )
+    changed = named.drop(key).join(everyone, "member").withColumnRenamed("new", key)
+    table = kept.join(changed.select(key), key, "left_anti").unionByName(changed.select(*kept.columns))
+    moved = named.select("member", F.col(key).alias("old")).join(everyone, "member")
+    return table, stored(moved.select("old", "new"), f"moved-{key}")
+
+
+def _renamed_key(rows: DataFrame, column: str, moved: DataFrame) -> DataFrame:
+    names = rows.columns
+    to = moved.select(F.col("old").alias(column), F.col("new").alias("_new"))
+    return rows.join(to, column, "left").withColumn(column, F.col("_new")).select(*names)
+
+
+def _with_trip_key(fact: DataFrame, city_keys: DataFrame) -> DataFrame:
+    ends = fact.withColumns(
+        {
+            "_origin": F.shiftright("sk_trip", 32),
+            "_destination": F.col("sk_trip").bitwiseAND(F.lit(_TRIP_MASK)),
+        }
+    )
+    for end in ("_origin", "_destination"):
+        ends = _renamed_key(ends, end, city_keys)
+    key = keys.trip_key(F.col("_origin"), F.col("_destination"))
+    return ends.withColumn("sk_trip", key).drop("_origin", "_destination")
+
+
+def _trips(star: Star, kept: DataFrame | None, city_keys: DataFrame) -> DataFrame:
+    trips = star.dim_trip
+    for end in ("sk_city_origin", "sk_city_destination"):
+        trips = _renamed_key(trips, end, city_keys)
+    key = keys.trip_key(F.col("sk_city_origin"), F.col("sk_city_destination"))
+    trips = trips.withColumn("sk_trip", key).where(F.col("sk_trip").isNotNull())
+    if kept is None:
+        return trips
+    return kept.join(trips.select("sk_trip"), "sk_trip", "left_anti").unionByName(trips)
+
+
+def _staff(star: Star, kept: DataFrame | None, city_keys: DataFrame) -> DataFrame:
+    """Employees of both loads: those who have left still own facts."""
+    staff = _renamed_key(star.dim_staff, "sk_site", city_keys)
+    if kept is None:
+        return staff
+    return kept.join(staff.select("nk_staff"), "nk_staff", "left_anti").unionByName(staff)
+
+
+def _calendar(spark: SparkSession, root: str, star: Star) -> tuple[date, date]:
+    """First and last day of both calendars; the stored origin must not move."""
+    kept = _table(spark, root, "dim_date")
+    if kept is None:
+        return star.first, star.last
+    first, last = _bounds(kept)
+    if star.first < first:
+        raise ValueError(f"the stored calendar starts on {first}, after {star.first}")
+    return first, max(last, star.last)
+
+
+def _bounds(dim_date: DataFrame) -> tuple[date, date]:
+    return tuple(dim_date.agg(F.min("date_iso"), F.max("date_iso")).first())
+
+
+def _numbered_from(fact: DataFrame, key: str, old: date, new: date) -> DataFrame:
+    """Add the day, and count it from another first day."""
+    return with_day(fact, key, old).withColumn(key, F.col(key) + (old - new).days)
 
 
 def open_star(
-    spark: SparkSession,
-    root: str,
-    first: date,
-    last: date,
-    since: date | None = None,
-    until: date | None = None,
+    spark: SparkSession, root: str, since: date | None = None, until: date | None = None
 ) -> Star:
     """Read a saved star; ``since`` and ``until`` prune the facts' partitions.
 
     The facts keep the partition columns year, month and day, by which the questions
-    prune further.
+    prune further. The calendar is the saved one.
     """
     tables = {}
     for name in Star.__dataclass_fields__:
         if name in _DAY_KEYS:
-            fact = read_days(spark, f"{root}/{name}", since, until)
+            layout = day_layout(getattr(schemas, name.upper()), "date_iso")
+            fact = read_days(spark, f"{root}/{name}", since, until, layout)
             tables[name] = fact.drop("date_iso")
         elif name not in ("first", "last"):
-            tables[name] = spark.read.parquet(f"{root}/{name}")
+            tables[name] = _table(spark, root, name)
+    first, last = _bounds(tables["dim_date"])
     return Star(first=first, last=last, **tables)
 
 

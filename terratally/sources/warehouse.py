@@ -8,6 +8,7 @@ from functools import cache
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 _DAY_PARTITIONS = ("year", "month", "day")
 
@@ -63,17 +64,55 @@ def write_days(frame: DataFrame, path: str, day: str) -> None:
     )
 
 
-def add_undated(frame: DataFrame, path: str, day: str, key: str) -> None:
-    """Add rows without a day to the partition of such rows, unless ``key`` is there.
+def merge_days(frame: DataFrame, path: str, layout: StructType, day: str, key: str) -> None:
+    """Add rows to a fact kept by day, undated ones included.
 
-    Replacing that partition would lose the undated rows of other loads.
+    A stored row with the ``key`` of a new one gives way to it, wherever its day was; all other
+    stored rows stay, also those of the same days. Only days that change are written again.
     """
-    table = _table_if_any(frame.sparkSession, path)
-    if table is not None:
-        undated = table.where(F.col("year").isNull()).select(key)
-        frame = frame.join(undated, key, "left_anti").select(*frame.columns)
-    split = _split_by_day(frame, day)
-    split.write.mode("append").partitionBy(*_DAY_PARTITIONS).parquet(path)
+    spark = frame.sparkSession
+    incoming = stored(_split_by_day(frame, day), "incoming")
+    table = table_if_any(spark, path, day_layout(layout, day))
+    if table is None:
+        incoming.hint("rebalance", *_DAY_PARTITIONS).write.partitionBy(*_DAY_PARTITIONS).parquet(path)
+        return
+    keys = incoming.select(key).distinct()
+    replaced = table.join(keys, key, "left_semi").select(*_DAY_PARTITIONS)
+    before = stored(replaced.distinct(), "replaced-days")
+    touched = before.unionByName(incoming.select(*_DAY_PARTITIONS)).distinct()
+    same_day = [table[c].eqNullSafe(touched[c]) for c in _DAY_PARTITIONS]
+    kept = table.join(touched, same_day, "left_semi").join(keys, key, "left_anti")
+    merged = stored(kept.select(*incoming.columns).unionByName(incoming), "merged-days")
+    (
+        merged.hint("rebalance", *_DAY_PARTITIONS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*_DAY_PARTITIONS)
+        .parquet(path)
+    )
+    _drop_emptied(before, merged, path)
+
+
+def _drop_emptied(before: DataFrame, merged: DataFrame, path: str) -> None:
+    """Remove partitions whose last row has moved; an overwrite leaves those alone.
+
+    At most one row per day of the calendar is collected.
+    """
+    left = merged.select(*_DAY_PARTITIONS).distinct()
+    same_day = [before[c].eqNullSafe(left[c]) for c in _DAY_PARTITIONS]
+    for row in before.join(left, same_day, "left_anti").collect():
+        parts = (f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in _DAY_PARTITIONS)
+        context = before.sparkSession.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path("/".join([path, *parts]))
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def day_layout(layout: StructType, day: str) -> StructType:
+    """Layout of a fact kept by day: its columns, the day, and the partition columns."""
+    whole = StructType([*layout.fields, StructField(day, DateType())])
+    for part in _DAY_PARTITIONS:
+        whole.add(part, "integer")
+    return whole
 
 
 def _split_by_day(frame: DataFrame, day: str) -> DataFrame:
@@ -86,10 +125,15 @@ def _split_by_day(frame: DataFrame, day: str) -> DataFrame:
 
 
 def read_days(
-    spark: SparkSession, path: str, first: date | None = None, last: date | None = None
+    spark: SparkSession,
+    path: str,
+    first: date | None = None,
+    last: date | None = None,
+    layout: StructType | None = None,
 ) -> DataFrame:
-    """Read a fact back; the bounds prune whole partitions."""
-    return within_days(spark.read.parquet(path), first, last)
+    """Read a fact back; the bounds prune whole partitions. With a layout it may be empty."""
+    reader = spark.read if layout is None else spark.read.schema(layout)
+    return within_days(reader.parquet(path), first, last)
 
 
 def within_days(table: DataFrame, first: date | None, last: date | None) -> DataFrame:
@@ -116,28 +160,16 @@ def missing_days(incoming: DataFrame, loaded: DataFrame, day: str) -> DataFrame:
     )
 
 
-def only_new_days(incoming: DataFrame, path: str, day: str) -> DataFrame:
-    """Rows of ``incoming`` whose day has no partition under ``path`` yet."""
-    table = _table_if_any(incoming.sparkSession, path)
-    if table is None:
-        return incoming
-    loaded = table.select(F.make_date(*_DAY_PARTITIONS).alias(day)).distinct()
-    # One row per day of the calendar, however large the fact.
-    return incoming.join(F.broadcast(loaded), day, "left_anti")
-
-
-def append_new(frame: DataFrame, path: str, key: str) -> None:
-    """Append the rows whose ``key`` the table under ``path`` does not have yet."""
-    rows = frame.where(F.col(key).isNotNull())
-    table = _table_if_any(frame.sparkSession, path)
-    if table is not None:
-        rows = rows.join(table.select(key), key, "left_anti")
-    rows.select(*frame.columns).write.mode("append").parquet(path)
+def only_new_rows(incoming: DataFrame, path: str, layout: StructType, key: str) -> DataFrame:
+    """Rows of ``incoming`` whose ``key`` the table under ``path`` does not have yet."""
+    table = table_if_any(incoming.sparkSession, path, layout)
+    return incoming if table is None else incoming.join(table.select(key), key, "left_anti")
 
 
-def _table_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+def table_if_any(spark: SparkSession, path: str, layout: StructType) -> DataFrame | None:
+    """The table under ``path`` by its published layout, so that it may hold no file yet."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema(layout).parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             return None

@@ -17,7 +17,7 @@ def daily_totals(events: DataFrame, staff: DataFrame) -> DataFrame:
         "event_id",
         F.col("user_id").alias("nk_staff"),
         # The day as recorded, in whatever zone the session keeps; fixed 24-hour windows
-        # would cut days in UTC. It is the event time, so old days can leave the state.
+        # would cut days in UTC.
         F.date_trunc("day", F.col("ts").cast("timestamp")).alias("day"),
         "value",
     )
@@ -44,8 +44,8 @@ def stream_daily_totals(
 ) -> DataFrame:
     """Run the events now available through ``daily_totals`` and return the table.
 
-    The state holds one row per day and sector. Every batch replaces the table with the
-    complete result, so a repeated batch does no harm.
+    The result is complete after every batch, so the state keeps one row per day and sector
+    for good; a repeated batch replaces the table with the same rows.
     """
     events = (
         spark.readStream.schema(layout)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from terratally import schemas
 from terratally.functions import vocabulary
 from terratally.operators import quality
-from terratally.operators.dimensions import CALENDAR_FIRST, CALENDAR_LAST
+from terratally.operators.dimensions import CALENDAR_FIRST
 from terratally.plans.loads import load_period, load_reference, star_of
 from terratally.plans.questions import QUESTIONS
 from terratally.plans.warehouse import StarSource, open_star, save_star
@@ -214,7 +214,7 @@ def test_saved_star_gives_the_same_answers(spark, drop, star, reference, source,
     root = str(tmp_path / "star")
     save_star(star, root)
     save_star(star, root)
-    again = open_star(spark, root, CALENDAR_FIRST, CALENDAR_LAST)
+    again = open_star(spark, root)
     assert again.fact_mission.count() == len(IN_PERIOD)
     assert again.dim_trip.count() == star.dim_trip.count()
     reopened = StarSource(again)
@@ -224,16 +224,14 @@ def test_saved_star_gives_the_same_answers(spark, drop, star, reference, source,
     july = QUESTIONS["q13_seminars_site"](reopened)._jdf.queryExecution().toString()
     scans = [line for line in july.splitlines() if "FileScan" in line and "fact_mission" in line]
     assert scans and all("20260701" in line for line in scans)
-    pruned = open_star(spark, root, CALENDAR_FIRST, CALENDAR_LAST, date(2026, 9, 1), LAST)
+    pruned = open_star(spark, root, date(2026, 9, 1), LAST)
     assert sorted(r.nk_mission for r in pruned.fact_mission.collect()) == [
         "M07", "M08", "M09", "M12",
     ]
-    # A later period keeps the city keys, and only its new days are added.
-    later = load_period(
-        spark, drop, date(2026, 10, 1), date(2026, 11, 30), reference, again.dim_city
-    )
+    # A later period keeps the stored keys, and only its new rows are added.
+    later = load_period(spark, drop, date(2026, 10, 1), date(2026, 11, 30), reference)
     save_star(later, root, only_new=True)
-    grown = open_star(spark, root, CALENDAR_FIRST, CALENDAR_LAST)
+    grown = open_star(spark, root)
     assert grown.fact_mission.count() == len(MISSIONS)
     assert grown.fact_mission.where("sk_date_mission IS NULL").count() == 1
     assert grown.dim_city.count() == star.dim_city.count()
@@ -257,3 +255,102 @@ def test_other_year_stays_out(spark, tmp_path, drop, reference):
     star = load_period(spark, elsewhere, date(2027, 1, 1), date(2027, 12, 31), reference)
     assert star.fact_mission.count() == 1
     assert answer(StarSource(star), "q08_eu_missions") == [(0.0,)]
+
+
+# --- several loads ----------------------------------------------------------------
+
+
+def kept(spark, root):
+    return {r.nk_mission for r in open_star(spark, root).fact_mission.collect()}
+
+
+def a_drop(folder, **rows):
+    from terratally.sources.delimited import Drop
+    from tests.drop import write_drop
+
+    folder.mkdir()
+    write_drop(folder, **rows)
+    return Drop(str(folder))
+
+
+def saved(spark, drop, root, first=FIRST, last=LAST, **options):
+    save_star(load_period(spark, drop, first, last, load_reference(spark, drop)), root, **options)
+    return StarSource(open_star(spark, root))
+
+
+def test_equipment_keys_stay_when_the_catalogue_grows(spark, tmp_path):
+    drop, root = a_drop(tmp_path / "d"), str(tmp_path / "star")
+    assert answer(saved(spark, drop, root), "q07_screens_managers") == [(0.12,)]
+    catalogue = tmp_path / "d" / "materiel_informatique_impact.csv"
+    catalogue.write_text(catalogue.read_text() + "Borne wifi,first by name,7\n", encoding="utf-8")
+    again = saved(spark, drop, root, date(2026, 10, 1))
+    assert answer(again, "q07_screens_managers") == [(0.12,)]
+    assert again.star.dim_equipment.count() == again.star.dim_equipment.select("sk_equipment").distinct().count() == 8
+
+
+def test_new_city_of_a_second_load_gets_its_own_key(spark, tmp_path):
+    root = str(tmp_path / "star")
+    saved(spark, a_drop(tmp_path / "d1", missions=MISSIONS[:4]), root)
+    oslo = [("PARIS", "20260801", "M20", "P1", "Réunion", "Paris", "France", "Oslo", "Norvège", "Train", "oui")]
+    source = saved(spark, a_drop(tmp_path / "d2", missions=oslo), root)
+    cities = {r.sk_city: r.city_name for r in source.star.dim_city.collect()}
+    assert {"Oslo", "Atlantis", "Lille"} <= set(cities.values()) and len(cities) == len(set(cities.values()))
+    trips = {r.sk_trip: cities[r.sk_city_destination] for r in source.star.dim_trip.collect()}
+    goals = {r.nk_mission: trips[r.sk_trip] for r in source.star.fact_mission.collect()}
+    assert goals["M20"] == "Oslo" and goals["M04"] == "Atlantis"
+
+
+def test_late_files_and_single_sites_lose_nothing(spark, tmp_path):
+    root = str(tmp_path / "star")
+    saved(spark, a_drop(tmp_path / "d1", missions=MISSIONS[:3]), root)
+    late = [("LONDON", "20260501", "M30", "L1", "Réunion", "London", "England", "Paris", "France", "Train", "oui")]
+    saved(spark, a_drop(tmp_path / "d2", missions=late), root, only_new=True)
+    assert kept(spark, root) == {"M01", "M02", "M03", "M30"}
+    saved(spark, a_drop(tmp_path / "d3", missions=late), root)
+    assert kept(spark, root) == {"M01", "M02", "M03", "M30"}
+    # A corrected day moves the row, and its old day does not keep a copy.
+    moved = [(late[0][0], "20260803", *late[0][2:])]
+    saved(spark, a_drop(tmp_path / "d4", missions=moved), root)
+    rows = open_star(spark, root).fact_mission.where("nk_mission = 'M30'").collect()
+    assert [(r.month, r.day) for r in rows] == [(8, 3)]
+
+
+def test_period_without_purchases(spark, tmp_path):
+    source = saved(spark, a_drop(tmp_path / "d", purchases=[]), str(tmp_path / "star"))
+    assert source.star.fact_equipment.count() == 0
+    assert answer(source, "q04_desktop_count") == [(0,)]
+    source = saved(spark, a_drop(tmp_path / "d2"), str(tmp_path / "star"))
+    assert source.star.fact_equipment.count() == len(PURCHASES)
+
+
+def test_calendar_is_the_stored_one(spark, drop, tmp_path):
+    root = str(tmp_path / "star")
+    first = load_reference(spark, drop, date(2026, 1, 1), date(2026, 12, 31))
+    save_star(load_period(spark, drop, FIRST, LAST, first), root)
+    later = load_reference(spark, drop, date(2026, 3, 1), date(2027, 6, 30))
+    save_star(load_period(spark, drop, FIRST, LAST, later), root)
+    again = open_star(spark, root)
+    assert (again.first, again.last) == (date(2026, 1, 1), date(2027, 6, 30))
+    keys = {r.nk_mission: r.sk_date_mission for r in again.fact_mission.collect()}
+    assert keys["M01"] == (date(2026, 5, 1) - date(2026, 1, 1)).days + 1
+    earlier = load_reference(spark, drop, date(2025, 1, 1), date(2026, 12, 31))
+    with pytest.raises(ValueError, match="calendar"):
+        save_star(load_period(spark, drop, FIRST, LAST, earlier), root)
+    short = load_reference(spark, drop, date(2026, 1, 1), date(2026, 6, 30))
+    with pytest.raises(ValueError, match="calendar"):
+        load_period(spark, drop, FIRST, LAST, short)
+
+
+def test_members_listed_twice_are_an_error(spark, tmp_path):
+    drop = a_drop(tmp_path / "d")
+    staff = tmp_path / "d" / "BDD_BGES_LONDON" / "PERSONNEL_LONDON.txt"
+    text = staff.read_text()
+    line = text.splitlines()[1].replace("L1;", "P1;", 1)
+    staff.write_text(text + line + "\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="P1"):
+        load_reference(spark, drop)
+    staff.write_text(text, encoding="utf-8")
+    catalogue = tmp_path / "d" / "materiel_informatique_impact.csv"
+    catalogue.write_text(catalogue.read_text() + "Ecran,modèle par défaut,99\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="Ecran"):
+        load_reference(spark, drop)
