@@ -11,12 +11,14 @@ The distance is 1 - |x & y| / |x | y| over distinct word shingles, a metric. Doc
    partner outside them, so two linked nodes meet in one region at least.
 4. Regions are divided further by document pivots. Distances to the pivots give the links to them,
    the nearest pivot's Voronoi cell, and the windows: a node is also in a cell where the triangle
-   inequality allows a partner. What a pivot's links join already needs no further look. Regions
-   recurse until none is left; small ones are joined outright.
+   inequality allows a partner. What links have joined already needs no further look, so the next
+   pivots are members that are not. Regions recurse until each holds one component; small ones are
+   joined outright.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +31,7 @@ from terratally.llm.common import (
     NOT_SPACE,
     Texts,
     distinct_pairs,
+    fresh,
     list_array,
     mix,
     shingles,
@@ -43,8 +46,9 @@ SHINGLE = 5
 PERCENT = 75
 #: Share of the shingle space, by hash, in which unshared shingles are counted first.
 COUNTED_SHARE = 0.5
-#: Pivots of a region and round, and the size up to which a divided region is joined outright.
-PIVOTS = 2
+#: Pairs of members and pivots that a region may have in an early round, beyond one pivot's.
+PAIRS = 512
+#: Size up to which a region is joined outright from the second round on.
 LEAF = 8
 
 
@@ -132,10 +136,11 @@ def _described(docs: DataFrame, text: str, size: int, percent: int) -> DataFrame
 
 
 def _first_regions(nodes: DataFrame, percent: int) -> DataFrame:
-    """``region, node``: the regions of each node's rarest shared shingles.
+    """``region, node, n, weight``: the regions of each node's rarest shared shingles.
 
     Shingles are ordered by frequency, then hash. A node's unshared ones come first; with those
     and the shared ones up to one more than a partner may lack, a partner has one of them as well.
+    ``weight``, the number of a node's regions, is largest for the most central of near copies.
     """
     pairs = nodes.select("node", "n", F.explode("shingles").alias("region"))
     shared = pairs.groupBy("region").agg(F.count("*").alias("frequency")).where("frequency > 1")
@@ -144,15 +149,15 @@ def _first_regions(nodes: DataFrame, percent: int) -> DataFrame:
     ranked = found.select(
         "region",
         "node",
+        "n",
         (missing_allowed(F.col("n"), percent) + 1 - (F.col("n") - F.count("*").over(by_node))).alias("most"),
         F.row_number().over(by_node.orderBy("frequency", "region")).alias("place"),
     )
-    return ranked.where("place <= most").select("region", "node")
-
-
-def _without_single(regions: DataFrame) -> DataFrame:
-    sizes = regions.groupBy("region").agg(F.count("*").alias("members")).where("members > 1")
-    return regions.join(sizes, "region")
+    placed = ranked.where("place <= most")
+    sizes = placed.groupBy("region").agg(F.count("*").alias("members")).where("members > 1")
+    return placed.join(sizes, "region").select(
+        "region", "node", "n", F.count("*").over(by_node).alias("weight")
+    )
 
 
 def _distances(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -169,72 +174,136 @@ def _distances(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _round(regions: DataFrame, nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links found with the pivots of all regions, and the regions that are left."""
+def _open_regions(regions: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``region, node, n, weight, root, is_open``: regions that hold several components, as known so far.
+
+    Members of a region's largest component are joined already; what is open are the others, and
+    links are missing only from these.
+    """
+    if roots is None:
+        labelled = regions.withColumn("root", F.col("node"))
+    else:
+        labelled = regions.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = labelled.groupBy("region", "root").agg(F.count("*").alias("members"))
+    largest = sizes.groupBy("region").agg(
+        F.max(F.struct("members", "root"))["root"].alias("largest"), F.count("*").alias("roots")
+    )
+    return labelled.join(largest.where("roots > 1"), "region").select(
+        *("region", "node", "n", "weight", "root"),
+        (F.col("root") != F.col("largest")).alias("is_open"),
+    )
+
+
+def _slots(number: int) -> Column:
+    """Pivots of a region in round ``number``: more each time, but few for many members.
+
+    Large regions are near copies of each other, and one pivot joins most of them. Should any be
+    left after some rounds, its members are unlike each other and all have to become pivots.
+    """
+    few = F.greatest(F.lit(1), (F.lit(PAIRS) / F.col("members")).cast("int"))
+    return F.least(F.lit(1 << min(number, 20)), few * (1 << max(0, min(number - 3, 20))))
+
+
+def _round(
+    regions: DataFrame, nodes: DataFrame, percent: int, number: int
+) -> tuple[DataFrame, DataFrame]:
+    """Links found with pivots among the open members, and the regions that are left."""
     radius = 1 - percent / 100
-    slot = F.pmod(F.xxhash64("node"), F.lit(PIVOTS))
-    order = F.struct(F.xxhash64(F.col("node"), F.lit(1)).alias("order"), F.col("node").alias("node"))
+    slot = F.pmod(F.xxhash64("node"), _slots(number))
+    order = F.struct(
+        (-F.col("weight")).alias("rank"),
+        F.xxhash64(F.col("node"), F.lit(1)).alias("order"),
+        F.col("node").alias("node"),
+        F.col("n").alias("n"),
+    )
     # One row per region and slot; map tasks have found the smallest of theirs already.
-    pivots = regions.groupBy("region", slot.alias("slot")).agg(F.min(order)["node"].alias("pivot"))
-    held = staged(regions.join(pivots.select("region", "pivot"), "region"), "jaccard-held")
-    pairs = held.where(F.col("node") != F.col("pivot")).select("node", "pivot").distinct()
-    found = staged(_distances(pairs, nodes, percent), "jaccard-distances")
+    pivots = (
+        regions.where("is_open")
+        .groupBy("region", slot.alias("slot"))
+        .agg(F.min(order).alias("pivot"))
+        .select("region", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("n_pivot"))
+    )
+    held = staged(
+        regions.join(pivots, "region").select(
+            *("region", "node", "n", "weight", "pivot"),
+            (F.least("n", "n_pivot") * 100 >= F.greatest("n", "n_pivot") * percent).alias("alike"),
+            (1 - F.least("n", "n_pivot") / F.greatest("n", "n_pivot")).alias("apart"),
+        ),
+        "jaccard-held",
+    )
+    pairs = held.where((F.col("node") != F.col("pivot")) & F.col("alike")).select("node", "pivot")
+    found = staged(_distances(pairs.distinct(), nodes, percent), "jaccard-distances")
     links = found.where("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
 
-    placed = held.join(found, ["node", "pivot"], "left").withColumn(
-        "distance", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("distance"))
-    )
-    home = Window.partitionBy("region", "node")
-    windowed = placed.withColumn("nearest", F.min("distance").over(home)).withColumn(
-        "is_pivot", F.min("distance").over(home) == 0.0
+    # Sizes alone keep some pairs apart; of their distance only bounds are known.
+    same = F.col("node") == F.col("pivot")
+    placed = held.join(found, ["node", "pivot"], "left").withColumns(
+        {
+            "low": F.when(same, 0.0).otherwise(F.coalesce("distance", "apart")),
+            "high": F.when(same, 0.0).otherwise(F.coalesce("distance", F.lit(1.0))),
+            "linked": F.coalesce("linked", F.lit(False)),
+        }
     )
+    windowed = placed.withColumn("nearest", F.min("high").over(Window.partitionBy("region", "node")))
     # A pivot's links are complete, so it leaves; the others stay in their cell and its windows.
-    inside = windowed.where(~F.col("is_pivot") & (F.col("distance") <= F.col("nearest") + 2 * radius))
+    inside = windowed.where(
+        (F.col("nearest") > 0) & (F.col("low") <= F.col("nearest") + 2 * radius + 1e-9)
+    )
     cells = inside.groupBy("region", "pivot").agg(
-        F.min(F.when(~F.col("linked"), F.col("distance"))).alias("nearest_open"),
-        F.count("*").alias("cell_members"),
+        F.min(F.when(~F.col("linked"), F.col("low"))).alias("nearest_open")
     )
     # Within a cell whatever is linked to its pivot is joined; it is needed only where the
     # triangle inequality allows a link to a member that is not.
     kept = inside.join(cells, ["region", "pivot"]).where(
         F.col("nearest_open").isNotNull()
-        & (~F.col("linked") | (F.col("distance") >= F.col("nearest_open") - radius - 1e-9))
+        & (~F.col("linked") | (F.col("low") >= F.col("nearest_open") - radius - 1e-9))
     )
     # Cells that nearly all nodes are in are no division; then the region goes on whole.
     shares = kept.groupBy("region").agg(
         F.count("*").alias("copies"), F.countDistinct("node").alias("distinct_nodes")
     )
-    next_regions = kept.join(shares, "region").select(
+    left = kept.join(shares, "region").select(
         F.when(F.col("copies") * 4 > F.col("distinct_nodes") * 5, F.col("region"))
         .otherwise(F.xxhash64("region", "pivot"))
         .alias("region"),
-        "node",
+        *("node", "n", "weight"),
     )
-    return links, _without_single(next_regions.distinct()).select("region", "node")
+    return links, left.distinct()
 
 
 def _leaf_pairs(regions: DataFrame) -> DataFrame:
-    other = regions.toDF("region", "pivot")
-    return regions.join(other, "region").where("node < pivot").select("node", "pivot").distinct()
+    """All pairs of different components in regions of at most ``LEAF`` members."""
+    other = regions.select("region", F.col("node").alias("pivot"), F.col("root").alias("other"))
+    pairs = regions.join(other, "region").where("node < pivot AND root != other")
+    return pairs.select("node", "pivot").distinct()
 
 
-def _links(nodes: DataFrame, percent: int) -> DataFrame:
-    regions = staged(_without_single(_first_regions(nodes, percent)).select("region", "node"), "regions")
-    links = None
-    while not regions.isEmpty():
-        new, left = _round(regions, nodes, percent)
-        links = new if links is None else links.unionByName(new)
-        sized = staged(
-            left.withColumn("members", F.count("*").over(Window.partitionBy("region"))), "regions"
+def _links(nodes: DataFrame, percent: int) -> DataFrame | None:
+    """Links that make the components, or None.
+
+    Every round joins most of what a region holds to its pivots, so the regions that go on are few.
+    """
+    regions = staged(_first_regions(nodes, percent), "regions")
+    # Only what shares a region is compared.
+    nodes = staged(nodes.join(regions.select("node").distinct(), "node", "left_semi"), "jaccard-active")
+    links = roots = None
+    for number in itertools.count():
+        by_region = Window.partitionBy("region")
+        current = staged(
+            _open_regions(regions, roots).withColumn("members", F.count("*").over(by_region)), "regions"
+        )
+        if current.isEmpty():
+            return links
+        small = current.where((F.col("members") <= LEAF) & F.lit(roots is not None))
+        large = current.where((F.col("members") > LEAF) | F.lit(roots is None))
+        new, regions = _round(large, nodes, percent, number)
+        beside = _distances(_leaf_pairs(small), nodes, percent).where("linked")
+        new = staged(
+            new.unionByName(beside.select(F.col("node").alias("a"), F.col("pivot").alias("b"))), "links"
         )
-        small = sized.where(F.col("members") <= LEAF).select("region", "node")
-        if not small.isEmpty():
-            found = staged(_distances(_leaf_pairs(small), nodes, percent), "jaccard-leaves")
-            links = links.unionByName(
-                found.where("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-            )
-        regions = sized.where(F.col("members") > LEAF).select("region", "node")
-    return links
+        regions = staged(regions, "regions")
+        links = new if links is None else links.unionByName(new)
+        roots = components(links)
 
 
 def _grouped(docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
@@ -286,16 +355,19 @@ def one_of_each(
     rank = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row_hash")
     members = grouped.where(F.col("root").isNotNull())
     best = members.groupBy("root").agg(F.min(rank).alias("best"))
+    key, row, number, place = fresh(docs, "key", "row", "number", "place")
     dropped = (
         members.join(best, "root").where(rank != F.col("best")).select("doc_id", "row_hash").distinct()
-    ).toDF("_key", "_hash")
-    hashed = docs.withColumn("_row", F.xxhash64(text)).withColumn("_id", F.col("doc_id").cast("long"))
-    same = F.col("_id").eqNullSafe(F.col("_key")) & (F.col("_row") == F.col("_hash"))
+    )
+    hashed = docs.withColumn(row, F.xxhash64(text)).withColumn(number, F.col("doc_id").cast("long"))
+    others = dropped.toDF(key, place)
+    same = F.col(number).eqNullSafe(F.col(key)) & (F.col(row) == F.col(place))
+    kept = hashed.join(others, same, "left_anti")
     repeats = members.groupBy("doc_id", "row_hash").count().where("count > 1")
-    kept = hashed.join(dropped, same, "left_anti")
     if repeats.isEmpty():
-        return kept.drop("_row", "_id")
-    place = F.row_number().over(Window.partitionBy("_id", "_row").orderBy("_row"))
+        return kept.drop(row, number)
+    first = F.row_number().over(Window.partitionBy(number, row).orderBy(row))
     # Rows without words are linked with nothing, however often they are repeated.
     wordless = ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return kept.withColumn("_n", place).where((F.col("_n") == 1) | wordless).drop("_row", "_id", "_n")
+    once = kept.withColumn(place, first).where((F.col(place) == 1) | wordless)
+    return once.drop(row, number, place)
