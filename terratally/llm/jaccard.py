@@ -284,8 +284,6 @@ def _links(nodes: DataFrame, percent: int) -> DataFrame | None:
     Every round joins most of what a region holds to its pivots, so the regions that go on are few.
     """
     regions = staged(_first_regions(nodes, percent), "regions")
-    # Only what shares a region is compared.
-    nodes = staged(nodes.join(regions.select("node").distinct(), "node", "left_semi"), "jaccard-active")
     links = roots = None
     for number in itertools.count():
         by_region = Window.partitionBy("region")
@@ -294,6 +292,8 @@ def _links(nodes: DataFrame, percent: int) -> DataFrame | None:
         )
         if current.isEmpty():
             return links
+        # The sets move in every round, so only those still needed stay.
+        nodes = staged(nodes.join(current.select("node").distinct(), "node", "left_semi"), "jaccard-active")
         small = current.where((F.col("members") <= LEAF) & F.lit(roots is not None))
         large = current.where((F.col("members") > LEAF) | F.lit(roots is None))
         new, regions = _round(large, nodes, percent, number)
