@@ -1,41 +1,50 @@
 """Katz backoff language model: counts of all training text, scores of all documents.
 
-A token is a word or the end of its document. The most frequent training words are classes of
-their own and all others share one, within which a word has its own share; so three tables make
-the model: words, classes, and pairs of classes. Pairs are discounted by Good-Turing, and what that
-frees goes to the pairs never seen, in proportion to the class alone, by a weight per history that
-makes every distribution sum to one exactly. A pair's log probability is therefore
-
-    seen:    log10(d(n) * n / (n(h) + 1))        unseen: log10(a(h)) + log10(p(x))
-
-and a word of the shared class adds log10 of its share in it.
-
-The tables of words and pairs grow with the corpus and are only joined. Those of classes have
-``CLASSES`` rows at most, and with the most frequent pairs, of a fixed number as well, every task
-has them; that leaves no frequent key for the joins.
+A token is a word or the end of its document; before a text stand ``ORDER - 1`` ends. Every word,
+however rare, is counted by its 64-bit hash, alone and behind each history of up to ``ORDER - 1``
+tokens. Counts are discounted by Good-Turing, order by order, and what that frees goes to the
+followers never seen, in proportion to the next lower order, by a weight per history that makes
+every distribution sum to one. A token's log probability is therefore, recursively,
+
+    seen:    log10(d(n) * n / (n(h) + 1))        unseen: log10(a(h)) + that behind a shorter history
+
+and without history the plain smoothed frequency. As a sum over all orders this is the plain
+frequency, the weight of every known history, and for every seen gram its gain, which is what it is
+worth beyond an unseen one. So a document's score is a sum of values looked up by one key each;
+training text, whose grams have all been seen, needs those of the highest order alone.
+
+The tables of words, grams and weights grow with the corpus and are only joined. The most frequent
+words and keys, of a fixed number, are known to every task as well, with the same values; that
+leaves no frequent key for the joins of documents. ``Model`` over ``Classes`` is a model of fixed
+size, where all but the most frequent words share one class; ``score`` takes only its words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terratally.llm.common import NOT_SPACE, Texts, distinct_pairs, signed, slices, staged
+from terratally.llm.common import NOT_SPACE, Texts, distinct_pairs, mix, signed, slices, staged
 
 #: Classes: the shared one, the end, and the most frequent words. Two of them fit into 32 bits.
 CLASSES = 1 << 16
 OTHER, END = 0, 1
-#: Most frequent pairs that every task knows.
+#: Tokens of the longest gram.
+ORDER = 3
+#: Most frequent keys of grams and histories that every task knows.
 KNOWN_PAIRS = 1 << 19
 #: Counts up to this are discounted.
 DISCOUNTED = 5
 ADDED = 0.1
 _KEY = "doc_id long, row_hash long"
+#: Hash of the end as a token of grams.
+_END = mix(np.array([0xE0D], dtype=np.uint64))
 
 
 def _rows(docs: DataFrame, text: str) -> DataFrame:
@@ -86,12 +95,6 @@ class Classes:
         """Probability of each class without history; sums to one."""
         return (self.counts + ADDED) / (self.tokens + ADDED * len(self.counts))
 
-    @property
-    def other_total(self) -> float:
-        """What a word's count in the shared class is divided by."""
-        own = int(np.count_nonzero(self.counts[1:]))
-        return float(self.counts[OTHER]) + ADDED * (self.distinct - own + 1)
-
     def of(self, words: np.ndarray) -> np.ndarray:
         if not len(self.words):
             return np.zeros(len(words), dtype=np.uint32)
@@ -183,10 +186,6 @@ class Model:
         factor = self.factors[np.minimum(counts, len(self.factors) - 1)]
         return np.log10(factor * counts / (self.histories[pairs.view(np.uint32) >> 16] + 1))
 
-    def share(self, counts: np.ndarray) -> np.ndarray:
-        """log10 of a word's share in the common class, by its training count."""
-        return np.log10((counts + ADDED) / self.known.other_total)
-
 
 def model(known: Classes, pairs: DataFrame) -> Model:
     """Discounts and weights from the staged pairs; what is collected has a row per class at most."""
@@ -221,11 +220,99 @@ def model(known: Classes, pairs: DataFrame) -> Model:
     return Model(known, factors, histories, weights)
 
 
-def _frequent(pairs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    top = pairs.orderBy(F.desc("n"), "pair").limit(size).toArrow()
-    pair, n = (top.column(c).to_numpy() for c in ("pair", "n"))
-    order = np.argsort(pair)
-    return pair[order], n[order]
+def _gram(history: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Key of a gram from those of its tokens without the last and without the first."""
+    return mix(mix(history * np.uint64(3) + np.uint64(1)) + lower)
+
+
+def _grams(texts: Texts, order: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """Keys of the history and of the gram of 1..order tokens at each token, and their texts.
+
+    The history of a single token is the end, for want of one; each text's end is a token.
+    """
+    words, owner = _words(texts)
+    n = np.bincount(owner, minlength=len(texts))
+    tokens = np.full(len(words) + order * len(texts), _END[0], dtype=np.uint64)
+    tokens[np.arange(len(words)) + owner * order + order - 1] = words.view(np.uint64)
+    own = np.repeat(np.arange(len(texts)), n + 1)
+    at = np.arange(len(own)) + (own + 1) * (order - 1)
+    histories, grams = [np.full(len(own), _END[0])], [tokens[at]]
+    keys = tokens
+    for _ in range(1, order):
+        before = np.empty_like(keys)
+        before[:1] = _END
+        before[1:] = keys[:-1]
+        histories.append(before[at])
+        keys = _gram(before, keys)
+        grams.append(keys[at])
+    return histories, grams, own
+
+
+def gram_counts(training: DataFrame, order: int) -> DataFrame:
+    """``history long, lower long, n long``: each gram of ``order`` tokens by those it is made of."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in slices(batch.column(0)):
+                histories, grams, _ = _grams(texts, order)
+                _, at, n = np.unique(grams[-1], return_index=True, return_counts=True)
+                columns = [pa.array(signed(x[at])) for x in (histories[-1], grams[-2])]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(n)], ["history", "lower", "n"])
+
+    found = training.select("text").mapInArrow(run, "history long, lower long, n long")
+    return found.groupBy("history", "lower").agg(F.sum("n").alias("n"))
+
+
+def order_tables(training: DataFrame, below: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
+    """Seen grams of ``order`` tokens and their histories, from the grams of the order below.
+
+    Grams are ``key long, seen double, gain double, n long``: log10 of the probability, what it is
+    beyond that of an unseen one, and the count. Histories are ``history, n, weight``, log10 of the
+    weight. ``below`` needs ``key`` and ``seen``.
+    """
+    counts = gram_counts(training, order)
+    lower = below.select(F.col("key").alias("lower"), F.col("seen").alias("below"))
+    counts = staged(counts.join(lower, "lower").select("history", "n", "lower", "below"), f"katz-{order}")
+    of_count = counts.where(F.col("n") <= DISCOUNTED + 1).groupBy("n").count().collect()
+    factors = discounts({r["n"]: r["count"] for r in of_count})
+    factor = F.element_at(
+        F.array(*(F.lit(float(x)) for x in factors)),
+        F.least(F.col("n"), F.lit(len(factors) - 1)).cast("int") + 1,
+    )
+    free = 1 - F.col("kept") / (F.col("n") + 1)
+    left = F.greatest(1 - F.col("covered"), F.lit(1e-12))
+    histories = staged(
+        counts.groupBy("history")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum(factor * F.col("n")).alias("kept"),
+            F.sum(F.pow(F.lit(10.0), "below")).alias("covered"),
+        )
+        .select("history", "n", F.log10(free / left).alias("weight")),
+        f"katz-histories-{order}",
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            history, low, n, low_p, total, weight = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            key = _gram(history.view(np.uint64), low.view(np.uint64))
+            seen = np.log10(factors[np.minimum(n, len(factors) - 1)] * n / (total + 1))
+            columns = [signed(key), seen, seen - weight - low_p, n]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "seen", "gain", "n"])
+
+    grams = (
+        counts.join(histories.withColumnRenamed("n", "total"), "history")
+        .select("history", "lower", "n", "below", "total", "weight")
+        .mapInArrow(run, "key long, seen double, gain double, n long")
+    )
+    return staged(grams, f"katz-grams-{order}"), histories
+
+
+def _frequent(values: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    top = values.orderBy(F.desc("n"), "key").limit(size).toArrow()
+    key, seen, gain = (top.column(c).to_numpy() for c in ("key", "seen", "gain"))
+    order = np.argsort(key)
+    return key[order], seen[order], gain[order]
 
 
 def _lookup(sorted_values: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -235,44 +322,63 @@ def _lookup(sorted_values: np.ndarray, values: np.ndarray) -> tuple[np.ndarray,
     return sorted_values[at] == values, at
 
 
-def score(docs: DataFrame, text: str = "text", size: int = CLASSES) -> DataFrame:
+def score(docs: DataFrame, text: str = "text", size: int = CLASSES, order: int = ORDER) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row.
 
     An empty or null text has its end alone. Repeated rows are scored, and trained on, one by one;
     with no training rows every token is unknown. Other columns are ignored, an empty table gives
-    no rows.
+    no rows. ``size`` and ``KNOWN_PAIRS`` bound what tasks hold and change no result.
     """
+    if order < 2:
+        raise ValueError("a gram has two tokens at least")
+    spark = docs.sparkSession
     rows = _rows(docs, text)
     training = rows.where(~F.col("held_out")).select("text")
     documents = training.count()
     words = staged(word_counts(training), "katz-words")
     known = classes(words, documents, size)
-    pairs = staged(pair_counts(training, known), "katz-pairs")
-    made = model(known, pairs)
-    frequent, frequent_n = _frequent(pairs, KNOWN_PAIRS)
-    frequent_log = made.seen(frequent, frequent_n)
+    end = int(signed(_END)[0])
+    ends = spark.range(1 if documents else 0).select(F.lit(end).alias("word"), F.lit(documents).cast("long").alias("n"))
+    plain = F.log10((F.col("n") + ADDED) / (known.tokens + ADDED * (known.distinct + 1)))
+    below = words.unionByName(ends).select(F.col("word").alias("key"), plain.alias("seen"))
+    tables = []
+    for k in range(2, order + 1):
+        below, histories = order_tables(training, below, k)
+        # A history's key is apart from that of the same tokens as a gram.
+        weights = histories.select(
+            F.bitwise_not("history").alias("key"), F.lit(0.0).alias("seen"), F.col("weight").alias("gain"), "n"
+        )
+        tables += [below, weights]
+    values = reduce(DataFrame.unionByName, tables)
+    frequent, frequent_seen, frequent_gain = _frequent(values, KNOWN_PAIRS)
     own_base = known.base(known.counts)
     new_base = float(known.base(np.zeros(1))[0])
-    new_share = float(made.share(np.zeros(1))[0])
 
-    def each(batch: pa.RecordBatch):
-        """Texts of a batch with distinct pairs, and whether their probability is known here."""
+    def keys_of(batch: pa.RecordBatch):
+        """Texts of a batch with the distinct keys of each, and what tasks know of these."""
         for texts in slices(batch.column(2)):
-            found, owner, words, word_owner = _pairs_of(texts, known)
-            found, owner, n = distinct_pairs(found.view(np.int32), owner)
-            there, at = _lookup(frequent, found)
-            yield texts, found, owner, n, there, at, words, word_owner
+            new = batch.column(3).slice(texts.first, len(texts)).to_numpy(zero_copy_only=False)
+            histories, grams, owner = _grams(texts, order)
+            later = new[owner]
+            keys, owners = [grams[-1]], [owner]
+            for k in range(1, order):
+                parts = [~histories[k]] + ([grams[k]] if k < order - 1 else [])
+                keys += [x[later] for x in parts]
+                owners += [owner[later]] * len(parts)
+            found, own, n = distinct_pairs(signed(np.concatenate(keys)), np.concatenate(owners))
+            yield texts, found, own, n, new, *_lookup(frequent, found)
 
     def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What tasks know by themselves; tokens to be joined count as never seen so far."""
+        """What tasks know by themselves; keys to be joined count nothing so far, such words as new."""
         for batch in batches:
-            for texts, found, owner, n, there, at, words, word_owner in each(batch):
-                value = np.where(there, frequent_log[at] if len(frequent_log) else 0.0, made.unseen(found))
-                total = np.bincount(owner, value * n, len(texts))
+            for texts, _, owner, n, new, there, at in keys_of(batch):
+                at, owner, n = at[there], owner[there], n[there]
+                total = np.bincount(owner, np.where(new[owner], frequent_gain[at], frequent_seen[at]) * n, len(texts))
+                words, word_owner = _words(texts)
                 own = known.of(words)
                 other = np.bincount(word_owner, own == OTHER, len(texts))
                 base = np.bincount(word_owner, np.where(own == OTHER, new_base, own_base[own]), len(texts))
-                tokens = np.bincount(owner, n, len(texts)).astype(np.int64)
+                tokens = np.bincount(word_owner, minlength=len(texts)) + 1
                 ends_known = int(known.counts[END] > 0)
                 part = batch.slice(texts.first, len(texts))
                 yield pa.RecordBatch.from_arrays(
@@ -283,16 +389,18 @@ def score(docs: DataFrame, text: str = "text", size: int = CLASSES) -> DataFrame
                         pa.array(tokens),
                         pa.array((tokens - 1 - other + ends_known).astype(np.int64)),
                         pa.array(base + own_base[END]),
-                        pa.array(total + other * new_share),
+                        pa.array(total.astype(np.float64)),
                     ],
                     ["doc_id", "row_hash", "held_out", "n_tokens", "n_known", "base_score", "score"],
                 )
 
-    def open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def open_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts, found, owner, n, there, *_ in each(batch):
+            for texts, found, owner, n, new, there, _ in keys_of(batch):
                 left = np.flatnonzero(~there)
-                yield _keyed(batch, owner[left] + texts.first, pa.array(found[left]), n[left], "pair")
+                # The sign of the number of times tells held-out text.
+                times = np.where(new[owner[left]], -n[left], n[left])
+                yield _keyed(batch, owner[left] + texts.first, pa.array(found[left]), times, "key")
 
     def open_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,26 +410,21 @@ def score(docs: DataFrame, text: str = "text", size: int = CLASSES) -> DataFrame
                 words, owner, n = distinct_pairs(words[left], owner[left])
                 yield _keyed(batch, owner + texts.first, pa.array(words), n, "word")
 
-    def gained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What a seen pair is worth beyond an unseen one."""
-        for batch in batches:
-            pair, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            gain = made.seen(pair, n) - made.unseen(pair)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gain)], ["pair", "gain"])
-
     summary = rows.mapInArrow(
         by_document,
         f"{_KEY}, held_out boolean, n_tokens long, n_known long, base_score double, score double",
     )
-    from_pairs = (
-        rows.mapInArrow(open_pairs, f"{_KEY}, pair int, times int")
-        .join(pairs.mapInArrow(gained, "pair int, gain double"), "pair")
+    from_grams = (
+        rows.mapInArrow(open_keys, f"{_KEY}, key long, times int")
+        .join(values.select("key", "seen", "gain"), "key")
         .select(
             "doc_id",
             "row_hash",
             F.lit(0).alias("known"),
             F.lit(0.0).alias("base"),
-            (F.col("times") * F.col("gain")).alias("gain"),
+            F.when(F.col("times") > 0, F.col("times") * F.col("seen"))
+            .otherwise(-F.col("times") * F.col("gain"))
+            .alias("gain"),
         )
     )
     count, added = F.col("n"), F.lit(ADDED)
@@ -333,11 +436,11 @@ def score(docs: DataFrame, text: str = "text", size: int = CLASSES) -> DataFrame
             "row_hash",
             F.col("times").alias("known"),
             (F.col("times") * F.log10((count + added) / added)).alias("base"),
-            (F.col("times") * F.log10((count + added) / added)).alias("gain"),
+            F.lit(0.0).alias("gain"),
         )
     )
     joined = (
-        from_pairs.unionByName(from_words)
+        from_grams.unionByName(from_words)
         .groupBy(F.col("doc_id").alias("key"), F.col("row_hash").alias("hash"))
         .agg(*(F.sum(c).alias(f"more_{c}") for c in ("known", "base", "gain")))
     )
@@ -359,7 +462,10 @@ def score(docs: DataFrame, text: str = "text", size: int = CLASSES) -> DataFrame
         plus("n_known", "more_known").cast("long").alias("n_known"),
         F.lit(known.tokens).cast("long").alias("train_tokens"),
         plus("base_score", "more_base").alias("base_score"),
-        plus("score", "more_gain").alias("score"),
+        (
+            plus("score", "more_gain")
+            + F.when(F.col("held_out"), plus("base_score", "more_base")).otherwise(0.0)
+        ).alias("score"),
     )
 
 

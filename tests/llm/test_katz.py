@@ -85,3 +85,56 @@ def test_odd_rows(spark):
     rows = [(r[0], r[1]) for r in odd_rows()]
     same(result(katz.score(docs)), base(rows))
     assert katz.score(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def plain_scores(rows, order):
+    """The recursion as it is written, over all words and no classes."""
+    counts = [Counter() for _ in range(order + 1)]
+    followers = [{} for _ in range(order + 1)]
+
+    def grams(text, k):
+        all_ = [None] * (order - 1) + tokens(text)
+        return [tuple(all_[i - k + 1 : i + 1]) for i in range(order - 1, len(all_))]
+
+    for key, text in rows:
+        if not held_out(key):
+            for k in range(1, order + 1):
+                counts[k].update(grams(text, k))
+    total, distinct = sum(counts[1].values()), len(counts[1])
+    factors = [katz.discounts(Counter(c.values())) for c in counts]
+    for k in range(2, order + 1):
+        for gram in counts[k]:
+            followers[k].setdefault(gram[:-1], []).append(gram)
+    weights = {}
+
+    def seen(gram):
+        k, n = len(gram), counts[len(gram)][gram]
+        behind = sum(counts[k][g] for g in followers[k][gram[:-1]])
+        return factors[k][min(n, len(factors[k]) - 1)] * n / (behind + 1)
+
+    def weight(history, k):
+        if history not in followers[k]:
+            return 1.0
+        if history not in weights:
+            found = followers[k][history]
+            weights[history] = (1 - sum(map(seen, found))) / (1 - sum(probability(g[1:]) for g in found))
+        return weights[history]
+
+    def probability(gram):
+        k = len(gram)
+        if k == 1:
+            return (counts[1][gram] + 0.1) / (total + 0.1 * (distinct + 1))
+        return seen(gram) if counts[k][gram] else weight(gram[:-1], k) * probability(gram[1:])
+
+    return {key: sum(math.log10(probability(g)) for g in grams(text, order)) for key, text in rows}
+
+
+@pytest.mark.parametrize(("order", "size", "known"), [(3, 4, 0), (3, 1 << 16, 50), (2, 4, 1 << 19), (4, 20, 50)])
+def test_rare_words_keep_their_histories(spark, monkeypatch, order, size, known):
+    """Scores are those of the full model, however few words and keys the tasks hold."""
+    monkeypatch.setattr(katz, "KNOWN_PAIRS", known)
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet").where("doc_id < 60")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    found = {r["doc_id"]: r["score"] for r in katz.score(docs, size=size, order=order).collect()}
+    assert any(held_out(key) for key, _ in rows)
+    assert found == pytest.approx(plain_scores(rows, order), rel=1e-7)
