@@ -4,7 +4,7 @@ Numbers, names and units become placeholders, so that a question with other valu
 template. Template windows of a document are hash-joined with those of the benchmark; windows on
 one diagonal belong together, and count only if every value of the item always became the same
 value in the document. Verbatim words make a second, plain set of windows, so a passage whose
-letters' case was changed is found as well.
+letters' case was changed is found as well; these always count, whatever else is on their diagonal.
 """
 
 from __future__ import annotations
@@ -158,11 +158,12 @@ def matches(
     item_key: str = "item_id",
     text: str = "text",
 ) -> DataFrame:
-    """One row per document and item that share windows with consistent slots.
+    """One row per document and item that share verbatim windows or windows with consistent slots.
 
-    ``doc_id, row_hash, item_id, n_windows, coverage, changed``: matched windows of the item, their
-    share of the item's windows, and whether a slot has another value. Items shorter than the
-    window are one window whole; items without words match nothing.
+    ``doc_id, row_hash, item_id, n_windows, n_verbatim, n_matched, coverage, changed``: windows of the
+    item on diagonals with consistent slots, its verbatim windows on any diagonal, those that are
+    either, their share of the item's windows, and whether a consistent slot has another value.
+    Items shorter than the window are one window whole; items without words match nothing.
     """
     items = _named(benchmark, item_key, text).toDF("item_id", "row_hash", "text")
     words = F.size(F.regexp_extract_all("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), F.lit(0)))
@@ -196,39 +197,44 @@ def matches(
     ).agg(
         F.array_distinct(F.flatten(F.collect_set(typed))).alias("slots"),
         F.collect_set("item_position").alias("positions"),
+        F.collect_set(F.when(F.size("item_slots") == 0, F.col("item_position"))).alias("verbatim"),
     )
     kept_values = F.size(F.array_distinct(F.transform("slots", lambda s: s["i"])))
-    consistent = diagonal.where(F.size("slots") == kept_values).withColumn(
-        "changed", F.exists("slots", lambda s: s["i"] != s["d"])
-    )
-    by_item = consistent.groupBy("doc_id", "row_hash", "item_id", "item_hash").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("positions")))).alias("n_windows"),
-        F.max("changed").alias("changed"),
-    )
+    consistent = F.size("slots") == kept_values
+
+    def distinct(positions):
+        return F.size(F.array_distinct(F.flatten(F.collect_list(positions))))
+
+    by_item = diagonal.groupBy("doc_id", "row_hash", "item_id", "item_hash").agg(
+        distinct(F.when(consistent, F.col("positions"))).alias("n_windows"),
+        distinct(F.col("verbatim")).alias("n_verbatim"),
+        distinct(F.when(consistent, F.col("positions")).otherwise(F.col("verbatim"))).alias("n_matched"),
+        F.max(consistent & F.exists("slots", lambda s: s["i"] != s["d"])).alias("changed"),
+    ).where("n_matched > 0")
     return by_item.join(
         per_item,
         F.col("item_id").eqNullSafe(F.col("item")) & (F.col("item_hash") == F.col("item_row")),
     ).select(
-        "doc_id", "row_hash", "item_id", "n_windows",
-        F.least(F.col("n_windows") / F.col("item_windows"), F.lit(1.0)).alias("coverage"),
+        "doc_id", "row_hash", "item_id", "n_windows", "n_verbatim", "n_matched",
+        F.least(F.col("n_matched") / F.col("item_windows"), F.lit(1.0)).alias("coverage"),
         "changed",
     )
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, **columns: str) -> DataFrame:
     """Matches that make a document contaminated."""
-    enough = (F.col("coverage") >= LEAST_COVERAGE) | (F.col("n_windows") >= LEAST_WINDOWS)
+    enough = (F.col("coverage") >= LEAST_COVERAGE) | (F.col("n_matched") >= LEAST_WINDOWS)
     return matches(docs, benchmark, **columns).where(enough)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_items, item_id, n_windows, coverage, changed, contaminated``.
+    """``doc_id, n_items, item_id, n_windows, n_verbatim, coverage, changed, contaminated`` per document.
 
     ``item_id`` is the item with the largest coverage, the smallest id among equals; without a leak
     the counts are 0 and it is null. Null or empty texts are clean, an empty benchmark leaves all
     clean, repeated rows are judged alike, other columns are ignored.
     """
-    worst = F.max(F.struct("coverage", (-F.col("item_id")).alias("minus"), "n_windows", "changed"))
+    worst = F.max(F.struct("coverage", (-F.col("item_id")).alias("minus"), "n_windows", "n_verbatim", "changed"))
     found = leaks(docs, benchmark, text=text).groupBy("doc_id", "row_hash").agg(
         F.countDistinct("item_id").alias("n_items"), worst.alias("worst")
     ).toDF("key", "hash", "n_items", "worst")
@@ -239,6 +245,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
         F.coalesce("n_items", F.lit(0)).alias("n_items"),
         (-F.col("worst.minus")).alias("item_id"),
         F.coalesce("worst.n_windows", F.lit(0)).alias("n_windows"),
+        F.coalesce("worst.n_verbatim", F.lit(0)).alias("n_verbatim"),
         F.coalesce("worst.coverage", F.lit(0.0)).alias("coverage"),
         F.coalesce("worst.changed", F.lit(False)).alias("changed"),
         F.col("hash").isNotNull().alias("contaminated"),

@@ -35,6 +35,15 @@ def test_slots_must_be_consistent(spark):
     assert windows[1] > 0 and windows[0] == 0
 
 
+def test_verbatim_windows_count_beside_torn_slots(spark):
+    """One of two equal values is edited: what stands between is still verbatim."""
+    torn = "sold 75 kg of apples to his neighbour Jones for 30 dollars and then carried 88 kg more to the market"
+    edited = ITEM.replace("carried 12", "carried 13")
+    got = judged(spark, [f"He {torn} in", f"{FILL} {edited} {FILL}", FILL])
+    assert [got[i]["contaminated"] for i in range(3)] == [True, True, False]
+    assert [got[i]["n_verbatim"] for i in range(3)] == [6, 14, 0]
+
+
 def test_short_items_and_ties(spark):
     items = [(5, "what is it called"), (3, "what is it called"), (9, ""), (None, None)]
     got = judged(spark, ["well what is it called then", "nothing here"], items)
