@@ -7,7 +7,8 @@ expansion starts at seeds instead of at single bytes: every ``length`` bytes con
 that their content alone decides, a seed of half that length (the smallest hash among the seeds in
 them). Equal strings have equal seeds at equal places. Seeds that occur once are dropped, the
 suffixes that begin with one of the others make its interval, and each interval is extended
-backwards, level by level, up to the threshold.
+backwards, level by level, up to the threshold. Intervals of frequent seeds are too large for one
+task; there, every level's strings are grouped by their hash, and the first of each is joined back.
 """
 
 from __future__ import annotations
@@ -26,14 +27,16 @@ LENGTH = 100
 #: Bits of the filter of repeated seeds, and how many it may hold; beyond that they are joined.
 FILTER_BITS = 1 << 26
 FILTER_SEEDS = FILTER_BITS // 8
-#: Seeds with more suffixes than this are split by what stands beside them.
+#: The suffixes of seeds with more than this never meet in one task.
 FREQUENT = 20_000
-FREQUENT_SEEDS = 100_000
+#: Frequent seeds whose strings a task makes at a time.
+STRING_SEEDS = 20_000
 #: Suffixes that one task call extends, on average.
 GROUP_ROWS = 5_000
 
 _ROW = "doc_id long, row_hash long"
-_SUFFIX = f"bucket int, seed long, side int, {_ROW}, at int, left_bytes int, context binary, to int"
+_SUFFIX = f"bucket int, seed long, {_ROW}, at int, left_bytes int, context binary, to int"
+_STRING = f"string long, {_ROW}, start int, at int"
 
 _NAMES = [column.split()[0] for column in _SUFFIX.split(", ")]
 
@@ -149,21 +152,18 @@ def _order(doc_id: pa.Array, row_hash: pa.Array) -> tuple[np.ndarray, np.ndarray
     return ids, row_hash.to_numpy(zero_copy_only=False)
 
 
-def _suffixes(rows: DataFrame, repeated: DataFrame, length: int) -> DataFrame:
+def _suffixes(rows: DataFrame, repeated: DataFrame, length: int) -> tuple[DataFrame, DataFrame | None]:
     """Suffixes of repeated seeds with the bytes around them, as in ``_SUFFIX``.
 
     Of equal surroundings in one batch only the first goes on; in the others, all bytes are
-    repeats, which is a row with ``to`` and no bytes. Surroundings of frequent seeds go to two
-    groups, by the bytes left and right of the seed: a string that contains the seed also contains
-    half of the rest of its length on one side of it.
+    repeats, which is a row with ``to`` and no bytes. Of frequent seeds, if there are any, the
+    strings of ``length`` bytes around them make the second table, as in ``_STRING``; ``at`` is
+    the place of the seed.
     """
     size = length // 2
-    beside = (length - size) // 2
     repeats = repeated.count()
-    frequent = np.sort(
-        repeated.where(F.col("n") > FREQUENT).orderBy(F.desc("n"), "seed").limit(FREQUENT_SEEDS)
-        .select("seed").toArrow().column(0).to_numpy()
-    )
+    # All of them: there are at most as many as bytes of text by FREQUENT.
+    frequent = repeated.where(F.col("n") > FREQUENT).select("seed").toArrow().column(0).to_numpy()
     occurrences = repeated.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     buckets = int(max(1, occurrences // GROUP_ROWS))
     packed = _filter(repeated) if repeats <= FILTER_SEEDS else None
@@ -194,13 +194,12 @@ def _suffixes(rows: DataFrame, repeated: DataFrame, length: int) -> DataFrame:
                     "at": at - origin,
                     "first": first - origin,
                     "last": last - origin,
-                    "left": stretch_hashes(sums, np.maximum(first, at - beside), at + size),
-                    "right": stretch_hashes(sums, at, np.minimum(last, at + size + beside)),
                 }
             )
         return {name: np.concatenate([part[name] for part in parts]) for name in parts[0]}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def leading(batches: Iterator[pa.RecordBatch]):
+        """Batches with their seeds, the first of equal surroundings, and what repeats these."""
         bits = None if packed is None else np.frombuffer(packed, dtype=np.uint8)
         for batch in batches:
             if not batch.num_rows:
@@ -219,43 +218,89 @@ def _suffixes(rows: DataFrame, repeated: DataFrame, length: int) -> DataFrame:
                 & (row_hashes[row[order]] == row_hashes[row[lead]])
                 & (here["at"][order] == here["at"][lead])
             )
-            yield _repeated_rows(batch, here, order[~same], buckets)
             alone = order[new]
             split = np.isin(signed(here["seed"][alone]), frequent)
-            both = np.concatenate([alone, alone[split]])
-            side = np.concatenate([split.astype(int), np.full(int(split.sum()), 2)])
-            seed = np.select(
-                [side == 1, side == 2],
-                [mix(here["left"][both] + np.uint64(1)), mix(here["right"][both] + np.uint64(2))],
-                here["seed"][both],
-            )
+            yield batch, here, alone, split, order[~same]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, here, alone, split, later in leading(batches):
+            yield _repeated_rows(batch, here, later, buckets)
+            row = here["row"]
+            alone = alone[~split]
+            alone = alone[np.argsort(row[alone], kind="stable")]
+            seed = here["seed"][alone]
             texts = batch.column(2)
             contexts, held, raw = [], -1, b""
-            by_row = np.argsort(row[both], kind="stable")
-            for i in by_row.tolist():
-                if row[both[i]] != held:
-                    held = row[both[i]]
+            for i in alone.tolist():
+                if row[i] != held:
+                    held = row[i]
                     raw = texts[int(held)].as_py().encode()
-                contexts.append(raw[here["first"][both[i]] : here["last"][both[i]]])
-            both, side, seed = both[by_row], side[by_row], seed[by_row]
-            taken = pa.array(row[both])
+                contexts.append(raw[here["first"][i] : here["last"][i]])
+            taken = pa.array(row[alone])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array((mix(seed) % np.uint64(buckets)).astype(np.int32)),
                     pa.array(signed(seed)),
-                    pa.array(side.astype(np.int32)),
                     batch.column(0).take(taken),
                     batch.column(1).take(taken),
-                    pa.array(here["at"][both].astype(np.int32)),
-                    pa.array((here["at"] - here["first"])[both].astype(np.int32)),
+                    pa.array(here["at"][alone].astype(np.int32)),
+                    pa.array((here["at"] - here["first"])[alone].astype(np.int32)),
                     pa.array(contexts, pa.binary()),
-                    pa.nulls(len(both), pa.int32()),
+                    pa.nulls(len(alone), pa.int32()),
                 ],
                 _NAMES,
             )
 
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, here, alone, split, _ in leading(batches):
+            hot = alone[split]
+            hot = hot[np.lexsort((here["at"][hot], here["row"][hot]))]
+            for texts in slices(batch.column(2)):
+                low, high = np.searchsorted(here["row"][hot], [texts.first, texts.first + len(texts)])
+                sums = texts.prefix_hashes()
+                for part in range(low, high, STRING_SEEDS):
+                    mine = hot[part : min(part + STRING_SEEDS, high)]
+                    starts = here["at"][mine][:, None] - np.arange(length - size + 1)
+                    inside = (starts >= here["first"][mine][:, None]) & (starts + length <= here["last"][mine][:, None])
+                    which, _ = np.nonzero(inside)
+                    start, owner = starts[inside], here["row"][mine][which]
+                    # A string with several of the seeds is needed once.
+                    _, once = np.unique(owner * (1 << 40) + start, return_index=True)
+                    start, owner, which = start[once], owner[once], which[once]
+                    origin = texts.offsets[owner - texts.first] + start
+                    taken = pa.array(owner)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(signed(stretch_hashes(sums, origin, origin + length))),
+                            batch.column(0).take(taken),
+                            batch.column(1).take(taken),
+                            pa.array(start.astype(np.int32)),
+                            pa.array(here["at"][mine][which].astype(np.int32)),
+                        ],
+                        ["string", "doc_id", "row_hash", "start", "at"],
+                    )
+
     source = rows if packed is not None else _places(rows, repeated, length)
-    return source.mapInArrow(run, _SUFFIX)
+    return source.mapInArrow(run, _SUFFIX), source.mapInArrow(strings, _STRING) if len(frequent) else None
+
+
+def _of_strings(strings: DataFrame, length: int) -> DataFrame:
+    """``doc_id, row_hash, start, to`` as of ``_intervals``; strings of one hash never meet in a task."""
+    place = F.struct("doc_id", "row_hash", "start")  # a null id comes first
+    firsts = (
+        strings.groupBy("string")
+        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        .where(~F.col("first").eqNullSafe(F.col("last")))
+        .select("string", "first")
+    )
+    # Strings around one seed overlap, so they make one interval.
+    return (
+        strings.join(firsts, "string")
+        .where(~place.eqNullSafe(F.col("first")))
+        .groupBy("doc_id", "row_hash", "at")
+        .agg(F.min("start").alias("start"), (F.max("start") + length).cast("int").alias("to"))
+        .drop("at")
+    )
 
 
 def _repeated_rows(batch: pa.RecordBatch, here: dict[str, np.ndarray], later: np.ndarray, buckets: int):
@@ -274,7 +319,6 @@ def _repeated_rows(batch: pa.RecordBatch, here: dict[str, np.ndarray], later: np
         [
             pa.array(spread.astype(np.int32)),
             pa.array(np.zeros(len(at), dtype=np.int64)),
-            nothing,
             batch.column(0).take(taken),
             batch.column(1).take(taken),
             pa.array(first[at].astype(np.int32)),
@@ -291,7 +335,7 @@ def stretch_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 
-def expand(seed: np.ndarray, side: np.ndarray, doc: np.ndarray, at: np.ndarray, left: np.ndarray,
+def expand(seed: np.ndarray, doc: np.ndarray, at: np.ndarray, left: np.ndarray,
            contexts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """Least and greatest backward extension with which each suffix repeats an earlier one, or -1.
 
@@ -323,10 +367,7 @@ def expand(seed: np.ndarray, side: np.ndarray, doc: np.ndarray, at: np.ndarray,
         alive = alive[count[inverse] > 1]
         if not len(alive):
             break
-        # Of a split seed, strings that reach further left belong to one side, others to the other.
-        cut = (length - size) // 2
-        mine = (side[alive] == 0) | ((side[alive] == 1) == (level >= cut))
-        some = alive[(right[alive] >= most - level) & mine]
+        some = alive[right[alive] >= most - level]
         whole = (sums[some, most + length - level] - sums[some, most - level]) * down[most - level]
         whole = mix(whole ^ seed[some])
         order = np.argsort(whole, kind="stable")
@@ -356,8 +397,8 @@ def _intervals(suffixes: DataFrame, length: int) -> DataFrame:
         hashes, ids = column("row_hash")[order], ids[order]
         doc = np.concatenate(([0], np.cumsum((hashes[1:] != hashes[:-1]) | (ids[1:] != ids[:-1]))))[: len(order)]
         contexts = table.column("context").take(pa.array(order)).to_pylist()
-        seed, side = column("seed")[order].view(np.uint64), column("side")[order]
-        least, greatest = expand(seed, side, doc, at, left, contexts, length)
+        seed = column("seed")[order].view(np.uint64)
+        least, greatest = expand(seed, doc, at, left, contexts, length)
         hit = np.flatnonzero(least >= 0)
         taken = pa.array(order[hit])
         found = pa.table(
@@ -377,7 +418,10 @@ def repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFr
     """Every row with the intervals of its repeated bytes: ``doc_id, row_hash, text, starts, ends``."""
     rows = _rows(docs, text)
     repeated = staged(_repeated(rows, length), "substring-seeds")
-    found = _intervals(_suffixes(rows, repeated, length), length)
+    suffixes, strings = _suffixes(rows, repeated, length)
+    found = _intervals(suffixes, length)
+    if strings is not None:
+        found = found.unionByName(_of_strings(strings, length))
     lists = found.groupBy(F.col("doc_id").alias("key"), F.col("row_hash").alias("hash")).agg(
         F.sort_array(F.collect_set(F.struct("start", "to"))).alias("spans")
     )

@@ -54,6 +54,27 @@ def test_table_and_periodic_texts(spark, monkeypatch, path):
     assert result(substrings.deduplicate(frame)) == plain(rows)
 
 
+@pytest.mark.parametrize("filter_seeds", [substrings.FILTER_SEEDS, -1])
+def test_hot_passages_never_meet_in_one_group(spark, monkeypatch, filter_seeds):
+    """What stands around a shared passage differs by document, so no side of its edges is rare."""
+    monkeypatch.setattr(substrings, "FREQUENT", 5)
+    monkeypatch.setattr(substrings, "GROUP_ROWS", 1)
+    monkeypatch.setattr(substrings, "FILTER_SEEDS", filter_seeds)
+    passage = "".join(hashlib.sha256(bytes([i])).hexdigest() for i in range(4))
+
+    def own(i):
+        return "".join(hashlib.sha256(f"{i} {k}".encode()).hexdigest() for k in range(3))
+
+    rows = [(i, own(i) + passage + own(-i)) for i in range(1, 41)] + [(None, "z" + passage)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert result(substrings.deduplicate(frame)) == plain(rows)
+    texts = substrings._rows(frame, "text")
+    found = substrings._suffixes(texts, substrings._repeated(texts, 100), 100)
+    suffixes = found[0] if isinstance(found, tuple) else found
+    held = suffixes.where("to IS NULL").groupBy("seed").count().agg({"count": "max"}).first()[0]
+    assert (held or 0) <= 5
+
+
 def test_odd_rows(spark):
     rows = [(r[0], r[1]) for r in odd_rows() if r[0] != 1]  # equal ids have no order of their own
     docs = with_clashes(odd_documents(spark)).where("doc_id IS NULL OR doc_id <> 1")
