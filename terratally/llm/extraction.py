@@ -41,6 +41,8 @@ SKIPPED = frozenset(
 BOILERPLATE = frozenset("nav footer header aside form menu dialog fieldset".split())
 MAIN = frozenset(("article", "main"))
 _RAW = frozenset("script style textarea title noscript iframe".split())
+#: What may stand in a head; any other tag begins the body.
+_IN_HEAD = frozenset("base basefont bgsound head html link meta noscript script style template title".split())
 _CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
@@ -78,6 +80,9 @@ _TAG = re.compile(
     r"|<[!?/][^>]*>",
     re.S,
 )
+_BLOCK = re.compile(
+    r"</?(?:html|head|body|article|aside|div|footer|form|h[1-6]|header|main|nav|ol|p|section|table|ul)(?=[\s/>])", re.I
+)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 
 
@@ -171,9 +176,20 @@ def parse(source: str) -> Page:
             links -= stack[-1][0] == "a"
             stack.pop()
 
+    def raw_end(name: str, at: int) -> int:
+        """Where the content of a raw element ends; without an end tag, at the next block's tag."""
+        end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(source, at)
+        if end:
+            return end.end()
+        if name in ("script", "style"):
+            return size
+        block = _BLOCK.search(source, at)
+        return block.start() if block else size
+
     at, size = 0, len(source)
     skipping = ""
     depth = 0
+    inner: Counter = Counter()  # elements opened in the skipped one
     while at < size:
         match = _TAG.search(source, at)
         if match is None:
@@ -197,17 +213,29 @@ def parse(source: str) -> Page:
                 depth += -1 if ends else 1
                 if not depth:
                     skipping = ""
-            continue
+                continue
+            if skipping == "head":
+                if name in _IN_HEAD:
+                    if name in _RAW and not ends:
+                        at = raw_end(name, at)
+                    if not (ends and name == "html"):
+                        continue
+            elif not ends or name in INLINE or all(opened != name for opened, _ in stack) or name in inner:
+                # An end tag of what was opened inside is no end of what is around.
+                if name not in VOID and not rest.endswith("/"):
+                    inner[name] += -1 if ends else 1
+                    inner += Counter()
+                continue
+            skipping = ""
         if name in SKIPPED:
             if ends or rest.endswith("/") and name in ("svg", "math"):
                 continue
             if name in ("head", "title"):  # the others stand within a line
                 flush()
             if name in _RAW:
-                end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(source, at)
-                at = end.end() if end else size
+                at = raw_end(name, at)
             else:
-                skipping, depth = name, 1
+                skipping, depth, inner = name, 1, Counter()
             continue
         if name in INLINE:
             if name == "br":

@@ -89,3 +89,20 @@ def test_rows(spark):
     found = sorted((tuple(r) for r in extraction.extract(pages).collect()), key=str)
     assert found == sorted([(1, "u", "Text.", 5)] * 2 + [(None, None, "", 0), (3, "u", "", 0)], key=str)
     assert extraction.extract(pages.limit(0)).collect() == []
+
+
+def test_missing_end_tags_lose_no_text():
+    """</head> is optional, and others that are missing end with what is around them."""
+    body = "<article><p>The text that has to stay.</p></article>"
+    pages = [f"<html><head><meta charset=x><title>t</title><body>{body}", f"<head><title>t</title>{body}"]
+    pages += [f"<head><title>never closed<body>{body}"]
+    pages += [
+        f"<body><div><{name}><b>left out</b></div>{body}"
+        for name in ("svg", "button", "select", "object", "canvas", "audio", "video", "template", "datalist")
+    ]
+    pages += [f"<body><div><{name}>left out</div>{body}" for name in ("textarea", "iframe")]
+    for page in pages:
+        found = [t for t in extraction.parse(page).texts if t]
+        assert found == ["The text that has to stay."], page
+    nested = f"<div><object><div>in</div><p>in</p></object>{body}</div>"
+    assert [t for t in extraction.parse(nested).texts if t] == ["The text that has to stay."]
