@@ -1,10 +1,15 @@
 """Surrogate keys that do not depend on partitioning."""
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terratally.sources.warehouse import stored
+
 _TRIP_SHIFT = 32
-_BLOCK = 10_000
+#: Copies of one row that are laid out together.
+_BLOCK = 1_000
+#: ``monotonically_increasing_id`` keeps the row in so many low bits, the partition above.
+_ROW_BITS = 33
 
 
 def hashed_key(*natural: Column) -> Column:
@@ -17,59 +22,62 @@ def trip_key(origin: Column, destination: Column) -> Column:
 
 
 def with_dense_key(
-    frame: DataFrame,
-    name: str,
-    order: list[Column],
-    after: Column | int = 0,
-    pieces: int = 16,
+    frame: DataFrame, name: str, order: list[Column], after: Column | int = 0
 ) -> DataFrame:
     """Number the rows after+1, after+2, ... in ``order`` without a one-task sort.
 
-    Exact copies are counted first and numbered as one block. A few hash-picked rows
-    serve as cut points; each stretch between two of them is numbered on its own and
-    shifted by the number of rows in the stretches before it. Only the cut points
-    (``pieces``) and the counts (``pieces`` + 1) are ever brought together. ``order``
-    must tell rows that differ apart for the numbering to be reproducible.
+    Exact copies are counted first and laid out in blocks, so that a row that fills a large part
+    of the table is spread like any other. ``order`` must tell rows that differ apart for the
+    numbering to be reproducible. The rows are written once, see ``numbered``.
     """
-    counted = (
-        frame.groupBy(*frame.columns)
-        .agg(F.count("*").alias("_copies"))
-        .withColumn("_rank", F.struct(*order))
-    )
-    draw = F.xxhash64("_rank")
-    cuts = (
-        counted.groupBy(F.pmod(draw, F.lit(pieces)).alias("_draw"))
-        .agg(F.min_by("_rank", draw).alias("_cut"))
-        .agg(F.collect_list("_cut"))
-        .scalar()
-    )
-    placed = counted.withColumn("_cuts", cuts).withColumn(
-        "_piece", F.size(F.filter("_cuts", lambda cut: cut <= F.col("_rank")))
+    counted = frame.groupBy(*frame.columns).agg(F.count("*").alias("_copies"))
+    last_block = F.expr(f"(_copies - 1) DIV {_BLOCK}")
+    blocks = counted.select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), last_block)).alias("_block")
     )
-    sizes = placed.groupBy("_piece").agg(F.sum("_copies").alias("_copies"))
-    # At most pieces + 1 rows, so one task is enough to add them up.
-    shifts = sizes.select("_piece", _sum_before(Window.orderBy("_piece")).alias("_shift"))
-    within = _sum_before(Window.partitionBy("_piece").orderBy("_rank"))
+    in_block = F.least(F.col("_copies") - F.col("_block") * _BLOCK, F.lit(_BLOCK))
+    laid = _laid_out(blocks, [*order, F.col("_block")])
+    unfolded = laid.select(*frame.columns, F.explode(F.sequence(F.lit(1).cast("long"), in_block)))
     start = F.lit(after) if isinstance(after, int) else after
-    numbered = (
-        placed.withColumn("_within", within)
-        .join(F.broadcast(shifts), "_piece")
-        .withColumn("_before", start + F.col("_shift") + F.col("_within"))
-    )
-    return _unfolded(numbered, name).select(name, *frame.columns)
+    rows = _counted_up(unfolded.select(*frame.columns), "_before", [])
+    return rows.select((start + F.col("_before") + 1).alias(name), *frame.columns)
+
 
+def numbered(
+    frame: DataFrame, name: str, order: list[Column], within: list[str] | None = None
+) -> DataFrame:
+    """Add the place of each row, from 0, in ``order`` among the rows that agree on ``within``.
 
-def _sum_before(window: WindowSpec) -> Column:
-    preceding = window.rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum("_copies").over(preceding), F.lit(0))
+    NULL agrees with NULL. One range partitioning lays the rows out, whatever the sizes of the
+    groups, and they are written once; what the pieces of a group add to the places in later ones
+    is counted from the files. Only one row per group and piece is ever brought together.
+    """
+    within = within or []
+    laid = _laid_out(frame, [*(F.col(c) for c in within), *order])
+    return _counted_up(laid, name, within)
 
 
-def _unfolded(numbered: DataFrame, name: str) -> DataFrame:
-    """One row per copy, a large number of copies spread over many tasks."""
-    last_block = F.expr(f"(_copies - 1) DIV {_BLOCK}")
-    blocks = numbered.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
-    from_key = F.col("_before") + F.col("_block") * _BLOCK + 1
-    to_key = F.col("_before") + F.least(F.col("_copies"), (F.col("_block") + 1) * _BLOCK)
-    return blocks.repartition(F.xxhash64("_rank"), "_block").withColumn(
-        name, F.explode(F.sequence(from_key, to_key))
+def _laid_out(rows: DataFrame, order: list[Column]) -> DataFrame:
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def _counted_up(laid: DataFrame, name: str, within: list[str]) -> DataFrame:
+    """Places of rows that stand in order inside and across their partitions."""
+    columns = laid.columns
+    rows = stored(laid.withColumn("_at", F.monotonically_increasing_id()), "laid-out")
+    piece = F.shiftright("_at", _ROW_BITS)
+    sizes = rows.groupBy(*within, piece.alias("_piece")).agg(
+        F.min("_at").alias("_first"), F.count("*").alias("_rows")
+    )
+    earlier = Window.partitionBy(*within).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = stored(
+        sizes.select(
+            *(F.col(c).alias(f"_of_{c}") for c in within),
+            "_piece",
+            (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+        ),
+        "shifts",
     )
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in within]
+    placed = rows.join(shifts, [piece == F.col("_piece"), *same])
+    return placed.select(*columns, (F.col("_at") + F.col("_shift")).alias(name))

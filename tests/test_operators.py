@@ -96,7 +96,7 @@ def test_calendar(spark):
 @given(st.lists(st.text("abcé", max_size=4), unique=True, max_size=60), st.integers(0, 9))
 def test_dense_key_numbers_in_order(spark, names, after):
     frame = spark.createDataFrame([(n,) for n in names], "name string").repartition(5)
-    found = keys.with_dense_key(frame, "k", [F.col("name")], after=after, pieces=4)
+    found = keys.with_dense_key(frame, "k", [F.col("name")], after=after)
     expected = {n: after + i for i, n in enumerate(sorted(names, key=str.encode), 1)}
     assert {r.name: r.k for r in found.collect()} == expected
 
@@ -113,6 +113,26 @@ def test_dense_key_numbers_many_copies(spark):
     assert tuple(hot) == (20000, 40001)
 
 
+def test_places_within_groups(spark):
+    """A group with half of all rows, groups of one, and no group name at all."""
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 5 > 0, F.concat(F.lit("g"), F.col("id") % 700)).alias("g"),
+        F.pmod(F.xxhash64("id"), F.lit(100000)).alias("v"),
+        "id",
+    )
+    found = keys.numbered(rows, "place", [F.col("v"), F.col("id")], ["g"]).collect()
+    groups = {}
+    for row in found:
+        groups.setdefault(row.g, []).append(row)
+    assert len(found) == 5000 and None in groups
+    for members in groups.values():
+        members.sort(key=lambda r: (r.v, r.id))
+        assert [r.place for r in members] == list(range(len(members)))
+    whole = keys.numbered(rows, "place", [F.col("id")]).collect()
+    assert {(r.id, r.place) for r in whole} == {(i, i) for i in range(5000)}
+    assert keys.numbered(rows.limit(0), "place", [F.col("id")], ["g"]).collect() == []
+
+
 def test_trip_keys_are_unique(spark):
     ends = spark.range(40).withColumnRenamed("id", "o")
     pairs = ends.select("o", F.explode(F.sequence(F.lit(0), F.lit(39))).alias("d"))
