@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terratally.llm import decontamination, extraction, jaccard, katz, licenses, packing, pii, quality, substrings, warc
+from terratally.llm import (
+    decontamination,
+    extraction,
+    jaccard,
+    katz,
+    licenses,
+    merkle,
+    negatives,
+    packing,
+    pii,
+    quality,
+    sharding,
+    substrings,
+    warc,
+)
 from terratally.llm.common import new_folder
 
 
@@ -61,6 +75,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(merkle.manifest(_table(spark, sf_dir, "documents"), merkle.tampered_text()))
+
+
+def op13_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -72,8 +98,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_katz_backoff": op8_katz_backoff,
     "op9_warc": op9_warc,
     "op10_html_extraction": op10_html_extraction,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_jump_sharding": op13_jump_sharding,
 }
 
 SQL: dict[str, str] = {
     "op3_quality_rules": quality.QUALITY_SQL,
+    "op11_hard_negatives": negatives.MINING_SQL,
+    "op12_merkle_manifest": merkle.MANIFEST_SQL,
+    "op13_jump_sharding": sharding.SHARDING_SQL,
 }
