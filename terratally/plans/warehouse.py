@@ -11,16 +11,8 @@ from terratally.operators import dimensions
 from terratally.operators.facts import with_site, with_staff
 from terratally.plans.labels import Labels
 from terratally.plans.loads import Star, with_day
-from terratally.sources.warehouse import (
-    day_layout,
-    merge_days,
-    only_new_rows,
-    read_days,
-    stored,
-    table_if_any,
-    within_days,
-    write_table,
-)
+from terratally.sources.store import Store
+from terratally.sources.warehouse import stored, within_days
 
 _NATURAL_KEYS = {"fact_mission": "nk_mission", "fact_equipment": "nk_equipment"}
 _DAY_KEYS = {"fact_mission": "sk_date_mission", "fact_equipment": "sk_date_purchase"}
@@ -32,77 +24,75 @@ def save_star(star: Star, root: str, only_new: bool = False) -> None:
 
     Members of a dimension are matched by their natural keys and keep the surrogate keys they
     have there; new ones are numbered after the highest, and the facts get those keys. Fact rows
-    replace stored ones of the same natural key, or give way to them with ``only_new``; no other
-    stored row is touched, whichever site or day it is of.
+    replace stored ones of the same natural key and take over their surrogate keys, or give way to
+    them with ``only_new``; no other stored row is touched, whichever site or day it is of.
+
+    The load shows as a whole once it is complete. One that was stopped anywhere before has changed
+    nothing and can be repeated.
     """
-    spark = star.dim_city.sparkSession
-    cities, city_keys = _matched(
-        star.dim_city, _table(spark, root, "dim_city"), "sk_city", ["city_name"]
-    )
+    store = Store(star.dim_city.sparkSession, root)
+    first, last = _calendar(store, star)
+    cities, city_keys = _matched(store, star.dim_city, "dim_city", "sk_city", ["city_name"])
     equipment, equipment_keys = _matched(
-        star.dim_equipment, _table(spark, root, "dim_equipment"), "sk_equipment", ["type", "model"]
+        store, star.dim_equipment, "dim_equipment", "sk_equipment", ["type", "model"]
     )
-    first, last = _calendar(spark, root, star)
     tables = {
-        "dim_date": dimensions.calendar(spark, first, last),
-        "dim_transport_type": star.dim_transport_type,
-        "dim_equipment": equipment,
-        "dim_city": cities,
-        "dim_staff": _staff(star, _table(spark, root, "dim_staff"), city_keys),
-        "dim_trip": _trips(star, _table(spark, root, "dim_trip"), city_keys),
+        "dim_date": (dimensions.calendar(store.spark, first, last), "sk_date"),
+        "dim_transport_type": (star.dim_transport_type, "sk_transport_type"),
+        "dim_equipment": (equipment, "sk_equipment"),
+        "dim_city": (cities, "sk_city"),
+        "dim_staff": (_renamed_key(star.dim_staff, "sk_site", city_keys), "nk_staff"),
+        "dim_trip": (_trips(star, city_keys), "sk_trip"),
     }
+    for name, (table, key) in tables.items():
+        store.put_members(name, getattr(schemas, name.upper()), table, key)
     facts = {
         "fact_mission": _with_trip_key(star.fact_mission, city_keys),
         "fact_equipment": _renamed_key(star.fact_equipment, "sk_equipment", equipment_keys),
     }
     for name, fact in facts.items():
-        path, layout = f"{root}/{name}", getattr(schemas, name.upper())
+        layout = getattr(schemas, name.upper())
         rows = _numbered_from(fact.select(*layout.names), _DAY_KEYS[name], star.first, first)
-        if only_new:
-            rows = only_new_rows(rows, path, day_layout(layout, "date_iso"), _NATURAL_KEYS[name])
-        merge_days(rows, path, layout, "date_iso", _NATURAL_KEYS[name])
-    # Dimensions come last and are staged, as they are made from what they replace.
-    for name, table in {n: stored(t, n) for n, t in tables.items()}.items():
-        write_table(table, f"{root}/{name}")
+        store.merge(name, layout, rows, "date_iso", _NATURAL_KEYS[name], f"sk_{name}", only_new)
+    store.commit()
 
 
-def _table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    return table_if_any(spark, f"{root}/{name}", getattr(schemas, name.upper()))
+def _table(store: Store, name: str) -> DataFrame | None:
+    return store.table(name, getattr(schemas, name.upper()))
 
 
 def _matched(
-    incoming: DataFrame, kept: DataFrame | None, key: str, natural: list[str]
-) -> tuple[DataFrame, DataFrame]:
-    """The dimension of both loads, and ``old``, ``new``: the incoming keys and what they become.
-
-    A stored member takes the other attributes of the incoming one. NULL matches NULL.
-    """
-    incoming = stored(incoming, f"incoming-{key}")
+    store: Store, incoming: DataFrame, name: str, key: str, natural: list[str]
+) -> tuple[DataFrame, DataFrame | None]:
+    """The incoming members under the keys they have or get in the store, and ``old``, ``new``:
+    what their own keys become; None if they stay. NULL matches NULL."""
+    kept = _table(store, name)
     if kept is None:
-        return incoming, incoming.select(F.col(key).alias("old"), F.col(key).alias("new"))
+        return incoming, None
+    incoming = stored(incoming, f"incoming-{key}")
     names = [F.coalesce(c, F.lit("")).alias(c) for c in natural]
-    known = stored(kept.select(F.struct(*names).alias("member"), F.col(key).alias("new")), f"known-{key}")
-    named = incoming.withColumn("member", F.struct(*names))
-    fresh = stored(named.join(known, "member", "left_anti").drop(key, "member"), f"fresh-{key}")
+    member = F.struct(*names).alias("member")
+    known = kept.select(member, F.col(key).alias("new"))
+    named = incoming.select(member, "*")
+    fresh = named.join(known, "member", "left_anti").drop(key, "member")
     highest = known.agg(F.coalesce(F.max("new"), F.lit(0))).scalar()
-    order = [F.coalesce(c, F.lit("")).alias(c) for c in natural]
-    numbered = stored(keys.with_dense_key(fresh, key, order, highest), f"numbered-{key}")
-    everyone = known.unionByName(
-        numbered.select(F.struct(*names).alias("member"), F.col(key).alias("new"))
-    )
-    changed = named.drop(key).join(everyone, "member").withColumnRenamed("new", key)
-    table = kept.join(changed.select(key), key, "left_anti").unionByName(changed.select(*kept.columns))
-    moved = named.select("member", F.col(key).alias("old")).join(everyone, "member")
-    return table, stored(moved.select("old", "new"), f"moved-{key}")
+    numbered = keys.with_dense_key(fresh, key, names, highest)
+    everyone = known.unionByName(numbered.select(member, F.col(key).alias("new")))
+    moved = stored(named.withColumnRenamed(key, "old").join(everyone, "member"), f"moved-{key}")
+    return moved.withColumnRenamed("new", key).select(*incoming.columns), moved.select("old", "new")
 
 
-def _renamed_key(rows: DataFrame, column: str, moved: DataFrame) -> DataFrame:
+def _renamed_key(rows: DataFrame, column: str, moved: DataFrame | None) -> DataFrame:
+    if moved is None:
+        return rows
     names = rows.columns
     to = moved.select(F.col("old").alias(column), F.col("new").alias("_new"))
     return rows.join(to, column, "left").withColumn(column, F.col("_new")).select(*names)
 
 
-def _with_trip_key(fact: DataFrame, city_keys: DataFrame) -> DataFrame:
+def _with_trip_key(fact: DataFrame, city_keys: DataFrame | None) -> DataFrame:
+    if city_keys is None:
+        return fact
     ends = fact.withColumns(
         {
             "_origin": F.shiftright("sk_trip", 32),
@@ -115,28 +105,17 @@ def _with_trip_key(fact: DataFrame, city_keys: DataFrame) -> DataFrame:
     return ends.withColumn("sk_trip", key).drop("_origin", "_destination")
 
 
-def _trips(star: Star, kept: DataFrame | None, city_keys: DataFrame) -> DataFrame:
+def _trips(star: Star, city_keys: DataFrame | None) -> DataFrame:
     trips = star.dim_trip
     for end in ("sk_city_origin", "sk_city_destination"):
         trips = _renamed_key(trips, end, city_keys)
     key = keys.trip_key(F.col("sk_city_origin"), F.col("sk_city_destination"))
-    trips = trips.withColumn("sk_trip", key).where(F.col("sk_trip").isNotNull())
-    if kept is None:
-        return trips
-    return kept.join(trips.select("sk_trip"), "sk_trip", "left_anti").unionByName(trips)
-
-
-def _staff(star: Star, kept: DataFrame | None, city_keys: DataFrame) -> DataFrame:
-    """Employees of both loads: those who have left still own facts."""
-    staff = _renamed_key(star.dim_staff, "sk_site", city_keys)
-    if kept is None:
-        return staff
-    return kept.join(staff.select("nk_staff"), "nk_staff", "left_anti").unionByName(staff)
+    return trips.withColumn("sk_trip", key).where(F.col("sk_trip").isNotNull())
 
 
-def _calendar(spark: SparkSession, root: str, star: Star) -> tuple[date, date]:
+def _calendar(store: Store, star: Star) -> tuple[date, date]:
     """First and last day of both calendars; the stored origin must not move."""
-    kept = _table(spark, root, "dim_date")
+    kept = _table(store, "dim_date")
     if kept is None:
         return star.first, star.last
     first, last = _bounds(kept)
@@ -157,19 +136,20 @@ def _numbered_from(fact: DataFrame, key: str, old: date, new: date) -> DataFrame
 def open_star(
     spark: SparkSession, root: str, since: date | None = None, until: date | None = None
 ) -> Star:
-    """Read a saved star; ``since`` and ``until`` prune the facts' partitions.
+    """Read the last committed star; only the days from ``since`` to ``until`` are opened.
 
     The facts keep the partition columns year, month and day, by which the questions
-    prune further. The calendar is the saved one.
+    prune further. The calendar is the saved one. What is read stays the same while
+    later loads are saved.
     """
+    store = Store(spark, root)
     tables = {}
     for name in Star.__dataclass_fields__:
+        layout = getattr(schemas, name.upper(), None)
         if name in _DAY_KEYS:
-            layout = day_layout(getattr(schemas, name.upper()), "date_iso")
-            fact = read_days(spark, f"{root}/{name}", since, until, layout)
-            tables[name] = fact.drop("date_iso")
-        elif name not in ("first", "last"):
-            tables[name] = _table(spark, root, name)
+            tables[name] = store.days(name, layout, "date_iso", since, until).drop("date_iso")
+        elif layout is not None:
+            tables[name] = store.table(name, layout)
     first, last = _bounds(tables["dim_date"])
     return Star(first=first, last=last, **tables)
 

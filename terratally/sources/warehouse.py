@@ -5,12 +5,11 @@ import uuid
 from datetime import date
 from functools import cache
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
-_DAY_PARTITIONS = ("year", "month", "day")
+DAY_PARTITIONS = ("year", "month", "day")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -44,10 +43,6 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def write_table(frame: DataFrame, path: str) -> None:
-    frame.write.mode("overwrite").parquet(path)
-
-
 def write_days(frame: DataFrame, path: str, day: str) -> None:
     """Write a fact split by year, month and day of column ``day``, which must be known.
 
@@ -55,67 +50,25 @@ def write_days(frame: DataFrame, path: str, day: str) -> None:
     The rebalance hint lets AQE merge small days into one file and split big ones.
     """
     (
-        _split_by_day(frame, day)
-        .hint("rebalance", *_DAY_PARTITIONS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*_DAY_PARTITIONS)
-        .parquet(path)
-    )
-
-
-def merge_days(frame: DataFrame, path: str, layout: StructType, day: str, key: str) -> None:
-    """Add rows to a fact kept by day, undated ones included.
-
-    A stored row with the ``key`` of a new one gives way to it, wherever its day was; all other
-    stored rows stay, also those of the same days. Only days that change are written again.
-    """
-    spark = frame.sparkSession
-    incoming = stored(_split_by_day(frame, day), "incoming")
-    table = table_if_any(spark, path, day_layout(layout, day))
-    if table is None:
-        incoming.hint("rebalance", *_DAY_PARTITIONS).write.partitionBy(*_DAY_PARTITIONS).parquet(path)
-        return
-    keys = incoming.select(key).distinct()
-    replaced = table.join(keys, key, "left_semi").select(*_DAY_PARTITIONS)
-    before = stored(replaced.distinct(), "replaced-days")
-    touched = before.unionByName(incoming.select(*_DAY_PARTITIONS)).distinct()
-    same_day = [table[c].eqNullSafe(touched[c]) for c in _DAY_PARTITIONS]
-    kept = table.join(touched, same_day, "left_semi").join(keys, key, "left_anti")
-    merged = stored(kept.select(*incoming.columns).unionByName(incoming), "merged-days")
-    (
-        merged.hint("rebalance", *_DAY_PARTITIONS)
+        split_by_day(frame, day)
+        .hint("rebalance", *DAY_PARTITIONS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*_DAY_PARTITIONS)
+        .partitionBy(*DAY_PARTITIONS)
         .parquet(path)
     )
-    _drop_emptied(before, merged, path)
-
-
-def _drop_emptied(before: DataFrame, merged: DataFrame, path: str) -> None:
-    """Remove partitions whose last row has moved; an overwrite leaves those alone.
-
-    At most one row per day of the calendar is collected.
-    """
-    left = merged.select(*_DAY_PARTITIONS).distinct()
-    same_day = [before[c].eqNullSafe(left[c]) for c in _DAY_PARTITIONS]
-    for row in before.join(left, same_day, "left_anti").collect():
-        parts = (f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in _DAY_PARTITIONS)
-        context = before.sparkSession.sparkContext
-        folder = context._jvm.org.apache.hadoop.fs.Path("/".join([path, *parts]))
-        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def day_layout(layout: StructType, day: str) -> StructType:
     """Layout of a fact kept by day: its columns, the day, and the partition columns."""
     whole = StructType([*layout.fields, StructField(day, DateType())])
-    for part in _DAY_PARTITIONS:
+    for part in DAY_PARTITIONS:
         whole.add(part, "integer")
     return whole
 
 
-def _split_by_day(frame: DataFrame, day: str) -> DataFrame:
+def split_by_day(frame: DataFrame, day: str) -> DataFrame:
+    """Add the partition columns of a fact kept by day."""
     return frame.select(
         "*",
         F.year(day).alias("year"),
@@ -158,19 +111,3 @@ def missing_days(incoming: DataFrame, loaded: DataFrame, day: str) -> DataFrame:
         .distinct()
         .join(loaded.select(day).distinct(), day, "left_anti")
     )
-
-
-def only_new_rows(incoming: DataFrame, path: str, layout: StructType, key: str) -> DataFrame:
-    """Rows of ``incoming`` whose ``key`` the table under ``path`` does not have yet."""
-    table = table_if_any(incoming.sparkSession, path, layout)
-    return incoming if table is None else incoming.join(table.select(key), key, "left_anti")
-
-
-def table_if_any(spark: SparkSession, path: str, layout: StructType) -> DataFrame | None:
-    """The table under ``path`` by its published layout, so that it may hold no file yet."""
-    try:
-        return spark.read.schema(layout).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
