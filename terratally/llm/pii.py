@@ -30,6 +30,11 @@ PATTERNS = {
 _WORD = r"(?<!\S)[^\s\d]*+\d\S*+"
 _MARK = "﷐"
 
+#: Results that are gathered in one array; even, as every second part of a cut text is a match.
+_CHUNK = 256
+#: Code points of the pieces that a text is cut into to be put together anew.
+_PIECE = 2048
+
 _CONTEXT = 24
 _GOOD_CONTEXT = (
     r"(?i)(e-?mail|phone|tel|call|mobile|card|visa|ip|passw|pwd|token|secret|key|contact|account|"
@@ -52,6 +57,42 @@ ROUNDS = 50
 _SPAN = "struct<start:int,kind:int,end:int,value:string,context:string>"
 
 
+def _scanned(items: Column, start: Column, step, emitted) -> Column:
+    """What ``emitted(state, item)`` gives along ``items``, without nulls; ``step`` moves the state.
+
+    An appended array is a copied array, so results gather in short arrays that are put together at
+    the end: long texts take hardly longer than their parts would.
+    """
+    none = F.filter(F.array(let(start, lambda s: emitted(s, F.get(items, F.lit(0))))), lambda x: F.lit(False))
+
+    def over_items(so_far: Column, item: Column) -> Column:
+        def put(out: Column) -> Column:
+            return F.struct(
+                step(so_far["state"], item).alias("state"),
+                F.when(out.isNull(), so_far["out"]).otherwise(F.array_append(so_far["out"], out)).alias("out"),
+            )
+
+        return let(emitted(so_far["state"], item), put)
+
+    def over_chunks(so_far: Column, at: Column) -> Column:
+        inner = F.aggregate(
+            F.slice(items, at * _CHUNK + 1, F.lit(_CHUNK)),
+            F.struct(so_far["state"].alias("state"), none.alias("out")),
+            over_items,
+        )
+        return let(
+            inner,
+            lambda done: F.struct(
+                done["state"].alias("state"), F.array_append(so_far["out"], done["out"]).alias("out")
+            ),
+        )
+
+    chunks = F.sequence(F.lit(0), (F.size(items) / _CHUNK).cast("int"))
+    empty = F.filter(F.array(none), lambda x: F.lit(False))
+    begin = F.struct(start.alias("state"), empty.alias("out"))
+    return F.aggregate(chunks, begin, over_chunks, lambda done: F.flatten(done["out"]))
+
+
 def _found(text: Column, pattern: str, kind: int) -> Column:
     """All matches in order, with their places in code points and what stands before them.
 
@@ -60,31 +101,24 @@ def _found(text: Column, pattern: str, kind: int) -> Column:
     parts = F.split(F.regexp_replace(text, pattern, f"{_MARK}$0{_MARK}"), _MARK)
 
     def step(so_far: Column, part: Column) -> Column:
-        end = so_far["at"] + F.length(part)
-        span = F.struct(
+        return F.struct(
+            (so_far["at"] + F.length(part)).alias("at"),
+            (~so_far["inside"]).alias("inside"),
+            F.when(so_far["inside"], so_far["before"]).otherwise(F.right(part, F.lit(_CONTEXT))).alias("before"),
+        )
+
+    def span(so_far: Column, part: Column) -> Column:
+        found = F.struct(
             so_far["at"].alias("start"),
             F.lit(kind).alias("kind"),
-            end.alias("end"),
+            (so_far["at"] + F.length(part)).alias("end"),
             part.alias("value"),
-            F.right(so_far["before"], F.lit(_CONTEXT)).alias("context"),
-        )
-        return F.struct(
-            end.alias("at"),
-            (~so_far["inside"]).alias("inside"),
-            F.when(so_far["inside"], so_far["before"]).otherwise(part).alias("before"),
-            F.when(so_far["inside"], F.array_append(so_far["spans"], span))
-            .otherwise(so_far["spans"])
-            .alias("spans"),
+            so_far["before"].alias("context"),
         )
+        return F.when(so_far["inside"], found)
 
-    none = F.array().cast(f"array<{_SPAN}>")
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.lit(False).alias("inside"),
-        F.lit("").alias("before"),
-        none.alias("spans"),
-    )
-    return F.aggregate(parts, start, step, lambda done: done["spans"])
+    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"), F.lit("").alias("before"))
+    return let(parts, lambda cut: _scanned(cut, start, step, span))
 
 
 def _digits(value: Column) -> Column:
@@ -146,13 +180,40 @@ def _trimmed(span: Column) -> Column:
 
 
 def _others(text: Column, base: Column) -> Column:
-    """Further words with a digit, apart from the base spans."""
+    """Further words with a digit, apart from the base spans.
+
+    Words and base spans go by in the order of their starts. A word waits until it is known that no
+    base span begins inside it; a last span behind the text lets the last word pass.
+    """
     words = F.transform(_found(text, _WORD, len(KINDS)), _trimmed)
-    return F.filter(
-        words,
-        lambda w: ~F.exists(base, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])),
+    far = F.lit(2**31 - 1)
+    no_span = F.lit(None).cast(_SPAN)
+    last = F.struct(
+        far.alias("start"), F.lit(0).alias("kind"), far.alias("end"), F.lit("").alias("value"), F.lit("").alias("context")
     )
 
+    def free(so_far: Column, span: Column) -> Column:
+        return (span["kind"] == len(KINDS)) & (so_far["covered"] <= span["start"])
+
+    def step(so_far: Column, span: Column) -> Column:
+        is_base = span["kind"] < len(KINDS)
+        hit = is_base & (span["start"] < so_far["waiting"]["end"])
+        return F.struct(
+            F.when(is_base, F.greatest(so_far["covered"], span["end"])).otherwise(so_far["covered"]).alias("covered"),
+            F.when(free(so_far, span), span)
+            .when(hit | (span["kind"] == len(KINDS)), no_span)
+            .when(span["start"] >= so_far["waiting"]["end"], no_span)
+            .otherwise(so_far["waiting"])
+            .alias("waiting"),
+        )
+
+    def passed(so_far: Column, span: Column) -> Column:
+        return F.when(so_far["waiting"]["end"] <= span["start"], so_far["waiting"])
+
+    start = F.struct(F.lit(0).alias("covered"), no_span.alias("waiting"))
+    in_order = F.sort_array(F.concat(base, words, F.array(last)))
+    return let(in_order, lambda spans: _scanned(spans, start, step, passed))
+
 
 def _votes(span: Column) -> list[Column]:
     """For (1), against (-1) or nothing (0), one column per labeler."""
@@ -361,19 +422,27 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     whole = F.col(text)
 
     def step(so_far: Column, span: Column) -> Column:
-        piece = F.substring(whole, so_far["at"] + 1, span["start"] - so_far["at"])
-        shown = F.concat(so_far["out"], piece, F.lit("<"), F.upper(span["kind"]), F.lit(">"))
-        return F.struct(
-            F.greatest(so_far["at"], span["end"]).alias("at"),
-            F.when(span["start"] >= so_far["at"], shown).otherwise(so_far["out"]).alias("out"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    cleaned = F.aggregate(
-        found,
-        start,
-        step,
-        lambda done: F.concat(done["out"], F.substring(whole, done["at"] + 1, F.length(whole))),
-    )
+        return F.struct(F.greatest(so_far["at"], span["end"]).alias("at"))
+
+    def put_together(pieces: Column) -> Column:
+        def between(first: Column, end: Column) -> Column:
+            """The text from code point ``first`` on; only the pieces it touches are looked at."""
+            at = F.floor(first / _PIECE).cast("int")
+            touched = F.slice(pieces, at + 1, F.floor(end / _PIECE).cast("int") - at + 1)
+            return F.substring(F.array_join(touched, ""), first - at * _PIECE + 1, end - first)
+
+        def shown(so_far: Column, span: Column) -> Column:
+            made = F.concat(between(so_far["at"], span["start"]), F.lit("<"), F.upper(span["kind"]), F.lit(">"))
+            return F.when(span["start"] >= so_far["at"], made)
+
+        end = F.length(whole)
+        last = F.aggregate(found, F.lit(0), lambda at, span: F.greatest(at, span["end"]))
+        start = F.struct(F.lit(0).alias("at"))
+        replaced = _scanned(F.col(found), start, step, shown)
+        return F.concat(F.array_join(replaced, ""), let(last, lambda at: between(at, end)))
+
+    places = F.sequence(F.lit(0), (F.length(whole) / _PIECE).cast("int"))
+    cut = F.transform(places, lambda i: F.substring(whole, i * _PIECE + 1, F.lit(_PIECE)))
+    cleaned = let(cut, put_together)
     shown = F.when(F.col(found).isNull(), whole).otherwise(cleaned)
     return joined.withColumn(text, shown).drop(row, key, found)

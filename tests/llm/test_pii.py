@@ -86,3 +86,27 @@ def test_redaction(spark):
 def test_no_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert pii.digest(pii.detect(empty)).collect() == [] and pii.redact(empty).collect() == []
+
+
+def test_long_texts(spark):
+    """Thousands of spans and words in one text: base spans, other words and what redaction leaves."""
+    mails = " ".join(f"user{i}@host{i}.com," for i in range(4000))
+    mixed = " ".join(
+        (f"(word{i})", f"10.0.0.{i % 300}", f"a{i}@b.cd/x{i}", "+1 (988) 555-2485", "plain")[i % 5] for i in range(5000)
+    )
+    texts = {1: mails, 2: mixed}
+    docs = spark.createDataFrame([(k, t, None, None, None) for k, t in texts.items()], SCHEMA)
+    held(pii.digest(pii.detect(docs)).collect(), texts)
+    for row in pii.candidates(docs).collect():
+        text = texts[row["doc_id"]]
+        base = [tuple(map(int, s.split(":")[1:])) for s in base_spans(text)]
+        words = []
+        for match in re.finditer(r"\S*\d\S*", text):
+            start = match.start() + len(match[0]) - len(match[0].lstrip("([{<\"'"))
+            end = match.start() + len(match[0].rstrip(".,;:!?)]}>\"'"))
+            if not any(a < end and start < b for a, b in base):
+                words.append((start, end))
+        assert [(s["start"], s["end"]) for s in row["spans"] if s["kind"] == len(PLAIN)] == words
+    shown = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert shown[1] == "<EMAIL>, " * 3999 + "<EMAIL>,"
+    assert "@" not in shown[2] and shown[2].count("plain") == 1000 and shown[2].count("<PHONE>") == 1000

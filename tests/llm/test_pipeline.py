@@ -10,7 +10,7 @@ from terratally.llm.queries import QUERIES, SQL
 def test_queries_are_registered():
     names = set(contract.queries())
     assert set(QUERIES) <= names and "pipeline" in names and set(SQL) <= set(QUERIES)
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
 
 
 def test_stages(spark, tmp_path):
