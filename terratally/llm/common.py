@@ -28,10 +28,51 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     """Write ``frame`` once into the shared folder and go on from the files."""
     spark = frame.sparkSession
     path = new_folder(spark, label)
+    _made.add(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Remove the folders of staged ``frames`` that nothing is going to read again."""
+    for frame in frames:
+        _remove(frame.sparkSession, {file.rsplit("/", 1)[0] for file in frame.inputFiles()})
+
+
+def _remove(spark: SparkSession, folders: set[str]) -> None:
+    context = spark.sparkContext
+    for folder in folders:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Stages:
+    """Owner of what the stages of a pipeline write on their way.
+
+    A stage's own tables are superseded once its result has been written, that is, when the next
+    stage starts on rows that are not read from them.
+    """
+
+    def __init__(self) -> None:
+        self._left: set[str] = set()
+
+    def run(self, stage, spark: SparkSession, docs: DataFrame, *more) -> DataFrame:
+        if self._left:
+            read = docs.inputFiles()
+            done = {folder for folder in self._left if not any(folder in file for file in read)}
+            _remove(spark, done)
+            self._left -= done
+        before = set(_made)
+        try:
+            return stage(spark, docs, *more)
+        finally:
+            self._left |= _made - before
+
+
+#: Folders that ``staged`` has written in this process.
+_made: set[str] = set()
+
+
 def fresh(frame: DataFrame, *names: str) -> list[str]:
     """Names like ``names`` that no column of ``frame`` has."""
     taken = {column.lower() for column in frame.columns}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terratally.llm.common import staged
+from terratally.llm.common import discard, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,7 +22,9 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while (now := _state(stars)) != before:
         before = now
-        stars = staged(_small(_large(stars)), "stars")
+        moved = staged(_small(_large(stars)), "stars")
+        discard(stars)
+        stars = moved
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         stars.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )

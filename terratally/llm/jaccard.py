@@ -30,6 +30,7 @@ from pyspark.sql.window import Window
 from terratally.llm.common import (
     NOT_SPACE,
     Texts,
+    discard,
     distinct_pairs,
     fresh,
     list_array,
@@ -175,7 +176,7 @@ def _distances(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _open_regions(regions: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """``region, node, n, weight, root, is_open``: regions that hold several components, as known so far.
+    """``region, node, n, weight, root, members, is_open``: regions that hold several components, as known so far.
 
     Members of a region's largest component are joined already; what is open are the others, and
     links are missing only from these.
@@ -186,10 +187,12 @@ def _open_regions(regions: DataFrame, roots: DataFrame | None) -> DataFrame:
         labelled = regions.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = labelled.groupBy("region", "root").agg(F.count("*").alias("members"))
     largest = sizes.groupBy("region").agg(
-        F.max(F.struct("members", "root"))["root"].alias("largest"), F.count("*").alias("roots")
+        F.max(F.struct("members", "root"))["root"].alias("largest"),
+        F.count("*").alias("roots"),
+        F.sum("members").alias("members"),
     )
     return labelled.join(largest.where("roots > 1"), "region").select(
-        *("region", "node", "n", "weight", "root"),
+        *("region", "node", "n", "weight", "root", "members"),
         (F.col("root") != F.col("largest")).alias("is_open"),
     )
 
@@ -206,8 +209,9 @@ def _slots(number: int) -> Column:
 
 def _round(
     regions: DataFrame, nodes: DataFrame, percent: int, number: int
-) -> tuple[DataFrame, DataFrame]:
-    """Links found with pivots among the open members, and the regions that are left."""
+) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Links found with pivots among the open members, the regions that are left, and the tables
+    that both are read from."""
     radius = 1 - percent / 100
     slot = F.pmod(F.xxhash64("node"), _slots(number))
     order = F.struct(
@@ -268,7 +272,7 @@ def _round(
         .alias("region"),
         *("node", "n", "weight"),
     )
-    return links, left.distinct()
+    return links, left.distinct(), [held, found]
 
 
 def _leaf_pairs(regions: DataFrame) -> DataFrame:
@@ -279,29 +283,31 @@ def _leaf_pairs(regions: DataFrame) -> DataFrame:
 
 
 def _links(nodes: DataFrame, percent: int) -> DataFrame | None:
-    """Links that make the components, or None.
+    """Links that make the components, or None. ``nodes`` is a staged table and does not outlive it.
 
     Every round joins most of what a region holds to its pivots, so the regions that go on are few.
     """
     regions = staged(_first_regions(nodes, percent), "regions")
     links = roots = None
     for number in itertools.count():
-        by_region = Window.partitionBy("region")
-        current = staged(
-            _open_regions(regions, roots).withColumn("members", F.count("*").over(by_region)), "regions"
-        )
+        current = staged(_open_regions(regions, roots), "regions")
+        discard(regions)
         if current.isEmpty():
+            discard(current, nodes)
             return links
         # The sets move in every round, so only those still needed stay.
-        nodes = staged(nodes.join(current.select("node").distinct(), "node", "left_semi"), "jaccard-active")
+        active = staged(nodes.join(current.select("node").distinct(), "node", "left_semi"), "jaccard-active")
+        discard(nodes)
+        nodes = active
         small = current.where((F.col("members") <= LEAF) & F.lit(roots is not None))
         large = current.where((F.col("members") > LEAF) | F.lit(roots is None))
-        new, regions = _round(large, nodes, percent, number)
+        new, left, read = _round(large, nodes, percent, number)
         beside = _distances(_leaf_pairs(small), nodes, percent).where("linked")
         new = staged(
             new.unionByName(beside.select(F.col("node").alias("a"), F.col("pivot").alias("b"))), "links"
         )
-        regions = staged(regions, "regions")
+        regions = staged(left, "regions")
+        discard(current, *read)
         links = new if links is None else links.unionByName(new)
         roots = components(links)
 
@@ -314,7 +320,10 @@ def _grouped(docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
         F.min("doc_id").alias("first_doc"), F.first("shingles").alias("shingles")
     )
     nodes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
-    prints = nodes.select("print1", "print2", "n", "node", "first_doc")
+    # The sets go as soon as nothing needs them; what names the rows and classes is a small part.
+    rows = staged(described.select("doc_id", "row_hash", "n", "print1", "print2"), "jaccard-rows")
+    prints = staged(nodes.select("print1", "print2", "n", "node", "first_doc"), "jaccard-classes")
+    discard(described)
     links = _links(nodes, percent)
     if links is not None:
         roots = components(links)
@@ -324,7 +333,6 @@ def _grouped(docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
     else:
         prints = prints.withColumnRenamed("node", "root")
     prints = prints.select("print1", "print2", "n", "root", "first_doc")
-    rows = described.select("doc_id", "row_hash", "n", "print1", "print2")
     return rows.join(prints, ["print1", "print2", "n"], "left")
 
 
