@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from terratally.llm import decontamination, jaccard, packing, pii, quality
-from terratally.llm.common import staged
+from terratally.llm.common import Stages, discard, staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -40,12 +41,25 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
+_OWNER = Stages()
+
+
+def _owned(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``stage``, whose tables go when the next stage starts on its written result."""
+
+    @wraps(stage)
+    def run_owned(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return _OWNER.run(stage, spark, docs, sf_dir)
+
+    return run_owned
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", keep_good),
-    ("ngram_jaccard_join", keep_one_of_each),
-    ("benchmark_decontamination", keep_unleaked),
-    ("pii", hide_personal_data),
-    ("best_fit_packing", pack),
+    ("quality_rules", _owned(keep_good)),
+    ("ngram_jaccard_join", _owned(keep_one_of_each)),
+    ("benchmark_decontamination", _owned(keep_unleaked)),
+    ("pii", _owned(hide_personal_data)),
+    ("best_fit_packing", _owned(pack)),
 ]
 
 #: Neither near-duplicate components nor packing can be expressed in SQL.
@@ -55,6 +69,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    previous = None
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if previous is not None:
+            discard(previous)
+        previous = docs
     return STAGES[-1][1](spark, docs, sf_dir)
