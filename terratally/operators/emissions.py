@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from terratally.functions import vocabulary
 from terratally.operators.dimensions import with_ends, with_trip_distance
+from terratally.sources.warehouse import stored
 
 _MISSION_RULE_INPUTS = ("sk_origin", "sk_destination", "transport_raw", "round_trip")
 _MISSION_RULE_RESULTS = ("sk_origin", "sk_destination", "transport_name", "has_factor")
@@ -65,14 +66,34 @@ def with_mission_emission(measured: DataFrame) -> DataFrame:
     )
 
 
-def mission_ledger(
+def priced_missions(
     missions: DataFrame, cities: DataFrame, carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Every mission with its distance, mode and CO2; ends are city keys."""
+    """Missions, or groups of equal ones, with distance, mode and CO2; ends are city keys.
+
+    The distance is worked out for each row, so this is for few rows.
+    """
     ended = with_ends(missions, cities, "sk_origin", "sk_destination", "sk_city", carry)
     return with_mission_emission(with_trip_distance(ended))
 
 
+def mission_ledger(
+    missions: DataFrame, cities: DataFrame, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """The same for every mission: distances come from a stored table of the pairs that occur.
+
+    The pairs are counted out of two columns of the missions, at most one row per ordered pair of
+    cities, and written once, so the planner knows whether they can be broadcast.
+    """
+    ends = ("sk_origin", "sk_destination")
+    pairs = missions.select(*ends).distinct()
+    known = stored(with_trip_distance(with_ends(pairs, cities, *ends, "sk_city", carry)), "distances")
+    side = known.withColumnsRenamed({end: f"_{end}" for end in ends})
+    same = [missions[end].eqNullSafe(side[f"_{end}"]) for end in ends]
+    measured = missions.join(side, same, "left").drop(*(f"_{end}" for end in ends))
+    return with_mission_emission(measured)
+
+
 def mission_ledger_by_trip(
     missions: DataFrame, cities: DataFrame, trips: DataFrame
 ) -> DataFrame:
@@ -111,7 +132,7 @@ def mission_totals(
         return with_ends(summed, cities, "sk_origin", "sk_destination", "sk_city", carry)
     groups = dict.fromkeys([*_MISSION_RULE_INPUTS, *by])
     counted = missions.groupBy(*groups).agg(F.count("*").alias("missions"))
-    priced = mission_ledger(counted, cities, carry)
+    priced = priced_missions(counted, cities, carry)
     return priced.withColumn("co2_kg", F.col("missions") * F.col("co2_kg"))
 
 
@@ -123,38 +144,48 @@ def with_purchase_emission(
 ) -> DataFrame:
     """Look (type, model) up in the catalogue, else the default model of the type.
 
-    Adds co2_kg, ``listed`` (either look-up found a row) and, when the catalogue has it,
-    sk_equipment. Key and value fall back separately.
+    Adds co2_kg, ``listed`` (either look-up found a row), ``exact`` and, when the catalogue has it,
+    sk_equipment. Key and value fall back separately. The pairs that occur are looked up once each
+    and stored, and rows are joined to them; a pair stands there once, so no row is doubled.
     """
-    wanted = [c for c in ("sk_equipment", "co2_impact_kg_ref") if c in catalogue.columns]
+    pairs = rows.select("type", "model").distinct()
+    known = stored(priced_purchases(pairs, catalogue, default_model), "purchase-prices")
+    side = known.withColumnsRenamed({"type": "_type", "model": "_model"})
+    same = [rows["type"].eqNullSafe(side["_type"]), rows["model"].eqNullSafe(side["_model"])]
+    return rows.join(side, same, "left").drop("_type", "_model")
 
-    def side(frame: DataFrame, prefix: str, *join_columns: str) -> DataFrame:
-        return frame.select(
-            *[F.col(c).alias(f"{prefix}_{c}") for c in (*join_columns, *wanted)],
-            F.lit(True).alias(f"{prefix}_hit"),
-        )
 
-    exact = side(catalogue, "exact", "type", "model")
-    default = side(
-        catalogue.where(vocabulary.is_default_model(F.col("model"), default_model)),
-        "default",
-        "type",
+def priced_purchases(
+    rows: DataFrame, catalogue: DataFrame, default_model: str = vocabulary.DEFAULT_MODEL
+) -> DataFrame:
+    """``with_purchase_emission`` for few rows: one join with a row per type.
+
+    That row maps the type's models to key and impact and holds those of its default model; a model
+    listed twice under a type is an error. Of several spellings of the default the first by name
+    counts.
+    """
+    wanted = [c for c in ("sk_equipment", "co2_impact_kg_ref") if c in catalogue.columns]
+    entry = F.struct(*wanted, F.lit(True).alias("hit"))
+    model = F.col("model")
+    is_default = vocabulary.is_default_model(model, default_model)
+    per_type = catalogue.where(F.col("type").isNotNull()).groupBy(F.col("type").alias("_type")).agg(
+        F.map_from_entries(
+            F.collect_list(F.when(model.isNotNull(), F.struct(model, entry.alias("entry"))))
+        ).alias("_models"),
+        F.min_by(F.when(is_default, entry), F.when(is_default, model)).alias("_default"),
+    )
+    found = rows.join(per_type, F.col("type") == F.col("_type"), "left").withColumn(
+        "_exact", F.try_element_at("_models", F.trim("model"))
     )
-    found = rows.join(
-        exact,
-        (F.col("type") == F.col("exact_type"))
-        & (F.trim("model") == F.col("exact_model")),
-        "left",
-    ).join(default, F.col("type") == F.col("default_type"), "left")
 
     def first_of(name: str) -> Column:
-        return F.coalesce(f"exact_{name}", f"default_{name}")
+        return F.coalesce(f"_exact.{name}", f"_default.{name}")
 
     return found.select(
         *rows.columns,
         *[first_of("sk_equipment").alias("sk_equipment") for c in wanted if c == "sk_equipment"],
         F.coalesce(first_of("hit"), F.lit(False)).alias("listed"),
-        F.coalesce("exact_hit", F.lit(False)).alias("exact"),
+        F.coalesce("_exact.hit", F.lit(False)).alias("exact"),
         first_of("co2_impact_kg_ref").alias("co2_kg"),
     )
 
@@ -176,5 +207,5 @@ def purchase_totals(
         )
     groups = ["type", "model", *by]
     counted = purchases.groupBy(*dict.fromkeys(groups)).agg(F.count("*").alias("purchases"))
-    priced = with_purchase_emission(counted, catalogue, default_model)
+    priced = priced_purchases(counted, catalogue, default_model)
     return priced.withColumn("co2_kg", F.col("purchases") * F.col("co2_kg"))

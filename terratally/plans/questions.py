@@ -8,17 +8,18 @@ come out the same every time.
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terratally.functions.measures import age_in_years, rounded, tonnes, zero_if_null
 from terratally.functions.vocabulary import EMISSION_FACTORS, FLIGHT
 from terratally.operators.emissions import (
-    mission_ledger,
     mission_totals,
+    priced_missions,
     purchase_totals,
 )
 from terratally.plans.sources import Source
+from terratally.sources.warehouse import stored
 
 _MODE_COLUMNS = ("short_haul", "long_haul", "train", "taxi", "public_transport")
 
@@ -179,7 +180,7 @@ def q18_top_missions(source: Source) -> DataFrame:
     names = source.labels
     made = source.missions(*names.period, sited=True).where(_at_site(names.paris))
     if "co2_kg" not in made.columns:
-        made = mission_ledger(made, source.cities())
+        made = priced_missions(made, source.cities())
     return (
         made.where("has_factor")
         .orderBy(F.col("co2_kg").desc(), "nk_mission")
@@ -209,34 +210,24 @@ def q19_monthly_transport_site(source: Source) -> DataFrame:
 def q19_pivot(source: Source) -> DataFrame:
     """One row per site and month, one column per mode; months seen anywhere are kept."""
     names = dict(zip(EMISSION_FACTORS, _MODE_COLUMNS, strict=True))
+    labels = source.labels
+    monthly = stored(q19_monthly_transport_site(source), "site-months")
     wide = (
-        q19_monthly_transport_site(source)
-        .groupBy("site_name", "month")
+        monthly.groupBy("site_name", "month")
         .pivot("transport_name", list(names))
         .agg(F.sum("tco2e"))
         .withColumnsRenamed(names)
     )
-    # Twelve months at most per site from here on.
-    months = F.collect_set("month").over(Window.partitionBy())
-    per_site = (
-        wide.withColumn("months", months)
-        .groupBy("site_name")
-        .agg(
-            F.first("months").alias("months"),
-            F.map_from_entries(
-                F.collect_list(F.struct("month", F.struct(*_MODE_COLUMNS)))
-            ).alias("cells"),
-        )
-        .select("site_name", "cells", F.explode("months").alias("month"))
+    period = F.sequence(F.lit(labels.first_month).cast("long"), F.lit(labels.last_month).cast("long"))
+    sites = monthly.select("site_name").distinct()
+    spine = sites.withColumn("month", F.explode(period)).join(
+        monthly.select("month").distinct(), "month", "left_semi"
+    )
+    return (
+        spine.join(wide, ["site_name", "month"], "left")
+        .select("site_name", "month", *(zero_if_null(F.col(mode)).alias(mode) for mode in _MODE_COLUMNS))
+        .orderBy("site_name", "month")
     )
-    return per_site.select(
-        "site_name",
-        "month",
-        *[
-            zero_if_null(F.col("cells")[F.col("month")][mode]).alias(mode)
-            for mode in _MODE_COLUMNS
-        ],
-    ).orderBy("site_name", "month")
 
 
 # --- missions and purchases together ----------------------------------------------

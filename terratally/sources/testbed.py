@@ -217,27 +217,20 @@ class Testbed:
 
     def catalogue(self) -> DataFrame:
         """Impact per (type, model), plus a default model per type."""
-        parts = self.table("part").where("p_type <> 'PROMO'")
-        named = parts.where("p_brand NOT IN ('Brand#3', 'Brand#7')").selectExpr(
-            "p_type AS type", "p_brand AS model", "p_retailprice"
+        both = (
+            "array(if(p_brand NOT IN ('Brand#3', 'Brand#7'), struct(p_brand AS model, 4L AS share), NULL), "
+            f"if(p_type <> 'SMALL', struct('{DEFAULT_MODEL}' AS model, 5L AS share), NULL))"
         )
-        general = parts.where("p_type <> 'SMALL'").selectExpr(
-            "p_type AS type", f"'{DEFAULT_MODEL}' AS model", "p_retailprice"
+        entries = self.table("part").where("p_type <> 'PROMO'").selectExpr(
+            "p_type AS type", "p_retailprice", f"explode(filter({both}, x -> x IS NOT NULL)) AS entry"
         )
-        return _mean_share(named, 4).unionByName(_mean_share(general, 5))
-
-
-def _mean_share(parts: DataFrame, share: int) -> DataFrame:
-    """Mean price / ``share`` per (type, model), rounded to cents.
-
-    In whole numbers, so neither the order of summation nor the engine matters.
-    """
-    summed = parts.groupBy("type", "model").agg(
-        F.expr("sum(cast(round(p_retailprice * 100) AS bigint)) AS cents"),
-        F.count("*").alias("parts"),
-    )
-    half_up = f"(2 * cents + {share} * parts) DIV ({2 * share} * parts)"
-    return summed.selectExpr("type", "model", f"{half_up} / 100D AS co2_impact_kg_ref")
+        # Mean price / share in whole cents, so neither the order of summation nor the engine matters.
+        summed = entries.groupBy("type", "entry.model", "entry.share").agg(
+            F.expr("sum(cast(round(p_retailprice * 100) AS bigint)) AS cents"),
+            F.count("*").alias("parts"),
+        )
+        half_up = "(2 * cents + share * parts) DIV (2 * share * parts)"
+        return summed.selectExpr("type", "model", f"{half_up} / 100D AS co2_impact_kg_ref")
 
 
 def _between(

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from terratally.operators.emissions import mission_ledger
+from terratally.operators.emissions import priced_missions
 from terratally.operators.facts import with_staff
 from terratally.plans.questions import QUESTIONS
 from terratally.sources.testbed import Testbed
@@ -40,11 +40,34 @@ def test_rows_are_counted_before_they_are_priced(spark):
 
 def test_filter_on_co2_does_not_repeat_the_formula(spark):
     testbed = Testbed(spark, TESTDATA)
-    ledger = mission_ledger(testbed.missions(), testbed.cities())
+    ledger = priced_missions(testbed.missions(), testbed.cities())
     text = plan(ledger.where("co2_kg > 100 AND transport_name LIKE 'Avion%'"))
     assert text.count("ASIN(") == 1
 
 
+@pytest.mark.parametrize("name", ["fact_mission", "mission_mart", "mission_co2", "join_left_dims"])
+def test_rows_take_distances_from_the_pairs(spark, name):
+    assert "SIN(" not in plan(QUERIES[name](spark, TESTDATA))
+
+
+@pytest.mark.parametrize("name", ["q10_sector_total", "q11_site_total", "q20_monthly_total"])
+def test_catalogue_is_read_for_one_join(spark, name):
+    """The parts are read for the catalogue and for the types of what was bought."""
+    text = plan(QUERIES[name](spark, TESTDATA))
+    scans = [line for line in text.splitlines() if "FileScan" in line and "part.parquet" in line]
+    assert len(scans) <= 2
+
+
+@pytest.mark.parametrize("name", ["dim_equipment", "dim_city_sites", "dim_city_augmented"])
+def test_numbering_needs_no_exchange_of_rows(spark, name):
+    text = plan(QUERIES[name](spark, TESTDATA))
+    assert text.count("hashpartitioning") <= 4 and text.count("Exchange SinglePartition") <= 1
+
+
+def test_pivot_has_no_window(spark):
+    assert "Window" not in plan(QUERIES["q19_pivot"](spark, TESTDATA))
+
+
 def test_top_k_is_not_a_full_sort(spark):
     for name in ("q09_top_days", "q16_top_destinations", "q18_top_missions"):
         assert "TakeOrderedAndProject" in plan(QUESTIONS[name](Testbed(spark, TESTDATA)))
