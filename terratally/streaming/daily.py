@@ -4,15 +4,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from terratally.operators.joins import salted_lookup
+from terratally.operators.joins import heavy_keys, salted_lookup
 from terratally.sources.warehouse import shared_folder
 
 _LATENESS = "2 days"
+_TABLE = "day date, activity_sector string, purchases bigint, value double, batch bigint"
 
 
-def daily_totals(events: DataFrame, staff: DataFrame) -> DataFrame:
-    """Purchases of known employees per day and sector; ``events`` may be a stream."""
+def daily_totals(events: DataFrame, staff: DataFrame, heavy: list | None = None) -> DataFrame:
+    """Purchases of known employees per day and sector; ``events`` may be a stream.
+
+    ``heavy`` names employees with a large share of the events; their rows are spread.
+    """
     bought = events.where(F.col("event_type") == "purchase").select(
         "event_id",
         F.col("user_id").alias("nk_staff"),
@@ -26,6 +31,7 @@ def daily_totals(events: DataFrame, staff: DataFrame) -> DataFrame:
         staff.select("nk_staff", "activity_sector"),
         "nk_staff",
         "event_id",
+        heavy or [],
     )
     return (
         known.groupBy("day", "activity_sector")
@@ -39,31 +45,48 @@ def daily_totals(events: DataFrame, staff: DataFrame) -> DataFrame:
     )
 
 
-def stream_daily_totals(
-    spark: SparkSession, folder: str, file_pattern: str, layout: str, staff: DataFrame
-) -> DataFrame:
-    """Run the events now available through ``daily_totals`` and return the table.
+def follow_daily_totals(
+    spark: SparkSession, folder: str, file_pattern: str, layout: str, staff: DataFrame, home: str
+) -> StreamingQuery:
+    """Take the event files that arrived since the last call with this ``home``.
 
-    The result is complete after every batch, so the state keeps one row per day and sector
-    for good; a repeated batch replaces the table with the same rows.
+    Every batch hands on the days it has changed, under its own number: a repeated batch replaces
+    its rows, and the newest row of a day and sector counts. A day leaves the state two days after
+    the latest one seen; events that come later still are dropped.
     """
+    source = spark.read.schema(layout).option("pathGlobFilter", file_pattern).parquet(folder)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bought = source.where(F.col("event_type") == "purchase")
     events = (
-        spark.readStream.schema(layout)
-        .option("pathGlobFilter", file_pattern)
-        .parquet(folder)
+        spark.readStream.schema(layout).option("pathGlobFilter", file_pattern).parquet(folder)
     )
-    home = f"{shared_folder(spark)}/daily-totals-{uuid.uuid4().hex}"
 
-    def replace(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{home}/table")
+    def add(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{home}/table/batch={batch_id}")
 
     query = (
-        daily_totals(events, staff)
-        .writeStream.outputMode("complete")
+        daily_totals(events, staff, heavy_keys(bought, "user_id", tasks))
+        .writeStream.outputMode("update")
         .option("checkpointLocation", f"{home}/checkpoint")
-        .foreachBatch(replace)
+        .foreachBatch(add)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(f"{home}/table")
+    return query
+
+
+def read_daily_totals(spark: SparkSession, home: str) -> DataFrame:
+    """The newest totals of every day and sector."""
+    table = spark.read.schema(_TABLE).parquet(f"{home}/table")
+    newest = F.max_by(F.struct("purchases", "value"), "batch").alias("newest")
+    return table.groupBy("day", "activity_sector").agg(newest).select("day", "activity_sector", "newest.*")
+
+
+def stream_daily_totals(
+    spark: SparkSession, folder: str, file_pattern: str, layout: str, staff: DataFrame
+) -> DataFrame:
+    """Run the events now available through ``daily_totals`` and return the table."""
+    home = f"{shared_folder(spark)}/daily-totals-{uuid.uuid4().hex}"
+    follow_daily_totals(spark, folder, file_pattern, layout, staff, home)
+    return read_daily_totals(spark, home)

@@ -4,7 +4,13 @@ from pyspark.sql import functions as F
 
 from terratally.sources.delimited import Drop
 from terratally.sources.testbed import Testbed
-from terratally.streaming.daily import daily_totals, stream_daily_totals
+from terratally.operators.joins import heavy_keys, salted_lookup
+from terratally.streaming.daily import (
+    daily_totals,
+    follow_daily_totals,
+    read_daily_totals,
+    stream_daily_totals,
+)
 from terratally.streaming.ingest import ingest_missions, ingest_purchases
 from tests.conftest import TESTDATA
 from tests.drop import MISSIONS, PURCHASES, write_missions, write_purchases
@@ -58,3 +64,43 @@ def test_hot_user_in_the_stream(spark, tmp_path):
     folder = str(tmp_path / "events")
     found = stream_daily_totals(spark, folder, "*.parquet", layout, staff).collect()
     assert [tuple(r) for r in found] == [(date(2026, 5, 1), "s", 2000, 2000.0)]
+
+
+def test_only_heavy_keys_are_copied(spark):
+    rows = spark.range(3000).select(
+        F.col("id").alias("row"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 400).alias("k")
+    )
+    heavy = heavy_keys(rows, "k", 8)
+    assert heavy == [7]
+    dimension = spark.range(500).withColumnRenamed("id", "k")
+    joined = salted_lookup(rows, dimension, "k", "row", heavy, salts=8)
+    assert joined.count() == 3000 and joined.columns == ["k", "row"]
+    counted = dimension.withColumn("copies", F.lit(1))
+    copies = salted_lookup(spark.range(64).select(F.lit(7).alias("k"), "id"), counted, "k", "id", heavy, salts=8)
+    assert copies.count() == 64
+    assert salted_lookup(rows, dimension, "k", "row", [], salts=8).count() == 3000
+
+
+def test_late_rows_change_a_day_until_it_leaves_the_state(spark, tmp_path):
+    folder, home = str(tmp_path / "events"), str(tmp_path / "home")
+    layout = Testbed(spark, TESTDATA).layout("events")
+    staff = spark.range(50).select(F.col("id").alias("nk_staff"), F.lit("s").alias("activity_sector"))
+
+    def arrive(*days):
+        made = [(i, datetime(2026, 5, day, 10), 1, "purchase", 1.0) for i, day in enumerate(days)]
+        rows = spark.createDataFrame(made, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double")
+        rows.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.mode("append").parquet(folder)
+        query = follow_daily_totals(spark, folder, "*.parquet", layout, staff, home)
+        states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        found = {r.day.day: r.purchases for r in read_daily_totals(spark, home).collect()}
+        return found, states[-1]
+
+    assert arrive(1, 2, 3, 3) == ({1: 1, 2: 1, 3: 2}, 2)  # the first day has left
+    found, _ = arrive(2)  # within two days of the third
+    assert found == {1: 1, 2: 2, 3: 2}
+    found, state = arrive(20)
+    assert found == {1: 1, 2: 2, 3: 2, 20: 1} and state == 1
+    found, _ = arrive(2)  # too late
+    assert found[2] == 2
+    batch = read_daily_totals(spark, home)
+    assert batch.groupBy("day").count().where("count > 1").isEmpty()
