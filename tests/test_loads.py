@@ -13,7 +13,7 @@ from terratally.plans.loads import load_period, load_reference, star_of
 from terratally.plans.questions import QUESTIONS
 from terratally.plans.warehouse import StarSource, open_star, save_star
 from terratally.sources.places import CITIES
-from terratally.streaming.ingest import ingest_missions, ingest_purchases
+from terratally.streaming.ingest import ingest_missions, ingest_purchases, read_ingested
 from tests.drop import MISSIONS, PURCHASES, STAFF, UNDATED, write_missions
 from tests.test_geodesy import vincenty
 
@@ -241,7 +241,7 @@ def test_ingested_files_give_the_same_star(spark, drop, reference, source, tmp_p
     tables = {kind: str(tmp_path / kind) for kind in ("missions", "purchases")}
     ingest_missions(spark, drop, tables["missions"], str(tmp_path / "c1"))
     ingest_purchases(spark, drop, tables["purchases"], str(tmp_path / "c2"))
-    missions, purchases = (spark.read.parquet(t).drop("year", "month") for t in tables.values())
+    missions, purchases = (read_ingested(spark, t).drop("year", "month") for t in tables.values())
     ingested = StarSource(star_of(missions, purchases, reference))
     for name in ("q10_sector_total", "q12_intersite", "q20_monthly_total"):
         assert answer(ingested, name) == answer(source, name), name

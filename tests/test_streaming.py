@@ -11,7 +11,7 @@ from terratally.streaming.daily import (
     read_daily_totals,
     stream_daily_totals,
 )
-from terratally.streaming.ingest import ingest_missions, ingest_purchases
+from terratally.streaming.ingest import ingest_missions, ingest_purchases, read_ingested
 from tests.conftest import TESTDATA
 from tests.drop import MISSIONS, PURCHASES, write_missions, write_purchases
 
@@ -23,7 +23,7 @@ def test_each_file_is_taken_once(spark, tmp_path):
 
     def ingest():
         ingest_missions(spark, Drop(str(root)), str(table), str(checkpoint))
-        return spark.read.parquet(str(table))
+        return read_ingested(spark, str(table))
 
     assert ingest().count() == len(early)
     assert ingest().count() == len(early)
@@ -34,12 +34,34 @@ def test_each_file_is_taken_once(spark, tmp_path):
     assert loaded.where("nk_mission = 'M01'").first().date_iso == date(2026, 5, 1)
 
 
+def test_a_corrected_file_replaces_its_rows(spark, tmp_path):
+    root, table, checkpoint = (tmp_path / n for n in ("drop", "table", "checkpoint"))
+
+    def ingest():
+        ingest_missions(spark, Drop(str(root)), str(table), str(checkpoint))
+        return sorted((r.nk_mission, r.transport_raw) for r in read_ingested(spark, str(table)).collect())
+
+    write_missions(root, MISSIONS)
+    before = ingest()
+    assert len(before) == len(MISSIONS)
+    first = MISSIONS[0]
+    of_day = [m for m in MISSIONS if m[:2] == first[:2]]
+    corrected = [(*first[:2], "M99", *first[3:9], "Train", first[10])]
+    write_missions(root, corrected)
+    after = ingest()
+    gone = {m[2] for m in of_day}
+    assert after == sorted([r for r in before if r[0] not in gone] + [("M99", "Train")])
+    assert ingest() == after
+    write_missions(root, of_day)
+    assert ingest() == before
+
+
 def test_purchases_are_ingested(spark, tmp_path):
     root = tmp_path / "drop"
     write_purchases(root, PURCHASES)
     table = str(tmp_path / "table")
     ingest_purchases(spark, Drop(str(root)), table, str(tmp_path / "checkpoint"))
-    assert spark.read.parquet(table).count() == len(PURCHASES)
+    assert read_ingested(spark, table).count() == len(PURCHASES)
 
 
 def test_stream_equals_batch(spark):
