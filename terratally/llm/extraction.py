@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 #: Pages that training reads at most, those with the smallest hashes; the model is of fixed size.
 TRAINING_PAGES = 4_000
+#: Features of the model at most, the most frequent ones of the training pages.
+MODEL_FEATURES = 1_000
 #: Weight of the labelled counts against the prior ones, and the bound of one feature's evidence.
 PRIOR_WEIGHT = 20.0
 CLIP = 3.0
@@ -74,8 +76,8 @@ _BAD_ROLE = frozenset(
     "navigation banner contentinfo complementary search form menu menubar alert dialog".split()
 )
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"<]*\"|'[^'<]*')*+)>"
+    r"<!--.*?(?P<close>-->|\Z)"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']|\"[^\"<]*\"|'[^'<]*')*+)>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)>"
     r"|<[!?/][^>]*>",
     re.S,
@@ -147,9 +149,14 @@ def _bucket(value: int, *bounds: int) -> int:
 
 
 def parse(source: str) -> Page:
-    """Tolerant of missing end tags; the content of scripts, styles and the like is left out."""
+    """Tolerant of missing end tags; the content of scripts, styles and the like is left out.
+
+    A ``<`` without any ``>`` after it is text. A page takes time in proportion to its length: no
+    search for an end runs twice where there is none.
+    """
     page = Page()
     stack: list[tuple[str, int]] = [("root", 0)]  # open elements with the node of their block
+    opened: Counter = Counter()  # their names
     pieces: list[str] = []
     linked = links = 0  # characters in links, links open
 
@@ -173,28 +180,33 @@ def parse(source: str) -> Page:
     def close(to: int) -> None:
         nonlocal links
         while len(stack) > to:
-            links -= stack[-1][0] == "a"
-            stack.pop()
+            name, _ = stack.pop()
+            links -= name == "a"
+            opened[name] -= 1
 
     def raw_end(name: str, at: int) -> int:
         """Where the content of a raw element ends; without an end tag, at the next block's tag."""
-        end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(source, at)
-        if end:
-            return end.end()
+        if name not in endless:
+            end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(source, at)
+            if end:
+                return end.end()
+            endless.add(name)
         if name in ("script", "style"):
             return size
         block = _BLOCK.search(source, at)
         return block.start() if block else size
 
     at, size = 0, len(source)
+    last = source.rfind(">") + 1  # no tag ends beyond
+    endless: set[str] = set()  # raw elements without an end tag further on
     skipping = ""
     depth = 0
     inner: Counter = Counter()  # elements opened in the skipped one
     while at < size:
-        match = _TAG.search(source, at)
+        match = _TAG.search(source, at, last) if at < last else None
         if match is None:
             if not skipping:
-                pieces.append(source[at:])
+                pieces.append(source[at:].partition("<!--")[0])
             break
         if not skipping and match.start() > at:
             piece = source[at : match.start()]
@@ -204,6 +216,8 @@ def parse(source: str) -> Page:
         at = match.end()
         name = match["name"] or match["name2"]
         if name is None:
+            if match["close"] == "":
+                break  # the comment never ends
             continue
         name = name.lower()
         ends = bool(match["end"] or match["end2"])
@@ -220,11 +234,12 @@ def parse(source: str) -> Page:
                         at = raw_end(name, at)
                     if not (ends and name == "html"):
                         continue
-            elif not ends or name in INLINE or all(opened != name for opened, _ in stack) or name in inner:
+            elif not ends or name in INLINE or not opened[name] or name in inner:
                 # An end tag of what was opened inside is no end of what is around.
                 if name not in VOID and not rest.endswith("/"):
                     inner[name] += -1 if ends else 1
-                    inner += Counter()
+                    if inner[name] <= 0:
+                        del inner[name]
                 continue
             skipping = ""
         if name in SKIPPED:
@@ -249,7 +264,7 @@ def parse(source: str) -> Page:
         flush()
         links = 0
         if ends:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened[name] else ():
                 if stack[i][0] == name:
                     close(i)
                     break
@@ -269,6 +284,7 @@ def parse(source: str) -> Page:
         cue = _cue(name, rest)
         features = (f"tag={name}", f"cue={cue}") if cue else (f"tag={name}",)
         stack.append((name, page.add(stack[-1][1], name, cue, features, None)))
+        opened[name] += 1
     flush()
     return page
 
@@ -401,7 +417,10 @@ def main_text(source: str, model: Model) -> str:
 
 
 def train(pages: DataFrame, html: str = "html", training_pages: int = TRAINING_PAGES) -> Model:
-    """Count features of labelled pages, at most ``training_pages`` of them by hash of the html."""
+    """Count features of labelled pages, at most ``training_pages`` of them by hash of the html.
+
+    The model keeps the ``MODEL_FEATURES`` most frequent of those that occur five times.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
@@ -424,7 +443,7 @@ def train(pages: DataFrame, html: str = "html", training_pages: int = TRAINING_P
     counts = sample.mapInArrow(run, "feature string, label int, n long")
     # Tags that hardly any page has say nothing; what comes back is one row per tag or feature.
     kept = counts.groupBy("feature", "label").agg(F.sum("n").alias("n")).where("n >= 5")
-    rows = kept.orderBy(F.desc("n"), "feature", "label").limit(1_000).collect()
+    rows = kept.orderBy(F.desc("n"), "feature", "label").limit(MODEL_FEATURES).collect()
     return Model(Counter({(r["feature"], r["label"]): r["n"] for r in rows}))
 
 

@@ -106,3 +106,31 @@ def test_missing_end_tags_lose_no_text():
         assert found == ["The text that has to stay."], page
     nested = f"<div><object><div>in</div><p>in</p></object>{body}</div>"
     assert [t for t in extraction.parse(nested).texts if t] == ["The text that has to stay."]
+
+
+@pytest.mark.parametrize(
+    "piece", ["<a", "<a b='", "<", "</a", "<title><p>", "<div>", "</x>", "<!--", "<svg></y>", "<a" + "b" * 40 + ' c="']
+)
+def test_broken_pages_take_time_in_proportion(piece):
+    """Repeats of what lacks its end: the text before and after a closed article stays."""
+    import time
+
+    times = []
+    for repeats in (20_000, 80_000):
+        begun = time.perf_counter()
+        extraction.parse("<article><p>kept</p></article>" + piece * repeats)
+        times.append(time.perf_counter() - begun)
+    assert times[1] < 9 * times[0] + 1
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<article><p>a < b and c <d", "a < b and c <d"),
+        ("<article><p>kept<!-- never closed", "kept"),
+        ("<article><p>kept<!-- never <b>closed</b> here", "kept"),
+        ("<article><p>kept</p><p>too<!-- closed --> here <e", "kept\ntoo here <e"),
+    ],
+)
+def test_missing_closing_brackets(source, text):
+    assert extraction.main_text(source, extraction.Model(Counter())) == text
