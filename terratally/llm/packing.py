@@ -2,9 +2,10 @@
 
 Documents become pieces of at most ``capacity`` tokens. What has to be decided depends only on how
 many pieces there are of each length, a table of at most ``capacity`` rows. Bin completion works
-on that table: it takes the largest piece left, looks by branch and bound for the best filling of
-the room beside it, and uses that filling for as many bins as the counts allow. Pieces are then
-numbered within their length and looked up in the fillings, which is a narrow join-free pass.
+on that table: it takes the largest piece left, enumerates the undominated fillings of the room
+beside it, and branches over them while the summed waste leaves a chance to save a bin; best-fit
+packings are the incumbents. Pieces are then numbered within their length and looked up in the
+fillings, which is a narrow join-free pass.
 """
 
 from __future__ import annotations
@@ -29,6 +30,10 @@ END_OF_DOCUMENT = 2
 _GROUP_ROWS = 20_000
 #: Nodes that one search for a filling may visit before the best one so far is taken.
 _NODES = 4_000
+#: Fillings of a bin that are enough to branch over before more wasteful ones are looked for.
+_WIDTH = 16
+#: Steps that the branch and bound over whole packings may take.
+STEPS = 300_000
 #: Wasted tokens per bin that end its search, one round each.
 WASTE_BOUNDS = (0, 1, 2, 3, 4, 6, 8, 10, 12, 14, 16, 20, 24, 32, 48, 64)
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -107,14 +112,18 @@ class Filling:
     times: int
 
 
-def complete_bins(counts: dict[int, int], capacity: int = CAPACITY) -> list[Filling]:
+def complete_bins(
+    counts: dict[int, int], capacity: int = CAPACITY, most_steps: int = STEPS
+) -> list[Filling]:
     """Fillings for all pieces, in as few bins as the search finds.
 
-    Every round completes bins with another bound on the waste that ends a bin's search: fillings
-    without any waste use up small pieces that a later bin may need more. The best round is the
-    incumbent, best-fit decreasing the first one, and no round follows when no bin can be saved.
+    Incumbents come from best-fit decreasing and from rounds that fill one bin after the other,
+    each with another bound on the waste that ends a bin's search: fillings without any waste use
+    up small pieces that a later bin may need more. While more bins than the lower bound are used,
+    ``_branch`` looks for one bin fewer; what it finds is the next incumbent. It may take
+    ``most_steps`` steps in all; where it ends within them without a find, the incumbent is the optimum.
     """
-    least = -(-sum(length * n for length, n in counts.items()) // capacity)
+    least = _least_bins(counts, capacity)
     best, bins = [], float("inf")
     for bound in (capacity, *WASTE_BOUNDS):
         fillings = _fill(counts, capacity, bound)
@@ -122,10 +131,147 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY) -> list[Fill
         if used < bins:
             best, bins = fillings, used
         if bins <= least:
+            return best
+    steps = _Steps(most_steps)
+    while bins > least:
+        found = _branch(counts, capacity, bins - 1, steps)
+        if found is None:
             break
+        best, bins = found, sum(filling.times for filling in found)
     return best
 
 
+def _least_bins(counts: dict[int, int], capacity: int) -> int:
+    """Bins that any packing needs.
+
+    For every small length: larger pieces than half a bin need one each, and what is at least that
+    small length must go into the room they leave, or into more bins.
+    """
+    lengths = sorted(x for x, n in counts.items() if n > 0)
+    least = -(-sum(x * counts[x] for x in lengths) // capacity)
+    big = [x for x in lengths if 2 * x > capacity]
+    for small in (x for x in lengths if 2 * x <= capacity):
+        beside = [x for x in big if x <= capacity - small]
+        room = sum((capacity - x) * counts[x] for x in beside)
+        between = sum(x * counts[x] for x in lengths if small <= x and 2 * x <= capacity)
+        least = max(least, sum(counts[x] for x in big) + max(0, -(-(between - room) // capacity)))
+    return max(least, sum(counts[x] for x in big))
+
+
+class _Steps:
+    """Steps that a search may still take."""
+
+    def __init__(self, left: int):
+        self.left = left
+
+
+def _branch(counts: dict[int, int], capacity: int, bins: int, steps: _Steps) -> list[Filling] | None:
+    """A packing into ``bins`` bins by depth-first bin completion, or None.
+
+    A node completes a bin around the largest piece left. Its branches are the undominated fillings
+    of the room beside it whose waste, added to that of the bins before, fits what ``bins`` bins can
+    waste at all; the least waste comes first. A branch uses a filling for as many bins as the
+    counts allow, and later for one bin only, so every packing is reached.
+    """
+    spare = bins * capacity - sum(x * n for x, n in counts.items())
+    if spare < 0:
+        return None
+    path: list[Filling] = []
+    seen: dict[tuple, int] = {}  # most waste left with which these pieces failed
+
+    def branches(left: dict[int, int], waste: int) -> Iterator[tuple[Filling, int]]:
+        largest = max(left)
+        rest = dict(left)
+        rest[largest] -= 1
+        found = [
+            (room, (largest, *beside))
+            for room, beside in _fillings(rest, capacity - largest, min(waste, capacity), steps)
+        ]
+        most = [min(left[x] // y.count(x) for x in set(y)) for _, y in found]
+        for (room, lengths), times in zip(found, most, strict=True):
+            yield Filling(lengths, times), room * times
+        for (room, lengths), times in zip(found, most, strict=True):
+            if times > 1:
+                yield Filling(lengths, 1), room
+
+    left = {x: n for x, n in counts.items() if n > 0}
+    todo = [(left, spare, branches(left, spare))] if left else []
+    while todo:
+        left, waste, more = todo[-1]
+        taken = next(((f, w) for f, w in more if w <= waste), None) if steps.left > 0 else None
+        if taken is None:
+            if steps.left <= 0:
+                return None
+            seen[tuple(sorted(left.items()))] = waste
+            todo.pop()
+            if path:
+                path.pop()
+            continue
+        filling, used = taken
+        after = dict(left)
+        for x in set(filling.lengths):
+            after[x] -= filling.times * filling.lengths.count(x)
+            if not after[x]:
+                del after[x]
+        path.append(filling)
+        if not after:
+            return path
+        if seen.get(tuple(sorted(after.items())), -1) >= waste - used:
+            path.pop()
+            continue
+        todo.append((after, waste - used, branches(after, waste - used)))
+    return None
+
+
+def _fillings(
+    left: dict[int, int], room: int, most: int, steps: _Steps
+) -> list[tuple[int, tuple[int, ...]]]:
+    """``(waste, lengths)`` of the undominated fillings of ``room`` that waste at most ``most``.
+
+    Least waste first, then large pieces. They are looked for with growing bounds on the waste, so
+    that among very many the full ones are found first.
+    """
+    sizes = sorted((x for x, n in left.items() if n > 0 and x <= room), reverse=True)
+    beyond = [0] * (len(sizes) + 1)
+    for i in range(len(sizes) - 1, -1, -1):
+        beyond[i] = beyond[i + 1] + sizes[i] * min(left[sizes[i]], room // sizes[i])
+    for bound in sorted({min(most, b) for b in (0, 8, 64, room)}):
+        out = []
+        stack: list[tuple[int, int, tuple[int, ...]]] = [(0, room, ())]
+        visited = 0
+        while stack and visited < _NODES and steps.left > 0:
+            at, free, taken = stack.pop()
+            visited += 1
+            steps.left -= 1
+            while at < len(sizes) and sizes[at] > free:
+                at += 1
+            if free - beyond[at] > bound:
+                continue
+            if at == len(sizes):
+                if not _dominated(taken, free, left, sizes):
+                    out.append((free, taken))
+                continue
+            length = sizes[at]
+            fitting = min(left[length], free // length)
+            stack.extend((at + 1, free - k * length, taken + (length,) * k) for k in range(fitting + 1))
+        if len(out) >= _WIDTH or visited >= _NODES:
+            break
+    return sorted(out, key=lambda f: (f[0], tuple(-x for x in f[1])))
+
+
+def _dominated(taken: tuple[int, ...], waste: int, left: dict[int, int], sizes: list[int]) -> bool:
+    """Whether a larger piece left fits in place of one or two taken, which are easier to place later."""
+    for x in sizes:
+        if taken.count(x) >= left[x]:
+            continue
+        for i, y in enumerate(taken):
+            if y < x <= y + waste:
+                return True
+            if any(y + z <= x <= y + z + waste for z in taken[i + 1 :]):
+                return True
+    return False
+
+
 def _fill(counts: dict[int, int], capacity: int, bound: int) -> list[Filling]:
     left = {length: n for length, n in counts.items() if n > 0}
     out = []
