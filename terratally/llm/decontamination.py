@@ -5,6 +5,11 @@ template. Template windows of a document are hash-joined with those of the bench
 one diagonal belong together, and count only if every value of the item always became the same
 value in the document. Verbatim words make a second, plain set of windows, so a passage whose
 letters' case was changed is found as well; these always count, whatever else is on their diagonal.
+
+Items of fewer words than a window are one window whole. With ``LEAST_WORDS`` words or more they
+match anywhere by their words; by their template, if too few of these are literal, only a stretch
+between two sentence bounds, so "What is 12 plus 7" is found in "Q: What is 15 plus 9?". Even shorter
+items, such as "Yes", match only a text that has no other words.
 """
 
 from __future__ import annotations
@@ -31,8 +36,13 @@ from terratally.llm.common import (
 WINDOW = 8
 #: Literal words that a template window needs; with fewer it would fit too much.
 LEAST_LITERALS = 4
+#: Literal words that are enough for a short item's template between sentence bounds.
+SENTENCE_LITERALS = 2
+#: Words from which on an item may be a part of a text.
+LEAST_WORDS = 4
 #: Bits of the filter that saves shuffling windows no benchmark has; a fixed size, whatever the input.
 FILTER_BITS = 1 << 24
+#: Share or number of an item's windows that make a document contaminated.
 LEAST_COVERAGE = 0.25
 LEAST_WINDOWS = 6
 
@@ -57,12 +67,13 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(texts.hashes(texts.offsets[:-1], texts.offsets[1:]))
 
 
-def templates(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per token: hash of the word, hash of word or placeholder, value (0 if literal), text number."""
+def templates(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per token: hash of the word, hash of word or placeholder, value (0 if literal), text number,
+    and whether it begins a sentence."""
     starts, ends, owner = texts.runs(ALNUM)
     words = texts.lowered().hashes(starts, ends)
     if not len(starts):
-        return words, words, words, owner
+        return words, words, words, owner, np.zeros(0, dtype=bool)
     data = texts.data
     number = _DIGIT[data[starts]]
     ended = np.concatenate(([0], np.cumsum(_SENTENCE_END[data])))
@@ -75,20 +86,27 @@ def templates(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     unit[after] = np.isin(words[after], _unit_hashes()) & ~number[after]
     kind = np.select([number, name, unit], [0, 1, 2], -1)
     value = np.where(kind < 0, np.uint64(0), words)
-    return words, np.where(kind < 0, words, _SLOTS[kind]), value, owner
+    return words, np.where(kind < 0, words, _SLOTS[kind]), value, owner, first
 
 
 def _windows(texts: Texts, size: int):
     """Text number, hash, position and values of each template window and each plain window."""
-    words, shapes, values, owner = templates(texts)
+    words, shapes, values, owner, first = templates(texts)
     n = max(0, len(words) - size + 1)
     inside = owner[:n] == owner[size - 1 :][:n]
+    if size < LEAST_WORDS:
+        inside &= np.bincount(owner, minlength=len(texts))[owner[:n]] == size
     typed = np.concatenate(([0], np.cumsum(values != 0)))
     slots = typed[size:][:n] - typed[:n] if n else np.zeros(0, np.int64)
     position = np.arange(len(words)) - np.searchsorted(owner, owner)
     plain = np.flatnonzero(inside)
     yield owner[plain], chain(words, size)[plain], position[plain], None
-    shaped = np.flatnonzero(inside & (slots > 0) & (size - slots >= min(LEAST_LITERALS, size)))
+    typical = size - slots >= LEAST_LITERALS
+    if size < WINDOW:
+        bounds = np.append(first, True)
+        sentence = bounds[:n] & bounds[size:]
+        typical |= sentence & (size - slots >= SENTENCE_LITERALS)
+    shaped = np.flatnonzero(inside & (slots > 0) & typical)
     rows = values[shaped[:, None] + np.arange(size)] if len(shaped) else np.zeros((0, size), np.uint64)
     yield owner[shaped], chain(shapes, size)[shaped], position[shaped], rows
 
@@ -163,7 +181,8 @@ def matches(
     ``doc_id, row_hash, item_id, n_windows, n_verbatim, n_matched, coverage, changed``: windows of the
     item on diagonals with consistent slots, its verbatim windows on any diagonal, those that are
     either, their share of the item's windows, and whether a consistent slot has another value.
-    Items shorter than the window are one window whole; items without words match nothing.
+    Items shorter than the window are one window whole, under the rules above; items without words
+    match nothing.
     """
     items = _named(benchmark, item_key, text).toDF("item_id", "row_hash", "text")
     words = F.size(F.regexp_extract_all("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), F.lit(0)))

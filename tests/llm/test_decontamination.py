@@ -1,5 +1,10 @@
 """Leaked benchmark items: verbatim, re-parameterised, and texts that only look alike."""
 
+import re
+from collections import defaultdict
+
+import pytest
+
 from tests.conftest import TESTDATA
 from tests.llm.tables import PROSE, SCHEMA, odd_documents, with_clashes
 from terratally.llm import decontamination
@@ -83,3 +88,127 @@ def test_table_against_plain_search(spark):
             assert found[doc["doc_id"]], doc["doc_id"]
         elif not runs(doc["text"], 8) & short:
             assert not found[doc["doc_id"]], doc["doc_id"]
+
+
+def plain_tokens(text):
+    """(word, placeholder or word, value or None, begins a sentence) per word, by reading along."""
+    out, end, after_number = [], 0, False
+    for match in re.finditer("[0-9A-Za-z\x80-\U0010ffff]+", text or ""):
+        raw = match.group()
+        word = "".join(c.lower() if "A" <= c <= "Z" else c for c in raw)
+        first = not out or any(c in "\n!.:?" for c in text[end : match.start()])
+        number = raw[0] in "0123456789"
+        if number:
+            kind = "<number>"
+        elif "A" <= raw[0] <= "Z" and len(raw) > 1 and "a" <= raw[1] <= "z" and not first:
+            kind = "<name>"
+        elif after_number and word in decontamination.UNITS:
+            kind = "<unit>"
+        else:
+            kind = None
+        out.append((word, kind or word, word if kind else None, first))
+        end, after_number = match.end(), number
+    return out
+
+
+def plain_windows(tokens, size):
+    """(key, position, values or None) of the windows that count for items of this many words."""
+    for i in range(len(tokens) - size + 1):
+        part = tokens[i : i + size]
+        if size < 4 and len(tokens) != size:
+            continue
+        yield ("plain", *(t[0] for t in part)), i, None
+        slots = sum(t[2] is not None for t in part)
+        sentence = part[0][3] and (i + size == len(tokens) or tokens[i + size][3])
+        if slots and (size - slots >= 4 or size < 8 and sentence and size - slots >= 2):
+            yield ("shape", *(t[1] for t in part)), i, tuple(t[2] for t in part)
+
+
+def plain_matches(docs, items):
+    """Rows of ``matches`` without the hashes, by comparing every document with every item."""
+    out = set()
+    made = []
+    for key, text in items:
+        tokens = plain_tokens(text)
+        if tokens:
+            size = min(8, len(tokens))
+            windows = defaultdict(list)
+            for window, at, values in plain_windows(tokens, size):
+                windows[window].append((at, values))
+            made.append((key, size, len(tokens) - size + 1, windows))
+    for doc, text in docs:
+        tokens = plain_tokens(text)
+        by_size = {size: list(plain_windows(tokens, size)) for size in {m[1] for m in made}}
+        for key, size, total, windows in made:
+            slots, positions, verbatim = defaultdict(set), defaultdict(set), defaultdict(set)
+            for window, at, values in by_size[size]:
+                for item_at, item_values in windows.get(window, ()):
+                    line = at - item_at
+                    positions[line].add(item_at)
+                    if values is None:
+                        verbatim[line].add(item_at)
+                    else:
+                        slots[line] |= {(a, b) for a, b in zip(item_values, values) if a is not None}
+            good = {x for x in positions if len(slots[x]) == len({a for a, _ in slots[x]})}
+            n_windows = set().union(*(positions[x] for x in good))
+            n_verbatim = set().union(*verbatim.values())
+            if n_windows | n_verbatim:
+                n = len(n_windows | n_verbatim)
+                changed = any(a != b for x in good for a, b in slots[x])
+                out.add((doc, key, len(n_windows), len(n_verbatim), n, round(min(1.0, n / total), 9), changed))
+    return out
+
+
+def found_matches(spark, docs, items):
+    rows = decontamination.matches(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS)
+    ).collect()
+    return {
+        (r["doc_id"], r["item_id"], r["n_windows"], r["n_verbatim"], r["n_matched"], round(r["coverage"], 9), r["changed"])
+        for r in rows
+    }
+
+
+def test_templates_against_brute_force(spark):
+    """Windows, templates, slots and coverage of made-up texts with edited values."""
+    items = [
+        (1, ITEM), (2, "What is 12 plus 7?"), (3, "Yes"), (4, "How far is 5 km in miles"), (5, "12 and 12"),
+        (6, "The train from Paris leaves at 9 h. How many km are 9 h at 80 kmh? Take 9 h in all cases, says Paul."),
+        (7, "one two three four"), (8, ""), (9, "Is 7 prime now"), (10, "Ünï 3 kg cödé und 4 kg mehr davon, nicht 3 kg"),
+    ]
+    texts = [t for _, t in items]
+    texts += [ITEM.replace(a, b) for a, b in (("12", "75"), ("30", "8"), ("Miller", "Weber"), ("kg", "lb"), ("carried 12", "carried 13"))]
+    texts += [
+        "Q: What is 15 plus 9? Answer", "we know what is 15 plus 9 here", "What is 15 plus 9 now?", "What is plus 7",
+        "we say yes to all the things", "YES!", "Well. How far is 8 mi in miles?", "13 and 12", "13 and 13",
+        texts[5].replace("9", "11"), texts[5].replace("Take 9", "Take 10"), texts[5].replace("Paul", "Anna").lower(),
+        "one two three four five", "x one two\nthree four", "Ünï 8 kg cödé und 5 kg mehr davon, nicht 8 kg", f"{ITEM} {ITEM.replace('12', '14')}",
+    ]
+    docs = [(i, f"{a}{t}{b}") for i, (t, a, b) in enumerate((t, *w) for t in texts for w in (("", ""), ("so ", " etc"), ("Ok. ", ". End")))]
+    wanted = plain_matches(docs, items)
+    assert {m[1] for m in wanted} == {1, 2, 3, 4, 5, 6, 7, 9, 10} and any(m[6] for m in wanted)
+    assert found_matches(spark, docs, items) == wanted
+
+
+def test_table_against_brute_force(spark):
+    """Documents of the table against its whole benchmark."""
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{TESTDATA}/documents.parquet").collect()]
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{TESTDATA}/benchmark.parquet").collect()]
+    wanted = plain_matches(docs, items)
+    assert wanted and found_matches(spark, docs, items) == wanted
+
+
+@pytest.mark.parametrize(
+    ("item", "text", "leaked"),
+    [
+        ("What is 12 plus 7", "Q: What is 15 plus 9? Think.", True),
+        ("What is 12 plus 7", "They ask what is 15 plus 9 of them", False),
+        ("What is 12 plus 12", "What is 15 plus 9?", False),
+        ("What is 12 plus 12", "What is 15 plus 15?", True),
+        ("Yes", "we say yes to all the things", False),
+        ("Yes", "We do. Yes. We do", False),
+        ("Yes", " yes!\n", True),
+    ],
+)
+def test_short_items(spark, item, text, leaked):
+    assert judged(spark, [text], [(1, item)])[0]["contaminated"] == leaked
