@@ -15,6 +15,8 @@ from terratally.sources.warehouse import shared_folder
 
 #: Bytes of text that numpy works on at a time; a longer text makes a slice of its own.
 SLICE_BYTES = 1 << 21
+#: Has Spark remove the shuffle files of a write when it ends, as only the folder is read later.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D
 
@@ -29,7 +31,12 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     spark = frame.sparkSession
     path = new_folder(spark, label)
     _made.add(path)
-    frame.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 

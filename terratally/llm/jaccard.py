@@ -3,8 +3,11 @@
 The distance is 1 - |x & y| / |x | y| over distinct word shingles, a metric. Documents within
 ``RADIUS`` of each other are linked, and the result is the exact connected components.
 
-1. Shingles that no other document has cannot be shared. A document with more of them than a
-   partner may lack has no partner; counting shingles finds these, mostly all but a few percent.
+1. A document's shingles in the order of their hashes form a ring, and a partner has most of the
+   ring's neighbours as neighbours too: a shingle it lacks parts two of them, one it has besides at
+   most one. A document with more neighbours that no other document has has no partner; counting
+   neighbours finds these. Other than single shingles, which all become common as a corpus grows,
+   neighbours are shared by copies and hardly anything else.
 2. Equal shingle sets become one node.
 3. Each one-shingle set is a pivot of its own: a node is nearer to the shingles it has than to all
    others. A node goes to the regions of its rarest shingles, as many as leave too little for a
@@ -45,8 +48,10 @@ from terratally.llm.components import components
 SHINGLE = 5
 #: Linked from this similarity on, in percent.
 PERCENT = 75
-#: Share of the shingle space, by hash, in which unshared shingles are counted first.
-COUNTED_SHARE = 0.5
+#: Share of all pairs of neighbours, by hash, that are counted; above the share that may be lost.
+COUNTED_SHARE = 0.65
+#: Bits that neighbours are told apart by; those taken for one another keep documents, drop none.
+PAIR_BITS = 48
 #: Pairs of members and pivots that a region may have in an early round, beyond one pivot's.
 PAIRS = 512
 #: Size up to which a region is joined outright from the second round on.
@@ -58,8 +63,16 @@ def missing_allowed(n: Column, percent: int = PERCENT) -> Column:
     return F.floor(n * (100 - percent) / 100)
 
 
+def neighbours_lost(n, percent: int = PERCENT):
+    """How many of ``n`` pairs of neighbours a linked partner may lack.
+
+    With a shingles missing and b more, 100 * (n - a) >= percent * (n + b), and 2 * a + b pairs go.
+    """
+    return np.maximum(n * (2 * (100 - percent)) // 100, n * (100 - percent) // percent)
+
+
 def _sets(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes and the texts they are of, in text order."""
+    """Distinct shingle hashes and the texts they are of, in text order, ascending in each."""
     lowered = texts.lowered()
     starts, ends, owner = lowered.runs(NOT_SPACE)
     values, owners = shingles(lowered.hashes(starts, ends), owner, len(texts), size)
@@ -67,6 +80,16 @@ def _sets(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
     return values, owners
 
 
+def _neighbours(values: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """A hash of each shingle and the next of its text, the first being next to the last."""
+    following = np.roll(values, -1)
+    firsts = np.flatnonzero(np.diff(owners, prepend=-1))
+    lasts = np.append(firsts[1:], len(values)) - 1
+    if len(values):
+        following[lasts] = values[firsts]
+    return mix(mix(values * np.uint64(3)) + following)
+
+
 def _rows(docs: DataFrame, text: str) -> DataFrame:
     """Rows by id and hash of the text; rows alike in both are repeats of one another."""
     return docs.select(
@@ -77,22 +100,24 @@ def _rows(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _unshared(rows: DataFrame, size: int) -> DataFrame:
-    """``doc_id, row_hash, unshared``: shingles of one document alone, in the counted share."""
+    """``doc_id, row_hash, unshared``: neighbours of one document alone, in the counted share."""
     bound = np.uint64(int(COUNTED_SHARE * 2**64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in slices(batch.column(2)):
                 values, owners = _sets(texts, size)
-                kept = values < bound
+                pairs = _neighbours(values, owners)
+                kept = pairs < bound
                 row = pa.array(owners[kept] + texts.first)
+                pair = mix(pairs[kept]) >> np.uint64(64 - PAIR_BITS)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(row), batch.column(1).take(row), pa.array(signed(values[kept]))],
-                    ["doc_id", "row_hash", "shingle"],
+                    [batch.column(0).take(row), batch.column(1).take(row), pa.array(signed(pair))],
+                    ["doc_id", "row_hash", "pair"],
                 )
 
-    found = rows.mapInArrow(run, "doc_id long, row_hash long, shingle long")
-    alone = found.groupBy("shingle").agg(
+    found = rows.mapInArrow(run, "doc_id long, row_hash long, pair long")
+    alone = found.groupBy("pair").agg(
         F.count("*").alias("n"), F.min("doc_id").alias("doc_id"), F.min("row_hash").alias("row_hash")
     )
     return alone.where("n = 1").groupBy("doc_id", "row_hash").agg(F.count("*").alias("unshared"))
@@ -101,7 +126,8 @@ def _unshared(rows: DataFrame, size: int) -> DataFrame:
 def _described(docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
     """``doc_id, row_hash, n, print1, print2, shingles``; no shingles where no partner is possible."""
     rows = _rows(docs, text)
-    unshared = _unshared(rows, size).toDF("key", "hash", "unshared")
+    # A table of its own: the shuffle of all neighbours is gone before the texts are joined.
+    unshared = staged(_unshared(rows, size), "jaccard-unshared").toDF("key", "hash", "unshared")
     same = F.col("doc_id").eqNullSafe(F.col("key")) & (F.col("row_hash") == F.col("hash"))
     joined = rows.join(unshared, same, "left").select(
         "doc_id", "row_hash", "text", F.coalesce("unshared", F.lit(0)).alias("unshared")
@@ -114,7 +140,7 @@ def _described(docs: DataFrame, text: str, size: int, percent: int) -> DataFrame
                 values, owners = _sets(texts, size)
                 n = np.bincount(owners, minlength=len(texts))
                 mine = alone[texts.first : texts.first + len(texts)]
-                open_ = (n > 0) & (mine <= n * (100 - percent) // 100)
+                open_ = (n > 0) & (mine <= neighbours_lost(n, percent))
                 sums = np.concatenate(([np.uint64(0)], np.cumsum(mix(values))))
                 other = np.concatenate(([np.uint64(0)], np.cumsum(mix(~values))))
                 ends = np.cumsum(n)
