@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,10 +96,36 @@ def test_one_of_each(spark):
             (8, "word0 and"): 1,
             (-7, "Ünï cödé "): 1,
         }
-    ) or (5, "The quick") in found  # whether 5 is near enough depends on its shingles
+    )
     assert (None, "THE QUICK") not in found and (7, "ONE  two") not in found
 
 
+@pytest.mark.parametrize("percent", [60, 75, 90])
+def test_linked_sets_share_neighbours(percent):
+    draw = np.random.default_rng(percent)
+    checked = 0
+    for _ in range(4000):
+        x = draw.choice(2**62, draw.integers(1, 60), replace=False).astype(np.uint64)
+        kept = draw.permutation(x)[draw.integers(0, len(x) // 3 + 1) :]
+        new = draw.choice(2**62, draw.integers(0, len(x) // 3 + 1), replace=False).astype(np.uint64)
+        y = np.union1d(kept, new)
+        x = np.sort(x)
+        common = len(np.intersect1d(x, y))
+        if 100 * common < percent * (len(x) + len(y) - common):
+            continue
+        checked += 1
+        pairs, others = (jaccard._neighbours(v, np.zeros(len(v), np.int64)) for v in (x, y))
+        assert len(np.setdiff1d(pairs, others)) <= jaccard.neighbours_lost(len(x), percent)
+    assert checked > 100
+
+
+def test_neighbours_stay_within_their_text():
+    values = np.array([1, 2, 3, 7, 1, 2, 3], dtype=np.uint64)
+    pairs = jaccard._neighbours(values, np.array([0, 0, 0, 2, 5, 5, 5]))
+    assert list(pairs[:3]) == list(pairs[4:]) and len(set(pairs)) == 4
+    assert len(jaccard._neighbours(values[:0], np.zeros(0, np.int64))) == 0
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert jaccard.join_components(docs).collect() == []
