@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from terratally.sources.warehouse import shared_folder
 
-#: Bytes of text that numpy works on at a time; a longer text makes a slice of its own.
-SLICE_BYTES = 1 << 21
+#: Bytes of text that numpy works on at a time; a longer text makes a slice of its own. A worker
+#: keeps what its largest slice took, some hundred bytes for each byte of text.
+SLICE_BYTES = 1 << 18
 #: Has Spark remove the shuffle files of a write when it ends, as only the folder is read later.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _SEED = np.uint64(0x9E3779B97F4A7C15)

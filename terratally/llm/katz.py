@@ -39,6 +39,8 @@ OTHER, END = 0, 1
 ORDER = 3
 #: Most frequent keys of grams and histories that every task knows.
 KNOWN_PAIRS = 1 << 19
+#: Bytes of text whose grams a task counts before they are shuffled.
+COUNTED_BYTES = 1 << 21
 #: Counts up to this are discounted.
 DISCOUNTED = 5
 ADDED = 0.1
@@ -253,7 +255,7 @@ def gram_counts(training: DataFrame, order: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in slices(batch.column(0)):
+            for texts in slices(batch.column(0), COUNTED_BYTES):
                 histories, grams, _ = _grams(texts, order)
                 _, at, n = np.unique(grams[-1], return_index=True, return_counts=True)
                 columns = [pa.array(signed(x[at])) for x in (histories[-1], grams[-2])]

@@ -30,7 +30,10 @@ FILTER_SEEDS = FILTER_BITS // 8
 #: The suffixes of seeds with more than this never meet in one task.
 FREQUENT = 20_000
 #: Frequent seeds whose strings a task makes at a time.
-STRING_SEEDS = 20_000
+STRING_SEEDS = 5_000
+#: Suffixes whose surroundings a task cuts out at a time, and documents it puts together at a time.
+CUT_ROWS = 20_000
+KEPT_ROWS = 500
 #: Suffixes that one task call extends, on average.
 GROUP_ROWS = 5_000
 
@@ -188,15 +191,15 @@ def _suffixes(rows: DataFrame, repeated: DataFrame, length: int) -> tuple[DataFr
             last = np.minimum(texts.offsets[owner + 1], at + length)
             parts.append(
                 {
-                    "row": owner + texts.first,
+                    "row": (owner + texts.first).astype(np.int32),
                     "seed": hashes,
                     "around": stretch_hashes(sums, first, last) ^ mix(hashes),
-                    "at": at - origin,
-                    "first": first - origin,
-                    "last": last - origin,
+                    "at": (at - origin).astype(np.int32),
+                    "first": (first - origin).astype(np.int32),
+                    "last": (last - origin).astype(np.int32),
                 }
             )
-        return {name: np.concatenate([part[name] for part in parts]) for name in parts[0]}
+        return {name: np.concatenate([part.pop(name) for part in parts]) for name in list(parts[0])}
 
     def leading(batches: Iterator[pa.RecordBatch]):
         """Batches with their seeds, the first of equal surroundings, and what repeats these."""
@@ -228,28 +231,29 @@ def _suffixes(rows: DataFrame, repeated: DataFrame, length: int) -> tuple[DataFr
             row = here["row"]
             alone = alone[~split]
             alone = alone[np.argsort(row[alone], kind="stable")]
-            seed = here["seed"][alone]
-            texts = batch.column(2)
-            contexts, held, raw = [], -1, b""
-            for i in alone.tolist():
-                if row[i] != held:
-                    held = row[i]
-                    raw = texts[int(held)].as_py().encode()
-                contexts.append(raw[here["first"][i] : here["last"][i]])
-            taken = pa.array(row[alone])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array((mix(seed) % np.uint64(buckets)).astype(np.int32)),
-                    pa.array(signed(seed)),
-                    batch.column(0).take(taken),
-                    batch.column(1).take(taken),
-                    pa.array(here["at"][alone].astype(np.int32)),
-                    pa.array((here["at"] - here["first"])[alone].astype(np.int32)),
-                    pa.array(contexts, pa.binary()),
-                    pa.nulls(len(alone), pa.int32()),
-                ],
-                _NAMES,
-            )
+            texts, held, raw = batch.column(2), -1, b""
+            for part in range(0, len(alone), CUT_ROWS):
+                mine = alone[part : part + CUT_ROWS]
+                seed, contexts = here["seed"][mine], []
+                for i in mine.tolist():
+                    if row[i] != held:
+                        held = row[i]
+                        raw = texts[int(held)].as_py().encode()
+                    contexts.append(raw[here["first"][i] : here["last"][i]])
+                taken = pa.array(row[mine])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array((mix(seed) % np.uint64(buckets)).astype(np.int32)),
+                        pa.array(signed(seed)),
+                        batch.column(0).take(taken),
+                        batch.column(1).take(taken),
+                        pa.array(here["at"][mine].astype(np.int32)),
+                        pa.array((here["at"][mine] - here["first"][mine]).astype(np.int32)),
+                        pa.array(contexts, pa.binary()),
+                        pa.nulls(len(mine), pa.int32()),
+                    ],
+                    _NAMES,
+                )
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, here, alone, split, _ in leading(batches):
@@ -265,7 +269,7 @@ def _suffixes(rows: DataFrame, repeated: DataFrame, length: int) -> tuple[DataFr
                     which, _ = np.nonzero(inside)
                     start, owner = starts[inside], here["row"][mine][which]
                     # A string with several of the seeds is needed once.
-                    _, once = np.unique(owner * (1 << 40) + start, return_index=True)
+                    _, once = np.unique(owner.astype(np.int64) << 40 | start, return_index=True)
                     start, owner, which = start[once], owner[once], which[once]
                     origin = texts.offsets[owner - texts.first] + start
                     taken = pa.array(owner)
@@ -457,16 +461,17 @@ def deduplicate(docs: DataFrame, text: str = "text", length: int = LENGTH) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(0).to_pylist(), *(batch.column(i).to_pylist() for i in (2, 3, 4))]
-            out = []
-            for key, whole, starts, ends in zip(*columns, strict=True):
-                data = whole.encode()
-                kept, runs = _kept(data, starts, ends)
-                out.append((key, len(data), len(data) - len(kept), runs, hashlib.sha256(kept).hexdigest(), kept))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            columns = zip(*out, strict=True) if out else [()] * len(names)
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            for first in range(0, batch.num_rows, KEPT_ROWS):
+                part = batch.slice(first, KEPT_ROWS)
+                columns = [part.column(0).to_pylist(), *(part.column(i).to_pylist() for i in (2, 3, 4))]
+                out = []
+                for key, whole, starts, ends in zip(*columns, strict=True):
+                    data = whole.encode()
+                    kept, runs = _kept(data, starts, ends)
+                    out.append((key, len(data), len(data) - len(kept), runs, hashlib.sha256(kept).hexdigest(), kept))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+                arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     return repeats(docs, text, length).mapInArrow(run, schema)

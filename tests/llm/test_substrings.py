@@ -1,12 +1,15 @@
 """Repeated byte strings against a plain scan of all windows."""
 
 import hashlib
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
 from tests.conftest import TESTDATA
 from tests.llm.tables import SCHEMA, odd_documents, odd_rows, with_clashes
 from terratally.llm import substrings
+from terratally.llm.common import slices
 
 PERIODIC = [
     (100, "abc" * 300),
@@ -93,3 +96,16 @@ def test_kept_bytes(spark):
     docs = spark.createDataFrame([(1, text), (2, "start " + text)], "doc_id long, text string")
     kept = {r["doc_id"]: bytes(r["kept"]) for r in substrings.deduplicate(docs).collect()}
     assert kept[2] == b"start "
+
+
+def test_seeds_take_little_memory_at_a_time():
+    """What a worker once took it keeps, so texts are worked on in small slices."""
+    texts = pa.array(["".join(hashlib.sha256(f"{i} {k}".encode()).hexdigest() for k in range(32)) for i in range(2000)])
+    tracemalloc.start()
+    try:
+        found = sum(len(substrings.seeds(part)[0]) for part in slices(texts))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found > 2000 * 2048 / 50
+    assert peak < 40 << 20
