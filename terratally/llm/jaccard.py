@@ -9,9 +9,11 @@ The distance is 1 - |x & y| / |x | y| over distinct word shingles, a metric. Doc
    neighbours finds these. Other than single shingles, which all become common as a corpus grows,
    neighbours are shared by copies and hardly anything else.
 2. Equal shingle sets become one node.
-3. Each one-shingle set is a pivot of its own: a node is nearer to the shingles it has than to all
-   others. A node goes to the regions of its rarest shingles, as many as leave too little for a
-   partner outside them, so two linked nodes meet in one region at least.
+3. The two shingles of each pair of neighbours are a pivot of their own: a node is nearer to its
+   pairs than to all others. A node goes to the regions of its rarest pairs, one more than a
+   partner may lack, so two linked nodes meet in one region at least, and unlike ones that have some
+   shingles in common hardly ever do. Copies share most of their pairs, so many regions have the
+   same members; one of each goes on.
 4. Regions are divided further by document pivots. Distances to the pivots give the links to them,
    the nearest pivot's Voronoi cell, and the windows: a node is also in a cell where the triangle
    inequality allows a partner. What links have joined already needs no further look, so the next
@@ -52,6 +54,8 @@ PERCENT = 75
 COUNTED_SHARE = 0.65
 #: Bits that neighbours are told apart by; those taken for one another keep documents, drop none.
 PAIR_BITS = 48
+#: Nodes whose pivots a task makes at a time.
+PIVOT_NODES = 500
 #: Pairs of members and pivots that a region may have in an early round, beyond one pivot's.
 PAIRS = 512
 #: Size up to which a region is joined outright from the second round on.
@@ -162,14 +166,40 @@ def _described(docs: DataFrame, text: str, size: int, percent: int) -> DataFrame
     return joined.mapInArrow(run, schema)
 
 
+def _pivots(nodes: DataFrame, percent: int) -> tuple[DataFrame, Column]:
+    """``node, n, region`` for each of a node's n pivots, and how many a linked partner may lack."""
+    n = F.col("n")
+    if percent <= 50:  # a partner may lack all pairs of neighbours, but not all shingles
+        return nodes.select("node", "n", F.explode("shingles").alias("region")), missing_allowed(n, percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for first in range(0, whole.num_rows, PIVOT_NODES):
+                batch = whole.slice(first, PIVOT_NODES)
+                counts = batch.column(2).value_lengths().to_numpy(zero_copy_only=False)
+                values = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                owners = np.repeat(np.arange(len(counts)), counts)
+                taken = pa.array(owners)
+                pivots = pa.array(signed(_neighbours(values, owners)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(taken), batch.column(1).take(taken), pivots], ["node", "n", "region"]
+                )
+
+    pairs = nodes.select("node", "n", "shingles").mapInArrow(run, "node long, n long, region long")
+    lost = F.greatest(F.floor(n * (2 * (100 - percent)) / 100), F.floor(n * (100 - percent) / percent))
+    return pairs, lost
+
+
 def _first_regions(nodes: DataFrame, percent: int) -> DataFrame:
-    """``region, node, n, weight``: the regions of each node's rarest shared shingles.
+    """``region, node, n, weight``: the regions of each node's rarest shared pivots.
 
-    Shingles are ordered by frequency, then hash. A node's unshared ones come first; with those
+    Pivots are ordered by frequency, then hash. A node's unshared ones come first; with those
     and the shared ones up to one more than a partner may lack, a partner has one of them as well.
-    ``weight``, the number of a node's regions, is largest for the most central of near copies.
+    Regions of the same members, told by two hashes of these, would be divided alike and give the
+    same links, so one stands for all. ``weight``, the number of a node's regions with those that
+    are stood for, is largest for the most central of near copies.
     """
-    pairs = nodes.select("node", "n", F.explode("shingles").alias("region"))
+    pairs, lost = _pivots(nodes, percent)
     shared = pairs.groupBy("region").agg(F.count("*").alias("frequency")).where("frequency > 1")
     found = pairs.join(shared, "region")
     by_node = Window.partitionBy("node")
@@ -177,13 +207,19 @@ def _first_regions(nodes: DataFrame, percent: int) -> DataFrame:
         "region",
         "node",
         "n",
-        (missing_allowed(F.col("n"), percent) + 1 - (F.col("n") - F.count("*").over(by_node))).alias("most"),
+        (lost + 1 - (F.col("n") - F.count("*").over(by_node))).alias("most"),
         F.row_number().over(by_node.orderBy("frequency", "region")).alias("place"),
     )
     placed = ranked.where("place <= most")
-    sizes = placed.groupBy("region").agg(F.count("*").alias("members")).where("members > 1")
-    return placed.join(sizes, "region").select(
-        "region", "node", "n", F.count("*").over(by_node).alias("weight")
+    members = [F.count("*").alias("members")] + [
+        F.bit_xor(F.xxhash64("node", F.lit(salt))).alias(f"print{salt}") for salt in (1, 2)
+    ]
+    regions = placed.groupBy("region").agg(*members).where("members > 1")
+    once = regions.groupBy("members", "print1", "print2").agg(
+        F.min("region").alias("region"), F.count("*").alias("alike")
+    )
+    return placed.join(once.select("region", "alike"), "region").select(
+        "region", "node", "n", F.sum("alike").over(by_node).alias("weight")
     )
 
 
@@ -308,19 +344,41 @@ def _leaf_pairs(regions: DataFrame) -> DataFrame:
     return pairs.select("node", "pivot").distinct()
 
 
-def _links(nodes: DataFrame, percent: int) -> DataFrame | None:
-    """Links that make the components, or None. ``nodes`` is a staged table and does not outlive it.
+def _joined(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``roots`` after ``links (a, b)``: what is joined already takes part as its root alone."""
+    if roots is None:
+        return components(links)
+    ends = links
+    for end in ("a", "b"):
+        known = roots.toDF(end, "root")
+        ends = ends.join(known, end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+    ends = staged(ends.where("a != b").distinct(), "links")
+    if ends.isEmpty():
+        discard(ends)
+        return roots
+    moved = components(ends)
+    kept = roots.join(moved.toDF("root", "now"), "root", "left").select(
+        "node", F.coalesce("now", "root").alias("root")
+    )
+    after = staged(kept.unionByName(moved.join(roots, "node", "left_anti")), "jaccard-roots")
+    discard(roots, ends, moved)
+    return after
+
+
+def _roots(nodes: DataFrame, percent: int) -> DataFrame | None:
+    """``node, root`` of the nodes that links join, or None. ``nodes`` is a staged table and does
+    not outlive it.
 
     Every round joins most of what a region holds to its pivots, so the regions that go on are few.
     """
     regions = staged(_first_regions(nodes, percent), "regions")
-    links = roots = None
+    roots = None
     for number in itertools.count():
         current = staged(_open_regions(regions, roots), "regions")
         discard(regions)
         if current.isEmpty():
             discard(current, nodes)
-            return links
+            return roots
         # The sets move in every round, so only those still needed stay.
         active = staged(nodes.join(current.select("node").distinct(), "node", "left_semi"), "jaccard-active")
         discard(nodes)
@@ -334,8 +392,8 @@ def _links(nodes: DataFrame, percent: int) -> DataFrame | None:
         )
         regions = staged(left, "regions")
         discard(current, *read)
-        links = new if links is None else links.unionByName(new)
-        roots = components(links)
+        roots = _joined(roots, new)
+        discard(new)
 
 
 def _grouped(docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
@@ -350,9 +408,8 @@ def _grouped(docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
     rows = staged(described.select("doc_id", "row_hash", "n", "print1", "print2"), "jaccard-rows")
     prints = staged(nodes.select("print1", "print2", "n", "node", "first_doc"), "jaccard-classes")
     discard(described)
-    links = _links(nodes, percent)
-    if links is not None:
-        roots = components(links)
+    roots = _roots(nodes, percent)
+    if roots is not None:
         named = prints.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         least = named.groupBy("root").agg(F.min("first_doc").alias("first_doc"))
         prints = named.drop("first_doc").join(least, "root")

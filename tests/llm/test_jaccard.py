@@ -126,6 +126,28 @@ def test_neighbours_stay_within_their_text():
     assert len(jaccard._neighbours(values[:0], np.zeros(0, np.int64))) == 0
 
 
+def test_regions_of_the_same_members_are_one(spark):
+    draw = np.random.default_rng(5)
+    base, other = (np.sort(draw.choice(2**62, 80, replace=False)) for _ in range(2))
+    near = np.sort(np.append(base[:-1], 2**62))
+    alike = np.sort(np.append(other[:-2], base[[3, 50]]))  # some shingles in common, no neighbours
+    rows = [(i, 80, [int(v) for v in values]) for i, values in enumerate((base, near, alike))]
+    nodes = spark.createDataFrame(rows, "node long, n long, shingles array<long>")
+    regions = jaccard._first_regions(nodes, 75).collect()
+    assert sorted(r["node"] for r in regions) == [0, 1]
+    assert len({r["region"] for r in regions}) == 1 and regions[0]["weight"] > 1
+    assert jaccard._first_regions(nodes, 50).where("node < 2").count() >= 2
+
+
+def test_links_join_what_is_joined_already(spark):
+    schema = "a long, b long"
+    roots = jaccard._joined(None, spark.createDataFrame([(1, 2), (5, 6), (8, 9)], schema))
+    roots = jaccard._joined(roots, spark.createDataFrame([(2, 6), (6, 1), (7, 9), (20, 21), (2, 1)], schema))
+    roots = jaccard._joined(roots, spark.createDataFrame([(20, 21)], schema))
+    found = {r["node"]: r["root"] for r in roots.collect()}
+    assert found == {1: 1, 2: 1, 5: 1, 6: 1, 7: 7, 8: 7, 9: 7, 20: 20, 21: 20}
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert jaccard.join_components(docs).collect() == []
