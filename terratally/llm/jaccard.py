@@ -14,11 +14,13 @@ The distance is 1 - |x & y| / |x | y| over distinct word shingles, a metric. Doc
    partner may lack, so two linked nodes meet in one region at least, and unlike ones that have some
    shingles in common hardly ever do. Copies share most of their pairs, so many regions have the
    same members; one of each goes on.
-4. Regions are divided further by document pivots. Distances to the pivots give the links to them,
-   the nearest pivot's Voronoi cell, and the windows: a node is also in a cell where the triangle
-   inequality allows a partner. What links have joined already needs no further look, so the next
-   pivots are members that are not. Regions recurse until each holds one component; small ones are
-   joined outright.
+4. The most central member of a region is a document pivot, and a node is in the Voronoi cell of the
+   pivot that most of its regions have. Members of larger cells meet their pivot, and the links
+   found join most of what there is.
+5. Links are then missing only between components that have a region in common. A node outside a
+   region's largest component is in the windows of all cells that have members of other components
+   in the region, and is held against all of these cells. That happens in blocks of bounded size:
+   numpy counts what two blocks have in common, so pairs of documents are no rows of a join.
 """
 
 from __future__ import annotations
@@ -56,10 +58,14 @@ COUNTED_SHARE = 0.65
 PAIR_BITS = 48
 #: Nodes whose pivots a task makes at a time.
 PIVOT_NODES = 500
-#: Pairs of members and pivots that a region may have in an early round, beyond one pivot's.
-PAIRS = 512
-#: Size up to which a region is joined outright from the second round on.
+#: Size up to which a cell's members do not meet their pivot first.
 LEAF = 8
+#: Shingles in a block of sets that a task holds against another block, as expected, and how many
+#: a set counts as besides its own.
+BLOCK = 1 << 16
+NODE_LOAD = 64
+#: Shingles in common, and pairs of sets, that are counted at a time.
+STEP = 1 << 20
 
 
 def missing_allowed(n: Column, percent: int = PERCENT) -> Column:
@@ -223,125 +229,120 @@ def _first_regions(nodes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _distances(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """``node, pivot, distance`` of distinct pairs; every set moves once per pivot it is held against."""
-    sets = nodes.select("node", "n", "shingles")
-    both = pairs.join(sets, "node").join(sets.toDF("pivot", "n_pivot", "of_pivot"), "pivot")
-    common = F.size(F.array_intersect("shingles", "of_pivot"))
-    union = F.col("n") + F.col("n_pivot") - common
-    return both.select(
-        "node",
-        "pivot",
-        (1 - common / union).alias("distance"),
-        (common * 100 >= union * percent).alias("linked"),
-    )
+def _cells(regions: DataFrame) -> DataFrame:
+    """``node, n, cell, members``: each node's nearest pivot, and how many nodes have the same.
+
+    Every region has its most central member as pivot; the nearest is that of most of a node's regions.
+    """
+    order = F.struct("weight", F.xxhash64("node", F.lit(1)).alias("order"), "node")
+    pivots = regions.groupBy("region").agg(F.max(order).alias("pivot"))
+    shared = regions.join(pivots, "region").groupBy("node", "n", "pivot").agg(F.count("*").alias("shared"))
+    nearest = shared.groupBy("node", "n").agg(F.max(F.struct("shared", "pivot"))["pivot"]["node"].alias("cell"))
+    sizes = nearest.groupBy("cell").agg(F.count("*").alias("members"))
+    return nearest.join(sizes, "cell").select("node", "n", "cell", "members")
 
 
-def _open_regions(regions: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """``region, node, n, weight, root, members, is_open``: regions that hold several components, as known so far.
+def _windows(regions: DataFrame, cells: DataFrame) -> DataFrame:
+    """``node, n, root, cell``: nodes and the cells that may hold partners of another component.
 
-    Members of a region's largest component are joined already; what is open are the others, and
-    links are missing only from these.
+    ``cells`` has ``node, n, cell, root``. A region's largest component is joined already, so links
+    are missing only from its other members.
     """
-    if roots is None:
-        labelled = regions.withColumn("root", F.col("node"))
-    else:
-        labelled = regions.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sizes = labelled.groupBy("region", "root").agg(F.count("*").alias("members"))
+    placed = regions.select("region", "node").join(cells, "node")
+    held = placed.groupBy("region", "root", "cell").agg(F.count("*").alias("members"))
+    held = staged(held, "jaccard-held")
+    sizes = held.groupBy("region", "root").agg(F.sum("members").alias("members"))
     largest = sizes.groupBy("region").agg(
-        F.max(F.struct("members", "root"))["root"].alias("largest"),
-        F.count("*").alias("roots"),
-        F.sum("members").alias("members"),
-    )
-    return labelled.join(largest.where("roots > 1"), "region").select(
-        *("region", "node", "n", "weight", "root", "members"),
-        (F.col("root") != F.col("largest")).alias("is_open"),
+        F.max(F.struct("members", "root"))["root"].alias("largest"), F.count("*").alias("roots")
     )
+    open_ = largest.where("roots > 1").select("region", "largest")
+    probes = placed.join(open_, "region").where("root != largest").select("region", "node", "n", "root")
+    others = held.select("region", F.col("root").alias("other"), "cell")
+    found = probes.join(others, "region").where("root != other")
+    windows = staged(found.select("node", "n", "root", "cell").distinct(), "jaccard-windows")
+    discard(held)
+    return windows
 
 
-def _slots(number: int) -> Column:
-    """Pivots of a region in round ``number``: more each time, but few for many members.
+def _blocks(rows: DataFrame) -> DataFrame:
+    """``cell, blocks``: how many blocks of bounded size the rows ``(cell, node, n)`` of a cell make."""
+    load = F.sum(F.col("n") + NODE_LOAD)
+    return rows.groupBy("cell").agg(F.ceil(load / BLOCK).cast("int").alias("blocks"))
 
-    Large regions are near copies of each other, and one pivot joins most of them. Should any be
-    left after some rounds, its members are unlike each other and all have to become pivots.
-    """
-    few = F.greatest(F.lit(1), (F.lit(PAIRS) / F.col("members")).cast("int"))
-    return F.least(F.lit(1 << min(number, 20)), few * (1 << max(0, min(number - 3, 20))))
-
-
-def _round(
-    regions: DataFrame, nodes: DataFrame, percent: int, number: int
-) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
-    """Links found with pivots among the open members, the regions that are left, and the tables
-    that both are read from."""
-    radius = 1 - percent / 100
-    slot = F.pmod(F.xxhash64("node"), _slots(number))
-    order = F.struct(
-        (-F.col("weight")).alias("rank"),
-        F.xxhash64(F.col("node"), F.lit(1)).alias("order"),
-        F.col("node").alias("node"),
-        F.col("n").alias("n"),
-    )
-    # One row per region and slot; map tasks have found the smallest of theirs already.
-    pivots = (
-        regions.where("is_open")
-        .groupBy("region", slot.alias("slot"))
-        .agg(F.min(order).alias("pivot"))
-        .select("region", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("n_pivot"))
-    )
-    held = staged(
-        regions.join(pivots, "region").select(
-            *("region", "node", "n", "weight", "pivot"),
-            (F.least("n", "n_pivot") * 100 >= F.greatest("n", "n_pivot") * percent).alias("alike"),
-            (1 - F.least("n", "n_pivot") / F.greatest("n", "n_pivot")).alias("apart"),
-        ),
-        "jaccard-held",
-    )
-    pairs = held.where((F.col("node") != F.col("pivot")) & F.col("alike")).select("node", "pivot")
-    found = staged(_distances(pairs.distinct(), nodes, percent), "jaccard-distances")
-    links = found.where("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-
-    # Sizes alone keep some pairs apart; of their distance only bounds are known.
-    same = F.col("node") == F.col("pivot")
-    placed = held.join(found, ["node", "pivot"], "left").withColumns(
-        {
-            "low": F.when(same, 0.0).otherwise(F.coalesce("distance", "apart")),
-            "high": F.when(same, 0.0).otherwise(F.coalesce("distance", F.lit(1.0))),
-            "linked": F.coalesce("linked", F.lit(False)),
-        }
-    )
-    windowed = placed.withColumn("nearest", F.min("high").over(Window.partitionBy("region", "node")))
-    # A pivot's links are complete, so it leaves; the others stay in their cell and its windows.
-    inside = windowed.where(
-        (F.col("nearest") > 0) & (F.col("low") <= F.col("nearest") + 2 * radius + 1e-9)
-    )
-    cells = inside.groupBy("region", "pivot").agg(
-        F.min(F.when(~F.col("linked"), F.col("low"))).alias("nearest_open")
-    )
-    # Within a cell whatever is linked to its pivot is joined; it is needed only where the
-    # triangle inequality allows a link to a member that is not.
-    kept = inside.join(cells, ["region", "pivot"]).where(
-        F.col("nearest_open").isNotNull()
-        & (~F.col("linked") | (F.col("low") >= F.col("nearest_open") - radius - 1e-9))
-    )
-    # Cells that nearly all nodes are in are no division; then the region goes on whole.
-    shares = kept.groupBy("region").agg(
-        F.count("*").alias("copies"), F.countDistinct("node").alias("distinct_nodes")
-    )
-    left = kept.join(shares, "region").select(
-        F.when(F.col("copies") * 4 > F.col("distinct_nodes") * 5, F.col("region"))
-        .otherwise(F.xxhash64("region", "pivot"))
-        .alias("region"),
-        *("node", "n", "weight"),
-    )
-    return links, left.distinct(), [held, found]
 
+def _dealt(probes: DataFrame, members: DataFrame) -> DataFrame:
+    """``cell, p, m, node, root, probe``: each block p of a cell's probes with each block m of its members."""
+    both = _blocks(probes).toDF("cell", "p").join(_blocks(members).toDF("cell", "m"), "cell")
+
+    def side(rows: DataFrame, own: str, other: str, probe: bool) -> DataFrame:
+        block = F.pmod(F.xxhash64("node"), F.col(own)).cast("int").alias(own)
+        each = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other)
+        spread = rows.join(both, "cell").select("cell", "node", "root", block, each)
+        return spread.select("cell", "p", "m", "node", "root", F.lit(probe).alias("probe"))
 
-def _leaf_pairs(regions: DataFrame) -> DataFrame:
-    """All pairs of different components in regions of at most ``LEAF`` members."""
-    other = regions.select("region", F.col("node").alias("pivot"), F.col("root").alias("other"))
-    pairs = regions.join(other, "region").where("node < pivot AND root != other")
-    return pairs.select("node", "pivot").distinct()
+    return side(probes, "p", "m", True).unionByName(side(members, "m", "p", False))
+
+
+def _compared(probes: DataFrame, members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` that join what is linked of the probes and members of each cell.
+
+    Both have ``cell, node, n, root``. A set moves once for every block it is held against, not for
+    every other set.
+    """
+    rows = _dealt(probes, members)
+    found = rows.join(nodes.select("node", "shingles"), "node")
+
+    def run(table: pa.Table) -> pa.Table:
+        probe = table.column("probe").to_numpy()
+        sides = [_side(table.filter(pa.array(side))) for side in (probe, ~probe)]
+        return _joining(*sides, percent)
+
+    return found.groupBy("cell", "p", "m").applyInArrow(run, "a long, b long")
+
+
+def _side(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Root and size of each set, and the shingles of all in this order."""
+    sets = table.column("shingles").combine_chunks()
+    sizes = sets.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    return table.column("root").to_numpy(), sizes, sets.flatten().to_numpy(zero_copy_only=False)
+
+
+def _joining(probes: tuple, members: tuple, percent: int) -> pa.Table:
+    """A forest ``(a, b)`` over the roots of linked sets of the two sides, less what is joined already."""
+    (root, n, values), (other, n_other, other_values) = probes, members
+    order = np.argsort(other_values, kind="stable")
+    owners = np.repeat(np.arange(len(n_other)), n_other)[order]
+    low = np.searchsorted(other_values[order], values, "left")
+    times = np.searchsorted(other_values[order], values, "right") - low
+    ends = np.cumsum(n)
+    work = np.concatenate(([0], np.cumsum(times)))[ends] + np.arange(1, len(n) + 1) * len(n_other)
+    starts, links, first = ends - n, [], 0
+    while first < len(n):
+        done = work[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(work, done + STEP, "right")))
+        part = slice(starts[first], ends[last - 1])
+        at, k = np.repeat(low[part], times[part]), times[part]
+        at += np.arange(len(at)) - np.repeat(np.cumsum(k) - k, k)
+        row = np.repeat(np.repeat(np.arange(last - first), n[first:last]), k)
+        common = np.bincount(row * len(n_other) + owners[at], minlength=(last - first) * len(n_other))
+        common = common.reshape(last - first, len(n_other))
+        union = n[first:last, None] + n_other[None, :] - common
+        x, y = np.nonzero((common * 100 >= union * percent) & (root[first:last, None] != other[None, :]))
+        links.append(np.unique(np.stack((root[first + x], other[y])), axis=1))
+        first = last
+    ends_of = np.concatenate(links, axis=1) if links else np.zeros((2, 0), np.int64)
+    names, ids = np.unique(ends_of, return_inverse=True)
+    ids = ids.reshape(2, -1)
+    least = np.arange(len(names))
+    while True:
+        before = least.copy()
+        for a, b in ((0, 1), (1, 0)):
+            np.minimum.at(least, ids[a], least[ids[b]])
+        least = least[least]
+        if np.array_equal(before, least):
+            break
+    tied = np.flatnonzero(least != np.arange(len(names)))
+    return pa.table({"a": pa.array(names[tied], pa.int64()), "b": pa.array(names[least[tied]], pa.int64())})
 
 
 def _joined(roots: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -369,31 +370,34 @@ def _roots(nodes: DataFrame, percent: int) -> DataFrame | None:
     """``node, root`` of the nodes that links join, or None. ``nodes`` is a staged table and does
     not outlive it.
 
-    Every round joins most of what a region holds to its pivots, so the regions that go on are few.
+    Members of large cells meet their pivot first, which joins most of them. Then every node is held
+    against the cells that may have partners of another component, and that is all there are.
     """
     regions = staged(_first_regions(nodes, percent), "regions")
-    roots = None
-    for number in itertools.count():
-        current = staged(_open_regions(regions, roots), "regions")
-        discard(regions)
-        if current.isEmpty():
-            discard(current, nodes)
-            return roots
-        # The sets move in every round, so only those still needed stay.
-        active = staged(nodes.join(current.select("node").distinct(), "node", "left_semi"), "jaccard-active")
-        discard(nodes)
-        nodes = active
-        small = current.where((F.col("members") <= LEAF) & F.lit(roots is not None))
-        large = current.where((F.col("members") > LEAF) | F.lit(roots is None))
-        new, left, read = _round(large, nodes, percent, number)
-        beside = _distances(_leaf_pairs(small), nodes, percent).where("linked")
-        new = staged(
-            new.unionByName(beside.select(F.col("node").alias("a"), F.col("pivot").alias("b"))), "links"
-        )
-        regions = staged(left, "regions")
-        discard(current, *read)
-        roots = _joined(roots, new)
-        discard(new)
+    cells = staged(_cells(regions), "jaccard-cells")
+    # The sets move in every step, so only those still needed stay.
+    active = staged(nodes.join(cells.select("node"), "node", "left_semi"), "jaccard-active")
+    discard(nodes)
+    alone = cells.withColumn("root", F.col("node"))
+    large = alone.where(F.col("members") > LEAF)
+    # A pivot may itself have another that is nearer.
+    held = large.select("cell").distinct()
+    pivots = alone.withColumn("cell", F.col("node")).join(held, "cell", "left_semi")
+    links = staged(_compared(pivots, large, active, percent), "links")
+    roots = _joined(None, links)
+    discard(links)
+    labelled = cells.join(roots, "node", "left").select(
+        "node", "n", "cell", F.coalesce("root", "node").alias("root")
+    )
+    labelled = staged(labelled, "jaccard-labelled")
+    discard(cells)
+    windows = _windows(regions, labelled)
+    discard(regions)
+    links = staged(_compared(windows, labelled, active, percent), "links")
+    discard(active, windows, labelled)
+    roots = _joined(roots, links)
+    discard(links)
+    return roots
 
 
 def _grouped(docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:

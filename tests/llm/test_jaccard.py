@@ -139,6 +139,39 @@ def test_regions_of_the_same_members_are_one(spark):
     assert jaccard._first_regions(nodes, 50).where("node < 2").count() >= 2
 
 
+def test_blocks_of_a_cell_meet_once_each(spark, monkeypatch):
+    """Sets move once per block of the other side; with pairs as rows it would be once per set."""
+    monkeypatch.setattr(jaccard, "BLOCK", 2000)
+    rows = spark.range(200).selectExpr("id % 2 AS cell", "id AS node", "100L AS n", "id AS root")
+    probes = rows.where("node < 60")
+    dealt = jaccard._dealt(probes, rows).collect()
+    met = Counter()
+    for block in {(r["cell"], r["p"], r["m"]) for r in dealt}:
+        sides = [[r["node"] for r in dealt if (r["cell"], r["p"], r["m"]) == block and r["probe"] == x] for x in (True, False)]
+        met.update((a, b) for a in sides[0] for b in sides[1])
+    assert met == Counter((a, b) for a in range(60) for b in range(200) if a % 2 == b % 2)
+    assert len(dealt) < len(met) / 2
+
+
+@pytest.mark.parametrize("block", [1500, 1 << 16])
+def test_group_of_alike_documents_without_a_centre(spark, monkeypatch, block):
+    """Near copies of a text that is not there: some are linked, others alike but not alike enough."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "STEP", 1 << 12 if block < 1 << 16 else 1 << 20)
+    draw = random.Random(11)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for key in range(90):
+        text = list(base)
+        for _ in range(draw.randint(2, 5)):
+            text[draw.randrange(len(text))] = f"x{draw.randrange(10**6)}"
+        rows.append((key, " ".join(text)))
+    wanted = expected(rows)
+    assert 5 < len({component for _, _, component in wanted}) < 85
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(jaccard.join_components(docs)) == wanted
+
+
 def test_links_join_what_is_joined_already(spark):
     schema = "a long, b long"
     roots = jaccard._joined(None, spark.createDataFrame([(1, 2), (5, 6), (8, 9)], schema))
