@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terratally.llm.common import NOT_SPACE, Texts, distinct_pairs, mix, signed, slices, staged
+from terratally.llm.common import NOT_SPACE, Texts, discard, distinct_pairs, mix, signed, slices, staged
 
 #: Classes: the shared one, the end, and the most frequent words. Two of them fit into 32 bits.
 CLASSES = 1 << 16
@@ -307,7 +307,9 @@ def order_tables(training: DataFrame, below: DataFrame, order: int) -> tuple[Dat
         .select("history", "lower", "n", "below", "total", "weight")
         .mapInArrow(run, "key long, seen double, gain double, n long")
     )
-    return staged(grams, f"katz-grams-{order}"), histories
+    grams = staged(grams, f"katz-grams-{order}")
+    discard(counts)
+    return grams, histories
 
 
 def _frequent(values: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -67,6 +67,14 @@ def test_scores_sum_to_one(spark, monkeypatch):
         assert total == pytest.approx(1)
 
 
+def test_counts_go_when_their_grams_are_written(spark, monkeypatch):
+    gone = []
+    monkeypatch.setattr(katz, "discard", lambda *frames: gone.extend(f.columns for f in frames), raising=False)
+    docs = spark.createDataFrame([(i, f"a b c e{i}") for i in range(20)], "doc_id long, text string")
+    katz.score(docs).collect()
+    assert gone == [["history", "n", "lower", "below"]] * (katz.ORDER - 1)
+
+
 def test_pairs_help_on_held_out_text(spark):
     text = "the cat sat on the mat and the dog sat on the rug "
     docs = spark.createDataFrame([(i, text * 5) for i in range(60)], "doc_id long, text string")
