@@ -25,7 +25,6 @@ The distance is 1 - |x & y| / |x | y| over distinct word shingles, a metric. Doc
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
