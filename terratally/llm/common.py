@@ -27,18 +27,40 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(frame: DataFrame, label: str) -> DataFrame:
-    """Write ``frame`` once into the shared folder and go on from the files."""
-    spark = frame.sparkSession
+def staged(frame: DataFrame, label: str, *more: DataFrame) -> DataFrame:
+    """Write ``frame`` once into the shared folder and go on from the files.
+
+    ``more`` frames of its columns are written after it, each when the shuffle files of the one
+    before are gone.
+    """
+    path = _written([frame, *more], label)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def staged_apart(frames: list[DataFrame], label: str, flag: str) -> tuple[DataFrame, DataFrame]:
+    """As ``staged``, the rows without and with ``flag`` as tables of their own, to discard by themselves."""
+    path = _written(frames, label, flag)
+    spark, schema = frames[0].sparkSession, frames[0].drop(flag).schema
+    folders = [f"{path}/{flag}={value}" for value in ("false", "true")]
+    for folder in folders:  # without such rows there is none
+        place, system = _place(spark, folder)
+        system.mkdirs(place)
+    without, with_flag = (spark.read.schema(schema).parquet(folder) for folder in folders)
+    return without, with_flag
+
+
+def _written(frames: list[DataFrame], label: str, *by: str) -> str:
+    spark = frames[0].sparkSession
     path = new_folder(spark, label)
     _made.add(path)
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        frame.write.parquet(path)
+        for frame in frames:
+            frame.write.mode("append").partitionBy(*by).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(frame.schema).parquet(path)
+    return path
 
 
 def discard(*frames: DataFrame) -> None:
@@ -48,10 +70,16 @@ def discard(*frames: DataFrame) -> None:
 
 
 def _remove(spark: SparkSession, folders: set[str]) -> None:
-    context = spark.sparkContext
     for folder in folders:
-        path = context._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        place, system = _place(spark, folder)
+        system.delete(place, True)
+
+
+def _place(spark: SparkSession, folder: str):
+    """The folder's path, and the file system it is in."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(context._jsc.hadoopConfiguration())
 
 
 class Stages:
@@ -133,6 +161,8 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 
 BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * _SEED)
+#: The same for bytes of text not yet in lower case.
+LOWERED_VALUE = BYTE_VALUE[_LOWER]
 _powers = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64)}
 
 
@@ -179,11 +209,11 @@ class Texts:
         """Text number of each of the ascending ``positions``."""
         return np.repeat(np.arange(len(self)), np.diff(np.searchsorted(positions, self.offsets)))
 
-    def prefix_hashes(self) -> np.ndarray:
+    def prefix_hashes(self, values: np.ndarray = BYTE_VALUE) -> np.ndarray:
         up, _ = powers(len(self.data) + 1)
         sums = np.empty(len(self.data) + 1, dtype=np.uint64)
         sums[0] = 0
-        np.cumsum(BYTE_VALUE[self.data] * up[:-1], out=sums[1:])
+        np.cumsum(values[self.data] * up[:-1], out=sums[1:])
         return sums
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray, sums=None) -> np.ndarray:

@@ -3,9 +3,11 @@
 import math
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import DataFrameWriter
 
 from tests.conftest import TESTDATA
 from tests.llm.tables import SCHEMA, odd_documents, odd_rows, with_clashes, words
@@ -146,3 +148,47 @@ def test_rare_words_keep_their_histories(spark, monkeypatch, order, size, known)
     found = {r["doc_id"]: r["score"] for r in katz.score(docs, size=size, order=order).collect()}
     assert any(held_out(key) for key, _ in rows)
     assert found == pytest.approx(plain_scores(rows, order), rel=1e-7)
+
+
+@pytest.mark.parametrize(("order", "known"), [(2, 1 << 19), (3, 0), (3, 1 << 19), (4, 1 << 19)])
+def test_frequent_keys_spread_over_buckets(spark, monkeypatch, order, known):
+    """Many buckets, chunks and goes, and keys too frequent for a bucket, give the full model's scores."""
+    monkeypatch.setattr(katz, "KNOWN_PAIRS", known)
+    monkeypatch.setattr(katz, "BUCKET_TOKENS", 256)
+    monkeypatch.setattr(katz, "CHUNK_TOKENS", 500)
+    monkeypatch.setattr(katz, "SHARES", 3)
+    draw = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in draw.zipf(1.4, draw.integers(0, 60)) % 500) for _ in range(150)]
+    texts += ["of the of the of the", "", "of the end"] * 40
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    scored = katz.score(docs, size=30, order=order).cache()
+    same(result(scored), base(rows))
+    found = {r["doc_id"]: r["score"] for r in scored.collect()}
+    assert found == pytest.approx(plain_scores(rows, order), rel=1e-7)
+
+
+def test_repeated_rows_and_null_ids_count_one_by_one(spark):
+    rows = [(1, "a b c a b"), (1, "a b c a b"), (None, "a b d"), (None, None), (1, "b c")]
+    rows += [(i, f"a b c{i % 3}") for i in range(2, 40)]
+    scored = katz.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    wanted = [plain_scores(rows[:i] + rows[i + 1 :] + [(key, text)], katz.ORDER)[key] for i, (key, text) in enumerate(rows)]
+    assert sorted(r["score"] for r in scored) == pytest.approx(sorted(wanted), rel=1e-9)
+
+
+def test_counts_take_few_bytes_of_disk(spark, monkeypatch):
+    """Of a random text, with as many triples as words, all tables that an order leaves or passes on."""
+    sizes = {}
+    write = DataFrameWriter.parquet
+
+    def weighed(writer, path, *args, **kwargs):
+        write(writer, path, *args, **kwargs)
+        files = Path(path.removeprefix("file:")).rglob("*.parquet")
+        sizes[Path(path).name] = sum(f.stat().st_size for f in files)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", weighed)
+    draw = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in draw.integers(0, 3000, 2000)) for _ in range(100)]
+    katz.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    grams = [n for label, n in sizes.items() if label.startswith("katz-") and "words" not in label]
+    assert grams and sum(grams) < 24 * 2 * 200_000
