@@ -15,16 +15,25 @@ def heavy_keys(rows: DataFrame, key: str, tasks: int) -> list:
 
 
 def salted_lookup(
-    rows: DataFrame, dimension: DataFrame, key: str, row_id: str, heavy: list, salts: int | None = None
+    rows: DataFrame,
+    dimension: DataFrame,
+    key: str,
+    row_id: str,
+    heavy: list | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
     """Inner join whose ``heavy`` keys are spread over ``salts`` tasks, by default all that shuffle.
 
+    Without ``heavy``, the rows, which then can't be a stream, are counted for such keys.
+
     Batch queries leave this to AQE, which splits a hot partition when it sees one; a
     stateful stream runs without AQE. Only rows of the dimension with a heavy key are copied. The
     salt is a hash of the row's own id, so a repeated task sends every row to the same place again.
     """
     if salts is None:
         salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if heavy is None:
+        heavy = heavy_keys(rows, key, salts)
 
     def salt(name: str, spread: Column, alone: Column) -> Column:
         return F.when(F.col(name).isin(heavy), spread).otherwise(alone) if heavy else alone
