@@ -49,9 +49,10 @@ KNOWN_PAIRS = 1 << 19
 BUCKET_TOKENS = 3 << 18
 #: Tokens whose grams a task counts before they are shuffled.
 CHUNK_TOKENS = 1 << 19
-#: An order above pairs is counted in so many goes, each with its own buckets, and its histories are
-#: weighed in twice as many.
-SHARES = 3
+#: An order above pairs is counted in so many goes, each with its own buckets.
+SHARES = 2
+#: Its histories are weighed in so many.
+WEIGHED_SHARES = 3
 #: Counts up to this are discounted.
 DISCOUNTED = 5
 ADDED = 0.1
@@ -101,6 +102,35 @@ def word_counts(training: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+class Slots:
+    """Distinct hashes, found by some of their bits; those that share these stand in another table."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.tables = keys, []
+        left = np.arange(len(keys))
+        while len(left):
+            factor, shift = _step(len(self.tables)), np.uint64(62 - len(left).bit_length())
+            slots = keys[left] * factor >> shift
+            table = np.zeros(4 << len(left).bit_length(), dtype=np.min_scalar_type(len(keys)))
+            table[slots] = left
+            self.tables.append((factor, shift, table))
+            left = left[table[slots] != left]
+
+    def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which ``values`` are there, and where; elsewhere the place means nothing."""
+        if not self.tables:
+            return np.zeros(len(values), dtype=bool), np.zeros(len(values), dtype=np.int64)
+        factor, shift, table = self.tables[0]
+        at = table[values * factor >> shift]
+        there = self.keys[at] == values
+        for factor, shift, table in self.tables[1:]:
+            left = np.flatnonzero(~there)
+            some = values[left]
+            at[left] = table[some * factor >> shift]
+            there[left] = self.keys[at[left]] == some
+        return there, at
+
+
 @dataclass(frozen=True)
 class Classes:
     """The words with a class of their own, ordered by hash, and counts by class."""
@@ -117,24 +147,13 @@ class Classes:
         return (self.counts + ADDED) / (self.tokens + ADDED * len(self.counts))
 
     @cached_property
-    def _slots(self) -> tuple[np.uint64, np.ndarray, np.ndarray]:
-        """A word for each value of the highest bits, and the words that share these with another."""
-        shift = np.uint64(62 - len(self.words).bit_length())
-        slots, numbers = self.words.view(np.uint64) >> shift, np.arange(len(self.words))
-        first = np.zeros(4 << len(self.words).bit_length(), dtype=np.min_scalar_type(len(self.words)))
-        first[slots] = numbers
-        return shift, first, np.flatnonzero(first[slots] != numbers)
+    def _slots(self) -> Slots:
+        return Slots(self.words.view(np.uint64))
 
     def of(self, words: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(words), dtype=np.uint32)
-        shift, first, others = self._slots
-        at = first[words.view(np.uint64) >> shift]
-        found = self.numbers[at] * (self.words[at] == words)  # OTHER is 0
-        if len(others):
-            left = np.flatnonzero(found == OTHER)
-            there, at = _lookup(self.words[others], words[left])
-            found[left[there]] = self.numbers[others[at[there]]]
+        there, at = self._slots.find(words.view(np.uint64))
+        found = np.zeros(len(words), dtype=np.uint32)  # OTHER
+        found[there] = self.numbers[at[there]]
         return found
 
     @cached_property
@@ -301,7 +320,7 @@ def _planes(values: np.ndarray) -> np.ndarray:
 def _joined(*planes: np.ndarray) -> bytes:
     """Arrays as one compressed string of their planes."""
     head = struct.pack(f"<{1 + 2 * len(planes)}q", len(planes), *(n for x in planes for n in x.shape))
-    raw = b"".join([head, *(x.tobytes() for x in planes)])
+    raw = b"".join([head, *(np.ascontiguousarray(x).data for x in planes)])
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
@@ -383,8 +402,12 @@ class Frequent:
     keys: np.ndarray
     n: np.ndarray
 
+    @cached_property
+    def _slots(self) -> Slots:
+        return Slots(self.keys)
+
     def has(self, keys: np.ndarray) -> np.ndarray:
-        return _lookup(self.keys, keys)[0]
+        return self._slots.find(keys)[0]
 
     def known(self, keys: np.ndarray, n: np.ndarray) -> np.ndarray:
         """``n`` with the counts of frequent ``keys`` in place."""
@@ -550,7 +573,8 @@ def gram_counts(rows: DataFrame, known: Classes, spread: Spread, highest: bool,
     """
     order, often, size = spread.order, _often(known), CHUNK_TOKENS
     plain = order == 2 and share == 0
-    own_base, new_base = known.base(known.counts), float(known.base(np.zeros(1))[0])
+    own_base = known.base(known.counts)
+    own_base[OTHER] = known.base(np.zeros(1))[0]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _keep_freed()
@@ -564,15 +588,14 @@ def gram_counts(rows: DataFrame, known: Classes, spread: Spread, highest: bool,
             n = len(number)
             own = known.of(signed(token))
             own[token == _END[0]] = END
-            base, is_known = own_base[own], known.counts[own] > 0
-            left = np.flatnonzero(own == OTHER)
+            base, left = own_base[own], np.flatnonzero(own == OTHER)
             often = spread.lowers.has(token[left])
             here, left = left[often], left[~often]
             base[here] = known.base(spread.lowers.known(token[here], np.zeros(len(here))))
-            base[left], is_known[here], is_known[left] = new_base, True, False
             parts[_WORDS].append((mix(token[left]), number[owner[left]]))
             tokens = np.bincount(owner, minlength=n)
-            return tokens, np.bincount(owner, is_known, n).astype(np.int64), np.bincount(owner, base, n)
+            new = np.bincount(owner[left], minlength=n) + (known.counts[END] == 0)
+            return tokens, tokens - new, np.bincount(owner, base, n)
 
         def packed() -> pa.RecordBatch:
             out = [
@@ -689,8 +712,11 @@ def _counted_grams(training: _Packed, spread: Spread) -> _Found:
     low, lower, token = training.low[at], lower[at], training.token[at]
     keys, first_at, of_gram, n_lower = _summed(lower, n)
     n_lower = spread.lowers.known(keys, n_lower)
-    lows, _, of_lower, n_low = _summed(low[first_at], n_lower)
-    n_low = spread.lows.known(lows, n_low)[of_lower]
+    if spread.order == 2:  # plain words stand behind nothing
+        n_low = np.zeros(len(keys))
+    else:
+        lows, _, of_lower, n_low = _summed(low[first_at], n_lower)
+        n_low = spread.lows.known(lows, n_low)[of_lower]
     lowers = Frequent(keys, n_lower)
     return _Found(gram, history[at], token == _END[0], lowers, n, n_lower[of_gram], n_low[of_gram], number)
 
@@ -773,10 +799,10 @@ class Discounts:
     lower: np.ndarray | None
 
     def below(self, n_lower: np.ndarray, n_low: np.ndarray) -> np.ndarray:
-        """log10 of the probability of lower grams seen so often behind such histories."""
+        """Probability of lower grams seen so often behind such histories."""
         if self.lower is None:
-            return self.known.base(n_lower)
-        return np.log10(self.lower[np.minimum(n_lower, len(self.lower) - 1).astype(np.int64)] * n_lower / (n_low + 1))
+            return (n_lower + ADDED) / (self.known.tokens + ADDED * (self.known.distinct + 1))
+        return self.lower[np.minimum(n_lower, len(self.lower) - 1).astype(np.int64)] * n_lower / (n_low + 1)
 
     def kept(self, n: np.ndarray) -> np.ndarray:
         return self.factors[np.minimum(n, len(self.factors) - 1).astype(np.int64)] * n
@@ -784,7 +810,7 @@ class Discounts:
     def sums(self, history: np.ndarray, n: np.ndarray, n_lower: np.ndarray, n_low: np.ndarray):
         """Distinct histories, how often each has a follower, what of that is kept, what is covered below."""
         found, _, number, total = _summed(history, n)
-        covered = np.power(10.0, self.below(n_lower, n_low))
+        covered = self.below(n_lower, n_low)
         return found, total, *(np.bincount(number, x, len(found)) for x in (self.kept(n), covered))
 
 
@@ -844,7 +870,7 @@ def _scored(rows: DataFrame, made: Discounts, frequent: tuple) -> DataFrame:
             value[there], behind[there] = some_weight[at[there]], some_total[at[there]]
         seen = np.flatnonzero(count)
         counts = (x[seen].astype(np.float64) for x in _unpacked_all([below[i] for i in others], 2)[:2])
-        value[seen] = np.log10(made.kept(count[seen]) / (behind[seen] + 1)) - made.below(*counts)
+        value[seen] = np.log10(made.kept(count[seen]) / (behind[seen] + 1) / made.below(*counts))
         sums = _by_chunk(chunk, len(out), document.astype(np.int64), value * times)
         payloads = [_packed(documents, total) for _, documents, total in sums]
         columns = [
@@ -896,8 +922,8 @@ def order_tables(
     frequent = _frequent(*(np.concatenate(x) for x in zip(none, *map(_unpacked, many), strict=True)))
     made = Discounts(known, factors, lower)
     histories = _spread_histories(counts, made, spread)
-    share = F.col("history") % (2 * SHARES)
-    goes = [counts.where((F.col("history") >= 0) & (share == i)) for i in range(2 * SHARES)]
+    share = F.col("history") % WEIGHED_SHARES
+    goes = [counts.where((F.col("history") >= 0) & (share == i)) for i in range(WEIGHED_SHARES)]
     scored = [_scored(rows, made, histories) for rows in goes]
     gains = staged(scored[0], f"katz-grams-{order}", *scored[1:])
     discard(counts)
@@ -984,7 +1010,7 @@ def score(docs: DataFrame, text: str = "text", size: int = CLASSES, order: int =
     # The first token of training text stands behind ends alone.
     summary = _documents(*tables[0], True, -float(np.log10(documents + 1)))
     if len(tables) > 1:
-        summary = _with_gains(summary, tables[1:])
+        summary = _with_gains(staged(summary, "katz-documents"), tables[1:])
     return summary.select(
         "doc_id",
         "held_out",
