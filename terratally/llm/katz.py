@@ -365,9 +365,8 @@ def _steps(keys: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _sums_of(steps: list[np.ndarray], firsts: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate(
-        [np.zeros(0, dtype=np.uint64), *(np.cumsum(x, dtype=np.uint64) + y[0] for x, y in zip(steps, firsts, strict=True))]
-    )
+    keys = (np.cumsum(x, dtype=np.uint64) + y[0] for x, y in zip(steps, firsts, strict=True))
+    return np.concatenate([np.zeros(0, dtype=np.uint64), *keys])
 
 
 def _step(times: int) -> np.uint64:
@@ -861,9 +860,8 @@ def _scored(rows: DataFrame, made: Discounts, frequent: tuple) -> DataFrame:
         count, document, times = (np.concatenate([np.zeros(0), *(x[i] for x in opened)]) for i in (2, 3, 4))
         none = np.zeros(0, dtype=np.uint64)
         # The chunks that stand at the end of each row, numbered.
-        out, chunk = np.unique(
-            np.concatenate([none, *(x[6].astype(np.uint64)[x[5].astype(np.int64)] for x in opened)]), return_inverse=True
-        )
+        chunks = (x[6].astype(np.uint64)[x[5].astype(np.int64)] for x in opened)
+        out, chunk = np.unique(np.concatenate([none, *chunks]), return_inverse=True)
         value, behind = np.zeros(len(history)), np.zeros(len(history))
         for some, some_total, some_weight in ((found, total, weight), (keys, totals, weights)):
             there, at = _lookup(some, history)
@@ -1024,7 +1022,9 @@ def score(docs: DataFrame, text: str = "text", size: int = CLASSES, order: int =
 
 def _with_gains(summary: DataFrame, tables: list[tuple[DataFrame, np.ndarray]]) -> DataFrame:
     gains = reduce(DataFrame.unionByName, [_documents(grams, factors, False) for grams, factors in tables])
-    joined = gains.groupBy(F.col("doc_id").alias("key"), F.col("row_hash").alias("hash")).agg(F.sum("gain").alias("gain"))
+    joined = gains.groupBy(F.col("doc_id").alias("key"), F.col("row_hash").alias("hash")).agg(
+        F.sum("gain").alias("gain")
+    )
     # Repeated rows have all added to the same sums.
     repeats = summary.groupBy(F.col("doc_id").alias("key2"), F.col("row_hash").alias("hash2")).agg(
         F.count("*").alias("rows")
